@@ -155,8 +155,8 @@ def densify(df: DataFrame, nest: Sequence[str], grid: dict, fill: dict) -> DataF
                 raise ValueError(f"grid values for {col!r} need a proven size bound")
             keys = keys.crossJoin(values.side().select(col))
         else:
-            arr = F.array(*[F.lit(v) for v in values])
-            keys = keys.withColumn(col, F.explode(arr).cast(types.get(col, "string")))
+            arr = F.array(*[F.lit(v) for v in values]).cast(f"array<{types.get(col, 'string')}>")
+            keys = keys.withColumn(col, F.explode(arr))
     all_keys = list(nest) + list(grid)
     marks = (keys.withColumn("__obs", F.lit(0))
              .unionByName(df.select(*all_keys).withColumn("__obs", F.lit(1))))
@@ -210,7 +210,7 @@ def group_share(df: DataFrame, group: Sequence[str], value: str, out: str = "sha
     if salt > 1:
         row_cols = [F.col(c) for c in df.columns]
         left = df.withColumn("__salt", F.pmod(F.xxhash64(*row_cols), F.lit(salt)))
-        totals = totals.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).cast("long"))
+        totals = totals.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<bigint>")))
         cond = [left[c].eqNullSafe(totals[f"__g_{c}"]) for c in group] + [left["__salt"] == totals["__salt"]]
         joined = left.join(totals, reduce(lambda a, b: a & b, cond), "inner").drop(left["__salt"]).drop(totals["__salt"])
     else:

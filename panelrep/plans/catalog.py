@@ -65,14 +65,14 @@ def attribute_surface(spark, d):
 
 def split_key_q(spark, d):
     S = stand_in(spark, d)
-    keys = (S.tables["ag_prod"].select(F.col("technology").alias("key"))
+    keys = (S.project.raw("ag_prod").select(F.col("technology").alias("key"))
             .union(standin.read(spark, d, "part").select(F.col("p_name").alias("key"))).distinct())
     parts = split_key("key", 4)
     return keys.select("key", *[p.alias(f"part{i + 1}") for i, p in enumerate(parts)])
 
 
 def stack_scenarios_q(spark, d):
-    p = standin.panel(spark, d)
+    p = stand_in(spark, d).panel
     cols = [F.col("scenario"), F.col("region"), F.col("sector"), F.col("yr").alias("year"),
             F.col("qty").cast("double").alias("value")]
     frames = [p.filter(F.col("scenario") == "A").select(*cols),
@@ -82,7 +82,7 @@ def stack_scenarios_q(spark, d):
 
 
 def ingest_no_clobber_q(spark, d):
-    p = standin.panel(spark, d)
+    p = stand_in(spark, d).panel
     cols = ["scenario", "region", F.col("yr").alias("year"), F.col("qty").cast("double").alias("value")]
     incoming = p.filter(F.col("scenario").isin("A", "N")).select(*cols)
     existing = p.filter(F.col("scenario") == "N").select(*cols)
@@ -97,7 +97,7 @@ def study_subset_q(spark, d):
 
 # ---------------------------------------------------------------- sums and conversions
 def strict_sum_q(spark, d):
-    p = standin.panel(spark, d)
+    p = stand_in(spark, d).panel
     v = F.when(F.col("sector") == "unlisted", F.lit(None)).otherwise(F.col("frac"))
     return (p.groupBy(F.col("scenario").alias("Scenario"), "region", "sector")
             .agg(strict_sum(v).cast("double").alias("value")))
@@ -265,7 +265,7 @@ def inputs_densified_keep_null(spark, d):
 def densify_items(spark, d):
     """Imports recipe over a sparse subset (large lines only), so that grid cells are missing."""
     S = stand_in(spark, d)
-    p = standin.panel(spark, d).filter(F.col("qty") > 45)
+    p = S.panel.filter(F.col("qty") > 45)
     sparse = (p.groupBy("scenario", "region", "sector", "yr").agg(F.sum("qty").cast(standin.DEC).alias("value"))
               .select("scenario", "region", "sector", F.col("yr").alias("year"), "value"))
     return trade.impo(normalize(sparse, S.cfg.years), S.br, S.cfg)
@@ -305,7 +305,7 @@ def feed_efficiency(spark, d):
 
 def group_share_q(spark, d):
     S = stand_in(spark, d)
-    p = standin.panel(spark, d).filter(F.col("qty") <= 12)
+    p = S.panel.filter(F.col("qty") <= 12)
     g = (p.groupBy(F.col("scenario").alias("Scenario"), "technology", "disposition", F.col("yr").alias("Year"))
          .agg(F.sum("frac").alias("value")))
     s = group_share(g, ["Scenario", "technology", "Year"], "value", salt=S.cfg.share_salt_buckets)

@@ -19,6 +19,7 @@ with the input data, and nothing is collected.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +29,8 @@ from pyspark.sql import types as T
 from ..config import ReportConfig
 from ..operators.bounded import Small, prove_bound
 from ..sources.bridges import Bridge, alias_bridge, attribute_surface, bridge_from_long, bridge_from_rows
-from ..sources.facts import Project
+from ..session import ensure_checkpoint_dir
+from ..sources.facts import Project, write_project
 from .recipes.common import Bridges
 
 PANEL_YEARS = (1995, 1997, 1999, 2001)
@@ -199,7 +201,13 @@ def query_tables(spark: SparkSession, sf_dir: str, p: DataFrame | None = None) -
     return t
 
 
+QUERY_NAMES = ("population", "pop_qty", "gdp", "land_cover", "harvests", "ag_prod", "an_prod", "ag_prices",
+               "an_prices", "ag_yield", "ag_use", "an_use", "imports", "exports", "fertilizer", "water", "food",
+               "emissions", "luc_emissions", "feed", "co2_prices")
+
+
 def project(spark: SparkSession, sf_dir: str) -> Project:
+    """The stand-in project as lazy tables (no materialization)."""
     return Project(query_tables(spark, sf_dir), PANEL_YEARS)
 
 
@@ -259,16 +267,23 @@ def bridges(spark: SparkSession, sf_dir: str, cfg: ReportConfig | None = None, *
 
 @dataclass
 class StandIn:
-    """Everything a stand-in query needs, built lazily from one test-data folder."""
+    """Everything a stand-in query needs, built from one test-data folder.
+
+    The panel is checkpointed once (a reliable checkpoint in the shared
+    ``spark.checkpoint.dir``) and the query tables are written once as a
+    project (``query=<name>/scenario=<s>/``) next to it, as a model project
+    is stored in practice.  Indicators then read that project with
+    partition pruning instead of re-deriving the panel join per table.
+    """
 
     spark: SparkSession
     sf_dir: str
 
     def __post_init__(self):
         self.cfg = standin_config()
-        self.tables = query_tables(self.spark, self.sf_dir)
-        self.project = Project(self.tables, PANEL_YEARS)
         self._bridges: Bridges | None = None
+        self._panel: DataFrame | None = None
+        self._project: Project | None = None
 
     @property
     def br(self) -> Bridges:
@@ -276,5 +291,24 @@ class StandIn:
             self._bridges = bridges(self.spark, self.sf_dir, self.cfg)
         return self._bridges
 
+    @property
+    def panel(self) -> DataFrame:
+        if self._panel is None:
+            ensure_checkpoint_dir(self.spark)
+            self._panel = panel(self.spark, self.sf_dir).checkpoint(eager=True)
+        return self._panel
+
+    @property
+    def project(self) -> Project:
+        if self._project is None:
+            root = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/panelrep-project-{uuid.uuid4().hex}"
+            write_project(query_tables(self.spark, self.sf_dir, self.panel), root)
+            self._project = Project.from_parquet(self.spark, root, PANEL_YEARS)
+        return self._project
+
+    @property
+    def tables(self) -> dict[str, DataFrame]:
+        return {name: self.project.raw(name) for name in QUERY_NAMES}
+
     def t(self, name: str) -> DataFrame:
         return self.project.table(name)

@@ -76,25 +76,56 @@ class Project:
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str, years: Sequence[int],
-                     scenarios: Sequence[str] | None = None) -> "Project":
-        """Open every query table under ``root`` (absent optional ones are skipped)."""
+                     scenarios: Sequence[str] | None = None, names: Sequence[str] | None = None) -> "Project":
+        """Open every query table under ``root`` (absent optional ones are skipped).
+
+        Scenario names are partition values; they are always read as text.
+        """
         tables = {}
-        jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path  # noqa: SLF001
+        fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path  # noqa: SLF001
         conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
-        for short in QUERY_TABLES.values():
-            path = f"{root}/query={short}"
-            p = jvm_path(path)
-            if not p.getFileSystem(conf).exists(p):
-                if short in OPTIONAL_TABLES:
-                    continue
-                raise FileNotFoundError(path)
-            df = spark.read.parquet(path)
-            if scenarios is not None:
-                df = df.filter(F.col("scenario").isin(list(scenarios)))
-            tables[short] = df
+        key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+        before = spark.conf.get(key, "true")
+        spark.conf.set(key, "false")
+        try:
+            for short in names or list(dict.fromkeys(list(QUERY_TABLES.values()) + _listed(spark, root))):
+                path = f"{root}/query={short}"
+                p = fs_path(path)
+                if not p.getFileSystem(conf).exists(p):
+                    if short in OPTIONAL_TABLES:
+                        continue
+                    raise FileNotFoundError(path)
+                df = spark.read.parquet(path)
+                if scenarios is not None:
+                    df = df.filter(F.col("scenario").isin(list(scenarios)))
+                tables[short] = df
+        finally:
+            spark.conf.set(key, before)
         return cls(tables, years)
 
 
+def _listed(spark: SparkSession, root: str) -> list[str]:
+    """Query names present under ``root`` (directory names ``query=<name>``)."""
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path  # noqa: SLF001
+    conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
+    p = fs_path(root)
+    fs = p.getFileSystem(conf)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("query="):
+            out.append(name[len("query="):])
+    return out
+
+
+def write_project(tables: Mapping[str, DataFrame], root: str, mode: str = "overwrite") -> None:
+    """Store query tables as ``root/query=<name>/scenario=<s>/`` Parquet."""
+    for name, df in tables.items():
+        df.write.mode(mode).partitionBy("scenario").parquet(f"{root}/query={name}")
+
+
 def rows_to_append(incoming: DataFrame, existing: DataFrame | None, key: str = "scenario") -> DataFrame:
     """Rows of ``incoming`` whose scenario is not stored yet (no clobbering)."""
     if existing is None:
