@@ -64,16 +64,32 @@ def expand(df: DataFrame, via: Via, *, match_nulls: bool = True) -> DataFrame:
     clash = [c for c in df.columns if c.lower() == via.out_col.lower()]
     if clash and clash[0] != via.on:
         raise ValueError(f"column {clash[0]!r} already present; drop or rename it first")
+    b = _bridge_side(br, mn)
+    cond = df[via.on].eqNullSafe(b["__bk"]) if mn else df[via.on] == b["__bk"]
+    keep = [df[c] for c in df.columns if not (clash and c == via.on)]
+    return df.join(b, cond, via.how).select(*keep, b["__bv"].alias(via.out_col))
+
+
+_SIDES: dict = {}
+
+
+def _bridge_side(br, match_nulls: bool) -> DataFrame:
+    """``(__bk, __bv)`` view of a bridge, broadcast when bounded; built once per bridge.
+
+    Reusing one DataFrame per bridge keeps plans small and lets Spark reuse
+    the broadcast exchange across the indicators of one report.
+    """
+    key = (id(br.small.df), br.key, br.value, match_nulls)
+    hit = _SIDES.get(key)
+    if hit is not None and hit[0] is br.small.df:
+        return hit[1]
     b = br.df.select(F.col(br.key).alias("__bk"), F.col(br.value).alias("__bv"))
-    if not mn:
+    if not match_nulls:
         b = b.filter(F.col("__bk").isNotNull())
     if br.small.bounded:
         b = F.broadcast(b)
-    cond = df[via.on].eqNullSafe(b["__bk"]) if mn else df[via.on] == b["__bk"]
-    out = df.join(b, cond, via.how).drop("__bk")
-    if clash:
-        out = out.drop(df[via.on])
-    return out.withColumnRenamed("__bv", via.out_col)
+    _SIDES[key] = (br.small.df, b)
+    return b
 
 
 def expand_all(df: DataFrame, vias: Sequence[Via], *, match_nulls: bool = True) -> DataFrame:
@@ -263,8 +279,18 @@ def distinct_small(df: DataFrame, cols: Sequence[str], bound: int | None) -> Sma
 
 
 def union_all(dfs: Sequence[DataFrame]) -> DataFrame:
-    """Union by column name; columns missing from an input are null."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
+    """Union by column name; columns missing from an input are null.
+
+    Inputs are combined pairwise (a balanced tree, flattened by the optimizer)
+    so that building a union of many branches stays cheap.
+    """
+    parts = list(dfs)
+    while len(parts) > 1:
+        nxt = [parts[i].unionByName(parts[i + 1], allowMissingColumns=True) for i in range(0, len(parts) - 1, 2)]
+        if len(parts) % 2:
+            nxt.append(parts[-1])
+        parts = nxt
+    return parts[0]
 
 
 def min_scalar(df: DataFrame, col: str) -> Small:

@@ -19,8 +19,11 @@ def tag(df: DataFrame, **consts) -> DataFrame:
 
 def conform(df: DataFrame, **consts) -> DataFrame:
     """Add constant tags, then select the template columns with their types."""
-    df = tag(df, **consts)
-    return df.select(*[F.col(c).cast(TEMPLATE_TYPES[c]).alias(c) for c in TEMPLATE_COLUMNS])
+    cols = []
+    for c in TEMPLATE_COLUMNS:
+        src = F.lit(consts[c]) if consts.get(c) is not None else F.col(c)
+        cols.append(src.cast(TEMPLATE_TYPES[c]).alias(c))
+    return df.select(*cols)
 
 
 def scaled(c, *factors) -> Column:

@@ -14,6 +14,9 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Python call-site capture costs several JVM round trips per Column call;
+    # plans of a full report are built from thousands of them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -36,6 +39,21 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def fast_plan_building(spark: SparkSession) -> None:
+    """Turn off per-call Python call-site capture for this session.
+
+    The setting is read once per process and cached, so the cache is reset
+    after changing it.
+    """
+    spark.conf.set("spark.python.sql.dataFrameDebugging.enabled", "false")
+    try:
+        from pyspark.errors import utils as _u
+        if hasattr(_u, "_enable_debugging_cache"):
+            _u._enable_debugging_cache = None  # noqa: SLF001
+    except ImportError:  # pragma: no cover
+        pass
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``; set one only if unset."""
     d = spark.conf.get("spark.checkpoint.dir", None)

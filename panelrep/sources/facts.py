@@ -120,11 +120,21 @@ def _listed(spark: SparkSession, root: str) -> list[str]:
     return out
 
 
-def write_project(tables: Mapping[str, DataFrame], root: str, mode: str = "overwrite") -> None:
-    """Store query tables as ``root/query=<name>/scenario=<s>/`` Parquet."""
-    for name, df in tables.items():
+def write_project(tables: Mapping[str, DataFrame], root: str, mode: str = "overwrite", threads: int = 8) -> None:
+    """Store query tables as ``root/query=<name>/scenario=<s>/`` Parquet.
+
+    The tables are independent jobs; they are submitted from a few driver
+    threads so that small tables do not leave the cluster idle.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    def write(item):
+        name, df = item
         df.write.mode(mode).partitionBy("scenario").parquet(f"{root}/query={name}")
 
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        list(pool.map(write, tables.items()))
+
 
 def rows_to_append(incoming: DataFrame, existing: DataFrame | None, key: str = "scenario") -> DataFrame:
     """Rows of ``incoming`` whose scenario is not stored yet (no clobbering)."""
