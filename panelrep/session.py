@@ -39,19 +39,13 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
-def fast_plan_building(spark: SparkSession) -> None:
-    """Turn off per-call Python call-site capture for this session.
+def fast_plan_building(spark: SparkSession) -> bool:
+    """Whether per-call Python call-site capture is off for this session.
 
-    The setting is read once per process and cached, so the cache is reset
-    after changing it.
+    It is a static setting: sessions made by :func:`get_session` turn it off;
+    for a session created elsewhere it stays as configured there.
     """
-    spark.conf.set("spark.python.sql.dataFrameDebugging.enabled", "false")
-    try:
-        from pyspark.errors import utils as _u
-        if hasattr(_u, "_enable_debugging_cache"):
-            _u._enable_debugging_cache = None  # noqa: SLF001
-    except ImportError:  # pragma: no cover
-        pass
+    return spark.conf.get("spark.python.sql.dataFrameDebugging.enabled", "true").lower() == "false"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
