@@ -7,6 +7,7 @@ nothing is sampled or capped.
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,12 +17,13 @@ from ..functions.nullmath import strict_sum
 from ..functions.text import split_key
 from ..operators.panel import Via, base_year_rows, expand_and_sum, finish_sum, group_share
 from ..operators.template import conform, convert_by_category
+from ..session import ensure_checkpoint_dir
 from ..sources.facts import normalize, rows_to_append, stack_scenarios
 from ..sources.sinks import study_subset, study_table
 from . import standin
 from .recipes import emissions, feed, food, land, prices, production, totals, trade, yields
 from .recipes.common import KEYS
-from .report import build_indicators, final_template
+from .report import build_indicators, final_template, read_report, write_report
 
 _CACHE: dict = {}
 
@@ -336,6 +338,16 @@ def price_grid(spark, d):
 
 
 def final_template_q(spark, d):
+    """The whole report: every indicator written as its own job under the
+    shared checkpoint folder, then read back as one template table."""
+    S = stand_in(spark, d)
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/panelrep-report-{uuid.uuid4().hex}"
+    write_report(build_indicators(S.project, S.br, S.cfg), root)
+    return read_report(spark, root)
+
+
+def final_template_plan(spark, d):
+    """The whole report as one lazy plan (a union of all indicators)."""
     S = stand_in(spark, d)
     return final_template(build_indicators(S.project, S.br, S.cfg))
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..config import ReportConfig
+from ..config import TEMPLATE_COLUMNS, ReportConfig
 from ..operators.panel import union_all
 from ..sources.facts import Project
 from .recipes import emissions, feed, food, land, prices, production, totals, trade, yields
@@ -66,5 +66,32 @@ def build_indicators(p: Project, br: Bridges, cfg: ReportConfig, population: str
 
 
 def final_template(indicators: dict[str, DataFrame]) -> DataFrame:
-    """Union of the reported indicators in template columns."""
+    """Union of the reported indicators in template columns (one plan)."""
     return union_all([indicators[k] for k in REPORTED if k in indicators])
+
+
+def write_report(indicators: dict[str, DataFrame], root: str, *, threads: int = 8,
+                 codes=REPORTED) -> str:
+    """Write each indicator to ``root/indicator=<code>/`` as its own job.
+
+    Indicators are independent plans: they are run from a few driver threads
+    (so small ones overlap), each can fail and be retried alone, and the
+    union is a plain read of ``root``.  This is the way to build a report at
+    scale; :func:`final_template` is the single-plan form.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    todo = [(k, indicators[k]) for k in codes if k in indicators]
+
+    def write(item):
+        code, df = item
+        df.write.mode("overwrite").parquet(f"{root}/indicator={code}")
+
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        list(pool.map(write, todo))
+    return root
+
+
+def read_report(spark, root: str) -> DataFrame:
+    """The template written by :func:`write_report` (all indicators)."""
+    return spark.read.parquet(root).select(*TEMPLATE_COLUMNS)

@@ -16,7 +16,7 @@ def test_bridges_are_broadcast_and_facts_pre_aggregated(spark, sf_small):
 
 
 def test_no_python_udfs_and_no_cartesian_in_full_report(spark, sf_small):
-    plan = _plan(catalog.final_template_q(spark, sf_small))
+    plan = _plan(catalog.final_template_plan(spark, sf_small))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduct"):
         assert bad not in plan
 
