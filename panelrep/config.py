@@ -90,6 +90,12 @@ class ReportConfig:
     table (oddity Q11).
     ``feed_alloc_factor``: factor on FRUM/FDRY/FNRM (oddity Q3; reference = 1).
     ``pre_aggregate``: sum facts at their native grain before bridge fan-out.
+    ``null_policy``: ``strict`` (a null input nulls its group, the reference)
+    or ``skip`` (sums ignore nulls; oddity Q13).
+    ``drop_unmapped``: drop rows whose commodity has no reporting item instead
+    of keeping a null-Item group (oddity Q7).
+    With ``parity=False`` base-year weights without a price or yield are
+    dropped (inner join) instead of giving rows with a null year (oddity Q9).
     """
 
     model: str = MODEL_NAME
@@ -119,6 +125,20 @@ class ReportConfig:
     pre_aggregate: bool = True
     max_bridge_rows: int = 100_000
     share_salt_buckets: int = 16
+    null_policy: str = "strict"
+    drop_unmapped: bool = False
+
+    @property
+    def strict(self) -> bool:
+        return self.null_policy == "strict"
+
+    @property
+    def unmapped_join(self) -> str:
+        return "inner" if self.drop_unmapped else "left"
+
+    @property
+    def weight_join(self) -> str:
+        return "left" if self.parity else "inner"
 
     def with_(self, **kw) -> "ReportConfig":
         return replace(self, **kw)

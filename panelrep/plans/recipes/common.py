@@ -47,9 +47,9 @@ def by_item(bridge: Bridge, on: str, how: str = "left") -> Via:
     return Via(bridge, on, how, "Item")
 
 
-def rollup(df: DataFrame, group_by, values, vias, cfg: ReportConfig, strict: bool = True) -> DataFrame:
+def rollup(df: DataFrame, group_by, values, vias, cfg: ReportConfig) -> DataFrame:
     return expand_and_sum(df, group_by, values, vias, pre_aggregate=cfg.pre_aggregate,
-                          match_nulls=cfg.parity, strict=strict)
+                          match_nulls=cfg.parity, strict=cfg.strict)
 
 
 def safe_join_keys(left: DataFrame, right: DataFrame, keys, prefix: str):
@@ -64,7 +64,7 @@ def safe_join_keys(left: DataFrame, right: DataFrame, keys, prefix: str):
     return r, cond
 
 
-def left_join_on(left: DataFrame, right: DataFrame, keys, prefix: str = "__r_") -> DataFrame:
-    """Left join on ``keys`` matching nulls to nulls; right key columns are dropped."""
+def left_join_on(left: DataFrame, right: DataFrame, keys, prefix: str = "__r_", how: str = "left") -> DataFrame:
+    """Left (or ``how``) join on ``keys`` matching nulls to nulls; right key columns are dropped."""
     r, cond = safe_join_keys(left, right, keys, prefix)
-    return left.join(r, cond, "left").drop(*[f"{prefix}{k}" for k in keys])
+    return left.join(r, cond, how).drop(*[f"{prefix}{k}" for k in keys])

@@ -16,7 +16,7 @@ from .common import KEYS, Bridges, by_item, by_region, left_join_on, rollup
 
 def feed_inputs(feed: DataFrame, br: Bridges, cfg: ReportConfig) -> DataFrame:
     """Feed use x1000 by animal Item (Scenario, Region, Item, Year, Value)."""
-    s = rollup(feed, KEYS, ["value"], [by_region(br), by_item(br.item, "sector")], cfg)
+    s = rollup(feed, KEYS, ["value"], [by_region(br), by_item(br.item, "sector", cfg.unmapped_join)], cfg)
     return s.withColumn("Value", scaled("value", C.CONV_MT_TO_KT))  # replaces ``value``
 
 
@@ -65,6 +65,7 @@ def feed_alloc(feed: DataFrame, ag_use: DataFrame, br: Bridges, cfg: ReportConfi
     by_crop = feed_by_crop(feed, feed_shares(ag_use, cfg), cfg)
     animal = _animal_variable_bridge(br.item, cfg.feed_alloc_items)
     s = rollup(by_crop, ["Scenario", "Region", "Item", "Variable", "Year"], ["value"],
-               [Via(animal, "sector", "inner", "Variable"), by_item(br.item, "input"), by_region(br)], cfg)
+               [Via(animal, "sector", "inner", "Variable"), by_item(br.item, "input", cfg.unmapped_join),
+                by_region(br)], cfg)
     factors = [cfg.feed_alloc_factor] if cfg.feed_alloc_factor != 1 else []
     return conform(s.withColumn("Value", scaled("value", *factors)), Model=cfg.model, Unit="1000 t")

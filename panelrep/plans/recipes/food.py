@@ -19,7 +19,8 @@ def demand(ag_use: DataFrame, an_use: DataFrame, br: Bridges, cfg: ReportConfig)
     cols = ["Scenario", "region", "sector", "input", "Year", "value"]
     both = union_all([ag_use.select(*cols), an_use.select(*cols)])
     s = rollup(both, ["Scenario", "Region", "Variable", "Item", "Year"], ["value"],
-               [Via(br.demand, "sector", "inner", "Variable"), by_item(br.item, "input"), by_region(br)], cfg)
+               [Via(br.demand, "sector", "inner", "Variable"), by_item(br.item, "input", cfg.unmapped_join),
+                by_region(br)], cfg)
     return conform(s.withColumn("Value", scaled("value", C.CONV_MT_TO_KT)), Model=cfg.model, Unit="1000 t")
 
 
@@ -32,7 +33,7 @@ def _per_capita(kcal: DataFrame, popt: DataFrame, variable: str, cfg: ReportConf
 
 def calo(food: DataFrame, popt: DataFrame, br: Bridges, cfg: ReportConfig) -> DataFrame:
     """Calories available per person and day."""
-    s = rollup(food, KEYS, ["value"], [by_item(br.item, "subsector"), by_region(br)], cfg)
+    s = rollup(food, KEYS, ["value"], [by_item(br.item, "subsector", cfg.unmapped_join), by_region(br)], cfg)
     return _per_capita(s, popt, "CALO", cfg)
 
 
@@ -47,5 +48,5 @@ def cali(food: DataFrame, popt: DataFrame, br: Bridges, cfg: ReportConfig) -> Da
         cond = (food["region"] == w["__wr"]) & (food["subsector"] == w["__wc"])
     net = (food.join(w, cond, "left").drop("__wr", "__wc")
            .withColumn("value", F.col("value") * (exact_lit(1) - F.col("waste_frac"))).drop("waste_frac"))
-    s = rollup(net, KEYS, ["value"], [by_item(br.item, "subsector"), by_region(br)], cfg)
+    s = rollup(net, KEYS, ["value"], [by_item(br.item, "subsector", cfg.unmapped_join), by_region(br)], cfg)
     return _per_capita(s, popt, "CALI", cfg)

@@ -52,7 +52,7 @@ def area_state(harvested: DataFrame, br: Bridges, cfg: ReportConfig) -> DataFram
 def _area_from_state(state: DataFrame, cfg: ReportConfig, variable: str, water: str | None) -> DataFrame:
     if water is not None:
         state = state.filter(F.col("IRR_RFD") == water)
-    s = finish_sum(state, KEYS, ["value"])
+    s = finish_sum(state, KEYS, ["value"], strict=cfg.strict)
     return conform(s.withColumn("Value", scaled("value", C.CONV_THOUSKM2_KHA)),
                    Model=cfg.model, Variable=variable, Unit="1000 ha")
 

@@ -17,16 +17,16 @@ from .production import ag_prod_df, an_prod_df
 BASE_KEYS = ["Scenario", "region", "sector"]
 
 
-def _base_revenue(base: DataFrame, prices: DataFrame) -> DataFrame:
+def _base_revenue(base: DataFrame, prices: DataFrame, cfg: ReportConfig) -> DataFrame:
     """Base-year production per (Scenario, region, sector), joined to every price year.
 
     Production is summed to the price grain *before* the join: revenue
     ``Σ_t prod_t x price = price x Σ_t prod_t``, so the join sees one row per
     key instead of one per technology.
     """
-    w = base.groupBy(*BASE_KEYS).agg(strict_sum("value").alias("prod"))
+    w = base.groupBy(*BASE_KEYS).agg((strict_sum("value") if cfg.strict else F.sum("value")).alias("prod"))
     p = prices.drop("Units").select(*BASE_KEYS, "Year", F.col("value").alias("price"))
-    joined = left_join_on(w, p, BASE_KEYS)
+    joined = left_join_on(w, p, BASE_KEYS, how=cfg.weight_join)
     return joined.withColumn("revenue", F.col("prod") * F.col("price")).drop("price")
 
 
@@ -39,7 +39,7 @@ def xprp(ag_prod: DataFrame, an_prod_tbl: DataFrame, ag_prices: DataFrame, an_pr
     crop_base = crop_base.withColumn("value", convert_by_category("value", "sector", cfg.biomass_sector,
                                                                   C.CONV_BIO_EJ_TO_MT, 1))
     animal_base = base_year_rows(an_prod_df(an_prod_tbl), per=per)
-    both = union_all([_base_revenue(crop_base, ag_prices), _base_revenue(animal_base, an_prices)])
+    both = union_all([_base_revenue(crop_base, ag_prices, cfg), _base_revenue(animal_base, an_prices, cfg)])
     s = rollup(both, KEYS, ["revenue", "prod"],
                [by_item(only(br.item, cfg.price_items), "sector", "inner"), by_region(br)], cfg)
     value = scaled(ieee_div("revenue", "prod"), C.CONV_KG_T, C.CONV_1975_2010_USD)

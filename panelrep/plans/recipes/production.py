@@ -33,11 +33,12 @@ def crop_state(ag_prod: DataFrame, br: Bridges, cfg: ReportConfig) -> DataFrame:
 def ag_prod_variants(ag_prod: DataFrame, br: Bridges, cfg: ReportConfig) -> dict[str, DataFrame]:
     """AG_PROD (all), AG_PROD_IR, AG_PROD_RF, each with every reporting year (0 filled)."""
     state = crop_state(ag_prod_df(ag_prod, cfg), br, cfg)
-    total = tag(finish_sum(state, KEYS, ["value"]).withColumnRenamed("value", "Value"),
+    total = tag(finish_sum(state, KEYS, ["value"], strict=cfg.strict).withColumnRenamed("value", "Value"),
                 Model=cfg.model, Variable="PROD", Unit="1000 t")
     out = {"AG_PROD": densify(total, TEMPLATE_NEST, {"Year": cfg.years}, {"Value": 0})}
     for name, water in (("AG_PROD_IR", "IRR"), ("AG_PROD_RF", "RFD")):
-        part = finish_sum(state.filter(F.col("IRR_RFD") == water), KEYS, ["value"]).withColumnRenamed("value", "Value")
+        part = (finish_sum(state.filter(F.col("IRR_RFD") == water), KEYS, ["value"], strict=cfg.strict)
+                .withColumnRenamed("value", "Value"))
         out[name] = densify(part, ["Scenario", "Region", "Item"], {"Year": cfg.years}, {"Value": 0})
     return out
 
@@ -48,7 +49,8 @@ def an_prod_df(an_prod: DataFrame) -> DataFrame:
 
 def an_prod(an_prod_tbl: DataFrame, br: Bridges, cfg: ReportConfig) -> DataFrame:
     """Animal production in kt; every commodity is kept (a null Item group too)."""
-    s = rollup(an_prod_df(an_prod_tbl), KEYS, ["value"], [by_item(br.item, "sector"), by_region(br)], cfg)
+    s = rollup(an_prod_df(an_prod_tbl), KEYS, ["value"],
+               [by_item(br.item, "sector", cfg.unmapped_join), by_region(br)], cfg)
     return tag(s.withColumnRenamed("value", "Value"), Model=cfg.model, Variable="PROD", Unit="1000 t")
 
 
@@ -58,4 +60,4 @@ def prod(ag_prod: DataFrame, an_prod_tbl: DataFrame, br: Bridges, cfg: ReportCon
     crops = (ag_variants or ag_prod_variants(ag_prod, br, cfg))["AG_PROD"]
     both = union_all([crops.select(*TEMPLATE_NEST, "Year", "Value"),
                       an_prod(an_prod_tbl, br, cfg).select(*TEMPLATE_NEST, "Year", "Value")])
-    return conform(grouped_sum(both, TEMPLATE_NEST + ["Year"], ["Value"]))
+    return conform(grouped_sum(both, TEMPLATE_NEST + ["Year"], ["Value"], strict=cfg.strict))

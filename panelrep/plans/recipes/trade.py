@@ -47,7 +47,7 @@ def frtn(fertilizer: DataFrame, br: Bridges, cfg: ReportConfig) -> DataFrame:
 
 def watr(water: DataFrame, br: Bridges, cfg: ReportConfig) -> DataFrame:
     """Irrigation water by crop; an unmapped commodity stays as a null Item group."""
-    s = rollup(water, KEYS, ["value"], [by_item(br.item, "sector"), by_region(br)], cfg)
+    s = rollup(water, KEYS, ["value"], [by_item(br.item, "sector", cfg.unmapped_join), by_region(br)], cfg)
     return _densified(s, cfg.watr_items, cfg, [], "WATR", "km3")
 
 

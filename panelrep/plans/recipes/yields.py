@@ -44,7 +44,7 @@ def yexo(harvested: DataFrame, ag_yield: DataFrame, br: Bridges, cfg: ReportConf
     y = ag_yield.withColumn("value", convert_by_category("value", "sector", cfg.biomass_sector,
                                                          C.CONV_BIO_EJ_TO_MT, 1))
     y = y.select("Scenario", "region", "technology", "sector", "Year", F.col("value").alias("__yield"))
-    j = left_join_on(base, y, ["Scenario", "region", "technology"])
+    j = left_join_on(base, y, ["Scenario", "region", "technology"], how=cfg.weight_join)
     j = j.withColumn("prod", F.col("area") * F.col("__yield")).drop("__yield")
     s = rollup(j, KEYS, ["prod", "area"],
                [by_item(except_(br.item, cfg.yexo_exclude), "sector", "inner"), by_region(br)], cfg)
