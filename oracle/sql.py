@@ -603,6 +603,37 @@ BODIES: dict[str, str] = {
     "feed_alloc_c": template("(SELECT * FROM feed_alloc WHERE Variable = 'FNRM')", "FNRM", "1000 t"),
     "price_grid": template("ctax", "CTAX", "USD/tCO2e", "TOT"),
     "baseline_shift": template("yecc", "YECC", "%"),
+    "rollup_items_mapped": "SELECT 'GCAM' AS Model, Scenario, Region, Item, 'PROD' AS Variable, "
+                           "CAST(Year AS INTEGER) AS Year, '1000 t' AS Unit, CAST(Value AS DOUBLE) AS Value "
+                           "FROM an_sum WHERE Item IS NOT NULL",
+    "price_index_safe": template(f"""(SELECT Scenario, Region, Item, Year,
+        CAST(rev AS DOUBLE) / CAST(prd AS DOUBLE) * {d(1000.0)} * {d(3.228)} AS Value
+      FROM (SELECT r.scenario AS Scenario, g.report_region AS Region, m.Item, r.year AS Year,
+                   {strict('r.revenue')} AS rev, {strict('r.prod')} AS prd
+            FROM (SELECT b.scenario, b.region, b.sector, p.year, b.prod, b.prod * p.value AS revenue
+                  FROM xprp_base b JOIN ag_prices p
+                    ON b.scenario = p.scenario AND b.region = p.region AND b.sector = p.sector
+                  UNION ALL
+                  SELECT b.scenario, b.region, b.sector, p.year, b.prod, b.prod * p.value
+                  FROM xprp_an_base b JOIN an_prices p
+                    ON b.scenario = p.scenario AND b.region = p.region AND b.sector = p.sector) r
+            JOIN ib m ON r.sector = m.GCAM_commodity AND m.Item IN {lst(PRICE_ITEMS)}
+            LEFT JOIN rb g ON r.region = g.region
+            GROUP BY r.scenario, g.report_region, m.Item, r.year) s)""", "XPRP", "USD/t"),
+    "exog_yield_index_safe": template(f"""(SELECT Scenario, Region, Item, Year,
+        CAST(p AS DOUBLE) / CAST(a AS DOUBLE) * {d(10.0)} AS Value
+      FROM (SELECT r.scenario AS Scenario, g.report_region AS Region, m.Item, r.year AS Year,
+                   {strict('r.prod')} AS p, {strict('r.area')} AS a
+            FROM (SELECT b.scenario, b.region, y.sector, y.year, b.area, b.area * y.yv AS prod
+                  FROM (SELECT scenario, region, technology, value AS area FROM ha
+                        WHERE year = (SELECT min(year) FROM ha)) b
+                  JOIN (SELECT scenario, region, technology, sector, year,
+                               CASE WHEN sector = 'LARGE' THEN value * 57.1 ELSE value END AS yv
+                        FROM ag_yield) y
+                    ON b.scenario = y.scenario AND b.region = y.region AND b.technology = y.technology) r
+            JOIN ib m ON r.sector = m.GCAM_commodity AND m.Item <> 'NRG'
+            LEFT JOIN rb g ON r.region = g.region
+            GROUP BY r.scenario, g.report_region, m.Item, r.year) s)""", "YEXO", "t/ha"),
 }
 
 FINAL_PARTS = [

@@ -228,6 +228,26 @@ def exog_yield_index(spark, d):
     return yields.yexo(harvested, S.t("ag_yield"), S.br, S.cfg)
 
 
+def price_index_safe(spark, d):
+    """XPRP with the safe defaults: no null bridge keys, weights without a price dropped."""
+    S = stand_in(spark, d)
+    return prices.xprp(S.t("ag_prod"), S.t("an_prod"), S.t("ag_prices"), S.t("an_prices"), S.safe_br,
+                       S.cfg.with_(parity=False))
+
+
+def exog_yield_index_safe(spark, d):
+    """YEXO with the safe defaults: no null-key fan-out, areas without a yield dropped."""
+    S = stand_in(spark, d)
+    harvested = land.harvested_area_df(S.t("harvests"), land.land_df(S.t("land_cover")))
+    return yields.yexo(harvested, S.t("ag_yield"), S.safe_br, S.cfg.with_(parity=False))
+
+
+def rollup_items_mapped(spark, d):
+    """Animal production without the unmapped (null Item) group."""
+    S = stand_in(spark, d)
+    return conform(production.an_prod(S.t("an_prod"), S.br, S.cfg.with_(drop_unmapped=True)))
+
+
 def baseline_shift(spark, d):
     S = stand_in(spark, d)
     return yields.yecc(exog_yield_index(spark, d), S.br)
@@ -404,5 +424,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_alloc_c": feed_alloc_c,
     "price_grid": price_grid,
     "baseline_shift": baseline_shift,
+    "price_index_safe": price_index_safe,
+    "exog_yield_index_safe": exog_yield_index_safe,
+    "rollup_items_mapped": rollup_items_mapped,
     "final_template": final_template_q,
 }

@@ -291,6 +291,13 @@ class StandIn:
             self._bridges = bridges(self.spark, self.sf_dir, self.cfg)
         return self._bridges
 
+    @property
+    def safe_br(self) -> Bridges:
+        """Bridges for ``parity=False``: the item bridge without null spellings."""
+        b = self.br
+        return Bridges(region=b.region, item=item_bridge(self.spark, keep_null_keys=False), land=b.land,
+                       demand=b.demand, pairs=b.pairs, waste=b.waste)
+
     @property
     def panel(self) -> DataFrame:
         if self._panel is None:
