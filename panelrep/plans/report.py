@@ -70,7 +70,7 @@ def final_template(indicators: dict[str, DataFrame]) -> DataFrame:
     return union_all([indicators[k] for k in REPORTED if k in indicators])
 
 
-def write_report(indicators: dict[str, DataFrame], root: str, *, threads: int = 8,
+def write_report(indicators: dict[str, DataFrame], root: str, *, threads: int = 16,
                  codes=REPORTED) -> str:
     """Write each indicator to ``root/indicator=<code>/`` as its own job.
 

@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # reports run many small independent jobs side by side (one per indicator)
+    "spark.scheduler.mode": "FAIR",
     # Python call-site capture costs several JVM round trips per Column call;
     # plans of a full report are built from thousands of them.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
