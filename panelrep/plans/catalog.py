@@ -353,8 +353,7 @@ def feed_alloc_c(spark, d):
 
 def price_grid(spark, d):
     S = stand_in(spark, d)
-    popt = totals.popt(S.t("population"), S.br, S.cfg)
-    return prices.ctax(S.t("co2_prices"), prices.report_scenarios(popt), S.br, S.cfg)
+    return prices.ctax(S.t("co2_prices"), prices.report_scenarios(S.t("population")), S.br, S.cfg)
 
 
 def final_template_q(spark, d):

@@ -61,7 +61,7 @@ def build_indicators(p: Project, br: Bridges, cfg: ReportConfig, population: str
     out["FEED_ALLOC"] = feed.feed_alloc(t("feed"), t("ag_use"), br, cfg)
     co2 = t("co2_prices")
     if co2 is not None:
-        out["CTAX"] = prices.ctax(co2, prices.report_scenarios(out["POPT"]), br, cfg)
+        out["CTAX"] = prices.ctax(co2, prices.report_scenarios(t(population)), br, cfg)
     return out
 
 
