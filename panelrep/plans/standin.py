@@ -310,6 +310,7 @@ class StandIn:
         if self._project is None:
             root = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/panelrep-project-{uuid.uuid4().hex}"
             write_project(query_tables(self.spark, self.sf_dir, self.panel), root)
+            self.project_root = root
             self._project = Project.from_parquet(self.spark, root, PANEL_YEARS)
         return self._project
 
