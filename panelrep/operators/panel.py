@@ -213,27 +213,47 @@ def base_year_rows(df: DataFrame, year: str = "Year", *, override: Column | None
 # shares
 # ---------------------------------------------------------------------------
 def group_share(df: DataFrame, group: Sequence[str], value: str, out: str = "share", *,
-                salt: int = 16) -> DataFrame:
+                salt: int = 16, hot_rows: int = 1_000_000, max_hot: int = 1000) -> DataFrame:
     """``value / strict_sum(value) over group`` for every row.
 
     The group totals come from an aggregate (partial aggregation absorbs hot
-    groups); they are joined back on ``group`` (null-safe) plus a salt, so
-    that a group holding a large part of the rows is spread over ``salt``
-    tasks instead of one.  Division follows :func:`ieee_div` (0/0 = NaN).
+    groups) and are joined back on ``group`` (null-safe).  Groups holding more
+    than ``hot_rows`` rows are split: their rows get a deterministic salt in
+    ``[0, ceil(rows / hot_rows))`` (at most ``salt`` values) and their total
+    is repeated once per salt, so such a group is spread over several tasks
+    instead of one.  The hot groups are the ``max_hot`` largest ones above
+    the threshold -- a proven bound, so the list is broadcast; every other
+    group joins unsalted (still exact, only not split).  ``salt <= 1``
+    disables splitting and leaves skew to AQE.  Division follows
+    :func:`ieee_div` (0/0 = NaN).
     """
-    totals = df.groupBy(*group).agg(strict_sum(value).alias("__total"))
-    totals = totals.select(*[F.col(c).alias(f"__g_{c}") for c in group], "__total")
-    if salt > 1:
-        row_cols = [F.col(c) for c in df.columns]
-        left = df.withColumn("__salt", F.pmod(F.xxhash64(*row_cols), F.lit(salt)))
-        totals = totals.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<bigint>")))
-        cond = [left[c].eqNullSafe(totals[f"__g_{c}"]) for c in group] + [left["__salt"] == totals["__salt"]]
-        joined = left.join(totals, reduce(lambda a, b: a & b, cond), "inner").drop(left["__salt"]).drop(totals["__salt"])
-    else:
+    totals = df.groupBy(*group).agg(strict_sum(value).alias("__total"), F.count(F.lit(1)).alias("__n"))
+    totals = totals.select(*[F.col(c).alias(f"__g_{c}") for c in group], "__total", "__n")
+    gkeys = [f"__g_{c}" for c in group]
+    if salt <= 1:
         cond = [df[c].eqNullSafe(totals[f"__g_{c}"]) for c in group]
-        joined = df.join(totals, reduce(lambda a, b: a & b, cond), "inner")
+        joined = df.join(totals.drop("__n"), reduce(lambda a, b: a & b, cond), "inner")
+        return joined.withColumn(out, ieee_div(F.col(value), F.col("__total"))).drop("__total", *gkeys)
+
+    splits = F.least(F.lit(salt).cast("long"), F.ceil(F.col("__n") / F.lit(hot_rows)).cast("long"))
+    hot = (totals.filter(F.col("__n") > hot_rows).orderBy(F.col("__n").desc()).limit(max_hot)
+           .select(*[F.col(k).alias(f"__h{k}") for k in gkeys], splits.alias("__splits")))
+    hot = F.broadcast(hot)  # at most max_hot rows
+    hcond = lambda side, name: reduce(lambda a, b: a & b,
+                                      [side[name(c)].eqNullSafe(hot[f"__h__g_{c}"]) for c in group])
+    left = df.join(hot, hcond(df, lambda c: c), "left")
+    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
+    left = (left.withColumn("__salt", F.when(F.col("__splits").isNull(), F.lit(0).cast("long"))
+                            .otherwise(F.pmod(row_hash, F.col("__splits"))))
+            .drop("__splits", *[f"__h__g_{c}" for c in group]))
+    tot = totals.join(hot, hcond(totals, lambda c: f"__g_{c}"), "left")
+    n_salts = F.coalesce(F.col("__splits"), F.lit(1).cast("long"))
+    tot = (tot.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), n_salts - 1)))
+           .select(*gkeys, "__total", F.col("__salt").alias("__tsalt")))
+    cond = [left[c].eqNullSafe(tot[f"__g_{c}"]) for c in group] + [left["__salt"] == tot["__tsalt"]]
+    joined = left.join(tot, reduce(lambda a, b: a & b, cond), "inner")
     return (joined.withColumn(out, ieee_div(F.col(value), F.col("__total")))
-            .drop("__total", *[f"__g_{c}" for c in group]))
+            .drop("__total", "__salt", "__tsalt", *gkeys))
 
 
 # ---------------------------------------------------------------------------

@@ -330,7 +330,8 @@ def group_share_q(spark, d):
     p = S.panel.filter(F.col("qty") <= 12)
     g = (p.groupBy(F.col("scenario").alias("Scenario"), "technology", "disposition", F.col("yr").alias("Year"))
          .agg(F.sum("frac").alias("value")))
-    s = group_share(g, ["Scenario", "technology", "Year"], "value", salt=S.cfg.share_salt_buckets)
+    s = group_share(g, ["Scenario", "technology", "Year"], "value", salt=S.cfg.share_salt_buckets,
+                    hot_rows=S.cfg.share_hot_rows)
     return s.withColumn("value", F.col("value").cast("double"))
 
 

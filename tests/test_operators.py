@@ -76,12 +76,23 @@ def test_densify_with_observed_values(spark):
 def test_group_share_and_zero_group(spark):
     df = spark.createDataFrame([("g", "a", 1.0), ("g", "b", 3.0), ("z", "a", 0.0), ("z", "b", 0.0)],
                                "grp string, input string, value double")
-    for salt in (1, 4):
-        got = {(r.grp, r.input): r.share for r in group_share(df, ["grp"], "value", salt=salt).collect()}
+    for salt, hot in ((1, 10), (4, 10), (4, 1)):
+        got = {(r.grp, r.input): r.share for r in group_share(df, ["grp"], "value", salt=salt, hot_rows=hot).collect()}
         assert got[("g", "a")] == 0.25 and got[("g", "b")] == 0.75
         assert math.isnan(got[("z", "a")]) and math.isnan(got[("z", "b")])
 
 
+def test_group_share_splits_a_hot_group(spark):
+    # one group holds 3 of 4 thirds of the rows; a null group key is a group too
+    rows = [("hot", i, 1.0) for i in range(300)] + [("cold", i, 2.0) for i in range(50)] + [(None, 0, 5.0)]
+    df = spark.createDataFrame(rows, "grp string, i int, value double")
+    plain = {(r.grp, r.i): r.share for r in group_share(df, ["grp"], "value", salt=1).collect()}
+    split = group_share(df, ["grp"], "value", salt=8, hot_rows=40, max_hot=1)
+    got = {(r.grp, r.i): r.share for r in split.collect()}
+    assert got == plain and len(got) == 351
+    assert got[("hot", 0)] == 1 / 300 and got[(None, 0)] == 1.0
+
+
 def test_baseline_shift(spark):
     df = spark.createDataFrame([("CC", "r", 3.0), ("NoCC", "r", 2.0), ("CC", "q", 1.0)],
                                "Scenario string, Region string, Value double")
