@@ -37,9 +37,14 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     scratch = tempfile.mkdtemp(prefix="panelrep-bench-")
+    events = os.path.join(scratch, "events")
+    os.makedirs(events, exist_ok=True)
     spark = get_session(f"local[{cpus}]", int(cpus) * 2, **{
         "spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
         "spark.driver.memory": "16g",
+        "spark.eventLog.enabled": "true",
+        "spark.eventLog.dir": events,
+        "spark.eventLog.compress": "false",
     })
     spark.sparkContext.setLogLevel("ERROR")
     times: dict[str, float] = {}
@@ -51,9 +56,11 @@ def main() -> None:
     times["materialize_project"] = round(time.time() - t0, 3)
 
     # each query is built and run twice; the better (warm) time is reported
+    sc = spark.sparkContext
     for name in HEADLINE:
         best = None
-        for _ in range(RUNS):
+        for i in range(RUNS):
+            sc.setJobGroup(f"{name}#{i}", name)
             t = time.time()
             run(catalog.QUERIES[name](spark, sf_dir))
             e = time.time() - t
@@ -61,16 +68,56 @@ def main() -> None:
         times[name] = round(best, 3)
 
     # the same crop roll-up without pre-aggregation before the bridge fan-out
+    sc.setJobGroup("production_union_no_preagg#0", "no pre-aggregation")
     t = time.time()
     cfg = S.cfg.with_(pre_aggregate=False)
     run(production.prod(S.t("ag_prod"), S.t("an_prod"), S.br, cfg))
     times["production_union_no_preagg"] = round(time.time() - t, 3)
 
     total = round(sum(v for k, v in times.items() if k in HEADLINE), 3)
+    version = spark.version
+    spark.stop()  # flushes the event log
     print(json.dumps({"metric": "headline_queries_total", "value": total, "unit": "sec", "queries": times,
                       "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""), "cpus": int(cpus), "runs": RUNS,
-                      "spark": spark.version}))
-    spark.stop()
+                      "spark": version, "stages": stage_stats(events)}))
+
+
+def stage_stats(events_dir: str) -> dict:
+    """Per query (last run): jobs, stages, tasks and shuffle MB written, from the event log."""
+    job_group, stage_group, out = {}, {}, {}
+    files = [os.path.join(d, f) for d, _, fs in os.walk(events_dir) for f in sorted(fs)
+             if f.startswith("events_") or f.startswith("local-")]
+    for path in files:
+        with open(path) as f:
+            for line in f:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                    if group:
+                        job_group[ev["Job ID"]] = group
+                        for sid in ev.get("Stage IDs", []):
+                            stage_group[sid] = group
+                elif kind == "SparkListenerStageCompleted":
+                    info = ev["Stage Info"]
+                    group = stage_group.get(info["Stage ID"])
+                    if not group:
+                        continue
+                    acc = {a.get("Name"): a.get("Value") for a in info.get("Accumulables", [])}
+                    rec = out.setdefault(group, {"jobs": 0, "stages": 0, "tasks": 0, "shuffle_mb": 0.0})
+                    rec["stages"] += 1
+                    rec["tasks"] += info.get("Number of Tasks", 0)
+                    rec["shuffle_mb"] += float(acc.get("internal.metrics.shuffle.write.bytesWritten", 0) or 0) / 2**20
+    for group in job_group.values():
+        if group in out:
+            out[group]["jobs"] += 1
+    last = {}
+    for group, rec in out.items():
+        name, _, run_no = group.partition("#")
+        if name not in last or run_no > last[name][0]:
+            rec["shuffle_mb"] = round(rec["shuffle_mb"], 3)
+            last[name] = (run_no, rec)
+    return {k: v for k, (_, v) in sorted(last.items())}
 
 
 if __name__ == "__main__":

@@ -36,14 +36,26 @@ class Small:
         return Small(fn(self.df), self.max_rows)
 
 
-def prove_bound(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> Small:
+# Lookups up to this many rows are held as local relations once proven small:
+# they are read once, and broadcasting them needs no Spark job per use.
+LOCALIZE_ROW_LIMIT = 10_000
+
+
+def prove_bound(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT, localize: int = LOCALIZE_ROW_LIMIT) -> Small:
     """Count at most ``limit + 1`` rows; bounded when the count stays within ``limit``.
 
     The count reads a small lookup once (a cheap action); for a large input it
-    stops early through the limit and the result is marked unbounded.
+    stops early through the limit and the result is marked unbounded.  A
+    lookup of at most ``localize`` rows is then kept as a local relation (it
+    would pass through the driver anyway when broadcast).
     """
     n = df.limit(limit + 1).count()
-    return Small(df, n if n <= limit else None)
+    if n > limit:
+        return Small(df, None)
+    if n <= localize:
+        local = df.sparkSession.createDataFrame(df.limit(localize).collect(), df.schema)
+        return Small(local, n)
+    return Small(df, n)
 
 
 def one_row(df: DataFrame) -> Small:

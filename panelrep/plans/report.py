@@ -81,8 +81,13 @@ def write_report(indicators: dict[str, DataFrame], root: str, *, threads: int =
     """
     from concurrent.futures import ThreadPoolExecutor
 
+    from pyspark import inheritable_thread_target
+
     todo = [(k, indicators[k]) for k in codes if k in indicators]
+    if not todo:
+        return root
 
+    @inheritable_thread_target(todo[0][1].sparkSession)  # job group, pool, tags follow into the threads
     def write(item):
         code, df = item
         df.write.mode("overwrite").parquet(f"{root}/indicator={code}")

@@ -230,7 +230,7 @@ def item_bridge(spark: SparkSession, keep_null_keys: bool = True) -> Bridge:
     schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
     wide = spark.createDataFrame(ITEM_BRIDGE_WIDE, schema)
     long = alias_bridge(wide, cols[:3], cols[3:], keep_null_keys=keep_null_keys)
-    return Bridge(Small(long, len(ITEM_BRIDGE_WIDE) * 3 * 4), "GCAM_commodity", "Item")
+    return Bridge(prove_bound(long), "GCAM_commodity", "Item")
 
 
 def waste_surface(spark: SparkSession, sf_dir: str) -> Small:

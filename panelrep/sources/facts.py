@@ -128,6 +128,12 @@ def write_project(tables: Mapping[str, DataFrame], root: str, mode: str = "overw
     """
     from concurrent.futures import ThreadPoolExecutor
 
+    from pyspark import inheritable_thread_target
+
+    if not tables:
+        return
+
+    @inheritable_thread_target(next(iter(tables.values())).sparkSession)  # job group, pool, tags follow
     def write(item):
         name, df = item
         df.write.mode(mode).partitionBy("scenario").parquet(f"{root}/query={name}")
