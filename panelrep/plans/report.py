@@ -90,6 +90,7 @@ def write_report(indicators: dict[str, DataFrame], root: str, *, threads: int =
     @inheritable_thread_target(todo[0][1].sparkSession)  # job group, pool, tags follow into the threads
     def write(item):
         code, df = item
+        df.sparkSession.sparkContext.setJobDescription(f"indicator {code}")
         df.write.mode("overwrite").parquet(f"{root}/indicator={code}")
 
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:

@@ -109,3 +109,14 @@ def test_base_year_global_min_and_override(spark):
     assert sorted(r.value for r in over.collect()) == [1.0, 3.0]
     per = base_year_rows(df, per=["Scenario"])
     assert sorted(r.value for r in per.collect()) == [1.0, 2.0]
+
+
+def test_prove_bound_localizes_small_and_refuses_large(spark):
+    from panelrep.operators.bounded import prove_bound
+    small = prove_bound(spark.range(5).withColumn("k", F.col("id") * 2), limit=10, localize=8)
+    assert small.bounded and small.max_rows == 5
+    assert "LocalTableScan" in small.df._jdf.queryExecution().executedPlan().toString()
+    mid = prove_bound(spark.range(9), limit=10, localize=8)
+    assert mid.bounded and "LocalTableScan" not in mid.df._jdf.queryExecution().executedPlan().toString()
+    big = prove_bound(spark.range(11), limit=10)
+    assert not big.bounded and big.side() is big.df  # no broadcast hint without a proven bound
