@@ -36,8 +36,9 @@ class Small:
         return Small(fn(self.df), self.max_rows)
 
 
-# Lookups up to this many rows are held as local relations once proven small:
-# they are read once, and broadcasting them needs no Spark job per use.
+# Lookups up to this many rows are held as driver-side rows once proven small:
+# they are read and derived once (joins, unpivots, CSV parsing), instead of
+# being recomputed inside every indicator that broadcasts them.
 LOCALIZE_ROW_LIMIT = 10_000
 
 
@@ -46,8 +47,8 @@ def prove_bound(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT, localize: int =
 
     The count reads a small lookup once (a cheap action); for a large input it
     stops early through the limit and the result is marked unbounded.  A
-    lookup of at most ``localize`` rows is then kept as a local relation (it
-    would pass through the driver anyway when broadcast).
+    lookup of at most ``localize`` rows is then kept as driver-side rows (it
+    would pass through the driver anyway when broadcast), cutting its lineage.
     """
     n = df.limit(limit + 1).count()
     if n > limit:
