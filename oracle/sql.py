@@ -512,9 +512,17 @@ BODIES: dict[str, str] = {
     "panel_scan": "SELECT scenario AS Scenario, region, sector, technology, CAST(year AS INTEGER) AS Year, "
                   "CAST(value AS DOUBLE) AS value FROM ag_prod WHERE year IN " + YEARS,
     "bridge_region": "SELECT region, report_region FROM rb",
-    "bridge_item": "SELECT GCAM_commodity, Item FROM ib",
-    "bridge_land": "SELECT GCAM_LUT, Item FROM lb",
-    "bridge_disposition": "SELECT sector, Variable FROM db",
+    "bridge_item": """SELECT s.sector AS GCAM_commodity, ib.Item
+      FROM (SELECT DISTINCT CASE WHEN p_brand = 'Brand#25' THEN 'unlisted' ELSE p_type END AS sector FROM part) s
+      LEFT JOIN ib ON s.sector IS NOT DISTINCT FROM ib.GCAM_commodity""",
+    "bridge_land": """SELECT l.landleaf, l.GCAM_LUT, lb.Item
+      FROM (SELECT DISTINCT landleaf, regexp_split_to_array(landleaf, '[^[:alnum:]]+')[1] AS GCAM_LUT
+            FROM land_cover) l
+      LEFT JOIN lb ON l.GCAM_LUT = lb.GCAM_LUT""",
+    "bridge_disposition": """SELECT s.sector, db.Variable
+      FROM (SELECT DISTINCT CASE WHEN p_size <= 20 THEN 'food_use' WHEN p_size <= 35 THEN 'feed_use'
+                                 WHEN p_size <= 45 THEN 'other_use' ELSE 'outside' END AS sector FROM part) s
+      LEFT JOIN db ON s.sector = db.sector""",
     "attribute_surface": "SELECT region, GCAM_commodity, CAST(waste_frac AS DOUBLE) AS waste_frac FROM waste",
     "split_key": """SELECT k AS key,
         regexp_split_to_array(k, '[^[:alnum:]]+')[1] AS part1, regexp_split_to_array(k, '[^[:alnum:]]+')[2] AS part2,

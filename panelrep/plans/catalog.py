@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.nullmath import strict_sum
 from ..functions.text import split_key
-from ..operators.panel import Via, base_year_rows, expand_and_sum, finish_sum, group_share
+from ..operators.panel import Via, base_year_rows, expand, expand_and_sum, finish_sum, group_share
 from ..operators.template import conform, convert_by_category
 from ..session import ensure_checkpoint_dir
 from ..sources.facts import normalize, rows_to_append, stack_scenarios
@@ -49,16 +49,36 @@ def bridge_region(spark, d):
     return stand_in(spark, d).br.region.df
 
 
+def _part_keys(spark, d):
+    p = standin.read(spark, d, "part")
+    sector = F.when(F.col("p_brand") == "Brand#25", "unlisted").otherwise(F.col("p_type"))
+    disp = (F.when(F.col("p_size") <= 20, "food_use").when(F.col("p_size") <= 35, "feed_use")
+            .when(F.col("p_size") <= 45, "other_use").otherwise("outside"))
+    return p.select(sector.alias("sector"), disp.alias("disposition"))
+
+
 def bridge_item(spark, d):
-    return stand_in(spark, d).br.item.df
+    """Every commodity present in ``part`` with its reporting items (alias bridge, R2 + J2)."""
+    S = stand_in(spark, d)
+    keys = _part_keys(spark, d).select("sector").distinct()
+    out = expand(keys, Via(S.br.item, "sector", "left", "Item"), match_nulls=S.cfg.parity)
+    return out.select(F.col("sector").alias("GCAM_commodity"), "Item")
 
 
 def bridge_land(spark, d):
-    return stand_in(spark, d).br.land.df
+    """Every land leaf of the land cover, split to its land type and mapped (R4 + J4)."""
+    S = stand_in(spark, d)
+    leaves = S.t("land_cover").select("landleaf").distinct()
+    leaves = leaves.withColumn("GCAM_LUT", split_key("landleaf", 1)[0])
+    return expand(leaves, Via(S.br.land, "GCAM_LUT", "left", "Item")).select("landleaf", "GCAM_LUT", "Item")
 
 
 def bridge_disposition(spark, d):
-    return stand_in(spark, d).br.demand.df
+    """Every disposition present in ``part`` with its reporting variables (R1 + J5)."""
+    S = stand_in(spark, d)
+    keys = _part_keys(spark, d).select("disposition").distinct()
+    out = expand(keys, Via(S.br.demand, "disposition", "left", "Variable"))
+    return out.select(F.col("disposition").alias("sector"), "Variable")
 
 
 def attribute_surface(spark, d):
