@@ -146,10 +146,10 @@ ib_items AS (
   UNION ALL SELECT name, traded, regional, i3 FROM ib_wide WHERE i3 IS NOT NULL
   UNION ALL SELECT name, traded, regional, i4 FROM ib_wide WHERE i4 IS NOT NULL),
 ib AS (
-  SELECT name AS GCAM_commodity, Item FROM ib_items
+  SELECT name AS commodity_key, Item FROM ib_items
   UNION ALL SELECT traded, Item FROM ib_items
   UNION ALL SELECT regional, Item FROM ib_items),
-lb(GCAM_LUT, Item) AS (VALUES
+lb(land_type, Item) AS (VALUES
   ('ECONOMY', 'CER'), ('ECONOMY', 'CRP'), ('ECONOMY', 'ALL'),
   ('STANDARD', 'VEG'), ('STANDARD', 'VEG|LEAF'), ('STANDARD', 'CRP'), ('STANDARD', 'ALL'),
   ('PROMO', 'VEG'), ('PROMO', 'VEG|ROOT'), ('PROMO', 'CRP'), ('PROMO', 'ALL'),
@@ -175,10 +175,10 @@ wrc(r_name, food_waste_region) AS (VALUES
 wreg AS (
   SELECT n.n_name AS region, w.food_waste_region
   FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey JOIN wrc w ON r.r_name = w.r_name),
-wcom(GCAM_commodity, cls) AS (VALUES
+wcom(commodity_key, cls) AS (VALUES
   ('ECONOMY', 'cereals'), ('STANDARD', 'cereals'), ('PROMO', 'veg'), ('MEDIUM', 'meat'), ('SMALL', 'meat')),
 waste AS (
-  SELECT g.region, c.GCAM_commodity, l.waste_frac
+  SELECT g.region, c.commodity_key, l.waste_frac
   FROM wf_long l LEFT JOIN wreg g ON l.food_waste_region = g.food_waste_region
   LEFT JOIN wcom c ON l.cls = c.cls)
 """
@@ -194,7 +194,7 @@ popt AS (
   GROUP BY f.scenario, b.report_region, f.year),
 land_df AS (
   SELECT scenario, region, landleaf, year, value,
-         regexp_split_to_array(landleaf, '[^[:alnum:]]+')[1] AS GCAM_LUT,
+         regexp_split_to_array(landleaf, '[^[:alnum:]]+')[1] AS land_type,
          regexp_split_to_array(landleaf, '[^[:alnum:]]+')[2] AS basin,
          regexp_split_to_array(landleaf, '[^[:alnum:]]+')[3] AS IRR_RFD,
          regexp_split_to_array(landleaf, '[^[:alnum:]]+')[4] AS MGMT_level
@@ -202,18 +202,18 @@ land_df AS (
 land_ind AS (
   SELECT l.scenario AS Scenario, b.report_region AS Region, m.Item, l.year AS Year,
          CAST({strict('l.value')} AS DOUBLE) * {d(100.0)} AS Value
-  FROM land_df l JOIN lb m ON l.GCAM_LUT = m.GCAM_LUT AND m.Item IN {lst(LAND_ITEMS)}
+  FROM land_df l JOIN lb m ON l.land_type = m.land_type AND m.Item IN {lst(LAND_ITEMS)}
   LEFT JOIN rb b ON l.region = b.region
   GROUP BY l.scenario, b.report_region, m.Item, l.year),
 ha AS (
-  SELECT h.scenario, h.region, h.technology, h.year, l.GCAM_LUT, l.basin, l.IRR_RFD, l.MGMT_level,
+  SELECT h.scenario, h.region, h.technology, h.year, l.land_type, l.basin, l.IRR_RFD, l.MGMT_level,
          h.value * l.value AS value
   FROM harvests h LEFT JOIN land_df l
     ON h.scenario IS NOT DISTINCT FROM l.scenario AND h.region IS NOT DISTINCT FROM l.region
    AND h.technology IS NOT DISTINCT FROM l.landleaf AND h.year IS NOT DISTINCT FROM l.year),
 area_rows AS (
   SELECT a.scenario, b.report_region AS Region, m.Item, a.year, a.IRR_RFD, a.value
-  FROM ha a JOIN lb m ON a.GCAM_LUT = m.GCAM_LUT AND m.Item IN {lst(AREA_ITEMS)}
+  FROM ha a JOIN lb m ON a.land_type = m.land_type AND m.Item IN {lst(AREA_ITEMS)}
   LEFT JOIN rb b ON a.region = b.region),
 area AS (
   SELECT scenario AS Scenario, Region, Item, year AS Year, CAST({strict('value')} AS DOUBLE) * {d(100.0)} AS Value
@@ -231,7 +231,7 @@ ag_prod_df AS (
   FROM ag_prod),
 crop_rows AS (
   SELECT p.scenario, b.report_region AS Region, m.Item, p.year, p.IRR_RFD, p.value
-  FROM ag_prod_df p JOIN ib m ON p.sector IS NOT DISTINCT FROM m.GCAM_commodity AND m.Item IN {lst(PROD_ITEMS)}
+  FROM ag_prod_df p JOIN ib m ON p.sector IS NOT DISTINCT FROM m.commodity_key AND m.Item IN {lst(PROD_ITEMS)}
   LEFT JOIN rb b ON p.region = b.region),
 ag_sum AS (
   SELECT scenario AS Scenario, Region, Item, year AS Year, {strict('value')} AS Value
@@ -268,7 +268,7 @@ ag_full_rf AS (
                       AND s.Year = yy.Year))),
 an_sum AS (
   SELECT a.scenario AS Scenario, b.report_region AS Region, m.Item, a.year AS Year, {strict('a.value * 1000')} AS Value
-  FROM an_prod a LEFT JOIN ib m ON a.sector IS NOT DISTINCT FROM m.GCAM_commodity
+  FROM an_prod a LEFT JOIN ib m ON a.sector IS NOT DISTINCT FROM m.commodity_key
   LEFT JOIN rb b ON a.region = b.region
   GROUP BY a.scenario, b.report_region, m.Item, a.year),
 prod AS (
@@ -295,7 +295,7 @@ xprp AS (
          CAST(rev AS DOUBLE) / CAST(prd AS DOUBLE) * {d(1000.0)} * {d(3.228)} AS Value
   FROM (SELECT r.scenario AS Scenario, g.report_region AS Region, m.Item, r.year AS Year,
                {strict('r.revenue')} AS rev, {strict('r.prod')} AS prd
-        FROM xprp_rows r JOIN ib m ON r.sector IS NOT DISTINCT FROM m.GCAM_commodity AND m.Item IN {lst(PRICE_ITEMS)}
+        FROM xprp_rows r JOIN ib m ON r.sector IS NOT DISTINCT FROM m.commodity_key AND m.Item IN {lst(PRICE_ITEMS)}
         LEFT JOIN rb g ON r.region = g.region
         GROUP BY r.scenario, g.report_region, m.Item, r.year) s),
 yexo AS (
@@ -310,7 +310,7 @@ yexo AS (
                                      ELSE value END AS yv
                          FROM ag_yield) y
                 ON {nsafe('b', 'y', ['scenario', 'region', 'technology'])}) r
-        JOIN ib m ON r.sector IS NOT DISTINCT FROM m.GCAM_commodity AND m.Item <> 'NRG'
+        JOIN ib m ON r.sector IS NOT DISTINCT FROM m.commodity_key AND m.Item <> 'NRG'
         LEFT JOIN rb g ON r.region = g.region
         GROUP BY r.scenario, g.report_region, m.Item, r.year) s),
 demand AS (
@@ -319,13 +319,13 @@ demand AS (
   FROM (SELECT scenario, region, sector, input, year, value FROM ag_use
         UNION ALL SELECT scenario, region, sector, input, year, value FROM an_use) u
   JOIN db v ON u.sector = v.sector
-  LEFT JOIN ib m ON u.input IS NOT DISTINCT FROM m.GCAM_commodity
+  LEFT JOIN ib m ON u.input IS NOT DISTINCT FROM m.commodity_key
   LEFT JOIN rb g ON u.region = g.region
   GROUP BY u.scenario, g.report_region, v.Variable, m.Item, u.year),
 impo_sum AS (
   SELECT f.scenario AS Scenario, g.report_region AS Region, m.Item, f.year AS Year,
          CAST({strict('f.value')} AS DOUBLE) * {d(1000.0)} AS Value
-  FROM imports f JOIN ib m ON f.sector IS NOT DISTINCT FROM m.GCAM_commodity
+  FROM imports f JOIN ib m ON f.sector IS NOT DISTINCT FROM m.commodity_key
   LEFT JOIN rb g ON f.region = g.region
   GROUP BY f.scenario, g.report_region, m.Item, f.year),
 expo_fixed AS (
@@ -338,27 +338,27 @@ expo_fixed AS (
 expo_sum AS (
   SELECT f.scenario AS Scenario, g.report_region AS Region, m.Item, f.year AS Year,
          CAST({strict('f.value')} AS DOUBLE) * {d(1000.0)} AS Value
-  FROM expo_fixed f JOIN ib m ON f.sector IS NOT DISTINCT FROM m.GCAM_commodity
+  FROM expo_fixed f JOIN ib m ON f.sector IS NOT DISTINCT FROM m.commodity_key
   LEFT JOIN rb g ON f.region = g.region
   GROUP BY f.scenario, g.report_region, m.Item, f.year),
 frtn_sum AS (
   SELECT f.scenario AS Scenario, g.report_region AS Region, m.Item, f.year AS Year,
          CAST({strict('f.value')} AS DOUBLE) * {d(1000.0)} AS Value
-  FROM fertilizer f LEFT JOIN ib m ON f.sector IS NOT DISTINCT FROM m.GCAM_commodity
+  FROM fertilizer f LEFT JOIN ib m ON f.sector IS NOT DISTINCT FROM m.commodity_key
   LEFT JOIN rb g ON f.region = g.region
   WHERE m.Item IS NOT NULL
   GROUP BY f.scenario, g.report_region, m.Item, f.year),
 watr_sum AS (
   SELECT f.scenario AS Scenario, g.report_region AS Region, m.Item, f.year AS Year,
          CAST({strict('f.value')} AS DOUBLE) AS Value
-  FROM water f LEFT JOIN ib m ON f.sector IS NOT DISTINCT FROM m.GCAM_commodity
+  FROM water f LEFT JOIN ib m ON f.sector IS NOT DISTINCT FROM m.commodity_key
   LEFT JOIN rb g ON f.region = g.region
   GROUP BY f.scenario, g.report_region, m.Item, f.year),
 calo AS (
   SELECT c.Scenario, c.Region, c.Item, c.Year,
          CAST(c.v AS DOUBLE) * {d(1e6)} / p.Value / {d(365.25)} AS Value
   FROM (SELECT f.scenario AS Scenario, g.report_region AS Region, m.Item, f.year AS Year, {strict('f.value')} AS v
-        FROM food f LEFT JOIN ib m ON f.subsector IS NOT DISTINCT FROM m.GCAM_commodity
+        FROM food f LEFT JOIN ib m ON f.subsector IS NOT DISTINCT FROM m.commodity_key
         LEFT JOIN rb g ON f.region = g.region
         GROUP BY f.scenario, g.report_region, m.Item, f.year) c
   LEFT JOIN popt p ON {nsafe('c', 'p', ['Scenario', 'Region', 'Year'])}),
@@ -367,10 +367,10 @@ cali AS (
          CAST(c.v AS DOUBLE) * {d(1e6)} / p.Value / {d(365.25)} AS Value
   FROM (SELECT f.scenario AS Scenario, g.report_region AS Region, m.Item, f.year AS Year,
                {strict('f.value * (1 - w.waste_frac)')} AS v
-        FROM food f LEFT JOIN ib m ON f.subsector IS NOT DISTINCT FROM m.GCAM_commodity
+        FROM food f LEFT JOIN ib m ON f.subsector IS NOT DISTINCT FROM m.commodity_key
         LEFT JOIN rb g ON f.region = g.region
         LEFT JOIN waste w ON f.region IS NOT DISTINCT FROM w.region
-                         AND f.subsector IS NOT DISTINCT FROM w.GCAM_commodity
+                         AND f.subsector IS NOT DISTINCT FROM w.commodity_key
         GROUP BY f.scenario, g.report_region, m.Item, f.year) c
   LEFT JOIN popt p ON {nsafe('c', 'p', ['Scenario', 'Region', 'Year'])}),
 eco2 AS (
@@ -384,14 +384,14 @@ ech4_sum AS (
   SELECT f.scenario AS Scenario, g.report_region AS Region, m.Item, f.year AS Year,
          CAST({strict('f.value')} AS DOUBLE) * {d(28.0)} AS Value
   FROM emissions f LEFT JOIN rb g ON f.region = g.region
-  JOIN ib m ON f.sector IS NOT DISTINCT FROM m.GCAM_commodity
+  JOIN ib m ON f.sector IS NOT DISTINCT FROM m.commodity_key
   WHERE f.ghg IN ('CH4_AGR')
   GROUP BY f.scenario, g.report_region, m.Item, f.year),
 en2o_sum AS (
   SELECT f.scenario AS Scenario, g.report_region AS Region, m.Item, f.year AS Year,
          CAST({strict('f.value')} AS DOUBLE) * {d(298.0)} AS Value
   FROM emissions f LEFT JOIN rb g ON f.region = g.region
-  JOIN ib m ON f.sector IS NOT DISTINCT FROM m.GCAM_commodity
+  JOIN ib m ON f.sector IS NOT DISTINCT FROM m.commodity_key
   WHERE f.ghg IN ('N2O_AGR')
   GROUP BY f.scenario, g.report_region, m.Item, f.year),
 emis AS (
@@ -410,7 +410,7 @@ feed_in AS (
   SELECT f.scenario AS Scenario, g.report_region AS Region, m.Item, f.year AS Year,
          CAST({strict('f.value')} AS DOUBLE) * {d(1000.0)} AS Value
   FROM feed f LEFT JOIN rb g ON f.region = g.region
-  LEFT JOIN ib m ON f.sector IS NOT DISTINCT FROM m.GCAM_commodity
+  LEFT JOIN ib m ON f.sector IS NOT DISTINCT FROM m.commodity_key
   GROUP BY f.scenario, g.report_region, m.Item, f.year),
 feef AS (
   SELECT a.Scenario, a.Region, a.Item, a.Year, CAST(a.Value AS DOUBLE) / f.Value AS Value
@@ -435,10 +435,10 @@ feed_alloc AS (
   SELECT r.scenario AS Scenario, g.report_region AS Region, m2.Item, v.Variable, r.year AS Year,
          {strict('r.value')} AS Value
   FROM feed_by_crop r
-  JOIN (SELECT GCAM_commodity,
+  JOIN (SELECT commodity_key,
                CASE Item WHEN 'RUM' THEN 'FRUM' WHEN 'NRM' THEN 'FDRY' WHEN 'LSP' THEN 'FNRM' END AS Variable
-        FROM ib WHERE Item IN ('RUM', 'NRM', 'LSP')) v ON r.sector IS NOT DISTINCT FROM v.GCAM_commodity
-  LEFT JOIN ib m2 ON r.input IS NOT DISTINCT FROM m2.GCAM_commodity
+        FROM ib WHERE Item IN ('RUM', 'NRM', 'LSP')) v ON r.sector IS NOT DISTINCT FROM v.commodity_key
+  LEFT JOIN ib m2 ON r.input IS NOT DISTINCT FROM m2.commodity_key
   LEFT JOIN rb g ON r.region = g.region
   GROUP BY r.scenario, g.report_region, m2.Item, v.Variable, r.year),
 ctax AS (
@@ -465,7 +465,7 @@ yecc AS (
 def template(src: str, variable: str | None, unit: str, item: str | None = None) -> str:
     var = f"'{variable}'" if variable else "Variable"
     it = f"'{item}'" if item else "Item"
-    return (f"SELECT 'GCAM' AS Model, Scenario, Region, {it} AS Item, {var} AS Variable, "
+    return (f"SELECT 'PANEL' AS Model, Scenario, Region, {it} AS Item, {var} AS Variable, "
             f"CAST(Year AS INTEGER) AS Year, '{unit}' AS Unit, CAST(Value AS DOUBLE) AS Value FROM {src}")
 
 
@@ -512,18 +512,18 @@ BODIES: dict[str, str] = {
     "panel_scan": "SELECT scenario AS Scenario, region, sector, technology, CAST(year AS INTEGER) AS Year, "
                   "CAST(value AS DOUBLE) AS value FROM ag_prod WHERE year IN " + YEARS,
     "bridge_region": "SELECT region, report_region FROM rb",
-    "bridge_item": """SELECT s.sector AS GCAM_commodity, ib.Item
+    "bridge_item": """SELECT s.sector AS commodity_key, ib.Item
       FROM (SELECT DISTINCT CASE WHEN p_brand = 'Brand#25' THEN 'unlisted' ELSE p_type END AS sector FROM part) s
-      LEFT JOIN ib ON s.sector IS NOT DISTINCT FROM ib.GCAM_commodity""",
-    "bridge_land": """SELECT l.landleaf, l.GCAM_LUT, lb.Item
-      FROM (SELECT DISTINCT landleaf, regexp_split_to_array(landleaf, '[^[:alnum:]]+')[1] AS GCAM_LUT
+      LEFT JOIN ib ON s.sector IS NOT DISTINCT FROM ib.commodity_key""",
+    "bridge_land": """SELECT l.landleaf, l.land_type, lb.Item
+      FROM (SELECT DISTINCT landleaf, regexp_split_to_array(landleaf, '[^[:alnum:]]+')[1] AS land_type
             FROM land_cover) l
-      LEFT JOIN lb ON l.GCAM_LUT = lb.GCAM_LUT""",
+      LEFT JOIN lb ON l.land_type = lb.land_type""",
     "bridge_disposition": """SELECT s.sector, db.Variable
       FROM (SELECT DISTINCT CASE WHEN p_size <= 20 THEN 'food_use' WHEN p_size <= 35 THEN 'feed_use'
                                  WHEN p_size <= 45 THEN 'other_use' ELSE 'outside' END AS sector FROM part) s
       LEFT JOIN db ON s.sector = db.sector""",
-    "attribute_surface": "SELECT region, GCAM_commodity, CAST(waste_frac AS DOUBLE) AS waste_frac FROM waste",
+    "attribute_surface": "SELECT region, commodity_key, CAST(waste_frac AS DOUBLE) AS waste_frac FROM waste",
     "split_key": """SELECT k AS key,
         regexp_split_to_array(k, '[^[:alnum:]]+')[1] AS part1, regexp_split_to_array(k, '[^[:alnum:]]+')[2] AS part2,
         regexp_split_to_array(k, '[^[:alnum:]]+')[3] AS part3, regexp_split_to_array(k, '[^[:alnum:]]+')[4] AS part4
@@ -539,26 +539,26 @@ BODIES: dict[str, str] = {
     "strict_sum": f"""SELECT scenario AS Scenario, region, sector,
         CAST({strict("CASE WHEN sector = 'unlisted' THEN NULL ELSE frac END")} AS DOUBLE) AS value
       FROM panel GROUP BY scenario, region, sector""",
-    "rollup_total": f"""SELECT 'GCAM' AS Model, f.scenario AS Scenario, b.report_region AS Region, 'TOT' AS Item,
+    "rollup_total": f"""SELECT 'PANEL' AS Model, f.scenario AS Scenario, b.report_region AS Region, 'TOT' AS Item,
         'POPT' AS Variable, CAST(f.year AS INTEGER) AS Year, 'million' AS Unit,
         CAST({strict('f.value')} AS DOUBLE) * {d(0.001)} AS Value
       FROM pop_qty f LEFT JOIN rb b ON f.region = b.region
       GROUP BY f.scenario, b.report_region, f.year""",
-    "rollup_total_scaled": f"""SELECT 'GCAM' AS Model, f.scenario AS Scenario, b.report_region AS Region, 'TOT' AS Item,
+    "rollup_total_scaled": f"""SELECT 'PANEL' AS Model, f.scenario AS Scenario, b.report_region AS Region, 'TOT' AS Item,
         'GDPT' AS Variable, CAST(f.year AS INTEGER) AS Year, 'bn USD 2005 MER' AS Unit,
         CAST({strict('f.value')} AS DOUBLE) * {d(0.001)} * {d(1.377)} AS Value
       FROM pop_qty f LEFT JOIN rb b ON f.region = b.region
       GROUP BY f.scenario, b.report_region, f.year""",
     "rollup_population": template("popt", "POPT", "million", "TOT"),
-    "rollup_items": "SELECT 'GCAM' AS Model, Scenario, Region, Item, 'PROD' AS Variable, CAST(Year AS INTEGER) AS Year, "
+    "rollup_items": "SELECT 'PANEL' AS Model, Scenario, Region, Item, 'PROD' AS Variable, CAST(Year AS INTEGER) AS Year, "
                     "'1000 t' AS Unit, CAST(Value AS DOUBLE) AS Value FROM an_sum",
-    "rollup_items_listed": "SELECT 'GCAM' AS Model, Scenario, Region, Item, 'PROD' AS Variable, "
+    "rollup_items_listed": "SELECT 'PANEL' AS Model, Scenario, Region, Item, 'PROD' AS Variable, "
                            "CAST(Year AS INTEGER) AS Year, '1000 t' AS Unit, CAST(Value AS DOUBLE) AS Value FROM ag_sum",
     "convert_by_sector": """SELECT scenario AS Scenario, region, s AS sector, technology, CAST(year AS INTEGER) AS Year,
         CAST(CASE WHEN s IS NULL THEN NULL WHEN s = 'LARGE' THEN value * 57100 ELSE value * 1000 END AS DOUBLE) AS value
       FROM (SELECT *, CASE WHEN sector = 'unlisted' THEN NULL ELSE sector END AS s FROM ag_prod) a""",
     "null_key_fanout": f"""SELECT a.scenario AS Scenario, m.Item, CAST({strict('a.value')} AS DOUBLE) AS value
-      FROM ag_prod a JOIN ib m ON m.GCAM_commodity IS NULL
+      FROM ag_prod a JOIN ib m ON m.commodity_key IS NULL
       WHERE a.sector = 'unlisted'
       GROUP BY a.scenario, m.Item""",
     "convert_by_pattern": template("emis", "EMIS", "MtCO2e", "TOT"),
@@ -590,7 +590,7 @@ BODIES: dict[str, str] = {
           f.year AS Year, CAST({strict('f.value')} AS DOUBLE) * {d(1000.0)} AS Value
         FROM (SELECT scenario, region, sector, yr AS year, CAST(sum(qty) AS DECIMAL(18,2)) AS value
               FROM panel WHERE qty > 45 GROUP BY scenario, region, sector, yr) f
-        JOIN ib m ON f.sector IS NOT DISTINCT FROM m.GCAM_commodity
+        JOIN ib m ON f.sector IS NOT DISTINCT FROM m.commodity_key
         LEFT JOIN rb g ON f.region = g.region
         GROUP BY f.scenario, g.report_region, m.Item, f.year)""", TRADE), "IMPO", "1000 t"),
     "densify_observed": template(densified_observed("ech4_sum"), "ECH4", "MtCO2e"),
@@ -611,7 +611,7 @@ BODIES: dict[str, str] = {
     "feed_alloc_c": template("(SELECT * FROM feed_alloc WHERE Variable = 'FNRM')", "FNRM", "1000 t"),
     "price_grid": template("ctax", "CTAX", "USD/tCO2e", "TOT"),
     "baseline_shift": template("yecc", "YECC", "%"),
-    "rollup_items_mapped": "SELECT 'GCAM' AS Model, Scenario, Region, Item, 'PROD' AS Variable, "
+    "rollup_items_mapped": "SELECT 'PANEL' AS Model, Scenario, Region, Item, 'PROD' AS Variable, "
                            "CAST(Year AS INTEGER) AS Year, '1000 t' AS Unit, CAST(Value AS DOUBLE) AS Value "
                            "FROM an_sum WHERE Item IS NOT NULL",
     "price_index_safe": template(f"""(SELECT Scenario, Region, Item, Year,
@@ -625,7 +625,7 @@ BODIES: dict[str, str] = {
                   SELECT b.scenario, b.region, b.sector, p.year, b.prod, b.prod * p.value
                   FROM xprp_an_base b JOIN an_prices p
                     ON b.scenario = p.scenario AND b.region = p.region AND b.sector = p.sector) r
-            JOIN ib m ON r.sector = m.GCAM_commodity AND m.Item IN {lst(PRICE_ITEMS)}
+            JOIN ib m ON r.sector = m.commodity_key AND m.Item IN {lst(PRICE_ITEMS)}
             LEFT JOIN rb g ON r.region = g.region
             GROUP BY r.scenario, g.report_region, m.Item, r.year) s)""", "XPRP", "USD/t"),
     "exog_yield_index_safe": template(f"""(SELECT Scenario, Region, Item, Year,
@@ -639,7 +639,7 @@ BODIES: dict[str, str] = {
                                CASE WHEN sector = 'LARGE' THEN value * 57.1 ELSE value END AS yv
                         FROM ag_yield) y
                     ON b.scenario = y.scenario AND b.region = y.region AND b.technology = y.technology) r
-            JOIN ib m ON r.sector = m.GCAM_commodity AND m.Item <> 'NRG'
+            JOIN ib m ON r.sector = m.commodity_key AND m.Item <> 'NRG'
             LEFT JOIN rb g ON r.region = g.region
             GROUP BY r.scenario, g.report_region, m.Item, r.year) s)""", "YEXO", "t/ha"),
 }

@@ -15,6 +15,16 @@ from dataclasses import dataclass, field, replace
 # existing reporting workflow uses, otherwise the numbers do not line up.
 # --------------------------------------------------------------------------
 TEMPLATE_COLUMNS = ("Model", "Scenario", "Region", "Item", "Variable", "Year", "Unit", "Value")
+
+# lookup files of a maps folder and the header names used inside them (fixed values)
+MAP_FILES = {
+    "commodity": "commodity_map.csv", "demand": "demand_map.csv", "land": "land_map.csv",
+    "region": "region_map.csv", "pairs": "YECC_scenario_map.csv", "waste_regions": "food_waste_regions.csv",
+    "waste_commodities": "food_waste_commodities.csv", "waste_fractions": "food_waste_fractions.csv",
+}
+COMMODITY_MAP_NAME_COLUMNS = ("GCAM_commodity", "traded_commodity", "regional_commodity")
+LAND_MAP_KEY_COLUMN = "GCAM_LUT"
+WASTE_MAP_COMMODITY_COLUMN = "GCAM_commodity"
 MODEL_NAME = "GCAM"
 REPORT_YEARS = (2010, 2020, 2030, 2040, 2050)
 

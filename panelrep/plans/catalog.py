@@ -62,15 +62,15 @@ def bridge_item(spark, d):
     S = stand_in(spark, d)
     keys = _part_keys(spark, d).select("sector").distinct()
     out = expand(keys, Via(S.br.item, "sector", "left", "Item"), match_nulls=S.cfg.parity)
-    return out.select(F.col("sector").alias("GCAM_commodity"), "Item")
+    return out.select(F.col("sector").alias("commodity_key"), "Item")
 
 
 def bridge_land(spark, d):
     """Every land leaf of the land cover, split to its land type and mapped (R4 + J4)."""
     S = stand_in(spark, d)
     leaves = S.t("land_cover").select("landleaf").distinct()
-    leaves = leaves.withColumn("GCAM_LUT", split_key("landleaf", 1)[0])
-    return expand(leaves, Via(S.br.land, "GCAM_LUT", "left", "Item")).select("landleaf", "GCAM_LUT", "Item")
+    leaves = leaves.withColumn("land_type", split_key("landleaf", 1)[0])
+    return expand(leaves, Via(S.br.land, "land_type", "left", "Item")).select("landleaf", "land_type", "Item")
 
 
 def bridge_disposition(spark, d):

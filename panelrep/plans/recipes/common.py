@@ -21,11 +21,11 @@ class Bridges:
     """The user-supplied lookups a report needs."""
 
     region: Bridge          # region -> Region
-    item: Bridge            # GCAM_commodity -> Item (all spellings)
-    land: Bridge            # GCAM_LUT -> Item
+    item: Bridge            # commodity_key -> Item (all spellings)
+    land: Bridge            # land_type -> Item
     demand: Bridge          # sector -> Variable
     pairs: Small | None = None   # (CC_Scenario, NoCC_Scenario)
-    waste: Small | None = None   # (region, GCAM_commodity, waste_frac)
+    waste: Small | None = None   # (region, commodity_key, waste_frac)
 
 
 def only(bridge: Bridge, values) -> Bridge:

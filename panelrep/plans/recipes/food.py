@@ -39,7 +39,7 @@ def calo(food: DataFrame, popt: DataFrame, br: Bridges, cfg: ReportConfig) -> Da
 
 def cali(food: DataFrame, popt: DataFrame, br: Bridges, cfg: ReportConfig) -> DataFrame:
     """Calories net of the food-waste fraction of (native region, commodity)."""
-    w = br.waste.df.select(F.col("region").alias("__wr"), F.col("GCAM_commodity").alias("__wc"), "waste_frac")
+    w = br.waste.df.select(F.col("region").alias("__wr"), F.col("commodity_key").alias("__wc"), "waste_frac")
     if br.waste.bounded:
         w = F.broadcast(w)
     if cfg.parity:

@@ -12,7 +12,7 @@ from ...operators.panel import bridged_state, finish_sum
 from ...operators.template import conform, scaled
 from .common import KEYS, Bridges, by_item, by_region, only, rollup
 
-LEAF_PARTS = ["GCAM_LUT", "basin", "IRR_RFD", "MGMT_level"]
+LEAF_PARTS = ["land_type", "basin", "IRR_RFD", "MGMT_level"]
 
 
 def land_df(land_cover: DataFrame) -> DataFrame:
@@ -37,7 +37,7 @@ def harvested_area_df(harvests: DataFrame, land: DataFrame) -> DataFrame:
 
 def land(land_cover: DataFrame, br: Bridges, cfg: ReportConfig) -> DataFrame:
     s = rollup(land_df(land_cover), KEYS, ["value"],
-               [by_item(only(br.land, cfg.land_items), "GCAM_LUT", "inner"), by_region(br)], cfg)
+               [by_item(only(br.land, cfg.land_items), "land_type", "inner"), by_region(br)], cfg)
     return conform(s.withColumn("Value", scaled("value", C.CONV_THOUSKM2_KHA)),
                    Model=cfg.model, Variable="LAND", Unit="1000 ha")
 
@@ -45,7 +45,7 @@ def land(land_cover: DataFrame, br: Bridges, cfg: ReportConfig) -> DataFrame:
 def area_state(harvested: DataFrame, br: Bridges, cfg: ReportConfig) -> DataFrame:
     """One aggregation keyed additionally by IRR_RFD; AREA, ARRF, ARIR re-merge it."""
     return bridged_state(harvested, KEYS + ["IRR_RFD"], ["value"],
-                         [by_item(only(br.land, cfg.area_items), "GCAM_LUT", "inner"), by_region(br)],
+                         [by_item(only(br.land, cfg.area_items), "land_type", "inner"), by_region(br)],
                          pre_aggregate=cfg.pre_aggregate, match_nulls=cfg.parity)
 
 

@@ -4,10 +4,8 @@
         [--studies mitigdecomp,main,diet] [--run-date 2020-01-02] [--safe]
 
 The maps folder holds the wide lookup CSVs under their usual names
-(``commodity_map.csv``, ``demand_map.csv``, ``land_map.csv``,
-``region_map.csv``, ``YECC_scenario_map.csv``, ``food_waste_regions.csv``,
-``food_waste_commodities.csv``, ``food_waste_fractions.csv``); the project is
-the ``query=<name>/scenario=<s>/`` Parquet layout.  Every indicator is
+(:data:`panelrep.config.MAP_FILES`); the project is the
+``query=<name>/scenario=<s>/`` Parquet layout.  Every indicator is
 written as its own job to ``<out>/report/indicator=<code>/``; the study
 subsets are written in one pass to ``<out>/studies/run_date=<ddMonYYYY>/``.
 """
@@ -20,7 +18,7 @@ import os
 
 from pyspark.sql import SparkSession
 
-from ..config import STUDY_FILE_PREFIX, ReportConfig
+from ..config import MAP_FILES, STUDY_FILE_PREFIX, ReportConfig
 from ..session import get_session
 from ..sources import bridges as B
 from ..sources.facts import Project
@@ -28,12 +26,6 @@ from ..sources.sinks import study_table, write_studies
 from .recipes.common import Bridges
 from .report import build_indicators, read_report, write_report
 
-MAP_FILES = {
-    "commodity": "commodity_map.csv", "demand": "demand_map.csv", "land": "land_map.csv",
-    "region": "region_map.csv", "pairs": "YECC_scenario_map.csv", "waste_regions": "food_waste_regions.csv",
-    "waste_commodities": "food_waste_commodities.csv", "waste_fractions": "food_waste_fractions.csv",
-}
-
 
 def _exists(spark: SparkSession, path: str) -> bool:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001

@@ -81,7 +81,7 @@ def standin_config() -> ReportConfig:
         feed_classes=("food_use", "feed_use", "outside"), passthrough_feed_class="other_use",
         passthrough_feed_input="PROMO", feed_alloc_items=(("FRUM", "RUM"), ("FDRY", "NRM"), ("FNRM", "LSP")),
         ech4_ghgs=("CH4_AGR",), en2o_ghgs=("N2O_AGR",), emis_ghgs=("CO2", "CH4_AGR", "N2O_AGR"),
-        studies={"main": ("A", "N", "R"), "alt": ("N",)}, parity=True)
+        studies={"main": ("A", "N", "R"), "alt": ("N",)}, parity=True, model="PANEL")
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -226,11 +226,11 @@ def region_bridge(spark: SparkSession, sf_dir: str) -> Bridge:
 
 
 def item_bridge(spark: SparkSession, keep_null_keys: bool = True) -> Bridge:
-    cols = ["GCAM_commodity", "traded_commodity", "regional_commodity", "Item1", "Item2", "Item3", "Item4"]
+    cols = ["commodity_key", "traded_commodity", "regional_commodity", "Item1", "Item2", "Item3", "Item4"]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
     wide = spark.createDataFrame(ITEM_BRIDGE_WIDE, schema)
     long = alias_bridge(wide, cols[:3], cols[3:], keep_null_keys=keep_null_keys)
-    return Bridge(prove_bound(long), "GCAM_commodity", "Item")
+    return Bridge(prove_bound(long), "commodity_key", "Item")
 
 
 def waste_surface(spark: SparkSession, sf_dir: str) -> Small:
@@ -244,7 +244,7 @@ def waste_surface(spark: SparkSession, sf_dir: str) -> Small:
     r = read(spark, sf_dir, "region")
     regions = (n.join(r, n.n_regionkey == r.r_regionkey).join(rc, "r_name")
                .select(F.col("n_name").alias("region"), "food_waste_region"))
-    commodities = spark.createDataFrame(WASTE_COMMODITY_CLASS, "GCAM_commodity string, commodity string")
+    commodities = spark.createDataFrame(WASTE_COMMODITY_CLASS, "commodity_key string, commodity string")
     return prove_bound(attribute_surface(fr, "commodity", regions, commodities))
 
 
@@ -258,7 +258,7 @@ def bridges(spark: SparkSession, sf_dir: str, cfg: ReportConfig | None = None, *
     return Bridges(
         region=region_bridge(spark, sf_dir),
         item=item_bridge(spark, keep_null_keys=cfg.parity),
-        land=bridge_from_rows(spark, LAND_BRIDGE, "GCAM_LUT", "Item"),
+        land=bridge_from_rows(spark, LAND_BRIDGE, "land_type", "Item"),
         demand=bridge_from_rows(spark, DEMAND_BRIDGE, "sector", "Variable"),
         pairs=pairs(spark),
         waste=waste_surface(spark, sf_dir) if waste else None,

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..config import COMMODITY_MAP_NAME_COLUMNS, LAND_MAP_KEY_COLUMN, WASTE_MAP_COMMODITY_COLUMN
 from ..operators.bounded import Small, prove_bound
 
 
@@ -68,7 +69,7 @@ def long_bridge(wide: DataFrame, key: str, value: str, value_cols: list[str] | N
 
 
 def alias_bridge(wide: DataFrame, name_cols: list[str], item_cols: list[str], *,
-                 key: str = "GCAM_commodity", value: str = "Item", keep_null_keys: bool = True) -> DataFrame:
+                 key: str = "commodity_key", value: str = "Item", keep_null_keys: bool = True) -> DataFrame:
     """Items x spellings: every spelling of a commodity maps to all its items.
 
     First the item columns become one column (null items dropped), then the
@@ -87,7 +88,7 @@ def alias_bridge(wide: DataFrame, name_cols: list[str], item_cols: list[str], *,
 
 def attribute_surface(fractions_wide: DataFrame, class_col: str, region_classes: DataFrame,
                       commodity_classes: DataFrame, *, region_col: str = "region",
-                      region_class_col: str = "food_waste_region", commodity_col: str = "GCAM_commodity",
+                      region_class_col: str = "food_waste_region", commodity_col: str = "commodity_key",
                       out_col: str = "waste_frac") -> DataFrame:
     """Two-way table (commodity class x region class -> value) -> (region, commodity, value).
 
@@ -122,8 +123,8 @@ def region_bridge_csv(spark: SparkSession, path: str) -> Bridge:
 
 
 def land_bridge_csv(spark: SparkSession, path: str) -> Bridge:
-    wide = read_map_csv(spark, path)
-    return bridge_from_long(long_bridge(wide, "GCAM_LUT", "Item"), "GCAM_LUT", "Item")
+    wide = read_map_csv(spark, path).withColumnRenamed(LAND_MAP_KEY_COLUMN, "land_type")
+    return bridge_from_long(long_bridge(wide, "land_type", "Item"), "land_type", "Item")
 
 
 def demand_bridge_csv(spark: SparkSession, path: str) -> Bridge:
@@ -132,11 +133,12 @@ def demand_bridge_csv(spark: SparkSession, path: str) -> Bridge:
 
 
 def commodity_bridge_csv(spark: SparkSession, path: str, *, keep_null_keys: bool = True) -> Bridge:
+    """Commodity bridge: every spelling (plain, traded, regional) -> all items."""
     wide = read_map_csv(spark, path)
-    name_cols = ["GCAM_commodity", "traded_commodity", "regional_commodity"]
+    name_cols = list(COMMODITY_MAP_NAME_COLUMNS)
     item_cols = [c for c in wide.columns if c not in name_cols]
-    return bridge_from_long(alias_bridge(wide, name_cols, item_cols, keep_null_keys=keep_null_keys),
-                            "GCAM_commodity", "Item")
+    long = alias_bridge(wide, name_cols, item_cols, key="commodity_key", keep_null_keys=keep_null_keys)
+    return bridge_from_long(long, "commodity_key", "Item")
 
 
 def scenario_pairs_csv(spark: SparkSession, path: str) -> Small:
@@ -145,7 +147,8 @@ def scenario_pairs_csv(spark: SparkSession, path: str) -> Small:
 
 def waste_surface_csv(spark: SparkSession, regions_path: str, commodities_path: str, fractions_path: str) -> Small:
     regions = read_map_csv(spark, regions_path, na_text=True)
-    commodities = read_map_csv(spark, commodities_path, na_text=True)
+    commodities = read_map_csv(spark, commodities_path, na_text=True).withColumnRenamed(
+        WASTE_MAP_COMMODITY_COLUMN, "commodity_key")
     fr = read_map_csv(spark, fractions_path, na_text=True)
     fr = fr.select("commodity", *[F.col(c).cast("double").alias(c) for c in fr.columns if c != "commodity"])
     return prove_bound(attribute_surface(fr, "commodity", regions, commodities))

@@ -39,7 +39,7 @@ def test_safe_mode_drops_null_keys_and_unmatched_weights(spark, sf_small):
     saf = yields.yexo(harvested, S.t("ag_yield"), br, safe)
     assert par.filter(F.col("Year").isNull()).count() > 0
     assert saf.filter(F.col("Year").isNull()).count() == 0
-    assert br.item.df.filter(F.col("GCAM_commodity").isNull()).count() == 0
+    assert br.item.df.filter(F.col("commodity_key").isNull()).count() == 0
 
 
 def test_per_scenario_base_equals_global_when_all_share_first_year(spark, sf_small):

@@ -17,8 +17,8 @@ CFG = ReportConfig()
 def _bridges(spark):
     return Bridges(
         region=bridge_from_rows(spark, [("r1", "R1"), ("r1", "WLD"), ("r2", "WLD")], "region", "report_region"),
-        item=bridge_from_rows(spark, [("Corn", "CGR"), ("Corn", "AGR"), ("biomass", "ECP")], "GCAM_commodity", "Item"),
-        land=bridge_from_rows(spark, [("Corn", "CGR")], "GCAM_LUT", "Item"),
+        item=bridge_from_rows(spark, [("Corn", "CGR"), ("Corn", "AGR"), ("biomass", "ECP")], "commodity_key", "Item"),
+        land=bridge_from_rows(spark, [("Corn", "CGR")], "land_type", "Item"),
         demand=bridge_from_rows(spark, [("Food", "FOOD")], "sector", "Variable"),
     )
 
@@ -49,12 +49,12 @@ def test_producer_price_uses_base_year_weights_and_biomass_2020(spark):
 
 def test_yield_keeps_inf_and_zeroes_nan_and_missing(spark):
     keys = "Model string, Scenario string, Region string, Item string, Variable string, Year int, Unit string"
-    area = spark.createDataFrame([("GCAM", "S", "R", "A", "AREA", 2010, "1000 ha", 0.0),
-                                  ("GCAM", "S", "R", "B", "AREA", 2010, "1000 ha", 0.0),
-                                  ("GCAM", "S", "R", "C", "AREA", 2010, "1000 ha", 4.0),
-                                  ("GCAM", "S", "R", "D", "AREA", 2010, "1000 ha", 2.0)], keys + ", Value double")
-    prod = spark.createDataFrame([("GCAM", "S", "R", "A", 2010, 5.0), ("GCAM", "S", "R", "B", 2010, 0.0),
-                                  ("GCAM", "S", "R", "C", 2010, 2.0)],
+    area = spark.createDataFrame([("M", "S", "R", "A", "AREA", 2010, "1000 ha", 0.0),
+                                  ("M", "S", "R", "B", "AREA", 2010, "1000 ha", 0.0),
+                                  ("M", "S", "R", "C", "AREA", 2010, "1000 ha", 4.0),
+                                  ("M", "S", "R", "D", "AREA", 2010, "1000 ha", 2.0)], keys + ", Value double")
+    prod = spark.createDataFrame([("M", "S", "R", "A", 2010, 5.0), ("M", "S", "R", "B", 2010, 0.0),
+                                  ("M", "S", "R", "C", 2010, 2.0)],
                                  "Model string, Scenario string, Region string, Item string, Year int, Value double")
     got = {r.Item: r.Value for r in yields.yild(area, prod).collect()}
     assert got == {"A": math.inf, "B": 0.0, "C": 0.5, "D": 0.0}

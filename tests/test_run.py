@@ -6,6 +6,7 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
+from panelrep.config import COMMODITY_MAP_NAME_COLUMNS, LAND_MAP_KEY_COLUMN, MAP_FILES, STUDY_FILE_PREFIX
 from panelrep.plans import catalog, standin
 from panelrep.plans.run import run_report
 
@@ -16,23 +17,23 @@ def _write(path, rows):
 
 
 def _maps(spark, sf_dir, d):
-    _write(d / "commodity_map.csv", [["GCAM_commodity", "traded_commodity", "regional_commodity",
-                                      "Item1", "Item2", "Item3", "Item4"]] + list(standin.ITEM_BRIDGE_WIDE))
+    _write(d / MAP_FILES["commodity"], [list(COMMODITY_MAP_NAME_COLUMNS) + ["Item1", "Item2", "Item3", "Item4"]]
+           + list(standin.ITEM_BRIDGE_WIDE))
     land = defaultdict(list)
     for k, v in standin.LAND_BRIDGE:
         land[k].append(v)
-    _write(d / "land_map.csv", [["GCAM_LUT", "Item1", "Item2", "Item3", "Item4"]]
+    _write(d / MAP_FILES["land"], [[LAND_MAP_KEY_COLUMN, "Item1", "Item2", "Item3", "Item4"]]
            + [[k] + v + [None] * (4 - len(v)) for k, v in land.items()])
     dem = defaultdict(list)
     for k, v in standin.DEMAND_BRIDGE:
         dem[k].append(v)
-    _write(d / "demand_map.csv", [["sector", "Var1", "Var2"]] + [[k] + v + [None] * (2 - len(v)) for k, v in dem.items()])
+    _write(d / MAP_FILES["demand"], [["sector", "Var1", "Var2"]] + [[k] + v + [None] * (2 - len(v)) for k, v in dem.items()])
     reg = defaultdict(list)
     for r in standin.region_bridge(spark, sf_dir).df.collect():
         reg[r.region].append(r.report_region)
-    _write(d / "region_map.csv", [["region", "Region1", "Region2", "Region3"]]
+    _write(d / MAP_FILES["region"], [["region", "Region1", "Region2", "Region3"]]
            + [[k] + v + [None] * (3 - len(v)) for k, v in reg.items()])
-    _write(d / "YECC_scenario_map.csv", [["CC_Scenario", "NoCC_Scenario"]] + list(standin.BASELINE_PAIRS))
+    _write(d / MAP_FILES["pairs"], [["CC_Scenario", "NoCC_Scenario"]] + list(standin.BASELINE_PAIRS))
 
 
 def test_run_report_end_to_end(spark, sf_small, tmp_path):
@@ -46,7 +47,8 @@ def test_run_report_end_to_end(spark, sf_small, tmp_path):
     assert paths["studies"].endswith("run_date=04Mar2021")
     out = spark.read.option("header", True).option("nullValue", "NA").csv(paths["studies"])
     studies = {r.study: r.n for r in out.groupBy("study").agg(F.countDistinct("Scenario").alias("n")).collect()}
-    assert studies == {"GCAM_CORE_ALL": 3, "alt": 1}  # the main study is named by its file prefix
+    main = STUDY_FILE_PREFIX["main"]  # the main study is named by its file prefix
+    assert studies == {main: 3, "alt": 1}
     variables = {r.Variable for r in out.select("Variable").distinct().collect()}
     assert {"POPT", "GDPT", "LAND", "AREA", "PROD", "XPRP", "YILD", "YEXO", "FOOD", "IMPO", "EXPO", "NETT",
             "FRTN", "WATR", "CALO", "EMIS", "ECO2", "ECH4", "EN2O", "FEEF", "FRUM", "FDRY", "FNRM",
@@ -54,4 +56,4 @@ def test_run_report_end_to_end(spark, sf_small, tmp_path):
     assert "CALI" not in variables  # no food-waste maps given
     assert "YECC" not in variables  # computed, not reported
     popt = catalog.rollup_population(spark, sf_small).count()
-    assert out.filter((F.col("study") == "GCAM_CORE_ALL") & (F.col("Variable") == "POPT")).count() == popt
+    assert out.filter((F.col("study") == main) & (F.col("Variable") == "POPT")).count() == popt

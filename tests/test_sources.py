@@ -6,6 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from panelrep.config import COMMODITY_MAP_NAME_COLUMNS, WASTE_MAP_COMMODITY_COLUMN
 from panelrep.sources.bridges import (commodity_bridge_csv, demand_bridge_csv, read_map_csv, region_bridge_csv,
                                       waste_surface_csv)
 from panelrep.sources.facts import Project, ingest_no_clobber, rows_to_append, stack_scenarios
@@ -37,23 +38,23 @@ def test_region_and_commodity_bridges_from_csv(spark, tmp_path):
                                    ["south", "S", "LOW", "ALL"]])
     rb = region_bridge_csv(spark, rp)
     assert rb.df.count() == 5
-    cp = _csv(tmp_path / "c.csv", [["GCAM_commodity", "traded_commodity", "regional_commodity", "Item1", "Item2"],
+    cp = _csv(tmp_path / "c.csv", [list(COMMODITY_MAP_NAME_COLUMNS) + ["Item1", "Item2"],
                                    ["Corn", "traded corn", "", "CGR", "CRP"], ["Root", "", "", "OCR", ""]])
     ib = commodity_bridge_csv(spark, cp)
     rows = ib.df.collect()
     assert len(rows) == 3 * 2 + 3 * 1
-    assert sum(1 for r in rows if r.GCAM_commodity is None) == 1 * 2 + 2 * 1
+    assert sum(1 for r in rows if r.commodity_key is None) == 1 * 2 + 2 * 1
     safe = commodity_bridge_csv(spark, cp, keep_null_keys=False)
-    assert safe.df.filter(F.col("GCAM_commodity").isNull()).count() == 0
+    assert safe.df.filter(F.col("commodity_key").isNull()).count() == 0
 
 
 def test_waste_surface_with_class_without_member(spark, tmp_path):
     regions = _csv(tmp_path / "wr.csv", [["region", "food_waste_region"], ["north", "EUR_w"], ["south", "AFR_w"]])
-    comms = _csv(tmp_path / "wc.csv", [["GCAM_commodity", "commodity"], ["Corn", "cereals"]])
+    comms = _csv(tmp_path / "wc.csv", [[WASTE_MAP_COMMODITY_COLUMN, "commodity"], ["Corn", "cereals"]])
     fracs = _csv(tmp_path / "wf.csv", [["commodity", "EUR_w", "AFR_w"], ["cereals", "0.1", "0.2"],
                                        ["eggs", "0.05", "0.07"]])
     s = waste_surface_csv(spark, regions, comms, fracs)
-    rows = sorted((r.region, r.GCAM_commodity or "", r.waste_frac) for r in s.df.collect())
+    rows = sorted((r.region, r.commodity_key or "", r.waste_frac) for r in s.df.collect())
     assert rows == [("north", "", 0.05), ("north", "Corn", 0.1), ("south", "", 0.07), ("south", "Corn", 0.2)]
 
 
@@ -92,13 +93,13 @@ def test_partition_pruning_on_scenario(spark, tmp_path):
 
 
 def test_template_csv_writes_na_for_null(spark, tmp_path):
-    df = spark.createDataFrame([("GCAM", "A", None, "TOT", "POPT", 2010, "million", None)],
+    df = spark.createDataFrame([("M", "A", None, "TOT", "POPT", 2010, "million", None)],
                                "Model string, Scenario string, Region string, Item string, Variable string, "
                                "Year int, Unit string, Value double")
     out = str(tmp_path / "csv")
     write_template_csv(df.coalesce(1), out)
     text = "".join(open(os.path.join(out, f)).read() for f in os.listdir(out) if f.endswith(".csv"))
-    assert "GCAM,A,NA,TOT,POPT,2010,million,NA" in text
+    assert "M,A,NA,TOT,POPT,2010,million,NA" in text
 
 
 def test_studies_in_one_pass(spark, tmp_path):
