@@ -539,6 +539,10 @@ BODIES: dict[str, str] = {
     "strict_sum": f"""SELECT scenario AS Scenario, region, sector,
         CAST({strict("CASE WHEN sector = 'unlisted' THEN NULL ELSE frac END")} AS DOUBLE) AS value
       FROM panel GROUP BY scenario, region, sector""",
+    "skip_sum": f"""SELECT scenario AS Scenario, region,
+        CAST({strict("CASE WHEN sector = 'unlisted' THEN NULL ELSE frac END")} AS DOUBLE) AS strict_value,
+        CAST(sum(CASE WHEN sector = 'unlisted' THEN NULL ELSE frac END) AS DOUBLE) AS skip_value
+      FROM panel GROUP BY scenario, region""",
     "rollup_total": f"""SELECT 'PANEL' AS Model, f.scenario AS Scenario, b.report_region AS Region, 'TOT' AS Item,
         'POPT' AS Variable, CAST(f.year AS INTEGER) AS Year, 'million' AS Unit,
         CAST({strict('f.value')} AS DOUBLE) * {d(0.001)} AS Value
@@ -611,6 +615,20 @@ BODIES: dict[str, str] = {
     "feed_alloc_c": template("(SELECT * FROM feed_alloc WHERE Variable = 'FNRM')", "FNRM", "1000 t"),
     "price_grid": template("ctax", "CTAX", "USD/tCO2e", "TOT"),
     "baseline_shift": template("yecc", "YECC", "%"),
+    "per_capita_net_waste_skip": template(f"""(SELECT c.Scenario, c.Region, c.Item, c.Year,
+        CAST(c.v AS DOUBLE) * {d(1e6)} / p.Value / {d(365.25)} AS Value
+      FROM (SELECT f.scenario AS Scenario, g.report_region AS Region, m.Item, f.year AS Year,
+                   sum(f.value * (1 - w.waste_frac)) AS v
+            FROM food f LEFT JOIN ib m ON f.subsector IS NOT DISTINCT FROM m.commodity_key
+            LEFT JOIN rb g ON f.region = g.region
+            LEFT JOIN waste w ON f.region IS NOT DISTINCT FROM w.region
+                             AND f.subsector IS NOT DISTINCT FROM w.commodity_key
+            GROUP BY f.scenario, g.report_region, m.Item, f.year) c
+      LEFT JOIN (SELECT f.scenario AS Scenario, b.report_region AS Region, f.year AS Year,
+                        CAST(sum(f.value) AS DOUBLE) * {d(0.001)} AS Value
+                 FROM population f LEFT JOIN rb b ON f.region = b.region
+                 GROUP BY f.scenario, b.report_region, f.year) p
+        ON {nsafe('c', 'p', ['Scenario', 'Region', 'Year'])})""", "CALI", "kcal/cap/d"),
     "rollup_items_mapped": "SELECT 'PANEL' AS Model, Scenario, Region, Item, 'PROD' AS Variable, "
                            "CAST(Year AS INTEGER) AS Year, '1000 t' AS Unit, CAST(Value AS DOUBLE) AS Value "
                            "FROM an_sum WHERE Item IS NOT NULL",

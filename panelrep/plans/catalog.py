@@ -125,6 +125,14 @@ def strict_sum_q(spark, d):
             .agg(strict_sum(v).cast("double").alias("value")))
 
 
+def skip_sum(spark, d):
+    """Strict and null-skipping sums side by side over groups that mix nulls and values."""
+    p = stand_in(spark, d).panel
+    v = F.when(F.col("sector") == "unlisted", F.lit(None)).otherwise(F.col("frac"))
+    g = p.withColumn("v", v).groupBy(F.col("scenario").alias("Scenario"), "region")
+    return g.agg(strict_sum("v").cast("double").alias("strict_value"), F.sum("v").cast("double").alias("skip_value"))
+
+
 def rollup_total(spark, d):
     S = stand_in(spark, d)
     return totals.popt(S.t("pop_qty"), S.br, S.cfg)
@@ -262,6 +270,14 @@ def exog_yield_index_safe(spark, d):
     return yields.yexo(harvested, S.t("ag_yield"), S.safe_br, S.cfg.with_(parity=False))
 
 
+def per_capita_net_waste_skip(spark, d):
+    """CALI with ``null_policy='skip'``: rows without a waste fraction drop out of the sum
+    instead of nulling their group."""
+    S = stand_in(spark, d)
+    cfg = S.cfg.with_(null_policy="skip")
+    return food.cali(S.t("food"), totals.popt(S.t("population"), S.br, cfg), S.br, cfg)
+
+
 def rollup_items_mapped(spark, d):
     """Animal production without the unmapped (null Item) group."""
     S = stand_in(spark, d)
@@ -404,6 +420,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_no_clobber": ingest_no_clobber_q,
     "study_subset": study_subset_q,
     "strict_sum": strict_sum_q,
+    "skip_sum": skip_sum,
     "rollup_total": rollup_total,
     "rollup_total_scaled": rollup_total_scaled,
     "rollup_population": rollup_population,
@@ -447,5 +464,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "price_index_safe": price_index_safe,
     "exog_yield_index_safe": exog_yield_index_safe,
     "rollup_items_mapped": rollup_items_mapped,
+    "per_capita_net_waste_skip": per_capita_net_waste_skip,
     "final_template": final_template_q,
 }
