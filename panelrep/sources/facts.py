@@ -60,6 +60,7 @@ class Project:
     def __init__(self, tables: Mapping[str, DataFrame], years: Sequence[int]):
         self._tables = dict(tables)
         self.years = tuple(years)
+        self._normalized: dict[str, DataFrame] = {}
 
     def has(self, name: str) -> bool:
         return name in self._tables
@@ -72,7 +73,10 @@ class Project:
             if name in OPTIONAL_TABLES:
                 return None
             raise KeyError(f"query table {name!r} is missing")
-        return normalize(self._tables[name], self.years)
+        # one normalized DataFrame per table: identical scans in a plan are reused
+        if name not in self._normalized:
+            self._normalized[name] = normalize(self._tables[name], self.years)
+        return self._normalized[name]
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str, years: Sequence[int],
