@@ -117,7 +117,9 @@ def write_report(indicators: dict[str, DataFrame], root: str, *, threads: int =
     def write(item):
         n, group = item
         df = union_all([indicators[k].withColumn("indicator", F.lit(k)) for k in group])
-        df.sparkSession.sparkContext.setJobDescription(f"report group {'+'.join(group)}")
+        sc = df.sparkSession.sparkContext
+        sc.setJobDescription(f"report group {'+'.join(group)}")
+        sc.setLocalProperty("spark.scheduler.pool", f"report-{n}")  # FAIR share between groups
         df.write.mode("overwrite").partitionBy("indicator").parquet(f"{root}/group={n}")
 
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
