@@ -50,11 +50,21 @@ def fast_plan_building(spark: SparkSession) -> bool:
     return spark.conf.get("spark.python.sql.dataFrameDebugging.enabled", "true").lower() == "false"
 
 
+_SCRATCH: str | None = None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``; set one only if unset."""
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``; set one only if unset.
+
+    The fallback (local tests only) is one scratch folder per process, so
+    sessions created one after another find each other's written tables.
+    """
+    global _SCRATCH
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="panelrep-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        if _SCRATCH is None:
+            _SCRATCH = tempfile.mkdtemp(prefix="panelrep-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        d = _SCRATCH
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
