@@ -2,7 +2,7 @@
 
 Runs at $BENCH_SF_DIR (default /root/testdata/sf0.1) on local[$BENCH_CPUS]
 and prints one JSON line.  Each query is executed in full with the ``noop``
-sink (no collect); the one-time project materialization (panel checkpoint +
+sink (no collect); the one-time project materialization (panel table +
 query tables written under spark.checkpoint.dir) is timed separately.
 """
 
@@ -52,7 +52,7 @@ def main() -> None:
     t0 = time.time()
     S = catalog.stand_in(spark, sf_dir)
     S.br  # bridges (bounded counts)
-    S.project  # panel checkpoint + project write
+    S.project  # panel table + project write
     times["materialize_project"] = round(time.time() - t0, 3)
 
     # each query is built and run twice; the better (warm) time is reported
