@@ -70,3 +70,17 @@ def test_origin_region_rules(spark):
     assert got[1] == ("USA", "Exports_Meat Beef", "Beef")
     assert got[2] == ("Brazil", None, "x")
     assert got[3] == ("EU", "wheat", "EU wheat")
+
+
+def test_paste_writes_na_for_null_and_substr_never_fails(spark):
+    from panelrep.functions.text import paste, strip_suffix_len
+    df = spark.createDataFrame([("Exports_Meat", None, "ab", "abcdef"), ("a", "b", "x", "y")],
+                               "s string, t string, short string, long string")
+    got = [tuple(r) for r in df.select(paste("s", "t"), strip_suffix_len("short", "long")).collect()]
+    assert got == [("Exports_Meat NA", ""), ("a b", "")]
+
+
+def test_traded_label_with_null_subsector_gives_null_region(spark):
+    df = spark.createDataFrame([("USA", "traded corn", None)], "region string, sector string, subsector string")
+    r = recover_origin(df, meat_export_sector="Exports_Meat").collect()[0]
+    assert r.region is None and r.sector == "traded corn"
