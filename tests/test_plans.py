@@ -32,3 +32,18 @@ def test_scan_prunes_columns_and_pushes_year_filter(spark, sf_small):
 def test_share_join_is_salted(spark, sf_small):
     plan = _plan(catalog.group_share_q(spark, sf_small))
     assert "xxhash64" in plan
+
+
+def test_base_year_filter_reaches_the_scan(spark, sf_small):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(catalog.price_index(spark, sf_small))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    pushed = [line for line in plan.splitlines() if "PushedFilters" in line and "ScalarSubquery" in line]
+    assert pushed, "the minimum year should be pushed into the Parquet scan"
+
+
+def test_report_uses_no_window_operator(spark, sf_small):
+    plan = _plan(catalog.final_template_plan(spark, sf_small))
+    assert "Window" not in plan
