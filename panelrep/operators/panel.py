@@ -239,14 +239,16 @@ def group_share(df: DataFrame, group: Sequence[str], value: str, out: str = "sha
     hot = (totals.filter(F.col("__n") > hot_rows).orderBy(F.col("__n").desc()).limit(max_hot)
            .select(*[F.col(k).alias(f"__h{k}") for k in gkeys], splits.alias("__splits")))
     hot = F.broadcast(hot)  # at most max_hot rows
-    hcond = lambda side, name: reduce(lambda a, b: a & b,
-                                      [side[name(c)].eqNullSafe(hot[f"__h__g_{c}"]) for c in group])
-    left = df.join(hot, hcond(df, lambda c: c), "left")
+
+    def is_hot(side: DataFrame, prefix: str) -> Column:
+        return reduce(lambda a, b: a & b, [side[f"{prefix}{c}"].eqNullSafe(hot[f"__h__g_{c}"]) for c in group])
+
+    left = df.join(hot, is_hot(df, ""), "left")
     row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
     left = (left.withColumn("__salt", F.when(F.col("__splits").isNull(), F.lit(0).cast("long"))
                             .otherwise(F.pmod(row_hash, F.col("__splits"))))
             .drop("__splits", *[f"__h__g_{c}" for c in group]))
-    tot = totals.join(hot, hcond(totals, lambda c: f"__g_{c}"), "left")
+    tot = totals.join(hot, is_hot(totals, "__g_"), "left")
     n_salts = F.coalesce(F.col("__splits"), F.lit(1).cast("long"))
     tot = (tot.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), n_salts - 1)))
            .select(*gkeys, "__total", F.col("__salt").alias("__tsalt")))
