@@ -50,7 +50,7 @@ def load_bridges(spark: SparkSession, maps_dir: str, cfg: ReportConfig) -> Bridg
 
 def run_report(spark: SparkSession, project_root: str, maps_dir: str, out: str, *,
                cfg: ReportConfig | None = None, studies=("mitigdecomp",), run_date: _dt.date | None = None,
-               threads: int = 16) -> dict[str, str]:
+               threads: int = 16, one_file_per_study: bool = True) -> dict[str, str]:
     """Build every indicator, write the report and the study subsets; return the paths."""
     cfg = cfg or ReportConfig()
     br = load_bridges(spark, maps_dir, cfg)
@@ -59,7 +59,8 @@ def run_report(spark: SparkSession, project_root: str, maps_dir: str, out: str,
     chosen = {s: cfg.studies[s] for s in studies}
     prefixes = {s: STUDY_FILE_PREFIX.get(s, s) for s in chosen}
     studies_root = write_studies(read_report(spark, report_root), study_table(spark, chosen),
-                                 f"{out.rstrip('/')}/studies", prefixes=prefixes, run_date=run_date)
+                                 f"{out.rstrip('/')}/studies", prefixes=prefixes, run_date=run_date,
+                                 one_file_per_study=one_file_per_study)
     return {"report": report_root, "studies": studies_root}
 
 

@@ -39,11 +39,14 @@ def write_template_csv(df: DataFrame, path: str, *, mode: str = "overwrite") ->
 
 
 def write_studies(df: DataFrame, studies: Small, root: str, prefixes: Mapping[str, str] | None = None,
-                  run_date: _dt.date | None = None, fmt: str = "csv") -> str:
+                  run_date: _dt.date | None = None, fmt: str = "csv", one_file_per_study: bool = False) -> str:
     """Write every study subset in one job, partitioned by study.
 
     The run date is an argument (default: today) so that reruns are
     reproducible; it becomes a path component ``run_date=<ddMonYYYY>``.
+    ``one_file_per_study`` writes each study as a single file (one task per
+    study).  Use it only for the aggregated template, whose size is bounded by
+    scenarios x regions x items x years, never for fact tables.
     """
     stamp = (run_date or _dt.date.today()).strftime("%d%b%Y")
     out = f"{root}/run_date={stamp}"
@@ -51,6 +54,8 @@ def write_studies(df: DataFrame, studies: Small, root: str, prefixes: Mapping[st
     if prefixes:
         names = F.create_map(*[x for k, v in prefixes.items() for x in (F.lit(k), F.lit(v))])
         tagged = tagged.withColumn("study", F.coalesce(names[F.col("study")], F.col("study")))
+    if one_file_per_study:
+        tagged = tagged.repartition("study")
     writer = tagged.write.mode("overwrite").partitionBy("study")
     if fmt == "csv":
         writer.option("header", True).option("nullValue", "NA").csv(out)

@@ -110,3 +110,8 @@ def test_studies_in_one_pass(spark, tmp_path):
     out = write_studies(df, st, str(tmp_path / "studies"), run_date=dt.date(2020, 1, 2), fmt="parquet")
     assert out.endswith("run_date=02Jan2020")
     assert spark.read.parquet(out).filter(F.col("study") == "alt").count() == 1
+    one = write_studies(df.repartition(4), st, str(tmp_path / "one"), run_date=dt.date(2020, 1, 2),
+                        one_file_per_study=True)
+    for study in ("main", "alt"):
+        parts = [f for f in os.listdir(os.path.join(one, f"study={study}")) if f.endswith(".csv")]
+        assert len(parts) == 1
