@@ -19,6 +19,7 @@ with the input data, and nothing is collected.
 from __future__ import annotations
 
 import datetime as _dt
+import threading
 import uuid
 from dataclasses import dataclass
 
@@ -267,6 +268,7 @@ def bridges(spark: SparkSession, sf_dir: str, cfg: ReportConfig | None = None, *
 
 _ROOTS: dict[tuple[str, str], str] = {}
 _DONE = "_panelrep_complete"
+_BUILD_LOCK = threading.Lock()  # one project build at a time per process
 
 
 def _fs_exists(spark: SparkSession, path: str) -> bool:
@@ -314,6 +316,10 @@ class StandIn:
                        demand=b.demand, pairs=b.pairs, waste=b.waste)
 
     def _root(self) -> str:
+        with _BUILD_LOCK:
+            return self._root_locked()
+
+    def _root_locked(self) -> str:
         if self.project_root is None:
             ckpt = ensure_checkpoint_dir(self.spark).rstrip("/")
             key = (self.sf_dir, ckpt)
