@@ -115,3 +115,13 @@ def test_studies_in_one_pass(spark, tmp_path):
     for study in ("main", "alt"):
         parts = [f for f in os.listdir(os.path.join(one, f"study={study}")) if f.endswith(".csv")]
         assert len(parts) == 1
+
+
+def test_numeric_looking_scenarios_stay_text(spark, tmp_path):
+    root = str(tmp_path / "proj3")
+    df = spark.createDataFrame([("01", "r", 2010, 1.0), ("2", "r", 2010, 2.0)],
+                               "scenario string, region string, year int, value double")
+    df.write.partitionBy("scenario").parquet(f"{root}/query=gdp")
+    t = Project.from_parquet(spark, root, [2010], names=["gdp"]).table("gdp")
+    assert dict(t.dtypes)["Scenario"] == "string"
+    assert sorted(r.Scenario for r in t.collect()) == ["01", "2"]
