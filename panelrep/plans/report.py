@@ -128,5 +128,12 @@ def write_report(indicators: dict[str, DataFrame], root: str, *, threads: int =
 
 
 def read_report(spark, root: str) -> DataFrame:
-    """The template written by :func:`write_report` (all indicators)."""
-    return spark.read.parquet(root).select(*TEMPLATE_COLUMNS)
+    """The template written by :func:`write_report` (all indicators).
+
+    Read with the template schema, so a report without rows (e.g. no data in
+    the reporting years) is an empty table rather than an error.
+    """
+    from ..operators.template import TEMPLATE_TYPES
+
+    schema = ", ".join(f"{c} {TEMPLATE_TYPES[c]}" for c in TEMPLATE_COLUMNS)
+    return spark.read.schema(schema).parquet(root).select(*TEMPLATE_COLUMNS)
