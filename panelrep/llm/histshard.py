@@ -52,7 +52,7 @@ def ranges(df: DataFrame, key: str, size: str, shards: int, tolerance: float, le
         parts = sorted(done + fresh, key=lambda x: x[1] << (KEY_BITS - x[0]))
         done, opened, below = [], [], 0
         for p in parts:
-            inside = any(below + slack < total * k / shards < below + p[3] - slack for k in range(max(1, j), shards)
+            inside = any(below + slack < total * k / shards < below + p[3] - slack for k in range(1, shards)
                          if total * k / shards <= below + p[3])
             if p[0] == depth < KEY_BITS and p[2] > 1 and (inside or p[2] > most):
                 opened.append(p[1])
