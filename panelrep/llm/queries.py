@@ -4,17 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import piece
 from .common import read
 from .histshard import shard_documents
 from .secretscan import digest, scan
 
 
+def tokenizer_file(name: str) -> str:
+    """Path of an installed public tokenizer's file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op6_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(scan(read(spark, sf_dir, "documents")))
 
 
+def op7_piece_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece.encode(read(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), ["doc_id"],
+                        piece.digests, piece.DIGESTS)
+
+
 def op10_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read(spark, sf_dir, "documents"), 40)
 
 
-QUERIES = {f.__name__: f for f in (op6_secret_automaton, op10_histogram_sort)}
+QUERIES = {f.__name__: f for f in (op6_secret_automaton, op7_piece_merge_rounds, op10_histogram_sort)}
