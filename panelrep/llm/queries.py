@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import piece, wavelet
 from .common import read
 from .histshard import shard_documents
+from .langid import language_table
 from .secretscan import digest, scan
 
 
@@ -26,6 +27,10 @@ def op7_piece_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
                         piece.digests, piece.DIGESTS)
 
 
+def op8_language_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_table(read(spark, sf_dir, "documents"))
+
+
 def op9_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.round_trip(read(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=2)
 
@@ -34,5 +39,5 @@ def op10_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read(spark, sf_dir, "documents"), 40)
 
 
-QUERIES = {f.__name__: f for f in (op6_secret_automaton, op7_piece_merge_rounds, op9_wavelet_matrix,
+QUERIES = {f.__name__: f for f in (op6_secret_automaton, op7_piece_merge_rounds, op8_language_gru, op9_wavelet_matrix,
                                op10_histogram_sort)}
