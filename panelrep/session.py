@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -68,3 +70,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors once per application, for functions that run there in Python.
+
+    Spark's own file distribution is used, so executors need neither the
+    driver's folders nor an installed copy.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        for folder, _, names in os.walk(top):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(top)))
+    path = os.path.join(tempfile.mkdtemp(prefix="panelrep-"), f"panelrep_{app.replace('-', '_')}.zip")
+    with open(path, "wb") as f:
+        f.write(packed.getvalue())
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
