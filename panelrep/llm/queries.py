@@ -8,9 +8,14 @@ from . import piece, wavelet
 from .common import read
 from .histshard import shard_documents
 from .langid import language_table
+from .minhash import near_duplicates
 from .secretscan import digest, scan
 
 
+def op3_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"), width=2, percent=80)
+
+
 def tokenizer_file(name: str) -> str:
     """Path of an installed public tokenizer's file, the same on every machine."""
     import public_tokenizers
@@ -39,5 +44,5 @@ def op10_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read(spark, sf_dir, "documents"), 40)
 
 
-QUERIES = {f.__name__: f for f in (op6_secret_automaton, op7_piece_merge_rounds, op8_language_gru, op9_wavelet_matrix,
-                               op10_histogram_sort)}
+QUERIES = {f.__name__: f for f in (op3_circulant_minhash, op6_secret_automaton, op7_piece_merge_rounds, op8_language_gru,
+                               op9_wavelet_matrix, op10_histogram_sort)}
