@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import piece, wavelet
 from .common import read
+from .decontam import find_items
 from .histshard import shard_documents
 from .langid import language_table
 from .minhash import near_duplicates
@@ -16,6 +17,10 @@ def op3_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), width=2, percent=80)
 
 
+def op4_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def tokenizer_file(name: str) -> str:
     """Path of an installed public tokenizer's file, the same on every machine."""
     import public_tokenizers
@@ -44,5 +49,5 @@ def op10_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read(spark, sf_dir, "documents"), 40)
 
 
-QUERIES = {f.__name__: f for f in (op3_circulant_minhash, op6_secret_automaton, op7_piece_merge_rounds, op8_language_gru,
+QUERIES = {f.__name__: f for f in (op3_circulant_minhash, op4_cgk_decontamination, op6_secret_automaton, op7_piece_merge_rounds, op8_language_gru,
                                op9_wavelet_matrix, op10_histogram_sort)}
