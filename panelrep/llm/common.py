@@ -88,3 +88,19 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
     roots = e.select(F.col("v").alias("id")).distinct().select("id", F.col("id").alias("component"))
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
+
+
+def meet(pairs: DataFrame, table: DataFrame, per_copy: int = 500) -> DataFrame:
+    """Brings the values of pairs (a, b) together: rows (b, copy, role, a, value), sorted within partitions.
+
+    ``table`` has (id, value).  In each (b, copy) the value of b comes first
+    (role 0), then those of its partners a (role 1).  A b has a copy for each
+    ``per_copy`` of its partners, so a hot one is spread over tasks.
+    """
+    copies = pairs.groupBy("b").agg(F.ceil(F.count("*") / per_copy).cast("int").alias("copies"))
+    placed = pairs.join(copies, "b").select("a", "b", F.pmod(F.xxhash64("a", "b"), "copies").cast("int").alias("copy"))
+    partners = placed.join(table, F.col("a") == F.col("id")).select("b", "copy", F.lit(1).alias("role"), "a", "value")
+    own = copies.select("b", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy")) \
+        .join(table, F.col("b") == F.col("id")) \
+        .select("b", "copy", F.lit(0).alias("role"), F.col("b").alias("a"), "value")
+    return partners.unionByName(own).repartition("b", "copy").sortWithinPartitions("b", "copy", "role")

@@ -21,13 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, components, cut
+from .common import blocks, components, cut, meet
 from .shingles import common, mix, shingle_sets
 
 UNIVERSE_BITS = 21
 BANDS, ROWS = 40, 8
-#: Members that are verified against one copy of a leader's set.
-PER_COPY = 500
 
 
 @lru_cache(maxsize=1)
@@ -84,29 +82,22 @@ def set_table(docs: DataFrame, width: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, raw, at in blocks(batches, "text"):
             sets = [s.tobytes() for s in shingle_sets(raw, at, width)]
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(sets, pa.binary())], ["id", "hashes"])
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(sets, pa.binary())], ["id", "value"])
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(work, "id long, hashes binary")
+    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(work, "id long, value binary")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets have 100 * intersection >= percent * union.
 
-    Members ``a`` travel to a copy of the set of ``b``; a ``b`` with many
-    members has a copy for each ``PER_COPY`` of them, so none gathers in a task.
+    Members ``a`` travel to a copy of the set of ``b``, see :func:`meet`.
     """
-    copies = pairs.groupBy("b").agg(F.ceil(F.count("*") / PER_COPY).cast("int").alias("copies"))
-    placed = pairs.join(copies, "b").select("a", "b", F.pmod(F.xxhash64("a", "b"), "copies").cast("int").alias("copy"))
-    members = placed.join(sets, F.col("a") == F.col("id")).select("b", "copy", F.lit(1).alias("role"), "a", "hashes")
-    leaders = copies.select("b", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy")) \
-        .join(sets, F.col("b") == F.col("id")).select("b", "copy", F.lit(0).alias("role"), F.col("b").alias("a"), "hashes")
-
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, against = None, []
         for batch in batches:
             a, b = [], []
             cols = [batch.column(c).to_pylist() for c in ("b", "copy", "role", "a")]
-            for leader, copy, role, member, raw in zip(*cols, batch.column("hashes")):
+            for leader, copy, role, member, raw in zip(*cols, batch.column("value")):
                 own = np.frombuffer(raw.as_buffer(), np.uint64)
                 if (leader, copy) != here:
                     here, against = (leader, copy), []
@@ -121,8 +112,7 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                         break
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return members.unionByName(leaders).repartition("b", "copy").sortWithinPartitions("b", "copy", "role") \
-        .mapInArrow(work, "a long, b long")
+    return meet(pairs, sets).mapInArrow(work, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 2, percent: int = 80) -> DataFrame:
