@@ -9,10 +9,55 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from panelrep.session import ensure_checkpoint_dir
+from panelrep.llm import langid, piece
+from panelrep.llm.decontam import drop_items
+from panelrep.llm.minhash import keep_one
+from panelrep.llm.queries import tokenizer_file
+from panelrep.llm.secretscan import redact
+from panelrep.session import ensure_checkpoint_dir, ship_package
 
-STAGES: list = []
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents in no language: null texts and texts without a letter.
+
+    The network learns from the same documents as op8 does; documents whose
+    crc32(doc_id) mod 3 is 1 are never learned from.
+    """
+    ship_package(spark)
+    rest = langid.remainder(F.col("doc_id"), 3)
+    model = langid.train(docs.filter(rest != 1).select("doc_id", "text", "lang"))
+    return langid.identify(docs, model).filter(F.col("lang_pred") != langid.UNKNOWN).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near copies: five-word shingles, Jaccard similarity of 0.8 or more."""
+    ship_package(spark)
+    return keep_one(docs, width=5, percent=80)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold an item of ``benchmark``."""
+    ship_package(spark)
+    return drop_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps every document and puts a mark in place of each secret."""
+    ship_package(spark)
+    return redact(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source and the whole text's token ids, with begin and end ids."""
+    ship_package(spark)
+    return piece.encode(docs, tokenizer_file("piece_bpe_32k.model"), ["doc_id", "lang", "source"],
+                        piece.id_lists, piece.ID_LISTS)
+
+
+STAGES = [("language_id", language_id), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
+          ("secrets", secrets), ("tokens", tokens)]
 
 #: SQL cannot express the stages (a trained network, merge rounds); the tests use brute force.
 ORACLE_SQL = None

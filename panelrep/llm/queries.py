@@ -13,6 +13,11 @@ from .lattice import near_vectors
 from .minhash import near_duplicates
 from .secretscan import digest, scan
 from .tokencount import count_tokens
+from .toxicity import toxicity_table
+
+
+def op1_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_table(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), threshold=0.3)
 
 
 def op2_lattice_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,5 +65,5 @@ def op10_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_lattice_near_vectors, op3_circulant_minhash, op4_cgk_decontamination, op5_unigram_token_counts,
-    op6_secret_automaton, op7_piece_merge_rounds, op8_language_gru, op9_wavelet_matrix, op10_histogram_sort)}
+    op1_compression_toxicity, op2_lattice_near_vectors, op3_circulant_minhash, op4_cgk_decontamination,
+    op5_unigram_token_counts, op6_secret_automaton, op7_piece_merge_rounds, op8_language_gru, op9_wavelet_matrix, op10_histogram_sort)}
