@@ -28,7 +28,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
     rest = langid.remainder(F.col("doc_id"), 3)
     model = langid.train(docs.filter(rest != 1).select("doc_id", "text", "lang"))
-    return langid.identify(docs, model).filter(F.col("lang_pred") != langid.UNKNOWN).select(docs.columns)
+    called = langid.identify(docs, model, ("__called", "__score"))
+    return called.filter(F.col("__called") != langid.UNKNOWN).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -103,15 +103,15 @@ def train(labelled: DataFrame, settings: Settings = Settings()) -> LangModel:
     return LangModel(names, net, settings)
 
 
-def identify(docs: DataFrame, model: LangModel) -> DataFrame:
-    """Adds lang_pred and score to every document, from nothing but its whole text.
+def identify(docs: DataFrame, model: LangModel, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Adds two columns to every document, its language and the score, from nothing but its whole text.
 
     ``und`` with score 0: the text is null or has no letter, or no language was
     learned.  Other columns and repeated rows are kept as they are; an empty
     table gives an empty result.
     """
-    schema = T.StructType([*docs.schema, T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*docs.schema, T.StructField(names[0], T.StringType()),
+                           T.StructField(names[1], T.DoubleType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, raw, at in blocks(batches, "text"):
@@ -122,11 +122,11 @@ def identify(docs: DataFrame, model: LangModel) -> DataFrame:
             for i in np.flatnonzero(~lettered & (np.diff(at) > 0)):
                 lettered[i] = any(ch.isalpha() for ch in raw[at[i]:at[i + 1]].tobytes().decode())
             lettered &= bool(model.names)
-            names = [model.names[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), lettered.tolist())]
+            called = [model.names[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), lettered.tolist())]
             yield pa.RecordBatch.from_arrays(
-                [*rows.columns, pa.array(names, pa.string()),
+                [*rows.columns, pa.array(called, pa.string()),
                  pa.array(np.where(lettered, np.clip(score, 0, 1), 0.0))], schema=pa.schema(
-                    [*rows.schema, ("lang_pred", pa.string()), ("score", pa.float64())]))
+                    [*rows.schema, (names[0], pa.string()), (names[1], pa.float64())]))
 
     return docs.mapInArrow(work, schema)
 
