@@ -133,9 +133,7 @@ class ReportConfig:
     per_scenario_base: bool = False
     feed_alloc_factor: float = 1
     pre_aggregate: bool = True
-    max_bridge_rows: int = 100_000
-    share_salt_buckets: int = 16
-    share_hot_rows: int = 1_000_000
+    share_target_rows: int = 1_000_000
     null_policy: str = "strict"
     drop_unmapped: bool = False
 

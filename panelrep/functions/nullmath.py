@@ -96,7 +96,3 @@ def exact_lit(x) -> Column:
     if isinstance(x, int):
         return F.lit(x)
     return F.lit(Decimal(repr(x)))
-
-
-def to_double(c) -> Column:
-    return _col(c).cast("double")

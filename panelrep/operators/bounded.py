@@ -1,10 +1,10 @@
-"""Broadcast only what has a proven size bound.
+"""Broadcast only what is small by Spark's own size statistics.
 
-A :class:`Small` wraps a DataFrame together with an upper bound on its row
-count that was *proven* (from local rows, from the structure of the plan, or
-by a bounded count).  ``side()`` returns it with a broadcast hint when the
-bound is under the limit; otherwise the plain DataFrame is returned and the
-planner (size statistics, AQE at runtime) chooses the join strategy.
+A :class:`Small` wraps a lookup DataFrame with an upper bound on its size in
+bytes, taken from the optimized plan's statistics or from local rows.
+``side()`` returns it with a broadcast hint when the bound is under the limit;
+otherwise the plain DataFrame is returned and the planner (size statistics,
+AQE at runtime) chooses the join strategy.  No job runs to find a bound.
 """
 
 from __future__ import annotations
@@ -14,51 +14,33 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast side above this many rows is left to the planner.  Bridges and
-# lookup tables of the reporting workflow hold hundreds of rows.
-BROADCAST_ROW_LIMIT = 1_000_000
+# Bytes up to which a lookup side is broadcast by hint (Spark's default threshold).
+BROADCAST_BYTES = 10 << 20
 
 
 @dataclass(frozen=True)
 class Small:
     df: DataFrame
-    max_rows: int | None = None  # proven bound, None when unknown
+    max_bytes: int | None = None  # upper bound, None when unknown
 
     @property
     def bounded(self) -> bool:
-        return self.max_rows is not None and self.max_rows <= BROADCAST_ROW_LIMIT
+        return self.max_bytes is not None and self.max_bytes <= BROADCAST_BYTES
 
     def side(self) -> DataFrame:
         return F.broadcast(self.df) if self.bounded else self.df
 
     def map_df(self, fn) -> "Small":
-        """Apply a row-count-preserving-or-shrinking transformation."""
-        return Small(fn(self.df), self.max_rows)
+        """Apply a transformation that does not make the table larger."""
+        return Small(fn(self.df), self.max_bytes)
 
 
-# Lookups up to this many rows are held as driver-side rows once proven small:
-# they are read and derived once (joins, unpivots, CSV parsing), instead of
-# being recomputed inside every indicator that broadcasts them.
-LOCALIZE_ROW_LIMIT = 10_000
+def plan_bytes(df: DataFrame) -> int:
+    """Size estimate of the optimized plan, as the planner itself uses it."""
+    stats = df._jdf.queryExecution().optimizedPlan().stats()  # noqa: SLF001
+    return int(str(stats.sizeInBytes()))  # a big number's text, or a plain one
 
 
-def prove_bound(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT, localize: int = LOCALIZE_ROW_LIMIT) -> Small:
-    """Count at most ``limit + 1`` rows; bounded when the count stays within ``limit``.
-
-    The count reads a small lookup once (a cheap action); for a large input it
-    stops early through the limit and the result is marked unbounded.  A
-    lookup of at most ``localize`` rows is then kept as driver-side rows (it
-    would pass through the driver anyway when broadcast), cutting its lineage.
-    """
-    n = df.limit(limit + 1).count()
-    if n > limit:
-        return Small(df, None)
-    if n <= localize:
-        local = df.sparkSession.createDataFrame(df.limit(localize).collect(), df.schema)
-        return Small(local, n)
-    return Small(df, n)
-
-
-def one_row(df: DataFrame) -> Small:
-    """A global aggregate (no grouping) has exactly one row."""
-    return Small(df, 1)
+def prove_bound(df: DataFrame) -> Small:
+    """``df`` with the size that the plan statistics give it."""
+    return Small(df, plan_bytes(df))

@@ -2,8 +2,8 @@
 
 All functions take and return DataFrames and perform no action.  Small
 lookups are broadcast only through :class:`~panelrep.operators.bounded.Small`
-(or a :class:`~panelrep.sources.bridges.Bridge`), i.e. when their size bound
-is proven; everything else is left to the planner and AQE.
+(or a :class:`~panelrep.sources.bridges.Bridge`), i.e. when the plan's
+statistics say so; everything else is left to the planner and AQE.
 
 Scale notes
 -----------
@@ -12,10 +12,10 @@ Scale notes
   fans the much smaller result out through the bridges.  A hot key (one
   region holding a third of all rows) is absorbed by the partial aggregation.
 * :func:`group_share` replaces a window over the group (one task per group)
-  by an aggregate and a salted join back, so a hot group is spread over
-  ``salt`` tasks.
-* :func:`densify` builds its grid with ``explode`` of literal lists (no join)
-  and finds missing grid cells with one aggregation (null-safe by nature).
+  by an aggregate and a join back on group and part, with as many parts as
+  the group's rows need.
+* :func:`densify` gathers the cells of a nest key once and adds the missing
+  ones to that list: no join, and no second scan of the facts.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..functions.nullmath import (ROWS, fill_missing, ieee_div, row_count_part, strict_sum, strict_sum_merge,
                                   strict_sum_parts)
-from .bounded import Small, one_row
+from .bounded import Small
 
 
 # ---------------------------------------------------------------------------
@@ -70,26 +70,12 @@ def expand(df: DataFrame, via: Via, *, match_nulls: bool = True) -> DataFrame:
     return df.join(b, cond, via.how).select(*keep, b["__bv"].alias(via.out_col))
 
 
-_SIDES: dict = {}
-
-
 def _bridge_side(br, match_nulls: bool) -> DataFrame:
-    """``(__bk, __bv)`` view of a bridge, broadcast when bounded; built once per bridge.
-
-    Reusing one DataFrame per bridge keeps plans small and lets Spark reuse
-    the broadcast exchange across the indicators of one report.
-    """
-    key = (id(br.small.df), br.key, br.value, match_nulls)
-    hit = _SIDES.get(key)
-    if hit is not None and hit[0] is br.small.df:
-        return hit[1]
+    """``(__bk, __bv)`` view of a bridge, broadcast when small; equal broadcasts are reused within a plan."""
     b = br.df.select(F.col(br.key).alias("__bk"), F.col(br.value).alias("__bv"))
     if not match_nulls:
         b = b.filter(F.col("__bk").isNotNull())
-    if br.small.bounded:
-        b = F.broadcast(b)
-    _SIDES[key] = (br.small.df, b)
-    return b
+    return F.broadcast(b) if br.small.bounded else b
 
 
 def expand_all(df: DataFrame, vias: Sequence[Via], *, match_nulls: bool = True) -> DataFrame:
@@ -154,21 +140,68 @@ def grouped_sum(df: DataFrame, group_by: Sequence[str], values: Sequence[str], *
 # ---------------------------------------------------------------------------
 # densify (grid completion)
 # ---------------------------------------------------------------------------
+OBSERVED = object()  # grid values: those that occur in the table itself
+
+
 def densify(df: DataFrame, nest: Sequence[str], grid: dict, fill: dict) -> DataFrame:
     """Add the missing cells of ``observed nest keys x grid values``, fill nulls.
 
-    ``grid`` maps a column to either a literal list of values, or a
-    :class:`Small` one-column DataFrame of values (e.g. the distinct values of
-    a column, bounded by a bridge).  Rows of ``df`` outside the grid are kept;
-    ``fill`` replaces null and NaN in *all* rows, existing ones included.
-    Null keys are ordinary key values (a null Region gets its own grid).
+    ``grid`` maps a column to a literal list of values, to ``OBSERVED`` (the
+    values that the column has anywhere in ``df``), or to a :class:`Small`
+    one-column DataFrame of another table's values.  Rows of ``df`` outside the
+    grid are kept; ``fill`` replaces null and NaN in *all* rows, existing ones
+    included.  Null keys are ordinary key values (a null Region gets its own
+    grid).
+
+    ``df`` is a finished sum, one row per nest and grid cell, so a nest key has
+    as many cells as the report has items and years.  They are gathered once
+    per nest key, the missing ones are added to the list, and the list is
+    opened again: one scan of the facts and one shuffle of the sums.  Only a
+    grid over another table's values, of any number, is built with joins.
     """
+    if any(isinstance(v, Small) for v in grid.values()):
+        out = _densify_joined(df, nest, grid)
+    else:
+        rest = [f for f in df.schema if f.name not in nest]
+        cells = df.groupBy(*nest).agg(F.collect_list(F.struct(*[f.name for f in rest])).alias("__cells"))
+        types = {f.name: f.dataType.simpleString() for f in rest}
+        # values seen anywhere: a scalar subquery over the same gathered cells, as a column of its own
+        cells = cells.withColumns({f"__seen_{g}": cells.select(F.explode(F.col("__cells")[g]).alias(g)).distinct()
+                                   .agg(F.collect_list(F.struct(g))).scalar()  # structs keep a null value
+                                   for g, given in grid.items() if given is OBSERVED})
+        wanted = _grid_cells(grid, types)
+        have = F.transform("__cells", lambda c: F.struct(*[c[g].alias(g) for g in grid]))
+        missing = F.array_except(wanted, have)
+        new = F.transform(missing, lambda g: F.struct(*[
+            (g[f.name] if f.name in grid else F.lit(None).cast(f.dataType)).alias(f.name) for f in rest]))
+        out = cells.select(*nest, F.inline(F.concat("__cells", new))).select(*df.columns)
+    return out.withColumns({c: fill_missing(c, v) for c, v in fill.items()})
+
+
+def _grid_cells(grid: dict, types: dict) -> Column:
+    """All combinations of the grid's values, as an array of structs."""
+    def values(name: str, given) -> Column:
+        if given is OBSERVED:
+            return F.col(f"__seen_{name}")
+        return F.transform(F.array(*[F.lit(v) for v in given]).cast(f"array<{types[name]}>"),
+                           lambda v: F.struct(v.alias(name)))
+
+    def times(left: Column, have: list[str], right: Column, name: str) -> Column:
+        return F.flatten(F.transform(left, lambda a: F.transform(right, lambda b: F.struct(
+            *[a[h].alias(h) for h in have], b[name].alias(name)))))
+
+    names = list(grid)
+    out = values(names[0], grid[names[0]])
+    for k, name in enumerate(names[1:], 1):
+        out = times(out, names[:k], values(name, grid[name]), name)
+    return out
+
+
+def _densify_joined(df: DataFrame, nest: Sequence[str], grid: dict) -> DataFrame:
     keys = df.select(*nest).distinct()
     types = dict(df.dtypes)
     for col, values in grid.items():
         if isinstance(values, Small):
-            if not values.bounded:
-                raise ValueError(f"grid values for {col!r} need a proven size bound")
             keys = keys.crossJoin(values.side().select(col))
         else:
             arr = F.array(*[F.lit(v) for v in values]).cast(f"array<{types.get(col, 'string')}>")
@@ -178,8 +211,7 @@ def densify(df: DataFrame, nest: Sequence[str], grid: dict, fill: dict) -> DataF
              .unionByName(df.select(*all_keys).withColumn("__obs", F.lit(1))))
     missing = (marks.groupBy(*all_keys).agg(F.max("__obs").alias("__obs"))
                .filter(F.col("__obs") == 0).drop("__obs"))
-    out = df.unionByName(missing, allowMissingColumns=True)
-    return out.withColumns({c: fill_missing(c, v) for c, v in fill.items()})
+    return df.unionByName(missing, allowMissingColumns=True)
 
 
 # ---------------------------------------------------------------------------
@@ -189,19 +221,19 @@ def base_year_rows(df: DataFrame, year: str = "Year", *, override: Column | None
                    per: Sequence[str] | None = None) -> DataFrame:
     """Rows of the first year; ``override`` rows are kept as well.
 
-    By default the first year is the minimum over the whole table (one scalar
-    subquery, no join).  ``per`` takes the minimum per group instead (e.g. per
-    scenario), via an aggregate and a join back.
+    By default the first year is the minimum over the whole table.  ``per``
+    takes the minimum per group instead (e.g. per scenario): the minima become
+    one map value, at most one entry per group, that every row looks itself up
+    in.  Either way the base is a scalar subquery, so no fact row is shuffled.
     """
     if per:
-        mins = df.groupBy(*per).agg(F.min(year).alias("__base"))
-        mins = mins.select(*[F.col(c).alias(f"__m_{c}") for c in per], "__base")
-        cond = reduce(lambda a, b: a & b, [df[c].eqNullSafe(mins[f"__m_{c}"]) for c in per])
-        joined = df.join(mins, cond, "inner")
-        keep = F.col(year) == F.col("__base")
+        key = F.to_json(F.struct(*per), {"ignoreNullFields": "false"})
+        mins = df.groupBy(key.alias("__k")).agg(F.min(year).alias("__base"))
+        bases = mins.agg(F.map_from_entries(F.collect_list(F.struct("__k", "__base")))).scalar()
+        keep = F.col(year) == F.element_at(bases, key)
         if override is not None:
             keep = keep | override
-        return joined.filter(keep).drop("__base", *[f"__m_{c}" for c in per])
+        return df.filter(keep)
     base = df.agg(F.min(year)).scalar()
     keep = F.col(year) == base
     if override is not None:
@@ -213,49 +245,34 @@ def base_year_rows(df: DataFrame, year: str = "Year", *, override: Column | None
 # shares
 # ---------------------------------------------------------------------------
 def group_share(df: DataFrame, group: Sequence[str], value: str, out: str = "share", *,
-                salt: int = 16, hot_rows: int = 1_000_000, max_hot: int = 1000) -> DataFrame:
+                target_rows: int = 1_000_000) -> DataFrame:
     """``value / strict_sum(value) over group`` for every row.
 
     The group totals come from an aggregate (partial aggregation absorbs hot
-    groups) and are joined back on ``group`` (null-safe).  Groups holding more
-    than ``hot_rows`` rows are split: their rows get a deterministic salt in
-    ``[0, ceil(rows / hot_rows))`` (at most ``salt`` values) and their total
-    is repeated once per salt, so such a group is spread over several tasks
-    instead of one.  The hot groups are the ``max_hot`` largest ones above
-    the threshold -- a proven bound, so the list is broadcast; every other
-    group joins unsalted (still exact, only not split).  ``salt <= 1``
-    disables splitting and leaves skew to AQE.  Division follows
-    :func:`ieee_div` (0/0 = NaN).
+    groups) and are joined back on ``group`` (null-safe).  A group is split
+    into ``ceil(rows / target_rows)`` parts, however many that gives: its rows
+    get a part by their hash and their map partition (so equal rows spread as
+    well), its total is repeated once per part.  Both sides take the number of
+    parts from the same table of totals, and the planner chooses the joins.
+    Division follows :func:`ieee_div` (0/0 = NaN).
     """
-    totals = df.groupBy(*group).agg(strict_sum(value).alias("__total"), F.count(F.lit(1)).alias("__n"))
-    totals = totals.select(*[F.col(c).alias(f"__g_{c}") for c in group], "__total", "__n")
     gkeys = [f"__g_{c}" for c in group]
-    if salt <= 1:
-        cond = [df[c].eqNullSafe(totals[f"__g_{c}"]) for c in group]
-        joined = df.join(totals.drop("__n"), reduce(lambda a, b: a & b, cond), "inner")
-        return joined.withColumn(out, ieee_div(F.col(value), F.col("__total"))).drop("__total", *gkeys)
-
-    splits = F.least(F.lit(salt).cast("long"), F.ceil(F.col("__n") / F.lit(hot_rows)).cast("long"))
-    hot = (totals.filter(F.col("__n") > hot_rows).orderBy(F.col("__n").desc()).limit(max_hot)
-           .select(*[F.col(k).alias(f"__h{k}") for k in gkeys], splits.alias("__splits")))
-    hot = F.broadcast(hot)  # at most max_hot rows
-
-    def is_hot(side: DataFrame, prefix: str) -> Column:
-        return reduce(lambda a, b: a & b, [side[f"{prefix}{c}"].eqNullSafe(hot[f"__h__g_{c}"]) for c in group])
-
-    left = df.join(hot, is_hot(df, ""), "left")
-    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
-    left = (left.withColumn("__salt", F.when(F.col("__splits").isNull(), F.lit(0).cast("long"))
-                            .otherwise(F.pmod(row_hash, F.col("__splits"))))
-            .drop("__splits", *[f"__h__g_{c}" for c in group]))
-    tot = totals.join(hot, is_hot(totals, "__g_"), "left")
-    n_salts = F.coalesce(F.col("__splits"), F.lit(1).cast("long"))
-    tot = (tot.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), n_salts - 1)))
-           .select(*gkeys, "__total", F.col("__salt").alias("__tsalt")))
-    cond = [left[c].eqNullSafe(tot[f"__g_{c}"]) for c in group] + [left["__salt"] == tot["__tsalt"]]
-    joined = left.join(tot, reduce(lambda a, b: a & b, cond), "inner")
+    totals = df.groupBy(*group).agg(strict_sum(value).alias("__total"), F.count(F.lit(1)).alias("__n"))
+    totals = totals.select(*[F.col(c).alias(k) for c, k in zip(group, gkeys)], "__total",
+                           F.ceil(F.col("__n") / F.lit(target_rows)).cast("long").alias("__parts"))
+    hot = totals.filter("__parts > 1").select(*[F.col(k).alias(f"__h{k}") for k in gkeys],
+                                              F.col("__parts").alias("__hot_parts"))
+    is_hot = reduce(lambda a, b: a & b, [df[c].eqNullSafe(hot[f"__h__g_{c}"]) for c in group])
+    left = df.join(hot, is_hot, "left")
+    spread = F.pmod(F.xxhash64(*df.columns) + F.spark_partition_id(), F.col("__hot_parts"))
+    left = left.withColumn("__part", F.coalesce(spread, F.lit(0).cast("long"))) \
+        .drop("__hot_parts", *[f"__h{k}" for k in gkeys])
+    each = totals.withColumn("__tpart", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__parts") - 1))) \
+        .drop("__parts")
+    cond = [left[c].eqNullSafe(each[f"__g_{c}"]) for c in group] + [left["__part"] == each["__tpart"]]
+    joined = left.join(each, reduce(lambda a, b: a & b, cond), "inner")
     return (joined.withColumn(out, ieee_div(F.col(value), F.col("__total")))
-            .drop("__total", "__salt", "__tsalt", *gkeys))
+            .drop("__total", "__part", "__tpart", *gkeys))
 
 
 # ---------------------------------------------------------------------------
@@ -275,8 +292,10 @@ def baseline_shift(df: DataFrame, pairs: Small, keys: Sequence[str], *, scenario
     if pairs.bounded:
         p = F.broadcast(p)
     num = df.join(p, df[scenario] == p["__cc"], "inner").drop("__cc")
-    den = df.select(*[F.col(k).alias(f"__d_{k}") for k in keys],
-                    F.col(scenario).alias("__d_base"), F.col(value).alias("__den"))
+    # only baseline scenarios can be a denominator
+    den = (df.join(p.select("__base"), df[scenario] == F.col("__base"), "left_semi")
+           .select(*[F.col(k).alias(f"__d_{k}") for k in keys],
+                   F.col(scenario).alias("__d_base"), F.col(value).alias("__den")))
     cond = [num["__base"].eqNullSafe(den["__d_base"])] + [num[k].eqNullSafe(den[f"__d_{k}"]) for k in keys]
     joined = num.join(den, reduce(lambda a, b: a & b, cond), "left")
     ratio = ieee_div(F.col(value), F.col("__den")) - F.lit(1)
@@ -289,17 +308,10 @@ def baseline_shift(df: DataFrame, pairs: Small, keys: Sequence[str], *, scenario
 # grids and templates
 # ---------------------------------------------------------------------------
 def attach_grid(df: DataFrame, values: Small) -> DataFrame:
-    """Repeat every row of ``df`` once per row of a bounded ``values`` table."""
-    if not values.bounded:
-        raise ValueError("attach_grid needs a proven size bound on the repeated table")
+    """Repeat every row of ``df`` once per row of ``values`` (the report's own grid; broadcast only when small)."""
     return df.crossJoin(values.side())
 
 
-def distinct_small(df: DataFrame, cols: Sequence[str], bound: int | None) -> Small:
-    """Distinct values with a bound proven by the caller (e.g. a bridge size)."""
-    return Small(df.select(*cols).distinct(), bound)
-
-
 def union_all(dfs: Sequence[DataFrame]) -> DataFrame:
     """Union by column name; columns missing from an input are null.
 
@@ -314,6 +326,3 @@ def union_all(dfs: Sequence[DataFrame]) -> DataFrame:
         parts = nxt
     return parts[0]
 
-
-def min_scalar(df: DataFrame, col: str) -> Small:
-    return one_row(df.agg(F.min(col).alias(col)))

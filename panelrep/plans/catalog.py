@@ -7,7 +7,6 @@ nothing is sampled or capped.
 
 from __future__ import annotations
 
-import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +16,7 @@ from ..functions.nullmath import strict_sum
 from ..functions.text import split_key
 from ..operators.panel import Via, base_year_rows, expand, expand_and_sum, finish_sum, group_share
 from ..operators.template import conform, convert_by_category
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_folder
 from ..sources.facts import normalize, rows_to_append, stack_scenarios
 from ..sources.sinks import study_subset, study_table
 from . import standin
@@ -366,8 +365,7 @@ def group_share_q(spark, d):
     p = S.panel.filter(F.col("qty") <= 12)
     g = (p.groupBy(F.col("scenario").alias("Scenario"), "technology", "disposition", F.col("yr").alias("Year"))
          .agg(F.sum("frac").alias("value")))
-    s = group_share(g, ["Scenario", "technology", "Year"], "value", salt=S.cfg.share_salt_buckets,
-                    hot_rows=S.cfg.share_hot_rows)
+    s = group_share(g, ["Scenario", "technology", "Year"], "value", target_rows=S.cfg.share_target_rows)
     return s.withColumn("value", F.col("value").cast("double"))
 
 
@@ -397,8 +395,7 @@ def final_template_q(spark, d):
     """The whole report: every indicator written as its own job under the
     shared checkpoint folder, then read back as one template table."""
     S = stand_in(spark, d)
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/panelrep-report-{uuid.uuid4().hex}"
-    write_report(build_indicators(S.project, S.br, S.cfg), root)
+    root = write_report(build_indicators(S.project, S.br, S.cfg), scratch_folder(spark, "panelrep-report"))
     return read_report(spark, root)
 
 

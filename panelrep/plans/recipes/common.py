@@ -52,19 +52,20 @@ def rollup(df: DataFrame, group_by, values, vias, cfg: ReportConfig) -> DataFram
                           match_nulls=cfg.parity, strict=cfg.strict)
 
 
-def safe_join_keys(left: DataFrame, right: DataFrame, keys, prefix: str):
-    """Rename ``keys`` of ``right`` with ``prefix`` and return the null-safe condition."""
+def safe_join_keys(left: DataFrame, right: DataFrame, keys, prefix: str, match_nulls: bool = True):
+    """Rename ``keys`` of ``right`` with ``prefix`` and return the (null-safe, if wanted) condition."""
     r = right
     for k in keys:
         r = r.withColumnRenamed(k, f"{prefix}{k}")
     cond = None
     for k in keys:
-        c = left[k].eqNullSafe(r[f"{prefix}{k}"])
+        c = left[k].eqNullSafe(r[f"{prefix}{k}"]) if match_nulls else left[k] == r[f"{prefix}{k}"]
         cond = c if cond is None else cond & c
     return r, cond
 
 
-def left_join_on(left: DataFrame, right: DataFrame, keys, prefix: str = "__r_", how: str = "left") -> DataFrame:
-    """Left (or ``how``) join on ``keys`` matching nulls to nulls; right key columns are dropped."""
-    r, cond = safe_join_keys(left, right, keys, prefix)
+def left_join_on(left: DataFrame, right: DataFrame, keys, prefix: str = "__r_", how: str = "left",
+                 match_nulls: bool = True) -> DataFrame:
+    """Left (or ``how``) join on ``keys``, nulls matching nulls if wanted; right key columns are dropped."""
+    r, cond = safe_join_keys(left, right, keys, prefix, match_nulls)
     return left.join(r, cond, how).drop(*[f"{prefix}{k}" for k in keys])

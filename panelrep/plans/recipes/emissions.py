@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from ... import config as C
 from ...config import ReportConfig
-from ...operators.bounded import Small
-from ...operators.panel import densify, union_all
+from ...operators.panel import OBSERVED, densify, union_all
 from ...operators.template import conform, convert_by_pattern, scaled
 from .common import KEYS, KEYS_TOT, Bridges, by_item, by_region, rollup
 
@@ -27,9 +26,7 @@ def _gas_by_item(emissions: DataFrame, gases, factor, variable: str, br: Bridges
     item_bridge = br.item
     s = rollup(g, KEYS, ["value"], [by_region(br), by_item(item_bridge, "sector", "inner")], cfg)
     s = s.withColumn("Value", scaled("value", factor))  # replaces ``value``
-    # observed items are a subset of the bridge's items: the bridge size bounds them
-    grid_items = Small(s.select("Item").distinct(), item_bridge.small.max_rows)
-    s = densify(s, ["Scenario", "Region"], {"Item": grid_items, "Year": cfg.years}, {"Value": 0})
+    s = densify(s, ["Scenario", "Region"], {"Item": OBSERVED, "Year": cfg.years}, {"Value": 0})
     return conform(s, Model=cfg.model, Variable=variable, Unit="MtCO2e")
 
 

@@ -20,18 +20,17 @@ def feed_inputs(feed: DataFrame, br: Bridges, cfg: ReportConfig) -> DataFrame:
     return s.withColumn("Value", scaled("value", C.CONV_MT_TO_KT))  # replaces ``value``
 
 
-def feef(an_prod_df: DataFrame, feed_in: DataFrame) -> DataFrame:
+def feef(an_prod_df: DataFrame, feed_in: DataFrame, match_nulls: bool = True) -> DataFrame:
     """Animal production over feed use, on the production rows."""
     f = feed_in.select(*KEYS, F.col("Value").alias("__feed"))
-    j = left_join_on(an_prod_df, f, KEYS)
+    j = left_join_on(an_prod_df, f, KEYS, match_nulls=match_nulls)
     return conform(j.withColumn("Value", ieee_div("Value", "__feed")), Variable="FEEF", Unit="kg prt/kg prt")
 
 
 def feed_shares(ag_use: DataFrame, cfg: ReportConfig) -> DataFrame:
     """Share of each crop input in its feed class, per (Scenario, region, class, Year)."""
     use = ag_use.filter(F.col("sector").isin(list(cfg.feed_classes)))
-    s = group_share(use, ["Scenario", "region", "sector", "Year"], "value", salt=cfg.share_salt_buckets,
-                    hot_rows=cfg.share_hot_rows)
+    s = group_share(use, ["Scenario", "region", "sector", "Year"], "value", target_rows=cfg.share_target_rows)
     return s.select("Scenario", "region", "sector", "input", "Year", "share")
 
 
@@ -40,7 +39,7 @@ def feed_by_crop(feed: DataFrame, shares: DataFrame, cfg: ReportConfig) -> DataF
     pass-through class goes whole to its one input."""
     f = feed.withColumnRenamed("input", "feed_class")
     s = shares.withColumnRenamed("sector", "feed_class")
-    j = left_join_on(f, s, ["Scenario", "region", "feed_class", "Year"])
+    j = left_join_on(f, s, ["Scenario", "region", "feed_class", "Year"], match_nulls=cfg.parity)
     passthrough = F.col("feed_class") == F.lit(cfg.passthrough_feed_class)
     j = j.withColumn("input", if_else3(passthrough, F.lit(cfg.passthrough_feed_input), F.col("input")))
     j = j.withColumn("share", if_else3(passthrough, F.lit(1.0), F.col("share")))

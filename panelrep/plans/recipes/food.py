@@ -26,7 +26,7 @@ def demand(ag_use: DataFrame, an_use: DataFrame, br: Bridges, cfg: ReportConfig)
 
 def _per_capita(kcal: DataFrame, popt: DataFrame, variable: str, cfg: ReportConfig) -> DataFrame:
     pop = popt.select(*KEYS_TOT, F.col("Value").alias("__pop"))
-    j = left_join_on(kcal, pop, KEYS_TOT)
+    j = left_join_on(kcal, pop, KEYS_TOT, match_nulls=cfg.parity)
     v = ieee_div(scaled("value", C.CONV_PCAL_TO_GCAL), "__pop") / F.lit(C.CONV_YEAR_TO_DAYS)
     return conform(j.withColumn("Value", v), Model=cfg.model, Variable=variable, Unit="kcal/cap/d")
 

@@ -32,10 +32,10 @@ def expo(exports: DataFrame, br: Bridges, cfg: ReportConfig) -> DataFrame:
     return _densified(s, cfg.trade_items, cfg, [C.CONV_MT_TO_KT], "EXPO", "1000 t")
 
 
-def nett(expo_df: DataFrame, impo_df: DataFrame) -> DataFrame:
+def nett(expo_df: DataFrame, impo_df: DataFrame, match_nulls: bool = True) -> DataFrame:
     """Exports minus imports on the export rows."""
     imp = impo_df.select(*TEMPLATE_KEYS, F.col("Value").alias("__imp"))
-    j = left_join_on(expo_df, imp, TEMPLATE_KEYS)
+    j = left_join_on(expo_df, imp, TEMPLATE_KEYS, match_nulls=match_nulls)
     return conform(j.withColumn("Value", F.col("Value") - F.col("__imp")), Variable="NETT")
 
 

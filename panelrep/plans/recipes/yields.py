@@ -13,24 +13,24 @@ from ...operators.template import conform, convert_by_category, scaled
 from .common import KEYS, Bridges, by_item, by_region, except_, left_join_on, rollup
 
 
-def ratio_yield(area: DataFrame, prod: DataFrame, variable: str, keys) -> DataFrame:
+def ratio_yield(area: DataFrame, prod: DataFrame, variable: str, keys, match_nulls: bool = True) -> DataFrame:
     """``production / area`` on the area rows; null and NaN become 0, Inf stays."""
     p = prod.select(*keys, F.col("Value").alias("__prod"))
-    j = left_join_on(area, p, keys)
+    j = left_join_on(area, p, keys, match_nulls=match_nulls)
     v = fill_missing(ieee_div("__prod", "Value"), 0)
     return conform(j.withColumn("Value", v), Variable=variable, Unit="t/ha")
 
 
-def yild(area: DataFrame, ag_prod: DataFrame) -> DataFrame:
-    return ratio_yield(area, ag_prod, "YILD", ["Model", "Scenario", "Region", "Item", "Year"])
+def yild(area: DataFrame, ag_prod: DataFrame, match_nulls: bool = True) -> DataFrame:
+    return ratio_yield(area, ag_prod, "YILD", ["Model", "Scenario", "Region", "Item", "Year"], match_nulls)
 
 
-def yiir(arir: DataFrame, ag_prod_ir: DataFrame) -> DataFrame:
-    return ratio_yield(arir, ag_prod_ir, "YIIR", KEYS)
+def yiir(arir: DataFrame, ag_prod_ir: DataFrame, match_nulls: bool = True) -> DataFrame:
+    return ratio_yield(arir, ag_prod_ir, "YIIR", KEYS, match_nulls)
 
 
-def yirf(arrf: DataFrame, ag_prod_rf: DataFrame) -> DataFrame:
-    return ratio_yield(arrf, ag_prod_rf, "YIRF", KEYS)
+def yirf(arrf: DataFrame, ag_prod_rf: DataFrame, match_nulls: bool = True) -> DataFrame:
+    return ratio_yield(arrf, ag_prod_rf, "YIRF", KEYS, match_nulls)
 
 
 def yexo(harvested: DataFrame, ag_yield: DataFrame, br: Bridges, cfg: ReportConfig) -> DataFrame:
@@ -44,7 +44,8 @@ def yexo(harvested: DataFrame, ag_yield: DataFrame, br: Bridges, cfg: ReportConf
     y = ag_yield.withColumn("value", convert_by_category("value", "sector", cfg.biomass_sector,
                                                          C.CONV_BIO_EJ_TO_MT, 1))
     y = y.select("Scenario", "region", "technology", "sector", "Year", F.col("value").alias("__yield"))
-    j = left_join_on(base, y, ["Scenario", "region", "technology"], how=cfg.weight_join)
+    j = left_join_on(base, y, ["Scenario", "region", "technology"], how=cfg.weight_join,
+                     match_nulls=cfg.parity)
     j = j.withColumn("prod", F.col("area") * F.col("__yield")).drop("__yield")
     s = rollup(j, KEYS, ["prod", "area"],
                [by_item(except_(br.item, cfg.yexo_exclude), "sector", "inner"), by_region(br)], cfg)

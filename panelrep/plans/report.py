@@ -6,16 +6,18 @@ built once and referenced by several indicators, so Spark plans them once
 per action and reuses their exchanges.  ``final_template`` unions the
 reported ones (YECC is computed but not reported, as in the reference).
 
-At scale, write each indicator to ``Variable=<code>/`` (see
-:func:`panelrep.sources.sinks.write_by_variable`) instead of one huge plan.
+At scale, use :func:`write_report` instead of one huge plan.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 from ..config import TEMPLATE_COLUMNS, ReportConfig
 from ..operators.panel import union_all
+from ..session import file_system
 from ..sources.facts import Project
 from .recipes import emissions, feed, food, land, prices, production, totals, trade, yields
 from .recipes.common import Bridges
@@ -37,16 +39,16 @@ def build_indicators(p: Project, br: Bridges, cfg: ReportConfig, population: str
     ag = production.ag_prod_variants(t("ag_prod"), br, cfg)
     out["PROD"] = production.prod(t("ag_prod"), t("an_prod"), br, cfg, ag_variants=ag)
     out["XPRP"] = prices.xprp(t("ag_prod"), t("an_prod"), t("ag_prices"), t("an_prices"), br, cfg)
-    out["YILD"] = yields.yild(out["AREA"], ag["AG_PROD"])
-    out["YIIR"] = yields.yiir(out["ARIR"], ag["AG_PROD_IR"])
-    out["YIRF"] = yields.yirf(out["ARRF"], ag["AG_PROD_RF"])
+    out["YILD"] = yields.yild(out["AREA"], ag["AG_PROD"], cfg.parity)
+    out["YIIR"] = yields.yiir(out["ARIR"], ag["AG_PROD_IR"], cfg.parity)
+    out["YIRF"] = yields.yirf(out["ARRF"], ag["AG_PROD_RF"], cfg.parity)
     out["YEXO"] = yields.yexo(harvested, t("ag_yield"), br, cfg)
     if br.pairs is not None:
         out["YECC"] = yields.yecc(out["YEXO"], br)
     out["DEMAND"] = food.demand(t("ag_use"), t("an_use"), br, cfg)
     out["IMPO"] = trade.impo(t("imports"), br, cfg)
     out["EXPO"] = trade.expo(t("exports"), br, cfg)
-    out["NETT"] = trade.nett(out["EXPO"], out["IMPO"])
+    out["NETT"] = trade.nett(out["EXPO"], out["IMPO"], cfg.parity)
     out["FRTN"] = trade.frtn(t("fertilizer"), br, cfg)
     out["WATR"] = trade.watr(t("water"), br, cfg)
     out["CALO"] = food.calo(t("food"), out["POPT"], br, cfg)
@@ -57,7 +59,7 @@ def build_indicators(p: Project, br: Bridges, cfg: ReportConfig, population: str
     out["ECH4"] = emissions.ech4(t("emissions"), br, cfg)
     out["EN2O"] = emissions.en2o(t("emissions"), br, cfg)
     an = production.an_prod(t("an_prod"), br, cfg)
-    out["FEEF"] = feed.feef(an, feed.feed_inputs(t("feed"), br, cfg))
+    out["FEEF"] = feed.feef(an, feed.feed_inputs(t("feed"), br, cfg), cfg.parity)
     out["FEED_ALLOC"] = feed.feed_alloc(t("feed"), t("ag_use"), br, cfg)
     co2 = t("co2_prices")
     if co2 is not None:
@@ -92,11 +94,11 @@ REPORT_GROUPS = (
 
 def write_report(indicators: dict[str, DataFrame], root: str, *, threads: int = 16,
                  codes=REPORTED, groups=REPORT_GROUPS) -> str:
-    """Write the indicators to ``root/group=<n>/indicator=<code>/``, one job per group.
+    """Write the indicators to a fresh ``root/run=<id>``, one job per group; returns that run's folder.
 
-    Groups are independent plans: they run from a few driver threads (so
-    small ones overlap), each can fail and be retried alone (its own folder,
-    overwritten), and the union is a plain read of ``root``.  Indicators of
+    A group's rows go to ``group=<codes>/indicator=<code>/``.  Nothing of an
+    earlier run is read or changed.  Groups are independent plans: they run from a few driver threads (so
+    small ones overlap), and the union is a plain read of the run's folder.  Indicators of
     one group share their intermediates within the group's plan.  This is the
     way to build a report at scale; :func:`final_template` is the single-plan
     form.  Codes not listed in ``groups`` form groups of their own.
@@ -110,6 +112,7 @@ def write_report(indicators: dict[str, DataFrame], root: str, *, threads: int =
     listed = [[k for k in g if k in wanted] for g in groups]
     rest = [[k] for k in wanted if not any(k in g for g in listed)]
     todo = [g for g in listed + rest if g]
+    root = f"{root.rstrip('/')}/run={uuid.uuid4().hex}"
     if not todo:
         return root
 
@@ -120,7 +123,7 @@ def write_report(indicators: dict[str, DataFrame], root: str, *, threads: int =
         sc = df.sparkSession.sparkContext
         sc.setJobDescription(f"report group {'+'.join(group)}")
         sc.setLocalProperty("spark.scheduler.pool", f"report-{n}")  # FAIR share between groups
-        df.write.mode("overwrite").partitionBy("indicator").parquet(f"{root}/group={n}")
+        df.write.mode("overwrite").partitionBy("indicator").parquet(f"{root}/group={'-'.join(group)}")
 
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
         list(pool.map(write, list(enumerate(todo))))
@@ -128,7 +131,7 @@ def write_report(indicators: dict[str, DataFrame], root: str, *, threads: int =
 
 
 def read_report(spark, root: str) -> DataFrame:
-    """The template written by :func:`write_report` (all indicators).
+    """The template in the run folder that :func:`write_report` returned (all indicators).
 
     Read with the template schema, so a report without rows (e.g. no data in
     the reporting years) is an empty table rather than an error.
@@ -136,4 +139,7 @@ def read_report(spark, root: str) -> DataFrame:
     from ..operators.template import TEMPLATE_TYPES
 
     schema = ", ".join(f"{c} {TEMPLATE_TYPES[c]}" for c in TEMPLATE_COLUMNS)
+    fs, p = file_system(spark, root)
+    if not fs.exists(p):  # a run without indicators
+        return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(root).select(*TEMPLATE_COLUMNS)

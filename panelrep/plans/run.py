@@ -50,7 +50,7 @@ def load_bridges(spark: SparkSession, maps_dir: str, cfg: ReportConfig) -> Bridg
 
 def run_report(spark: SparkSession, project_root: str, maps_dir: str, out: str, *,
                cfg: ReportConfig | None = None, studies=("mitigdecomp",), run_date: _dt.date | None = None,
-               threads: int = 16, one_file_per_study: bool = True) -> dict[str, str]:
+               threads: int = 16, one_file_per_study: bool = False) -> dict[str, str]:
     """Build every indicator, write the report and the study subsets; return the paths."""
     cfg = cfg or ReportConfig()
     br = load_bridges(spark, maps_dir, cfg)

@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import datetime as _dt
 import threading
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +29,7 @@ from pyspark.sql import types as T
 from ..config import ReportConfig
 from ..operators.bounded import Small, prove_bound
 from ..sources.bridges import Bridge, alias_bridge, attribute_surface, bridge_from_long, bridge_from_rows
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, file_system, scratch_folder
 from ..sources.facts import Project, write_project
 from .recipes.common import Bridges
 
@@ -250,8 +249,7 @@ def waste_surface(spark: SparkSession, sf_dir: str) -> Small:
 
 
 def pairs(spark: SparkSession) -> Small:
-    return Small(spark.createDataFrame(BASELINE_PAIRS, "CC_Scenario string, NoCC_Scenario string"),
-                 len(BASELINE_PAIRS))
+    return prove_bound(spark.createDataFrame(BASELINE_PAIRS, "CC_Scenario string, NoCC_Scenario string"))
 
 
 def bridges(spark: SparkSession, sf_dir: str, cfg: ReportConfig | None = None, *, waste: bool = True) -> Bridges:
@@ -272,13 +270,13 @@ _BUILD_LOCK = threading.Lock()  # one project build at a time per process
 
 
 def _fs_exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)  # noqa: SLF001
+    fs, p = file_system(spark, path)
+    return fs.exists(p)
 
 
 def _fs_touch(spark: SparkSession, path: str) -> None:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True).close()  # noqa: SLF001
+    fs, p = file_system(spark, path)
+    fs.create(p, True).close()
 
 
 @dataclass
@@ -325,7 +323,7 @@ class StandIn:
             key = (self.sf_dir, ckpt)
             root = _ROOTS.get(key)
             if root is None or not _fs_exists(self.spark, f"{root}/{_DONE}"):
-                root = f"{ckpt}/panelrep-project-{uuid.uuid4().hex}"
+                root = scratch_folder(self.spark, "panelrep-project")
                 panel(self.spark, self.sf_dir).write.mode("overwrite").parquet(f"{root}/panel")
                 written = self.spark.read.parquet(f"{root}/panel")
                 write_project(query_tables(self.spark, self.sf_dir, written), root)

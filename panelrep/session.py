@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import io
 import os
+import re
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import SparkSession
@@ -43,33 +45,51 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
-def fast_plan_building(spark: SparkSession) -> bool:
-    """Whether per-call Python call-site capture is off for this session.
-
-    It is a static setting: sessions made by :func:`get_session` turn it off;
-    for a session created elsewhere it stays as configured there.
-    """
-    return spark.conf.get("spark.python.sql.dataFrameDebugging.enabled", "true").lower() == "false"
-
-
 _SCRATCH: str | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``; set one only if unset.
+    """The shared checkpoint folder: ``spark.checkpoint.dir``, or the one the context already has.
 
-    The fallback (local tests only) is one scratch folder per process, so
-    sessions created one after another find each other's written tables.
+    Only a ``local`` master, where all tasks share the machine, gets a scratch
+    folder of its own when neither is set (one per process, so that sessions
+    made one after another find each other's written tables).  Elsewhere an
+    unset folder is an error: executors must all see what is written there.
     """
     global _SCRATCH
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
+    sc = spark.sparkContext
+    named, current = spark.conf.get("spark.checkpoint.dir", None), sc.getCheckpointDir()
+    if not named and current:
+        return current
+    if not named:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         if _SCRATCH is None:
             _SCRATCH = tempfile.mkdtemp(prefix="panelrep-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        d = _SCRATCH
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+        named = _SCRATCH
+        spark.conf.set("spark.checkpoint.dir", named)
+    if not current or _path(spark, named).toUri().getPath().rstrip("/") not in current:
+        sc.setCheckpointDir(named)
+    return named
+
+
+def _path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+
+
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """Hadoop's (file system, path) of a path, whatever store it is in."""
+    p = _path(spark, path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p  # noqa: SLF001
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the checkpoint folder, removed when the application ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    fs, p = file_system(spark, path)
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+    return path
 
 
 _SHIPPED: set[str] = set()

@@ -4,7 +4,7 @@ A bridge maps one key (a native region, commodity or land type) to one or
 more reporting categories.  The wide files are ragged: a row lists its
 categories in columns ``Item1..ItemN`` with blanks where a row has fewer.
 All readers here return a :class:`Bridge`, a long ``(key, category)`` table
-with a proven row bound, so that joins against it can be broadcast.
+with a size bound, so that joins against it can be broadcast.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from ..operators.bounded import Small, prove_bound
 
 @dataclass(frozen=True)
 class Bridge:
-    """Long bridge ``key -> value`` with a proven size bound."""
+    """Long bridge ``key -> value`` with a size bound."""
 
     small: Small
     key: str
@@ -36,7 +36,7 @@ class Bridge:
 
     def values(self) -> Small:
         """Distinct categories of the bridge (bounded by the bridge size)."""
-        return Small(self.df.select(self.value).distinct(), self.small.max_rows)
+        return Small(self.df.select(self.value).distinct(), self.small.max_bytes)
 
     def without_null_keys(self) -> "Bridge":
         return Bridge(self.small.map_df(lambda d: d.filter(F.col(self.key).isNotNull())), self.key, self.value)
@@ -104,16 +104,15 @@ def attribute_surface(fractions_wide: DataFrame, class_col: str, region_classes:
             .select(region_col, commodity_col, out_col))
 
 
-def bridge_from_long(df: DataFrame, key: str, value: str, *, max_rows: int | None = None) -> Bridge:
-    """Wrap a long DataFrame; the bound is proven by a bounded count unless given."""
-    small = Small(df, max_rows) if max_rows is not None else prove_bound(df)
-    return Bridge(small, key, value)
+def bridge_from_long(df: DataFrame, key: str, value: str) -> Bridge:
+    """Wrap a long DataFrame; its size comes from the plan's statistics."""
+    return Bridge(prove_bound(df), key, value)
 
 
 def bridge_from_rows(spark: SparkSession, rows: list[tuple], key: str, value: str) -> Bridge:
-    """Bridge from local ``(key, value)`` pairs; the bound is the row count."""
+    """Bridge from local ``(key, value)`` pairs."""
     schema = T.StructType([T.StructField(key, T.StringType()), T.StructField(value, T.StringType())])
-    return Bridge(Small(spark.createDataFrame(rows, schema), len(rows)), key, value)
+    return Bridge(prove_bound(spark.createDataFrame(rows, schema)), key, value)
 
 
 def region_bridge_csv(spark: SparkSession, path: str) -> Bridge:

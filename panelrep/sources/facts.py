@@ -10,11 +10,15 @@ reporting-year filter is pushed into the Parquet scan.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 from typing import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import file_system
 
 # Query tables of a model project (name in the project -> short name used here).
 QUERY_TABLES = {
@@ -86,42 +90,47 @@ class Project:
         Scenario names are partition values; they are always read as text.
         """
         tables = {}
-        fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path  # noqa: SLF001
-        conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
-        key = "spark.sql.sources.partitionColumnTypeInference.enabled"
-        before = spark.conf.get(key, "true")
-        spark.conf.set(key, "false")
-        try:
-            for short in names or list(dict.fromkeys(list(QUERY_TABLES.values()) + _listed(spark, root))):
-                path = f"{root}/query={short}"
-                p = fs_path(path)
-                if not p.getFileSystem(conf).exists(p):
-                    if short in OPTIONAL_TABLES:
-                        continue
-                    raise FileNotFoundError(path)
-                df = spark.read.parquet(path)
-                if scenarios is not None:
-                    df = df.filter(F.col("scenario").isin(list(scenarios)))
-                tables[short] = df
-        finally:
-            spark.conf.set(key, before)
+        for short in names or list(dict.fromkeys(list(QUERY_TABLES.values()) + _listed(spark, root))):
+            df = read_table(spark, root, short)
+            if df is None:
+                if short in OPTIONAL_TABLES:
+                    continue
+                raise FileNotFoundError(f"{root}/query={short}")
+            if scenarios is not None:
+                df = df.filter(F.col("scenario").isin(list(scenarios)))
+            tables[short] = df
         return cls(tables, years)
 
 
+def read_table(spark: SparkSession, root: str, query: str, key: str = "scenario") -> DataFrame | None:
+    """One stored query table, all scenarios stacked by column name; ``None`` when it is not stored.
+
+    A column that only some scenarios have is null in the others, and scenario
+    names are text whatever they look like.
+    """
+    path = f"{root}/query={query}"
+    fs, p = file_system(spark, path)
+    if not fs.exists(p):
+        return None
+    found = spark.read.option("mergeSchema", True).parquet(path).schema
+    fields = [T.StructField(f.name, T.StringType()) if f.name == key else f for f in found]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    fs, p = file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
+
+
 def _listed(spark: SparkSession, root: str) -> list[str]:
     """Query names present under ``root`` (directory names ``query=<name>``)."""
-    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path  # noqa: SLF001
-    conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
-    p = fs_path(root)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("query="):
-            out.append(name[len("query="):])
-    return out
+    return [n[len("query="):] for n in _folders(spark, root) if n.startswith("query=")]
+
+
+def stored_scenarios(spark: SparkSession, root: str, query: str, key: str = "scenario") -> list[str]:
+    """Names of the scenarios a query table holds, read from its folders (no file is opened)."""
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName  # noqa: SLF001
+    return [unescape(n[len(key) + 1:]) for n in _folders(spark, f"{root}/query={query}") if n.startswith(f"{key}=")]
 
 
 def write_project(tables: Mapping[str, DataFrame], root: str, mode: str = "overwrite", threads: int = 8) -> None:
@@ -154,17 +163,38 @@ def rows_to_append(incoming: DataFrame, existing: DataFrame | None, key: str = "
 
 
 def ingest_no_clobber(spark: SparkSession, incoming: DataFrame, root: str, query: str,
-                      key: str = "scenario") -> DataFrame:
-    """Append the scenarios of ``incoming`` that ``root/query=<query>`` lacks.
+                      key: str = "scenario") -> list[str]:
+    """Adds the scenarios of ``incoming`` that ``root/query=<query>`` lacks; the names of the added ones.
 
-    Scenarios already present are left untouched, so re-running an ingest is
-    idempotent.  Returns the appended rows (lazily re-readable).
+    The new rows are written to a staging folder first and each scenario's
+    folder is then moved into place as a whole, so a scenario is stored either
+    completely or not at all, and a run that is repeated after a failure adds
+    what is still missing.  Stored scenarios are never touched.
     """
-    path = f"{root}/query={query}"
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path  # noqa: SLF001
-    conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
-    p = jvm_path(path)
-    existing = spark.read.parquet(path) if p.getFileSystem(conf).exists(p) else None
-    new = rows_to_append(incoming, existing, key)
-    new.write.partitionBy(key).mode("append").parquet(path)
-    return new
+    have = stored_scenarios(spark, root, query, key)
+    incoming = incoming.withColumn(key, F.col(key).cast("string"))
+    known = spark.createDataFrame([(n,) for n in have], f"{key} string")
+    staged = f"{root}/_staged/{uuid.uuid4().hex}"
+    rows_to_append(incoming, known, key).write.partitionBy(key).parquet(staged)
+    target = f"{root}/query={query}"
+    fs, to = file_system(spark, target)
+    fs.mkdirs(to)
+    before, unescape = set(_folders(spark, target)), \
+        spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName  # noqa: SLF001
+    added = []
+    for name in _folders(spark, staged):
+        if name.startswith(f"{key}=") and name not in before:
+            if not fs.rename(file_system(spark, f"{staged}/{name}")[1], file_system(spark, f"{target}/{name}")[1]):
+                raise OSError(f"cannot move {name} into {target}")
+            added.append(unescape(name[len(key) + 1:]))
+    fs.delete(file_system(spark, staged)[1], True)
+    return added
+
+
+def ingest_project(spark: SparkSession, tables: Mapping[str, DataFrame], root: str,
+                   key: str = "scenario") -> dict[str, list[str]]:
+    """Adds the scenarios of all query tables in one call, without clobbering; the added names per table.
+
+    Stopped between two tables, the same call adds the rest.
+    """
+    return {name: ingest_no_clobber(spark, df, root, name, key) for name, df in tables.items()}

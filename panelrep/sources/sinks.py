@@ -9,61 +9,69 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.bounded import Small
+from ..operators.bounded import Small, prove_bound
 
 
 def study_table(spark: SparkSession, studies: Mapping[str, Sequence[str]]) -> Small:
     """``(study, scenario)`` rows from named scenario lists."""
     rows = [(s, sc) for s, scs in studies.items() for sc in scs]
     schema = T.StructType([T.StructField("study", T.StringType()), T.StructField("scenario", T.StringType())])
-    return Small(spark.createDataFrame(rows, schema), len(rows))
+    return prove_bound(spark.createDataFrame(rows, schema))
 
 
 def study_subset(df: DataFrame, studies: Small, scenario: str = "Scenario") -> DataFrame:
     """Template rows tagged with every study whose list holds their scenario.
 
-    One pass for all studies; write with ``partitionBy('study')``.
+    One pass for all studies.
     """
     s = studies.side() if studies.bounded else studies.df
     s = s.select(F.col("study"), F.col("scenario").alias("__study_scenario"))
     return df.join(s, df[scenario] == s["__study_scenario"], "inner").drop("__study_scenario")
 
 
-def only_study(df: DataFrame, scenarios: Sequence[str], scenario: str = "Scenario") -> DataFrame:
-    return df.filter(F.col(scenario).isin(list(scenarios)))
+def csv_lines(df: DataFrame) -> DataFrame:
+    """One column, named by the header, of CSV lines in the reporting workflow's form.
+
+    Text is in quotes (line breaks become spaces), null is ``NA``, infinities are ``Inf`` and ``-Inf``.
+    """
+    out = []
+    for name, kind in df.dtypes:
+        c = F.col(f"`{name}`")
+        if kind == "string":
+            text = F.concat(F.lit('"'), F.replace(F.translate(c, "\r\n", "  "), F.lit('"'), F.lit('""')), F.lit('"'))
+        elif kind in ("double", "float"):
+            text = F.when(c == float("inf"), "Inf").when(c == float("-inf"), "-Inf").otherwise(c.cast("string"))
+        else:
+            text = c.cast("string")
+        out.append(F.coalesce(text, F.lit("NA")))
+    return df.select(F.concat_ws(",", *out).alias(",".join(f'"{n}"' for n in df.columns)))
 
 
 def write_template_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
-    """CSV with header; nulls are written as ``NA`` like the reporting workflow."""
-    df.write.mode(mode).option("header", True).option("nullValue", "NA").csv(path)
+    """CSV with header, its lines those of :func:`csv_lines`."""
+    # the lines are complete: with a separator that no line has, the writer adds nothing but the header
+    csv_lines(df).write.mode(mode).option("header", True).option("sep", "\u0001").option("quote", "").csv(path)
 
 
 def write_studies(df: DataFrame, studies: Small, root: str, prefixes: Mapping[str, str] | None = None,
                   run_date: _dt.date | None = None, fmt: str = "csv", one_file_per_study: bool = False) -> str:
-    """Write every study subset in one job, partitioned by study.
+    """Write every study subset to its own folder ``study=<name>``, replacing that study only.
 
     The run date is an argument (default: today) so that reruns are
-    reproducible; it becomes a path component ``run_date=<ddMonYYYY>``.
-    ``one_file_per_study`` writes each study as a single file (one task per
-    study).  Use it only for the aggregated template, whose size is bounded by
-    scenarios x regions x items x years, never for fact tables.
+    reproducible; it becomes a path component ``run_date=<ddMonYYYY>``.  Other
+    studies of the day stay as they are.  ``one_file_per_study`` writes each
+    study as a single file, by one task: only for the aggregated template,
+    whose size is scenarios x regions x items x years, never for fact tables.
     """
     stamp = (run_date or _dt.date.today()).strftime("%d%b%Y")
     out = f"{root}/run_date={stamp}"
     tagged = study_subset(df, studies)
-    if prefixes:
-        names = F.create_map(*[x for k, v in prefixes.items() for x in (F.lit(k), F.lit(v))])
-        tagged = tagged.withColumn("study", F.coalesce(names[F.col("study")], F.col("study")))
-    if one_file_per_study:
-        tagged = tagged.repartition("study")
-    writer = tagged.write.mode("overwrite").partitionBy("study")
-    if fmt == "csv":
-        writer.option("header", True).option("nullValue", "NA").csv(out)
-    else:
-        writer.parquet(out)
+    for row in studies.df.select("study").distinct().collect():  # the few names given by the caller
+        part = tagged.filter(F.col("study") == row.study).drop("study")
+        part = part.coalesce(1) if one_file_per_study else part
+        path = f"{out}/study={(prefixes or {}).get(row.study, row.study)}"
+        if fmt == "csv":
+            write_template_csv(part, path)
+        else:
+            part.write.mode("overwrite").parquet(path)
     return out
-
-
-def write_by_variable(df: DataFrame, root: str, *, mode: str = "overwrite") -> None:
-    """Write the template as ``variable=<code>/`` Parquet partitions."""
-    df.write.mode(mode).partitionBy("Variable").parquet(root)

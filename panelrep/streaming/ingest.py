@@ -1,49 +1,80 @@
 """Incremental scenario ingest with Structured Streaming.
 
-New scenario exports land as files in a folder; a file-source stream picks
-up what is new (the stream checkpoint remembers files already seen) and each
-micro-batch appends only scenarios that the project does not hold yet, so an
-existing scenario is never overwritten and a retried batch adds nothing twice.
-Run it with ``availableNow`` to drain the folder and stop (a scheduled job),
-or with a processing-time trigger to keep watching.
-
-A scenario's export is expected to arrive complete (one batch): rows of a
-scenario that is already stored are skipped.
+New scenario exports land as files in a folder; a file-source stream picks up
+what is new (the stream checkpoint remembers files already seen).  Every
+micro-batch is written under its number to an incoming area, so a retried batch
+replaces itself and a scenario may come in any number of batches.
+:func:`publish` then adds the complete scenarios to the project: each one moves
+into place as a whole, and a stored scenario is never overwritten.
+
+:func:`drain` does both for a scheduled job: it takes all files that are there,
+stops, and publishes.  With a processing-time trigger, call :func:`publish` with
+the scenarios that are known to be complete.
 """
 
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..session import ensure_checkpoint_dir
-from ..sources.facts import rows_to_append
+from ..session import ensure_checkpoint_dir, file_system
+from ..sources.facts import ingest_no_clobber
+
+
+def _incoming(root: str, query: str) -> str:
+    return f"{root}/_incoming/query={query}"
+
+
+def stage_batch(batch: DataFrame, number: int, root: str, query: str) -> None:
+    """Writes a micro-batch to its own folder of the incoming area."""
+    batch.write.mode("overwrite").parquet(f"{_incoming(root, query)}/batch={number}")
+
+
+def publish(spark: SparkSession, schema: T.StructType, root: str, query: str, scenarios: Sequence[str] | None = None, *,
+            key: str = "scenario") -> list[str]:
+    """Adds the incoming scenarios (all, or those named) that the project lacks; the names of the added ones.
+
+    The incoming rows stay where they are, so that a scenario published later
+    is whole; :func:`clear` removes them.
+    """
+    path = _incoming(root, query)
+    fs, p = file_system(spark, path)
+    if not fs.exists(p):
+        return []
+    rows = spark.read.schema(schema).parquet(path).select(schema.names)
+    if scenarios is not None:
+        rows = rows.filter(rows[key].cast("string").isin(list(scenarios)))
+    return ingest_no_clobber(spark, rows, root, query, key)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
-    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath)  # noqa: SLF001
+def clear(spark: SparkSession, root: str, query: str) -> None:
+    """Removes the incoming rows of a query table; only while no stream writes there."""
+    fs, p = file_system(spark, _incoming(root, query))
+    fs.delete(p, True)
 
 
-def append_new_scenarios(batch: DataFrame, root: str, query: str, key: str = "scenario") -> None:
-    """Append the scenarios of ``batch`` missing from ``root/query=<query>``."""
-    spark = batch.sparkSession
-    path = f"{root}/query={query}"
-    existing = spark.read.parquet(path) if _exists(spark, path) else None
-    rows_to_append(batch, existing, key).write.partitionBy(key).mode("append").parquet(path)
+def drain(spark: SparkSession, source_dir: str, schema: T.StructType, root: str, query: str, *, key: str = "scenario",
+          **options) -> list[str]:
+    """Takes all files that are there, then publishes every scenario that the project lacks."""
+    start_ingest(spark, source_dir, schema, root, query, **options).awaitTermination()
+    return publish(spark, schema, root, query, key=key)
 
 
 def start_ingest(spark: SparkSession, source_dir: str, schema: T.StructType, root: str, query: str, *,
-                 fmt: str = "parquet", key: str = "scenario", checkpoint: str | None = None,
-                 available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
-    """Start the ingest stream for one query table; returns the running query."""
+                 fmt: str = "parquet", checkpoint: str | None = None, available_now: bool = True,
+                 processing_time: str | None = None, files_per_batch: int | None = None) -> StreamingQuery:
+    """Start the stream that stages one query table's batches; returns the running query."""
     stream = spark.readStream.schema(schema).format(fmt)
+    if files_per_batch:
+        stream = stream.option("maxFilesPerTrigger", files_per_batch)
     if fmt == "csv":
         stream = stream.option("header", True)
     src = stream.load(source_dir)
     ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingest-{query}"
-    writer = (src.writeStream.foreachBatch(lambda df, _epoch: append_new_scenarios(df, root, query, key))
+    writer = (src.writeStream.foreachBatch(lambda df, number: stage_batch(df, number, root, query))
               .option("checkpointLocation", ckpt))
     if available_now:
         writer = writer.trigger(availableNow=True)

@@ -5,7 +5,7 @@ import math
 from pyspark.sql import functions as F
 
 from panelrep.operators.bounded import Small
-from panelrep.operators.panel import (Via, baseline_shift, base_year_rows, densify, expand_and_sum,
+from panelrep.operators.panel import (OBSERVED, Via, baseline_shift, base_year_rows, densify, expand_and_sum,
                                       group_share)
 from panelrep.sources.bridges import alias_bridge, bridge_from_rows
 
@@ -68,16 +68,26 @@ def test_densify_null_region_is_its_own_key(spark):
 def test_densify_with_observed_values(spark):
     df = spark.createDataFrame([("a", "r", "X", 1, 1.0), ("b", "r", "Y", 1, 2.0)],
                                "Scenario string, Region string, Item string, Year int, Value double")
-    items = Small(df.select("Item").distinct(), 10)
-    out = densify(df, ["Scenario", "Region"], {"Item": items, "Year": [1]}, {"Value": 0})
-    assert out.count() == 4
+    for items in (Small(df.select("Item").distinct(), 10), Small(df.select("Item").distinct()), OBSERVED):
+        out = densify(df, ["Scenario", "Region"], {"Item": items, "Year": [1]}, {"Value": 0})
+        assert sorted((r.Scenario, r.Item, r.Value) for r in out.collect()) == [
+            ("a", "X", 1.0), ("a", "Y", 0.0), ("b", "X", 0.0), ("b", "Y", 2.0)]
+
+
+def test_densify_keeps_null_items_and_rows_outside_the_grid(spark):
+    df = spark.createDataFrame([("a", "r", None, 1, 1.0), ("a", "r", "X", 9, None), ("a", "q", "X", 1, 3.0)],
+                               "Scenario string, Region string, Item string, Year int, Value double")
+    out = densify(df, ["Scenario", "Region"], {"Item": OBSERVED, "Year": [1, 2]}, {"Value": 0})
+    got = {(r.Region, r.Item, r.Year): r.Value for r in out.collect()}
+    assert out.columns == df.columns and len(got) == out.count() == 9
+    assert got["r", None, 1] == 1.0 and got["q", None, 2] == 0.0 and got["r", "X", 9] == 0.0
 
 
 def test_group_share_and_zero_group(spark):
     df = spark.createDataFrame([("g", "a", 1.0), ("g", "b", 3.0), ("z", "a", 0.0), ("z", "b", 0.0)],
                                "grp string, input string, value double")
-    for salt, hot in ((1, 10), (4, 10), (4, 1)):
-        got = {(r.grp, r.input): r.share for r in group_share(df, ["grp"], "value", salt=salt, hot_rows=hot).collect()}
+    for target in (10, 1):
+        got = {(r.grp, r.input): r.share for r in group_share(df, ["grp"], "value", target_rows=target).collect()}
         assert got[("g", "a")] == 0.25 and got[("g", "b")] == 0.75
         assert math.isnan(got[("z", "a")]) and math.isnan(got[("z", "b")])
 
@@ -86,13 +96,20 @@ def test_group_share_splits_a_hot_group(spark):
     # one group holds 3 of 4 thirds of the rows; a null group key is a group too
     rows = [("hot", i, 1.0) for i in range(300)] + [("cold", i, 2.0) for i in range(50)] + [(None, 0, 5.0)]
     df = spark.createDataFrame(rows, "grp string, i int, value double")
-    plain = {(r.grp, r.i): r.share for r in group_share(df, ["grp"], "value", salt=1).collect()}
-    split = group_share(df, ["grp"], "value", salt=8, hot_rows=40, max_hot=1)
+    plain = {(r.grp, r.i): r.share for r in group_share(df, ["grp"], "value").collect()}
+    split = group_share(df, ["grp"], "value", target_rows=10)  # 30 parts of the hot group
     got = {(r.grp, r.i): r.share for r in split.collect()}
-    assert got == plain and len(got) == 351
+    assert got == plain and len(got) == split.count() == 351
     assert got[("hot", 0)] == 1 / 300 and got[(None, 0)] == 1.0
 
 
+def test_group_share_splits_any_number_of_groups(spark):
+    # 1,200 groups over the target, with tied sizes, and equal rows within a group
+    df = spark.range(1200 * 6).selectExpr("cast(id % 1200 as int) grp", "1.0D value")
+    out = group_share(df, ["grp"], "value", target_rows=2)
+    assert out.count() == 7200 and out.filter("abs(share - 1 / 6D) > 1e-12").count() == 0
+
+
 def test_baseline_shift(spark):
     df = spark.createDataFrame([("CC", "r", 3.0), ("NoCC", "r", 2.0), ("CC", "q", 1.0)],
                                "Scenario string, Region string, Value double")
@@ -111,13 +128,17 @@ def test_base_year_global_min_and_override(spark):
     assert sorted(r.value for r in per.collect()) == [1.0, 2.0]
 
 
-def test_prove_bound_localizes_small_and_refuses_large(spark):
-    from panelrep.operators.bounded import prove_bound
-    small = prove_bound(spark.range(5).withColumn("k", F.col("id") * 2), limit=10, localize=8)
-    assert small.bounded and small.max_rows == 5
-    assert "Range" not in small.df._jdf.queryExecution().executedPlan().toString()  # lineage cut
-    assert sorted(r.k for r in small.df.collect()) == [0, 2, 4, 6, 8]
-    mid = prove_bound(spark.range(9), limit=10, localize=8)
-    assert mid.bounded and "Range" in mid.df._jdf.queryExecution().executedPlan().toString()
-    big = prove_bound(spark.range(11), limit=10)
-    assert not big.bounded and big.side() is big.df  # no broadcast hint without a proven bound
+def test_bound_is_the_size_of_the_plan(spark):
+    from panelrep.operators.bounded import BROADCAST_BYTES, prove_bound
+    small = prove_bound(spark.range(5))
+    assert small.bounded and small.max_bytes == 40
+    big = prove_bound(spark.range(BROADCAST_BYTES))
+    assert not big.bounded and big.side() is big.df  # no broadcast hint for a large table
+
+
+def test_base_year_per_scenario_does_not_shuffle_the_facts(spark, tmp_path):
+    spark.createDataFrame([("A", 2010, 1.0), (None, 2020, 2.0), (None, 2030, 3.0), ("A", 2020, 4.0)],
+                          "Scenario string, Year int, value double").write.parquet(str(tmp_path / "f"))
+    out = base_year_rows(spark.read.parquet(str(tmp_path / "f")), per=["Scenario"])
+    assert sorted(r.value for r in out.collect()) == [1.0, 2.0]
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()

@@ -84,7 +84,7 @@ def test_carbon_price_fills_missing_scenarios_and_skips_luc_markets(spark):
     br = _bridges(spark)
     co2 = _facts(spark, [("S", "global", 2020, 12.0), ("S", "global_LUC", 2020, 99.0), ("S", None, 2030, 1.0)],
                  "scenario string, market string, year int, value double")
-    scen = Small(spark.createDataFrame([("S",), ("T",)], "Scenario string"), 2)
+    scen = Small(spark.createDataFrame([("S",), ("T",)], "Scenario string"))
     rows = prices.ctax(co2, scen, br, CFG).collect()
     got = {(r.Scenario, r.Region, r.Year): r.Value for r in rows}
     assert len(rows) == 2 * 2 * 2  # scenarios x years x regions (R1, WLD)

@@ -76,3 +76,16 @@ def test_cli_main(spark, sf_small, tmp_path, capsys):
     empty = read_report(spark, str(out / "report"))
     assert empty.columns == ["Model", "Scenario", "Region", "Item", "Variable", "Year", "Unit", "Value"]
     assert empty.count() == 0
+
+
+def test_reports_of_different_runs_do_not_mix(spark, tmp_path):
+    from panelrep.plans.report import read_report, write_report
+    schema = "Model string, Scenario string, Region string, Item string, Variable string, Year int, Unit string, Value double"
+
+    def part(code):
+        return spark.createDataFrame([("M", "A", "r", "TOT", code, 2010, "u", 1.0)], schema)
+
+    root = str(tmp_path / "report")
+    for codes in (("POPT", "GDPT", "CTAX"), ("POPT", "GDPT"), ("GDPT", "CTAX"), ()):
+        run = write_report({c: part(c) for c in codes}, root)
+        assert sorted(r.Variable for r in read_report(spark, run).collect()) == sorted(codes)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from panelrep.config import COMMODITY_MAP_NAME_COLUMNS, WASTE_MAP_COMMODITY_COLUMN
 from panelrep.sources.bridges import (commodity_bridge_csv, demand_bridge_csv, read_map_csv, region_bridge_csv,
                                       waste_surface_csv)
-from panelrep.sources.facts import Project, ingest_no_clobber, rows_to_append, stack_scenarios
+from panelrep.sources.facts import Project, ingest_no_clobber, ingest_project, rows_to_append, stack_scenarios
 from panelrep.sources.sinks import study_subset, study_table, write_studies, write_template_csv
 
 
@@ -24,7 +24,7 @@ def test_blank_is_null_but_na_text_is_kept(spark, tmp_path):
     b = demand_bridge_csv(spark, p)
     got = sorted((r.sector, r.Variable) for r in b.df.collect())
     assert got == [("NA", "CONS"), ("NA", "FEED"), ("use_a", "FOOD")]
-    assert b.small.bounded and b.small.max_rows == 3
+    assert b.small.bounded
 
 
 def test_na_text_null_option(spark, tmp_path):
@@ -99,7 +99,48 @@ def test_template_csv_writes_na_for_null(spark, tmp_path):
     out = str(tmp_path / "csv")
     write_template_csv(df.coalesce(1), out)
     text = "".join(open(os.path.join(out, f)).read() for f in os.listdir(out) if f.endswith(".csv"))
-    assert "M,A,NA,TOT,POPT,2010,million,NA" in text
+    assert '"Model","Scenario"' in text and '"M","A",NA,"TOT","POPT",2010,"million",NA' in text
+
+
+def test_template_csv_quotes_text_and_writes_inf(spark, tmp_path):
+    df = spark.createDataFrame([('say "x", y', float("inf")), ("b", float("-inf")), ("c", 1.5)], "Item string, Value double")
+    write_template_csv(df.coalesce(1), str(tmp_path / "csv"))
+    text = "".join(open(tmp_path / "csv" / f).read() for f in os.listdir(tmp_path / "csv") if f.endswith(".csv"))
+    assert text.splitlines() == ['"Item","Value"', '"say ""x"", y",Inf', '"b",-Inf', '"c",1.5']
+    assert list(csv.reader(text.splitlines()))[1] == ['say "x", y', "Inf"]
+
+
+def test_second_study_of_a_day_leaves_the_first(spark, tmp_path):
+    df = spark.createDataFrame([("A", 1.0), ("N", 2.0)], "Scenario string, Value double")
+    day, root = dt.date(2020, 1, 2), str(tmp_path / "s")
+    for study, scenarios in (("main", ["A", "N"]), ("diet", ["N"]), ("diet", ["A"])):
+        out = write_studies(df, study_table(spark, {study: scenarios}), root, run_date=day, fmt="parquet")
+    assert sorted((r.study, r.Scenario) for r in spark.read.parquet(out).collect()) == [
+        ("diet", "A"), ("main", "A"), ("main", "N")]
+    write_studies(df, study_table(spark, {"main": ["Z"]}), root, run_date=day)  # now empty
+    assert not [f for f in os.listdir(os.path.join(out, "study=main")) if f.endswith(".parquet")]
+
+
+def test_columns_of_some_scenarios_only(spark, tmp_path):
+    root = str(tmp_path / "mixed")
+    a = spark.createDataFrame([("r", 2010, 1.0)], "region string, year int, value double")
+    b = spark.createDataFrame([("r", 2010, "CH4", 2.0)], "region string, year int, ghg string, value double")
+    a.write.parquet(f"{root}/query=emissions/scenario=01")
+    b.write.parquet(f"{root}/query=emissions/scenario=1")
+    t = Project.from_parquet(spark, root, [2010], names=["emissions"]).table("emissions")
+    assert sorted((r.Scenario, r.ghg or "", r.value) for r in t.collect()) == [("01", "", 1.0), ("1", "CH4", 2.0)]
+
+
+def test_ingest_compares_names_as_text_and_adds_all_tables(spark, tmp_path):
+    root, schema = str(tmp_path / "p"), "scenario string, region string, year int, value double"
+    one = spark.createDataFrame([("01", "r", 2010, 1.0)], schema)
+    assert ingest_no_clobber(spark, one, root, "gdp") == ["01"]
+    more = spark.createDataFrame([("1", "r", 2010, 2.0), ("SSP1", "r", 2010, 3.0), ("01", "r", 2010, 9.0)], schema)
+    assert sorted(ingest_no_clobber(spark, more, root, "gdp")) == ["1", "SSP1"]
+    added = ingest_project(spark, {"gdp": more, "population": more}, root)  # goes on where a stopped run ended
+    assert added["gdp"] == [] and sorted(added["population"]) == ["01", "1", "SSP1"]
+    t = Project.from_parquet(spark, root, [2010], names=["gdp"]).table("gdp")
+    assert sorted((r.Scenario, r.value) for r in t.collect()) == [("01", 1.0), ("1", 2.0), ("SSP1", 3.0)]
 
 
 def test_studies_in_one_pass(spark, tmp_path):
