@@ -63,3 +63,9 @@ def test_every_query_has_an_oracle():
     from panelrep.plans.catalog import QUERIES
 
     assert set(QUERIES) <= set(E.queries()) and set(QUERIES) <= set(E.oracle_sql())
+
+
+def test_entry_runs(spark):
+    df = E.entry(spark)
+    assert df.columns == ["Model", "Scenario", "Region", "Item", "Variable", "Year", "Unit", "Value"]
+    assert df.count() > 0
