@@ -39,7 +39,7 @@ ANIMAL = "('MEDIUM', 'SMALL', 'unlisted')"
 # stand-in project: panel, query tables, bridges
 # --------------------------------------------------------------------------
 SOURCES = f"""
-panel AS (
+panel_all AS (
   SELECT l.l_returnflag AS scenario, n.n_name AS region,
          CASE WHEN p.p_brand = 'Brand#25' THEN 'unlisted' ELSE p.p_type END AS sector,
          p.p_type || '_N' || CAST(s.s_nationkey AS VARCHAR) || '_'
@@ -56,7 +56,8 @@ panel AS (
   JOIN supplier s ON l.l_suppkey = s.s_suppkey
   JOIN nation n ON s.s_nationkey = n.n_nationkey
   JOIN part p ON l.l_partkey = p.p_partkey
-  WHERE year(l.l_shipdate) IN {YEARS}),
+),
+panel AS (SELECT * FROM panel_all WHERE yr IN {YEARS}),
 cust AS (
   SELECT n.n_name AS region, c.cnt AS value
   FROM (SELECT c_nationkey, count(*) AS cnt FROM customer GROUP BY c_nationkey) c
@@ -66,8 +67,11 @@ population AS (
   FROM (SELECT DISTINCT scenario, region, yr FROM panel) k JOIN cust c ON k.region = c.region),
 pop_qty AS (SELECT scenario, region, yr AS year, qty AS value FROM panel),
 land_cover AS (
-  SELECT scenario, region, technology AS landleaf, yr AS year, CAST(sum(qty) AS DECIMAL(18,2)) AS value
-  FROM panel WHERE qty > 15 GROUP BY scenario, region, technology, yr),
+  SELECT scenario, region,
+         CASE WHEN qty > 15 THEN technology
+              ELSE 'BARREN_' || regexp_extract(technology, '([^_]*_[^_]*_[^_]*)$', 1) END AS landleaf,
+         yr AS year, CAST(sum(qty) AS DECIMAL(18,2)) AS value
+  FROM panel GROUP BY 1, 2, 3, 4),
 harvests AS (
   SELECT scenario, region, technology, yr AS year, CAST(sum(frac) AS DECIMAL(18,2)) AS value
   FROM panel GROUP BY scenario, region, technology, yr),
@@ -84,8 +88,10 @@ an_prices AS (
   SELECT scenario, region, sector, yr AS year, max(price) AS value
   FROM panel WHERE sector IN {ANIMAL} GROUP BY scenario, region, sector, yr),
 ag_yield AS (
-  SELECT scenario, region, technology, sector, yr AS year, max(frac) AS value
-  FROM panel WHERE frac < 0.09 AND qty < 40 GROUP BY scenario, region, technology, sector, yr),
+  SELECT scenario, region,
+         CASE WHEN frac < 0.09 AND qty < 40 THEN technology ELSE technology || '_none' END AS technology,
+         sector, yr AS year, max(frac) AS value
+  FROM panel GROUP BY 1, 2, 3, 4, 5),
 ag_use AS (
   SELECT scenario, region, disposition AS sector, sector AS input, yr AS year, CAST(sum(qty) AS DECIMAL(18,2)) AS value
   FROM panel GROUP BY scenario, region, disposition, sector, yr),
@@ -527,22 +533,22 @@ BODIES: dict[str, str] = {
     "split_key": """SELECT k AS key,
         regexp_split_to_array(k, '[^[:alnum:]]+')[1] AS part1, regexp_split_to_array(k, '[^[:alnum:]]+')[2] AS part2,
         regexp_split_to_array(k, '[^[:alnum:]]+')[3] AS part3, regexp_split_to_array(k, '[^[:alnum:]]+')[4] AS part4
-      FROM (SELECT DISTINCT technology AS k FROM ag_prod UNION SELECT DISTINCT p_name FROM part) s""",
-    "stack_scenarios": """SELECT scenario, region, sector, yr AS year, CAST(qty AS DOUBLE) AS value FROM panel WHERE scenario = 'A'
-      UNION ALL SELECT scenario, region, sector, yr, CAST(qty AS DOUBLE) FROM panel WHERE scenario = 'N'
-      UNION ALL SELECT scenario, region, NULL, yr, CAST(qty AS DOUBLE) FROM panel WHERE scenario = 'R'""",
-    "ingest_no_clobber": """SELECT scenario, region, yr AS year, CAST(qty AS DOUBLE) AS value FROM panel
-      WHERE scenario IN ('A', 'N') AND scenario NOT IN (SELECT DISTINCT scenario FROM panel WHERE scenario = 'N')""",
+      FROM (SELECT DISTINCT technology AS k FROM panel_all WHERE NOT (sector = 'LARGE' AND yr = 1995) UNION SELECT DISTINCT p_name FROM part) s""",
+    "stack_scenarios": """SELECT scenario, region, sector, yr AS year, CAST(qty AS DOUBLE) AS value FROM panel_all WHERE scenario = 'A'
+      UNION ALL SELECT scenario, region, sector, yr, CAST(qty AS DOUBLE) FROM panel_all WHERE scenario = 'N'
+      UNION ALL SELECT scenario, region, NULL, yr, CAST(qty AS DOUBLE) FROM panel_all WHERE scenario = 'R'""",
+    "ingest_no_clobber": """SELECT scenario, region, yr AS year, CAST(qty AS DOUBLE) AS value FROM panel_all
+      WHERE scenario NOT IN (SELECT DISTINCT scenario FROM panel_all WHERE scenario = 'N')""",
     "study_subset": """SELECT s.study, t.* FROM (""" + template("popt", "POPT", "million", "TOT") + """) t
       JOIN (VALUES ('main', 'A'), ('main', 'N'), ('main', 'R'), ('alt', 'N')) AS s(study, scenario)
         ON t.Scenario = s.scenario""",
     "strict_sum": f"""SELECT scenario AS Scenario, region, sector,
         CAST({strict("CASE WHEN sector = 'unlisted' THEN NULL ELSE frac END")} AS DOUBLE) AS value
-      FROM panel GROUP BY scenario, region, sector""",
+      FROM panel_all GROUP BY scenario, region, sector""",
     "skip_sum": f"""SELECT scenario AS Scenario, region,
         CAST({strict("CASE WHEN sector = 'unlisted' THEN NULL ELSE frac END")} AS DOUBLE) AS strict_value,
         CAST(sum(CASE WHEN sector = 'unlisted' THEN NULL ELSE frac END) AS DOUBLE) AS skip_value
-      FROM panel GROUP BY scenario, region""",
+      FROM panel_all GROUP BY scenario, region""",
     "rollup_total": f"""SELECT 'PANEL' AS Model, f.scenario AS Scenario, b.report_region AS Region, 'TOT' AS Item,
         'POPT' AS Variable, CAST(f.year AS INTEGER) AS Year, 'million' AS Unit,
         CAST({strict('f.value')} AS DOUBLE) * {d(0.001)} AS Value
@@ -592,8 +598,9 @@ BODIES: dict[str, str] = {
     "inputs_densified_keep_null": template(densified("watr_sum", AREA_ITEMS), "WATR", "km3"),
     "densify_items": template(densified(f"""(SELECT f.scenario AS Scenario, g.report_region AS Region, m.Item,
           f.year AS Year, CAST({strict('f.value')} AS DOUBLE) * {d(1000.0)} AS Value
-        FROM (SELECT scenario, region, sector, yr AS year, CAST(sum(qty) AS DECIMAL(18,2)) AS value
-              FROM panel WHERE qty > 45 GROUP BY scenario, region, sector, yr) f
+        FROM (SELECT scenario, CASE WHEN qty > 45 THEN region ELSE 'elsewhere' END AS region, sector, yr AS year,
+                     CAST(sum(qty) AS DECIMAL(18,2)) AS value
+              FROM panel GROUP BY 1, 2, 3, 4) f
         JOIN ib m ON f.sector IS NOT DISTINCT FROM m.commodity_key
         LEFT JOIN rb g ON f.region = g.region
         GROUP BY f.scenario, g.report_region, m.Item, f.year)""", TRADE), "IMPO", "1000 t"),
@@ -605,9 +612,9 @@ BODIES: dict[str, str] = {
     "feed_efficiency": template("feef", "FEEF", "kg prt/kg prt"),
     "group_share": f"""SELECT g.scenario AS Scenario, g.technology, g.disposition, g.yr AS Year,
         CAST(g.value AS DOUBLE) AS value, CAST(g.value AS DOUBLE) / CAST(t.total AS DOUBLE) AS share
-      FROM (SELECT scenario, technology, disposition, yr, sum(frac) AS value FROM panel WHERE qty <= 12
+      FROM (SELECT scenario, technology, disposition, yr, sum(frac) AS value FROM panel_all
             GROUP BY scenario, technology, disposition, yr) g
-      JOIN (SELECT scenario, technology, yr, sum(frac) AS total FROM panel WHERE qty <= 12
+      JOIN (SELECT scenario, technology, yr, sum(frac) AS total FROM panel_all
             GROUP BY scenario, technology, yr) t
         ON {nsafe('g', 't', ['scenario', 'technology', 'yr'])}""",
     "feed_alloc_a": template("(SELECT * FROM feed_alloc WHERE Variable = 'FRUM')", "FRUM", "1000 t"),

@@ -105,7 +105,7 @@ def stack_scenarios_q(spark, d):
 def ingest_no_clobber_q(spark, d):
     p = stand_in(spark, d).panel
     cols = ["scenario", "region", F.col("yr").alias("year"), F.col("qty").cast("double").alias("value")]
-    incoming = p.filter(F.col("scenario").isin("A", "N")).select(*cols)
+    incoming = p.select(*cols)
     existing = p.filter(F.col("scenario") == "N").select(*cols)
     return rows_to_append(incoming, existing)
 
@@ -320,9 +320,9 @@ def inputs_densified_keep_null(spark, d):
 
 
 def densify_items(spark, d):
-    """Imports recipe over a sparse subset (large lines only), so that grid cells are missing."""
+    """Imports recipe over regions that hold large lines only, so that grid cells are missing."""
     S = stand_in(spark, d)
-    p = S.panel.filter(F.col("qty") > 45)
+    p = S.panel.withColumn("region", F.when(F.col("qty") > 45, F.col("region")).otherwise("elsewhere"))
     sparse = (p.groupBy("scenario", "region", "sector", "yr").agg(F.sum("qty").cast(standin.DEC).alias("value"))
               .select("scenario", "region", "sector", F.col("yr").alias("year"), "value"))
     return trade.impo(normalize(sparse, S.cfg.years), S.br, S.cfg)
@@ -362,8 +362,7 @@ def feed_efficiency(spark, d):
 
 def group_share_q(spark, d):
     S = stand_in(spark, d)
-    p = S.panel.filter(F.col("qty") <= 12)
-    g = (p.groupBy(F.col("scenario").alias("Scenario"), "technology", "disposition", F.col("yr").alias("Year"))
+    g = (S.panel.groupBy(F.col("scenario").alias("Scenario"), "technology", "disposition", F.col("yr").alias("Year"))
          .agg(F.sum("frac").alias("value")))
     s = group_share(g, ["Scenario", "technology", "Year"], "value", target_rows=S.cfg.share_target_rows)
     return s.withColumn("value", F.col("value").cast("double"))

@@ -2,7 +2,8 @@
 
 The model results the recipes are written for are not available, so the
 operators are exercised on a *panel* derived from the TPC-H-like tables
-(one row per line item in the years 1995, 1997, 1999, 2001):
+(one row per line item; the reporting years are 1995, 1997, 1999, 2001,
+rows of other years are stored as well and left to the year filter):
 
 * scenario = return flag (A, N, R), region = supplier nation,
 * sector = part type (``unlisted`` for Brand#25, absent from the bridges),
@@ -18,7 +19,6 @@ with the input data, and nothing is collected.
 
 from __future__ import annotations
 
-import datetime as _dt
 import threading
 from dataclasses import dataclass
 
@@ -88,21 +88,9 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _year_ranges(col: str, years) -> "F.Column":
-    """Ship dates inside the panel years, as range predicates the Parquet scan can use."""
-    cond = None
-    for y in years:
-        lo = F.lit(_dt.datetime(y, 1, 1)).cast("timestamp_ntz")
-        hi = F.lit(_dt.datetime(y + 1, 1, 1)).cast("timestamp_ntz")
-        c = (F.col(col) >= lo) & (F.col(col) < hi)
-        cond = c if cond is None else cond | c
-    return cond
-
-
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line item of the panel years (see module docstring)."""
+    """One row per line item, of every year (see module docstring)."""
     li = (read(spark, sf_dir, "lineitem")
-          .filter(_year_ranges("l_shipdate", PANEL_YEARS))
           .select("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
                   "l_returnflag", "l_linestatus", "l_shipdate"))
     sup = read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -148,9 +136,11 @@ def query_tables(spark: SparkSession, sf_dir: str, p: DataFrame | None = None) -
         "scenario", "region", y, "value")
     t["pop_qty"] = p.select("scenario", "region", y, F.col("qty").alias("value"))
     t["gdp"] = t["pop_qty"]
-    t["land_cover"] = (p.filter(F.col("qty") > 15).groupBy("scenario", "region", "technology", "yr")
-                       .agg(_sum("qty")).select("scenario", "region", F.col("technology").alias("landleaf"),
-                                                y, "value"))
+    # small lines lie on a land type of their own, which no harvest names: missing matches without missing rows
+    leaf = F.when(F.col("qty") > 15, F.col("technology")).otherwise(
+        F.concat(F.lit("BARREN_"), F.substring_index("technology", "_", -3)))
+    t["land_cover"] = (p.groupBy("scenario", "region", leaf.alias("landleaf"), "yr").agg(_sum("qty"))
+                       .select("scenario", "region", "landleaf", y, "value"))
     t["harvests"] = (p.groupBy("scenario", "region", "technology", "yr").agg(_sum("frac"))
                      .select("scenario", "region", "technology", y, "value"))
     t["ag_prod"] = (p.filter(~((F.col("sector") == "LARGE") & (F.col("yr") == PANEL_YEARS[0])))
@@ -162,8 +152,10 @@ def query_tables(spark: SparkSession, sf_dir: str, p: DataFrame | None = None) -
                       .select("scenario", "region", "sector", y, "value"))
     t["an_prices"] = (p.filter(animal).groupBy("scenario", "region", "sector", "yr")
                       .agg(F.max("price").alias("value")).select("scenario", "region", "sector", y, "value"))
-    t["ag_yield"] = (p.filter((F.col("frac") < F.lit(0.09).cast(DEC)) & (F.col("qty") < 40))
-                     .groupBy("scenario", "region", "technology", "sector", "yr").agg(F.max("frac").alias("value"))
+    known = (F.col("frac") < F.lit(0.09).cast(DEC)) & (F.col("qty") < 40)  # the others' technology has no area
+    tech = F.when(known, F.col("technology")).otherwise(F.concat("technology", F.lit("_none")))
+    t["ag_yield"] = (p.groupBy("scenario", "region", tech.alias("technology"), "sector", "yr")
+                     .agg(F.max("frac").alias("value"))
                      .select("scenario", "region", "technology", "sector", y, "value"))
     t["ag_use"] = (p.groupBy("scenario", "region", "disposition", "sector", "yr").agg(_sum("qty"))
                    .select("scenario", "region", F.col("disposition").alias("sector"), F.col("sector").alias("input"),
