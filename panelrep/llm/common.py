@@ -63,18 +63,25 @@ def owner(at: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(at) - 1), np.diff(at))
 
 
+#: Links up to this number are joined into components in one partition, without shuffles; more are dealt out.
+FEW_LINKS = 200_000
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of links (a, b): rows (id, component), component the smallest id.
 
     Large-star and small-star rounds (MapReduce connected components): every
     round is joins and grouped minima, the table shrinks towards one star per
-    component, and its lineage is cut with checkpoint().  Only two counters per
-    round reach the driver.
+    component, and its lineage is cut with checkpoint().  Only counters reach
+    the driver.  The links are counted once; few of them take one partition,
+    where the same rounds need no shuffle.
     """
-    e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
-    e, before = cut(e), None
+    e = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
+    few = e.count() <= FEW_LINKS
+    before = None
     while True:
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        e = e.coalesce(1) if few else e
+        both = e.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")) \
             .filter("u <> v").distinct()
@@ -86,6 +93,7 @@ def components(edges: DataFrame) -> DataFrame:
         if now == before:
             break
         before = now
+    e = e.coalesce(1) if few else e
     roots = e.select(F.col("v").alias("id")).distinct().select("id", F.col("id").alias("component"))
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
 

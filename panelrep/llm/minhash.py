@@ -6,9 +6,10 @@ by k places, so a shingle's values for all coordinates lie side by side.
 
 Documents with equal sets form one class, and only class representatives are
 compared.  A band bucket is never expanded into pairs: its members are first
-verified against the bucket's smallest id.  What one round of links has not
-joined is compared across the components that still share a bucket, so that no
-pair that shares a band and is similar enough stays unlinked.
+verified against the bucket's smallest id.  Those left outside the bucket's
+largest component are compared with all of it in blocks, and then with each
+other, so that no pair that shares a band and is similar enough stays in two
+components.
 """
 
 from __future__ import annotations
@@ -26,6 +27,10 @@ from .shingles import common, mix, shingle_sets
 
 UNIVERSE_BITS = 21
 BANDS, ROWS = 40, 8
+#: Members of a block, and of a bucket up to which its left-over members are compared pair by pair.
+BLOCK, PAIRWISE = 256, 16
+#: Ids of the documents in shared buckets are broadcast up to this size and joined by a shuffle beyond it.
+BROADCAST_BYTES = 16 << 20
 
 
 @lru_cache(maxsize=1)
@@ -115,6 +120,67 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return meet(pairs, sets).mapInArrow(work, "a long, b long")
 
 
+def verify_blocks(sides: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the sides 1 and 0 of each group g that join all that the groups' similar pairs join.
+
+    ``sides`` has (g, a, role).  Side 0 is dealt into blocks of about ``BLOCK``
+    members, side 1 is compared with every block by an index of its hashes, so
+    what is shuffled is side 1 once per block, never a row per pair.
+    """
+    blocks_ = sides.filter("role = 0").groupBy("g").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    own = sides.filter("role = 0").join(blocks_, "g") \
+        .select("g", F.pmod(F.xxhash64("a"), "blocks").cast("int").alias("block"), "role", "a")
+    other = sides.filter("role = 1").join(blocks_, "g") \
+        .select("g", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "role", "a")
+    rows = own.unionByName(other).join(sets, F.col("a") == F.col("id")).select("g", "block", "role", "a", "value")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, held, index, top = None, [], None, {}
+
+        def root(x: int) -> int:
+            while top.setdefault(x, x) != x:
+                top[x] = x = top[top[x]]
+            return x
+
+        for batch in batches:
+            a, b = [], []
+            cols = [batch.column(c).to_pylist() for c in ("g", "block", "role", "a")]
+            for g, block, role, member, raw in zip(*cols, batch.column("value")):
+                mine = np.frombuffer(raw.as_buffer(), np.uint64)
+                if (g, block) != here:
+                    here, held, index, top = (g, block), [], None, {}
+                if not role:
+                    held.append((member, mine.copy()))
+                    continue
+                if index is None:
+                    size = np.array([len(x) for _, x in held], np.int64)
+                    flat = np.concatenate([x for _, x in held]) if held else mine[:0]
+                    order = np.argsort(flat, kind="stable")
+                    index = (flat[order], np.repeat(np.arange(len(held)), size)[order], size)
+                values, owners, size = index
+                lo, hi = np.searchsorted(values, mine, "left"), np.searchsorted(values, mine, "right")
+                count = hi - lo
+                at = np.repeat(lo - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+                both = np.bincount(owners[at], minlength=len(held))
+                for i in np.flatnonzero(100 * both >= percent * (len(mine) + size - both)).tolist():
+                    other_ = held[i][0]
+                    if root(member) != root(other_):
+                        top[root(member)] = root(other_)
+                        a.append(max(member, other_))
+                        b.append(min(member, other_))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return rows.repartition("g", "block").sortWithinPartitions("g", "block", "role").mapInArrow(work, "a long, b long")
+
+
+def _split_seats(shared: DataFrame, parts: DataFrame) -> DataFrame:
+    """key, rep, n, part: the members, by component, of buckets that hold several components."""
+    seats = shared.select("key", "rep", "n").join(parts, F.col("rep") == F.col("id"), "left") \
+        .select("key", "rep", "n", F.coalesce("component", "rep").alias("part"))
+    split = seats.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("key")
+    return seats.join(split, "key", "left_semi")
+
+
 def near_duplicates(docs: DataFrame, width: int = 2, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -137,35 +203,43 @@ def near_duplicates(docs: DataFrame, width: int = 2, percent: int = 80) -> DataF
     first = shared.filter("rep <> leader").select(F.col("rep").alias("a"), F.col("leader").alias("b"),
                                                   F.col("n").alias("x"), F.col("leader_n").alias("y")) \
         .filter(alike).select("a", "b").distinct()
-    first = cut(first)
-    nodes = shared.select(F.col("rep").alias("doc_id")).distinct()
-    sets = cut(set_table(docs.select("doc_id", "text").join(nodes, "doc_id", "left_semi"), width))
-    links = cut(verify(first, sets, percent))
+    tried = cut(first)
+    nodes = cut(shared.select(F.col("rep").alias("doc_id")).distinct())
+    small = nodes.count() * 8 <= BROADCAST_BYTES
+    texts = docs.selectExpr("cast(doc_id as long) doc_id", "text")
+    sets = cut(set_table(texts.join(F.broadcast(nodes) if small else nodes, "doc_id", "left_semi"), width))
+    links = cut(verify(tried, sets, percent))
     parts = components(links)
-    # representatives that share a bucket but no component: all of their pairs across components
-    seats = shared.select("key", "rep", "n").join(parts, F.col("rep") == F.col("id"), "left") \
-        .select("key", "rep", "n", F.coalesce("component", "rep").alias("part"))
-    sides = seats.select("key", "part").distinct()
-    split = sides.groupBy("key").agg(F.count("*").alias("parts")).filter("parts > 1").select("key")
-    seats = cut(seats.join(split, "key", "left_semi"))
-    sides = seats.select("key", "part").distinct()
-    across = sides.select("key", F.col("part").alias("p")).join(sides.select("key", F.col("part").alias("q")), "key") \
-        .filter("p < q")
-    left = seats.select("key", F.col("part").alias("p"), F.col("rep").alias("b"), F.col("n").alias("x"))
-    right = seats.select("key", F.col("part").alias("q"), F.col("rep").alias("a"), F.col("n").alias("y"))
-    second = across.join(left, ["key", "p"]).join(right, ["key", "q"]).filter(alike) \
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct() \
-        .join(first, ["a", "b"], "left_anti")
-    more = cut(verify(cut(second), sets, percent))
-    parts = components(cut(links.unionByName(more))) if not more.isEmpty() else parts
-    # documents of a class, and classes of a doc_id with several texts, hang together
-    own = classes.select("f1", "f2", "n", "rep")
-    member = slim.join(own, ["f1", "f2", "n"], "left").select(
+    # members outside a bucket's largest component: first against all of that component, block by block
+    seats = cut(_split_seats(shared, parts))
+    size = seats.groupBy("key", "part").agg(F.count("*").alias("m"))
+    main = size.groupBy("key").agg(F.max(F.struct("m", "part")).alias("s")).select("key", F.col("s.part").alias("g"))
+    seated = cut(seats.join(main, "key"))
+    rest = seated.filter("part <> g")
+    sides = seated.filter("part = g").select("g", F.col("rep").alias("a"), F.lit(0).alias("role")).distinct() \
+        .unionByName(rest.select("g", F.col("rep").alias("a"), F.lit(1).alias("role")).distinct())
+    more = verify_blocks(sides, sets, percent)
+    # then among themselves: pair by pair in small buckets, block by block in others
+    again = rest.select("key", "rep", "n", "part")
+    count = again.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
+    again = cut(again.join(count, "key"))
+    few, many = again.filter(f"m <= {PAIRWISE}"), again.filter(f"m > {PAIRWISE}")
+    left = few.select("key", F.col("rep").alias("a"), F.col("n").alias("x"), F.col("part").alias("p"))
+    right = few.select("key", F.col("rep").alias("b"), F.col("n").alias("y"), F.col("part").alias("q"))
+    pairs = left.join(right, "key").filter("a > b and p <> q").filter(alike).select("a", "b").distinct()
+    sides = many.select(F.col("key").alias("g"), F.col("rep").alias("a"), F.explode(F.array(F.lit(0), F.lit(1))).alias("role"))
+    more = cut(more.unionByName(verify(cut(pairs.join(tried, ["a", "b"], "left_anti")), sets, percent))
+               .unionByName(verify_blocks(sides, sets, percent)))
+    links = links.unionByName(more)
+    parts = components(links)
+    # rows of a doc_id in several classes tie these together
+    member = slim.join(classes.select("f1", "f2", "n", "rep"), ["f1", "f2", "n"], "left").select(
         "doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep"))
-    several = member.filter("rep <> doc_id").join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    several = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).filter("a <> z") \
+        .select("doc_id", "a")
+    several = cut(member.join(several, "doc_id").select("a", F.col("rep").alias("b")))
     if not several.isEmpty():
-        parts = components(parts.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(
-            several.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))))
+        parts = components(links.unionByName(several))
     found = member.join(parts, F.col("rep") == F.col("id"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

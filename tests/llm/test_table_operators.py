@@ -241,3 +241,24 @@ def test_pipeline_stages_on_odd_tables(spark, odd_docs, no_docs, sf_small):
 def test_remainders(spark):
     row = spark.range(1).select(F.crc32(F.lit(17).cast("string")).alias("c")).first()
     assert row.c == zlib.crc32(b"17")
+
+
+def test_blocks_find_what_pairs_find(spark, monkeypatch):
+    from panelrep.llm import minhash as m
+
+    g = random.Random(8)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(70):  # copies that differ from the base in a quarter of their words: some link, some do not
+        t = list(base)
+        for p in g.sample(range(60), g.choice([1, 3, 5, 9])):
+            t[p] = f"x{i}_{p}"
+        rows.append((i, " ".join(t)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    _, want = brute_components([d for d, _ in rows], [t for _, t in rows], 2)
+    assert len(set(want)) > 3
+    for block, pairwise in ((256, 16), (4, 0)):
+        monkeypatch.setattr(m, "BLOCK", block)
+        monkeypatch.setattr(m, "PAIRWISE", pairwise)
+        got = {r.doc_id: r.component_id for r in m.near_duplicates(docs).collect()}
+        assert [got[i] for i in range(70)] == want
