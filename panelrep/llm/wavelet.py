@@ -193,7 +193,7 @@ class ByteBpe:
         # a token's string has one character per byte (an added token's, for ASCII, too)
         size = {i: len(t) for t, i in self.lib.get_vocab(with_added_tokens=True).items()}
         self.token_bytes = np.array([size.get(i, 0) for i in range(max(size) + 1)], np.int64)
-        self.cache = WordCache(self._words)
+        self.cache = WordCache(self._words, 1_500_000)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
