@@ -47,12 +47,11 @@ class WaveletMatrix:
         now = ids.astype(np.uint16 if top < 1 << 16 else np.uint32)
         zeros, planes = [], []
         for k in reversed(range(max(1, top.bit_length()))):
-            bit = (now >> now.dtype.type(k)) & now.dtype.type(1)
-            one = bit.astype(bool)
+            one = (now & now.dtype.type(1 << k)) != 0
             planes.append(np.packbits(one, bitorder="little"))
-            low = now[~one]
+            low = np.flatnonzero(~one)  # places are faster than masks here
             zeros.append(len(low))
-            now = np.concatenate([low, now[one]])
+            now = np.concatenate([now.take(low), now.take(np.flatnonzero(one))])
         return cls(len(ids), zeros, planes)
 
     def _rank1(self, k: int, at: np.ndarray) -> np.ndarray:
@@ -126,8 +125,8 @@ class WaveletMatrix:
         for k in reversed(range(self.bits)):
             one = np.unpackbits(self.planes[k], count=self.n, bitorder="little").view(bool)
             out = np.empty_like(now)
-            out[one] = now[self.zeros[k]:] | now.dtype.type(1 << (self.bits - 1 - k))
-            out[~one] = now[:self.zeros[k]]
+            out[np.flatnonzero(one)] = now[self.zeros[k]:] | now.dtype.type(1 << (self.bits - 1 - k))
+            out[np.flatnonzero(~one)] = now[:self.zeros[k]]
             now = out
         return now
 
