@@ -6,8 +6,6 @@ and read again as the next one's documents.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +14,7 @@ from panelrep.llm.decontam import drop_items
 from panelrep.llm.minhash import keep_one
 from panelrep.llm.queries import tokenizer_file
 from panelrep.llm.secretscan import redact
-from panelrep.session import ensure_checkpoint_dir, ship_package
+from panelrep.session import scratch_folder, ship_package
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,8 +63,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents`` of ``sf_dir``; intermediate tables go to the shared checkpoint folder."""
-    home = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    """All stages over ``documents`` of ``sf_dir``; tables between stages go to a scratch folder in the shared one."""
+    home = scratch_folder(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{home}/{k}-{name}")

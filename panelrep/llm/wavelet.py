@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import os
 import struct
-import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -23,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_folder
 from .common import blocks
 from .wordcache import WordCache
 
@@ -300,8 +299,8 @@ def read(spark: SparkSession, target: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, path: str, end_id: int = 2) -> DataFrame:
-    """Writes the shard files into a fresh folder of the shared checkpoint folder and reads them back."""
+    """Writes the shard files into a scratch folder of the shared checkpoint folder and reads them back."""
     spark = docs.sparkSession
-    target = f"{ensure_checkpoint_dir(spark)}/wavelet-{uuid.uuid4().hex}"
+    target = f"{scratch_folder(spark, 'wavelet')}/ids"
     write(docs, target, path, end_id)
     return read(spark, target)
