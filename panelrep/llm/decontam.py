@@ -33,6 +33,10 @@ REPEATS = 3
 #: Bytes of items that a task holds at a time; a larger benchmark is taken in blocks, each against all documents.
 ITEM_BYTES = 8 << 20
 
+#: Size of the tables that tell which part keys some item has; a chance hit only costs the rest of a walk.
+FILTER_BITS = 20
+_FILTER_SHIFT = np.uint64(64 - FILTER_BITS)
+
 _CLEAN = np.arange(256, dtype=np.uint8)
 _CLEAN[65:91] += 32
 _CLEAN[[0, *range(9, 14)]] = 32
@@ -97,7 +101,7 @@ class Walks:
                     if filters is None:
                         parts.append(key.copy())
                     else:
-                        good = filters[self.checks.index(seen)][(key >> np.uint64(40)).astype(np.int64)]
+                        good = filters[self.checks.index(seen)][(key >> _FILTER_SHIFT).astype(np.int64)]
                         live, key, at, c = live[good], key[good], at[good], c[good]
             at += self.moves[j][c]
         return live, mix(key), parts
@@ -129,8 +133,8 @@ class Items:
                 order = np.argsort(key, kind="stable")
                 filters = []
                 for p in parts:
-                    f = np.zeros(1 << 24, bool)
-                    f[(p >> np.uint64(40)).astype(np.int64)] = True
+                    f = np.zeros(1 << FILTER_BITS, bool)
+                    f[(p >> _FILTER_SHIFT).astype(np.int64)] = True
                     filters.append(f)
                 self.tables.append((walk, filters, key[order], item[able][order], offset[able][order]))
 

@@ -17,7 +17,7 @@ from .wordcache import WordCache
 
 SPACE = "▁"  # the tokenizer's mark for a space
 _NONE = np.iinfo(np.int32).max
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 
 
 class PieceModel:
@@ -68,7 +68,7 @@ class PieceModel:
         self.out_len = np.array([len(x) for x in out], np.int64)
         self.out_at = np.cumsum(self.out_len) - self.out_len
         self.out = np.frombuffer(b"".join(out), np.uint8)
-        self.cache = WordCache(self.encode_words)
+        self.cache = WordCache(self.encode_words, 350_000)
 
     def _hash(self, u: np.ndarray, v: np.ndarray, to: np.ndarray) -> None:
         """Two-probe table of the pairs: a slot of the first probe, else one of the second."""
