@@ -8,8 +8,15 @@ places; equal keys make candidates.
 
 Walks start at every word of an item and at every word of a document, and the
 distance of the two starts places a window of the item's size in the document.
-An item's many words times ``REPEATS`` independent walks are the repetitions
-that bring the recall; every candidate window is verified by exact edit distance.
+An item's many words times ``REPEATS`` independent walks are repetitions.
+
+Recall does not rest on words.  Runs of bytes are also looked up at every byte
+of a document, spaces or not.  A short item is dealt into one piece more than
+it may have edits, so that some piece is untouched and no window is missed; a
+longer one is looked up by all its runs of the greatest length of which random
+edits leave one untouched with probability ``TARGET``.  Bit-parallel distances
+around the run, many at a time, leave few candidates, and every candidate
+window, of walks or runs, is verified by exact edit distance.
 """
 
 from __future__ import annotations
@@ -28,8 +35,19 @@ from .shingles import mix
 #: Edits allowed, as a share of the item's bytes.
 SHARE = 0.15
 #: Steps of a walk and places sampled from it; an item uses the first tier in which some word has that many bytes after it.
-TIERS = ((64, 12), (16, 6), (1, 1))
+TIERS = ((64, 12), (16, 6))
 REPEATS = 3
+#: Least chance that some run of an item stays untouched when SHARE of its bytes are edited at random places.
+TARGET = 0.999
+#: (bytes of an item, bytes of its runs) from which TARGET holds; a smaller item is dealt into pieces, which miss nothing.
+RUNS = ((50, 8), (95, 10), (161, 12), (255, 14), (395, 16))
+#: Pieces that are checked together, and bytes and edits of the part around a run that is checked.
+GROUP = 5
+PART = 64
+LOOSE = 20
+#: Places of a document, and candidates, that are taken at a time.
+SPAN = 1 << 16
+BATCH = 1 << 14
 #: Bytes of items that a task holds at a time; a larger benchmark is taken in blocks, each against all documents.
 ITEM_BYTES = 8 << 20
 
@@ -107,8 +125,154 @@ class Walks:
         return live, mix(key), parts
 
 
+def _run_keys(words: np.ndarray, places: np.ndarray | slice, length: int) -> np.ndarray:
+    """Hashes of the runs of ``length`` bytes at the places; ``words`` has eight bytes from each place on."""
+    if length < 8:
+        key = words[places] & np.uint64((1 << 8 * length) - 1)
+    elif length == 8:
+        key = words[places]
+    else:
+        key = words[places] * np.uint64(0xD6E8FEB86659FD93) + words[length - 8:][places]
+    key = key * np.uint64(0x9E3779B97F4A7C15)
+    key ^= key >> np.uint64(29)
+    return key * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def _words(clean: np.ndarray) -> np.ndarray:
+    """Eight bytes from every place on; zeros follow the end."""
+    padded = np.append(clean, np.zeros(8, np.uint8))
+    return np.ndarray(len(clean), "<u8", padded, 0, (1,)).astype(np.uint64)
+
+
+class Runs:
+    """Byte runs of items, by length, and the parts of the items around them; items end at a zero byte in ``clean``."""
+
+    def __init__(self, clean: np.ndarray, first: np.ndarray, size: np.ndarray) -> None:
+        self.first = first
+        self.sure = np.zeros(len(size), bool)  # items of which no window is missed
+        places: dict[int, list[np.ndarray]] = defaultdict(list)
+        owners: dict[int, list[np.ndarray]] = defaultdict(list)
+        parts: list[tuple[int, int, int, int]] = []  # item, first byte, bytes, edits
+        for i, (a, m) in enumerate(zip(first.tolist(), size.tolist())):
+            if not m:
+                continue
+            most = int(SHARE * m)
+            length = max((n for least, n in RUNS if m >= least), default=0)
+            if length:
+                lasts = max(0, m - PART)
+                at = np.arange(m - length + 1)
+                owner = np.clip((at + length // 2 - PART // 4) // (PART // 2), 0, -(-lasts // (PART // 2))) + len(parts)
+                parts += [(i, a + min(b, lasts), min(m, PART), min(most, LOOSE))
+                          for b in range(0, lasts + PART // 2, PART // 2)]
+            else:
+                self.sure[i] = True
+                n = most + 1
+                length = m // n
+                at = np.arange(n) * m // n
+                groups = np.array_split(at, -(-n // GROUP))
+                owner = np.repeat(np.arange(len(groups)), [len(g) for g in groups]) + len(parts)
+                parts += [(i, a + int(g[0]), int(g[-1] - g[0]) + length, len(g) - 1) for g in groups]
+            places[length].append(at + a)
+            owners[length].append(owner)
+        self.item, self.start, self.size, self.most = np.array(parts, np.int64).reshape(-1, 4).T
+        self.masks = np.zeros((len(parts), 32), np.uint64)
+        for j in range(PART):
+            rows = np.flatnonzero(self.size > j)
+            self.masks[rows, clean[self.start[rows] + j] & 31] |= np.uint64(1 << j)
+        self.tables = []
+        kind = np.int32 if len(clean) < 1 << 31 else np.int64
+        words = _words(np.append(clean, np.zeros(16, np.uint8)))
+        self.filters: dict[int, np.ndarray] = {}  # by the first eight bytes, or fewer, of the runs
+        for length in sorted(places):
+            place, owner = np.concatenate(places[length]), np.concatenate(owners[length])
+            first_key = _run_keys(words, place, min(length, 8))
+            seen = self.filters.setdefault(min(length, 8), np.zeros(1 << FILTER_BITS, bool))
+            seen[(first_key >> _FILTER_SHIFT).view(np.int64)] = True
+            key = _run_keys(words, place, length)
+            order = np.argsort(key, kind="stable")
+            keys, at = np.unique(key[order], return_index=True)
+            known = np.zeros(1 << FILTER_BITS, bool)
+            known[(keys >> _FILTER_SHIFT).view(np.int64)] = True
+            self.tables.append((length, known, keys, np.append(at, len(key)), place[order].astype(kind),
+                                owner[order].astype(kind)))
+
+    def find(self, clean: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(items, places of runs in ``clean``, where the items begin if nothing is moved), for runs whose part is near enough."""
+        edge = np.zeros(PART + LOOSE, np.uint8)
+        text = np.concatenate([edge, clean & 31, edge, edge])
+        ends = np.flatnonzero(clean == 0)
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for x in self.hits(clean):
+            held.append(x)
+            if sum(len(y[0]) for y in held) >= BATCH:
+                yield from self.verified(text, ends, held)
+                held = []
+        yield from self.verified(text, ends, held)
+
+    def hits(self, clean: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(part, distance from it, place of the run in ``clean``) of every run that stands there, ``SPAN`` at most at a time."""
+        padded = np.append(clean, np.zeros(16, np.uint8))
+        for lo in range(0, len(clean), SPAN):
+            count = min(SPAN, len(clean) - lo)
+            words = _words(padded[lo:lo + count + 16])
+            able = {n: np.flatnonzero(known[(_run_keys(words, slice(0, count), n) >> _FILTER_SHIFT).view(np.int64)])
+                    for n, known in self.filters.items()}
+            for length, known, keys, at, place, owner in self.tables:
+                here = able[min(length, 8)]
+                key = _run_keys(words, here, length)
+                good = np.flatnonzero(known[(key >> _FILTER_SHIFT).view(np.int64)])
+                here, key = here[good], key[good]
+                i = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                good = keys[i] == key
+                here, i = here[good] + lo, i[good]
+                total = np.append(0, np.cumsum(at[i + 1] - at[i]))
+                for a in range(0, int(total[-1]), SPAN):
+                    n = np.arange(a, min(a + SPAN, int(total[-1])))
+                    hit = np.searchsorted(total, n, "right") - 1
+                    entry = at[i[hit]] + n - total[hit]
+                    yield owner[entry].astype(np.int64), here[hit] - place[entry], here[hit]
+
+    def verified(self, text: np.ndarray, ends: np.ndarray, hits: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) \
+            -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """``find`` for some hits; a part and a distance count once in a text."""
+        if hits:
+            part, moved, run = (np.concatenate(x) for x in zip(*hits))
+            place, text_no = (part << 36) + moved, np.searchsorted(ends, run)
+            order = np.lexsort((text_no, place))
+            place, text_no = place[order], text_no[order]
+            once = order[np.append(True, (np.diff(place) != 0) | (np.diff(text_no) != 0))] if len(order) else order
+            part, moved, run = part[once], moved[once], run[once]
+            for b in range(0, len(part), BATCH):
+                p, d = part[b:b + BATCH], moved[b:b + BATCH]
+                near = np.flatnonzero(self.near(text, p, d))
+                item = self.item[p[near]]
+                yield item, run[b:b + BATCH][near], d[near] + self.first[item]
+
+    def near(self, text: np.ndarray, part: np.ndarray, moved: np.ndarray) -> np.ndarray:
+        """Whether the bytes around a part's place may hold it with its edits; bytes count mod 32, in ``text`` with edges."""
+        most, size = self.most[part], self.size[part]
+        wide = int((size + 2 * most).max(initial=0))
+        at = self.start[part] + moved - most + PART + LOOSE
+        row, top = part * 32, (size - 1).astype(np.uint64)
+        masks, one = self.masks.ravel(), np.uint64(1)
+        up, down = np.full(len(part), -1, np.int64).view(np.uint64), np.zeros(len(part), np.uint64)
+        score, best = size.copy(), size.copy()
+        for j in range(wide):
+            eq = masks[row + text[at + j]]
+            x = eq | down
+            flat = (((eq & up) + up) ^ up) | eq
+            plus = down | ~(flat | up)
+            minus = up & flat
+            score += ((plus >> top) & one).view(np.int64) - ((minus >> top) & one).view(np.int64)
+            np.minimum(best, score, out=best)
+            plus <<= one
+            up = (minus << one) | ~(x | plus)
+            down = plus & x
+        return best <= most
+
+
 class Items:
-    """Walk keys of a block of benchmark items, and the items to verify against."""
+    """Walk and run keys of a block of benchmark items, and the items to verify against."""
 
     def __init__(self, ids: list, texts: list[str | None]) -> None:
         raw = [(t or "").encode() for t in texts]
@@ -120,8 +284,9 @@ class Items:
         starts = word_starts(clean)
         item = np.searchsorted(at, starts, "right") - 1
         offset = starts - at[item]
+        self.runs = Runs(clean, at[:-1], size)
         self.tables = []
-        undone = size > 0
+        undone = (size > 0) & ~self.runs.sure
         for tier, (steps, _) in enumerate(TIERS):
             able = undone[item] & (offset + steps <= size[item])
             undone[item[able]] = False
@@ -158,6 +323,9 @@ class Items:
                 t = int(text[s])
                 for k in range(int(lo[i]), int(hi[i])):
                     shifts[t, int(item[k])].add(int(starts[s] - placed[t] - offset[k]))
+        for held, run, begin in self.runs.find(clean):
+            for t, k, b in zip((np.searchsorted(placed, run, "right") - 1).tolist(), held.tolist(), begin.tolist()):
+                shifts[t, k].add(b - int(placed[t]))
         out = []
         for (t, k), found in sorted(shifts.items()):
             body = clean[placed[t]:placed[t + 1] - 1].tobytes()

@@ -265,6 +265,45 @@ def test_planted_items(spark, sf_small, no_docs):
     assert decontam.drop_items(docs, bench.limit(0)).count() == len(rows)
 
 
+def changed(g, text, edits):
+    """ASCII text with so many random edits."""
+    s = list(text)
+    for _ in range(edits):
+        p = g.randrange(len(s))
+        s[p:p + 1] = g.choice([[], [g.choice("xyz")], [s[p], "q"]])
+    return "".join(s)
+
+
+def found_in(items, docs):
+    return {(x[0], x[1]) for x in decontam.Items(list(range(len(items))), items).find(*flat(pa.array(docs)))}
+
+
+@pytest.mark.parametrize("size", [8, 15, 27, 49, 50, 64, 70, 99, 115, 130, 180, 300])
+def test_items_of_any_length_are_found_at_share_edits(size):
+    g = random.Random(size)
+    vowels = "aeiou"
+    items = ["".join(g.choice("bcdfghjklmnprstv") + g.choice(vowels) + (" " if g.random() < 0.4 else "")
+                     for _ in range(size))[:size - 1] + "e" for _ in range(200)]
+    docs = ["ZQ " * 9 + changed(g, t, int(decontam.SHARE * size)) + " zq" * 9 for t in items]
+    most = int(decontam.SHARE * size)
+    want = {(i, i) for i in range(200)  # a doubled space, which is made one, may be an edit more
+            if decontam.nearest(items[i].encode(), " ".join(docs[i].lower().split()).encode(), [27], most + 40)[0] <= most}
+    missed = want - found_in(items, docs)
+    assert len(want) > 100 and len(missed) <= (0 if size < decontam.RUNS[0][0] else 2)
+
+
+def test_run_lengths_meet_the_target():
+    from math import comb
+
+    def untouched(m, run):
+        k = int(decontam.SHARE * m)
+        return sum((-1) ** (j + 1) * comb(k + 1, j) * comb(m - j * run, k)
+                   for j in range(1, k + 2) if m - j * run >= k) / comb(m, k)
+
+    for least, run in decontam.RUNS:
+        assert all(untouched(m, run) >= decontam.TARGET for m in range(least, least + 150))
+
+
 def test_short_items_and_blocks(spark, monkeypatch):
     bench = spark.createDataFrame([(1, "yes"), (2, None), (3, ""), (4, "one two three four five")],
                                   "item_id long, text string")
