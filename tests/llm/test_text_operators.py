@@ -304,6 +304,18 @@ def test_run_lengths_meet_the_target():
         assert all(untouched(m, run) >= decontam.TARGET for m in range(least, least + 150))
 
 
+UNSPACED = ["人工智能的发展改变了人们的生活方式也带来了新的问题和挑战因此需要认真对待", "ภาษาไทยไม่มีการเว้นวรรคระหว่างคำในประโยค",
+            "今日は天気が　とても良いので　公園まで　散歩に行きました", "https://example.org/a/very/long/path?with=query&and=more#part-of-it",
+            hashlib.sha512(b"item").hexdigest(), "x=f(a,b);y=g(x);return(x+y)*2", "漢字"]
+
+
+def test_items_without_spaces_are_found_inside_running_text():
+    docs = [before + t + after for t in UNSPACED for before, after in (("其中写道", "以及其他"), ("abc", "def"), ("a ", " b"))]
+    assert {(k, k // 3) for k in range(len(docs))} <= found_in(UNSPACED, docs)
+    edited = ["前文" * 20 + t[:len(t) // 2] + "Q" + t[len(t) // 2:] + "后文" * 20 for t in UNSPACED[:-1]]
+    assert {(k, k) for k in range(len(edited))} <= found_in(UNSPACED, edited)
+
+
 def test_short_items_and_blocks(spark, monkeypatch):
     bench = spark.createDataFrame([(1, "yes"), (2, None), (3, ""), (4, "one two three four five")],
                                   "item_id long, text string")
