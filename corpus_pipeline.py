@@ -21,13 +21,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in no language: null texts and texts without a letter.
 
     The network learns from the same documents as op8 does; documents whose
-    crc32(doc_id) mod 3 is 1 are never learned from.
+    crc32(doc_id) mod 3 is 1 are never learned from.  Where no document that may
+    be learned from has a lang, the letters alone decide.
     """
     ship_package(spark)
     rest = langid.remainder(F.col("doc_id"), 3)
     model = langid.train(docs.filter(rest != 1).select("doc_id", "text", "lang"))
+    if not model.names:
+        return langid.lettered(docs)
     called = langid.identify(docs, model, ("__called", "__score"))
-    return called.filter(F.col("__called") != langid.UNKNOWN).select(docs.columns)
+    return called.filter("__score > 0").select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -103,6 +103,25 @@ def train(labelled: DataFrame, settings: Settings = Settings()) -> LangModel:
     return LangModel(names, net, settings)
 
 
+def _lettered(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether each text has a letter."""
+    lower = raw | 0x20
+    ascii_ = np.append(0, np.cumsum((lower >= 97) & (lower <= 122)))
+    out = ascii_[at[1:]] > ascii_[at[:-1]]
+    for i in np.flatnonzero(~out & (np.diff(at) > 0)):
+        out[i] = any(ch.isalpha() for ch in raw[at[i]:at[i + 1]].tobytes().decode())
+    return out
+
+
+def lettered(docs: DataFrame) -> DataFrame:
+    """The documents, with all columns, whose text has a letter."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, raw, at in blocks(batches, "text"):
+            yield rows.filter(pa.array(_lettered(raw, at)))
+
+    return docs.mapInArrow(work, docs.schema)
+
+
 def identify(docs: DataFrame, model: LangModel, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """Adds two columns to every document, its language and the score, from nothing but its whole text.
 
@@ -116,11 +135,7 @@ def identify(docs: DataFrame, model: LangModel, names: tuple[str, str] = ("lang_
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, raw, at in blocks(batches, "text"):
             best, score = model.predict(raw, at)
-            lower = raw | 0x20
-            ascii_ = np.append(0, np.cumsum((lower >= 97) & (lower <= 122)))
-            lettered = ascii_[at[1:]] > ascii_[at[:-1]]
-            for i in np.flatnonzero(~lettered & (np.diff(at) > 0)):
-                lettered[i] = any(ch.isalpha() for ch in raw[at[i]:at[i + 1]].tobytes().decode())
+            lettered = _lettered(raw, at)
             lettered &= bool(model.names)
             called = [model.names[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), lettered.tolist())]
             yield pa.RecordBatch.from_arrays(

@@ -238,6 +238,14 @@ def test_pipeline_stages_on_odd_tables(spark, odd_docs, no_docs, sf_small):
                 assert out.count() <= docs.count()
 
 
+@pytest.mark.parametrize("lang", ["cast(null as string)", "'und'", "if(crc32(cast(doc_id as string)) % 3 = 1, lang, null)"])
+def test_language_id_drops_no_lettered_document_for_its_lang(spark, sf_small, odd_docs, lang):
+    clean = spark.read.parquet(f"{sf_small}/documents.parquet").withColumn("lang", F.expr(lang))
+    assert corpus_pipeline.language_id(spark, clean, sf_small).count() == clean.count()
+    odd = odd_docs.withColumn("lang", F.expr(lang))
+    assert corpus_pipeline.language_id(spark, odd, sf_small).count() == odd.count() - 4
+
+
 def test_remainders(spark):
     row = spark.range(1).select(F.crc32(F.lit(17).cast("string")).alias("c")).first()
     assert row.c == zlib.crc32(b"17")
