@@ -18,7 +18,11 @@ from panelrep.session import scratch_folder, ship_package
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in no language: null texts and texts without a letter.
+    """Drops documents in no language, null texts and texts without a letter, and fills in a null lang.
+
+    The network's language is written where lang is null; a given lang stays.
+    Its score rejects nothing: it does not tell languages that were not learned
+    from short or mixed texts in one that was.
 
     The network learns from the same documents as op8 does; documents whose
     crc32(doc_id) mod 3 is 1 are never learned from.  Where no document that may
@@ -30,7 +34,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if not model.names:
         return langid.lettered(docs)
     called = langid.identify(docs, model, ("__called", "__score"))
-    return called.filter("__score > 0").select(docs.columns)
+    return called.filter("__score > 0").withColumn("lang", F.coalesce("lang", "__called")).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

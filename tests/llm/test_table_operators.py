@@ -246,6 +246,16 @@ def test_language_id_drops_no_lettered_document_for_its_lang(spark, sf_small, od
     assert corpus_pipeline.language_id(spark, odd, sf_small).count() == odd.count() - 4
 
 
+def test_language_id_fills_in_null_languages_only(spark, sf_small):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    lang = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
+    holes = docs.withColumn("lang", F.expr("if(doc_id % 5 = 0, null, lang)"))
+    got = {r.doc_id: r.lang for r in corpus_pipeline.language_id(spark, holes, sf_small).select("doc_id", "lang").collect()}
+    assert all(got[d] == lang[d] for d in got if d % 5)
+    filled = [got[d] == lang[d] for d in got if d % 5 == 0]
+    assert len(filled) > 50 and sum(filled) / len(filled) > 0.97
+
+
 def test_remainders(spark):
     row = spark.range(1).select(F.crc32(F.lit(17).cast("string")).alias("c")).first()
     assert row.c == zlib.crc32(b"17")
