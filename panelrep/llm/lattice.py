@@ -29,7 +29,7 @@ from .shingles import mix
 TABLES = 14
 BLOCKS = 3
 PROBES = 8
-CELL = 0.30  # edge of the lattice, in units of the unit vectors
+CELL = 0.30  # edge of the lattice, in units of the unit vectors, for 64 dimensions and a link cosine of 0.9
 #: A cell with so many vectors is searched for balls.
 CROWD = 24
 
@@ -85,9 +85,17 @@ def _projection(dims: int, table: int) -> np.ndarray:
 _COMBINED = np.array(sorted(itertools.product(range(4), repeat=BLOCKS), key=sum))
 
 
-def cell_keys(unit: np.ndarray, table: int) -> np.ndarray:
+def edge(dims: int, cosine: float) -> float:
+    """``CELL`` for other dimensions and links: it grows as the distance of a just linked pair in a block of eight does.
+
+    Points are kept in bytes, so it has a least value; a larger edge only adds candidates.
+    """
+    return max(CELL * math.sqrt(64 / max(dims, 8) * max(1 - cosine, 0.0) / 0.1), 0.02)
+
+
+def cell_keys(unit: np.ndarray, table: int, cosine: float = 0.9) -> np.ndarray:
     """64-bit cell keys of unit vectors in a table: (n, 1 + PROBES), the own cell first."""
-    z = unit @ _projection(unit.shape[1], table) / CELL
+    z = unit @ _projection(unit.shape[1], table) / edge(unit.shape[1], cosine)
     found = [near_points(z[:, 8 * i:8 * i + 8], 4) for i in range(BLOCKS)]
     dist = sum(d[:, _COMBINED[:, i]] for i, (_, d) in enumerate(found))
     order = np.argsort(dist, axis=1, kind="stable")[:, :1 + PROBES]
@@ -121,7 +129,7 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _cells(nodes: DataFrame) -> DataFrame:
+def _cells(nodes: DataFrame, cosine: float) -> DataFrame:
     """node, key, home: the cells of every vector."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,7 +143,7 @@ def _cells(nodes: DataFrame) -> DataFrame:
                     unit = _unit(np.frombuffer(b"".join(values[i] for i in part), np.float64)
                                  .reshape(len(part), -1))
                     for t in range(TABLES):
-                        keys = cell_keys(unit, t)
+                        keys = cell_keys(unit, t, cosine)
                         home = np.zeros(keys.shape, bool)
                         home[:, 0] = True
                         yield pa.RecordBatch.from_arrays(
@@ -199,7 +207,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
     able = rows.filter("value is not null")
     nodes = able.groupBy("value").agg(F.count("*").alias("weight"), F.min("vec_id").alias("low"))
     nodes = cut(nodes.select(F.monotonically_increasing_id().alias("node"), "value", "weight", "low"))
-    cells = cut(_cells(nodes))
+    cells = cut(_cells(nodes, cosine))
     balls = cut(_balls(cells, nodes, cosine))
     seats = cut(cells.join(balls, "node", "left").select(
         "key", "node", "home", F.coalesce("ball", "node").alias("ball"), F.col("ball").isNotNull().alias("dense"))

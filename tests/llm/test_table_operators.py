@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
-from panelrep.llm import histshard, minhash
+from panelrep.llm import histshard, lattice, minhash
 from panelrep.llm.common import components
 from panelrep.llm.lattice import near_points, near_vectors
 from panelrep.llm.queries import QUERIES
@@ -151,6 +151,34 @@ def test_near_vectors(spark):
     assert near_vectors(df.limit(0)).count() == 0
 
 
+def pairs_at(g, dims, cosine, n):
+    """Unit vectors a and b in pairs of that cosine."""
+    a, b = g.normal(size=(2, n, dims))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    return a, cosine * a + np.sqrt(1 - cosine ** 2) * b
+
+
+@pytest.mark.parametrize("dims", [4, 8, 16, 32, 48, 64, 128, 768])
+def test_linked_pairs_share_cells_in_any_dimension(dims):
+    for cosine, link in ((0.9, 0.9), (0.91, 0.9), (0.93, 0.9), (0.8, 0.8), (0.95, 0.95)):
+        a, b = pairs_at(np.random.default_rng(dims), dims, cosine, 300)
+        hit = np.zeros(300, bool)
+        for t in range(lattice.TABLES):
+            x, y = lattice.cell_keys(a, t, link), lattice.cell_keys(b, t, link)
+            hit |= (x[:, :1] == y).any(axis=1) | (y[:, :1] == x).any(axis=1)
+        assert hit.mean() >= 0.96, (cosine, link)
+
+
+def test_planted_pairs_in_32_dimensions(spark):
+    a, b = pairs_at(np.random.default_rng(5), 32, 0.905, 150)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(np.concatenate([a, b]))],
+                               "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.component_id for r in near_vectors(df, 0.9).collect()}
+    assert sum(got[i] == got[150 + i] for i in range(150)) >= 0.95 * 150
+
+
 def test_equal_vectors_and_null_ids(spark):
     df = spark.createDataFrame([(4, [1.0, 0.0]), (2, [1.0, 0.0]), (None, [1.0, 0.0]), (4, [1.0, 0.0])],
                                "vec_id long, embedding array<float>")
