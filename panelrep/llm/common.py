@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
@@ -112,3 +112,16 @@ def meet(pairs: DataFrame, table: DataFrame, per_copy: int = 500) -> DataFrame:
         .join(table, F.col("b") == F.col("id")) \
         .select("b", "copy", F.lit(0).alias("role"), F.col("b").alias("a"), "value")
     return partners.unionByName(own).repartition("b", "copy").sortWithinPartitions("b", "copy", "role")
+
+
+def top_rows(df: DataFrame, keys: list[str], order: list[Column], top: int, ways: int = 64) -> DataFrame:
+    """The first ``top`` rows of every key with their rank; tasks give parts, so that no task gets all rows of a key.
+
+    Each of ``ways`` groups of source partitions keeps its first rows of a key, of which the first are taken.
+    """
+    part, rank = "__part", "rank"
+    first = Window.partitionBy(*keys, part).orderBy(*order)
+    some = df.withColumn(part, F.spark_partition_id() % ways).withColumn(rank, F.row_number().over(first)) \
+        .filter(F.col(rank) <= top).drop(part)
+    return some.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))) \
+        .filter(F.col(rank) <= top)
