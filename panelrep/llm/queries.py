@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import piece, wavelet
+from . import lemp, lexical, piece, wavelet
 from .common import read
 from .decontam import find_items
 from .histshard import shard_documents
 from .langid import language_table
 from .lattice import near_vectors
 from .minhash import near_duplicates
+from .quality import quality_table
 from .secretscan import digest, scan
 from .tokencount import count_tokens
 from .toxicity import toxicity_table
@@ -64,6 +65,19 @@ def op10_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read(spark, sf_dir, "documents"), 40)
 
 
+def op11_shared_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), top=10)
+
+
+def op12_random_index_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_table(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), threshold=0.3)
+
+
+def op13_lemp_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lemp.mine_negatives(read(spark, sf_dir, "embeddings"), positives=5, negatives=3, every=50)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_compression_toxicity, op2_lattice_near_vectors, op3_circulant_minhash, op4_cgk_decontamination,
-    op5_unigram_token_counts, op6_secret_automaton, op7_piece_merge_rounds, op8_language_gru, op9_wavelet_matrix, op10_histogram_sort)}
+    op5_unigram_token_counts, op6_secret_automaton, op7_piece_merge_rounds, op8_language_gru, op9_wavelet_matrix, op10_histogram_sort,
+    op11_shared_lexical_search, op12_random_index_quality, op13_lemp_negatives)}

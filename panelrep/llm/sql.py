@@ -1,3 +1,50 @@
 """DuckDB SQL for the registered queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+_SEARCH = r"""
+WITH tok AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM tok GROUP BY ALL),
+len AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY ALL),
+tot AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM len),
+item AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY ALL),
+wt AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM df, tot),
+sc AS (
+  SELECT item_id, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms))))::BIGINT AS score
+  FROM item JOIN wt USING (term) JOIN tf USING (term) JOIN len USING (doc_id), tot
+  GROUP BY ALL),
+rk AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM sc WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM rk WHERE rank <= 10
+"""
+
+_NEGATIVES = """
+WITH able AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pair AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM able a JOIN able b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+pos AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM pair WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+neg AS (
+  SELECT anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS rank
+  FROM pos JOIN pair USING (anchor_id)
+  WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 3
+"""
+
+ORACLE: dict[str, str] = {"op11_shared_lexical_search": _SEARCH, "op13_lemp_negatives": _NEGATIVES}
