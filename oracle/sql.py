@@ -58,6 +58,10 @@ panel_all AS (
   JOIN part p ON l.l_partkey = p.p_partkey
 ),
 panel AS (SELECT * FROM panel_all WHERE yr IN {YEARS}),
+shifted AS (
+  SELECT scenario, region, sector, yr + CASE scenario WHEN 'N' THEN 2 WHEN 'R' THEN 4 ELSE 0 END AS year,
+         CAST(sum(qty) AS DECIMAL(18,2)) AS value
+  FROM panel_all GROUP BY 1, 2, 3, 4),
 cust AS (
   SELECT n.n_name AS region, c.cnt AS value
   FROM (SELECT c_nationkey, count(*) AS cnt FROM customer GROUP BY c_nationkey) c
@@ -76,9 +80,9 @@ harvests AS (
   SELECT scenario, region, technology, yr AS year, CAST(sum(frac) AS DECIMAL(18,2)) AS value
   FROM panel GROUP BY scenario, region, technology, yr),
 ag_prod AS (
-  SELECT scenario, region, sector, technology, yr AS year, CAST(sum(qty) AS DECIMAL(18,2)) AS value
-  FROM panel WHERE NOT (sector = 'LARGE' AND yr = 1995)
-  GROUP BY scenario, region, sector, technology, yr),
+  SELECT scenario, region, CASE WHEN sector = 'LARGE' AND yr = 1995 THEN 'LARGE_start' ELSE sector END AS sector,
+         technology, yr AS year, CAST(sum(qty) AS DECIMAL(18,2)) AS value
+  FROM panel GROUP BY 1, 2, 3, 4, 5),
 an_prod AS (
   SELECT scenario, region, sector, yr AS year, CAST(sum(qty) AS DECIMAL(18,2)) AS value
   FROM panel WHERE sector IN {ANIMAL} GROUP BY scenario, region, sector, yr),
@@ -128,8 +132,9 @@ feed AS (
   FROM panel WHERE sector IN {ANIMAL} GROUP BY scenario, region, sector, disposition, yr),
 co2_prices AS (
   SELECT scenario, market, yr AS year, max(frac) AS value
-  FROM (SELECT scenario, yr, frac, CASE WHEN disposition = 'outside' THEN 'global_LUC' ELSE 'global' END AS market
-        FROM panel WHERE scenario IN ('N', 'R')) c
+  FROM (SELECT scenario, yr, frac,
+               CASE WHEN disposition = 'outside' OR scenario = 'A' THEN 'global_LUC' ELSE 'global' END AS market
+        FROM panel) c
   GROUP BY scenario, market, yr),
 rb_wide AS (
   SELECT n.n_name AS region, 'G' || CAST(n.n_nationkey % 7 AS VARCHAR) AS r1,
@@ -533,12 +538,16 @@ BODIES: dict[str, str] = {
     "split_key": """SELECT k AS key,
         regexp_split_to_array(k, '[^[:alnum:]]+')[1] AS part1, regexp_split_to_array(k, '[^[:alnum:]]+')[2] AS part2,
         regexp_split_to_array(k, '[^[:alnum:]]+')[3] AS part3, regexp_split_to_array(k, '[^[:alnum:]]+')[4] AS part4
-      FROM (SELECT DISTINCT technology AS k FROM panel_all WHERE NOT (sector = 'LARGE' AND yr = 1995) UNION SELECT DISTINCT p_name FROM part) s""",
+      FROM (SELECT DISTINCT technology AS k FROM panel_all UNION SELECT DISTINCT p_name FROM part) s""",
     "stack_scenarios": """SELECT scenario, region, sector, yr AS year, CAST(qty AS DOUBLE) AS value FROM panel_all WHERE scenario = 'A'
       UNION ALL SELECT scenario, region, sector, yr, CAST(qty AS DOUBLE) FROM panel_all WHERE scenario = 'N'
       UNION ALL SELECT scenario, region, NULL, yr, CAST(qty AS DOUBLE) FROM panel_all WHERE scenario = 'R'""",
     "ingest_no_clobber": """SELECT scenario, region, yr AS year, CAST(qty AS DOUBLE) AS value FROM panel_all
       WHERE scenario NOT IN (SELECT DISTINCT scenario FROM panel_all WHERE scenario = 'N')""",
+    "ingest_two_writers": "SELECT scenario, region, yr AS year, CAST(qty AS DOUBLE) AS value FROM panel_all",
+    "per_scenario_base": """SELECT f.scenario AS Scenario, f.region, f.sector, f.year AS Year, CAST(f.value AS DOUBLE) AS value
+      FROM shifted f JOIN (SELECT scenario, min(year) AS first FROM shifted WHERE year IN """ + YEARS + """
+                           GROUP BY scenario) b ON f.scenario = b.scenario AND f.year = b.first""",
     "study_subset": """SELECT s.study, t.* FROM (""" + template("popt", "POPT", "million", "TOT") + """) t
       JOIN (VALUES ('main', 'A'), ('main', 'N'), ('main', 'R'), ('alt', 'N')) AS s(study, scenario)
         ON t.Scenario = s.scenario""",

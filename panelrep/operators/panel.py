@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
-from typing import Iterable, Sequence
+from typing import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -218,27 +218,46 @@ def _densify_joined(df: DataFrame, nest: Sequence[str], grid: dict) -> DataFrame
 # base period
 # ---------------------------------------------------------------------------
 def base_year_rows(df: DataFrame, year: str = "Year", *, override: Column | None = None,
-                   per: Sequence[str] | None = None) -> DataFrame:
+                   per: Sequence[str] | None = None, first: Mapping[str | None, int] | None = None,
+                   scenario: str = "Scenario") -> DataFrame:
     """Rows of the first year; ``override`` rows are kept as well.
 
     By default the first year is the minimum over the whole table.  ``per``
-    takes the minimum per group instead (e.g. per scenario): the minima become
-    one map value, at most one entry per group, that every row looks itself up
-    in.  Either way the base is a scalar subquery, so no fact row is shuffled.
+    takes the minimum per group instead (e.g. per scenario).
+
+    ``first`` gives the first year of each scenario where the project's manifest
+    tells it.  Then nothing is computed from the facts: the base years are plain
+    predicates, on the year and, per scenario, on the partition column, one for
+    each base year that occurs.  Otherwise the base is a scalar subquery, so no
+    fact row is shuffled; per group the minima are one map value, at most one
+    entry per group, that every row looks itself up in.
     """
-    if per:
+    if first is not None and (not per or list(per) == [scenario]):
+        keep = _first_year(first, year, scenario, bool(per))
+    elif per:
         key = F.to_json(F.struct(*per), {"ignoreNullFields": "false"})
         mins = df.groupBy(key.alias("__k")).agg(F.min(year).alias("__base"))
         bases = mins.agg(F.map_from_entries(F.collect_list(F.struct("__k", "__base")))).scalar()
         keep = F.col(year) == F.element_at(bases, key)
-        if override is not None:
-            keep = keep | override
-        return df.filter(keep)
-    base = df.agg(F.min(year)).scalar()
-    keep = F.col(year) == base
-    if override is not None:
-        keep = keep | override
-    return df.filter(keep)
+    else:
+        keep = F.col(year) == df.agg(F.min(year)).scalar()
+    return df.filter(keep if override is None else keep | override)
+
+
+def _first_year(first: Mapping[str | None, int], year: str, scenario: str, per: bool) -> Column:
+    if not first:
+        return F.lit(False)
+    if not per:
+        return F.col(year) == F.lit(min(first.values()))
+    having: dict[int, list[str | None]] = {}
+    for name, y in first.items():
+        having.setdefault(y, []).append(name)
+    out = []
+    for y, names in sorted(having.items()):
+        texts = sorted(n for n in names if n is not None)
+        who = F.col(scenario).isin(texts) if texts else F.lit(False)
+        out.append((F.col(year) == F.lit(y)) & ((who | F.col(scenario).isNull()) if None in names else who))
+    return reduce(lambda a, b: a | b, out)
 
 
 # ---------------------------------------------------------------------------

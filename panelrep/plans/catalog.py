@@ -17,21 +17,23 @@ from ..functions.text import split_key
 from ..operators.panel import Via, base_year_rows, expand, expand_and_sum, finish_sum, group_share
 from ..operators.template import conform, convert_by_category
 from ..session import scratch_folder
-from ..sources.facts import normalize, rows_to_append, stack_scenarios
+from ..sources import store
+from ..sources.facts import Project, ingest_no_clobber, normalize, read_table, write_project
 from ..sources.sinks import study_subset, study_table
 from . import standin
 from .recipes import emissions, feed, food, land, prices, production, totals, trade, yields
 from .recipes.common import KEYS
 from .report import build_indicators, final_template, read_report, write_report
 
-_CACHE: dict = {}
+_CACHE: dict[str, standin.StandIn] = {}
 
 
 def stand_in(spark: SparkSession, sf_dir: str) -> standin.StandIn:
-    key = (id(spark), sf_dir)
-    if key not in _CACHE:
-        _CACHE[key] = standin.StandIn(spark, sf_dir)
-    return _CACHE[key]
+    """The stand-in project of a folder; another session gets one of its own."""
+    held = _CACHE.get(sf_dir)
+    if held is None or held.spark is not spark:
+        held = _CACHE[sf_dir] = standin.StandIn(spark, sf_dir)
+    return held
 
 
 def _raw(df: DataFrame, value: str = "value") -> DataFrame:
@@ -93,21 +95,53 @@ def split_key_q(spark, d):
 
 
 def stack_scenarios_q(spark, d):
+    """Scenarios stored one after another, one of them without a column, read as one table."""
     p = stand_in(spark, d).panel
     cols = [F.col("scenario"), F.col("region"), F.col("sector"), F.col("yr").alias("year"),
             F.col("qty").cast("double").alias("value")]
-    frames = [p.filter(F.col("scenario") == "A").select(*cols),
-              p.filter(F.col("scenario") == "N").select(*cols),
-              p.filter(F.col("scenario") == "R").select(*cols).drop("sector")]
-    return stack_scenarios(frames)
+    root = scratch_folder(spark, "panelrep-stacked")
+    for name, df in (("R", p.select(*cols).drop("sector")), ("A", p.select(*cols)), ("N", p.select(*cols))):
+        ingest_no_clobber(spark, df.filter(F.col("scenario") == name), root, "panel")
+    return read_table(spark, root, "panel")
 
 
 def ingest_no_clobber_q(spark, d):
     p = stand_in(spark, d).panel
     cols = ["scenario", "region", F.col("yr").alias("year"), F.col("qty").cast("double").alias("value")]
-    incoming = p.select(*cols)
-    existing = p.filter(F.col("scenario") == "N").select(*cols)
-    return rows_to_append(incoming, existing)
+    root = scratch_folder(spark, "panelrep-ingest")
+    ingest_no_clobber(spark, p.filter(F.col("scenario") == "N").select(*cols), root, "panel")
+    added = ingest_no_clobber(spark, p.select(*cols), root, "panel")
+    return store.read(spark, root, "panel", store.snapshot(spark, root), added).select("scenario", "region", "year", "value")
+
+
+def ingest_two_writers(spark, d):
+    """A project after one ingest that stopped before its commit and two that overlapped (S4): every scenario whole, once.
+
+    The writer that comes second brings other values for a scenario that is stored by then; they are left out.
+    """
+    p = stand_in(spark, d).panel.select("scenario", "region", F.col("yr").alias("year"),
+                                        F.col("qty").cast("double").alias("value"))
+    root, other = scratch_folder(spark, "panelrep-writers"), p.withColumn("value", -F.col("value"))
+    store.Ingest(spark, root).add("panel", other)  # never committed
+    first, second = store.Ingest(spark, root), store.Ingest(spark, root)
+    second.add("panel", other.filter(F.col("scenario") == "A").unionByName(p.filter(F.col("scenario") != "A")))
+    first.add("panel", p.filter(F.col("scenario") == "A"))
+    first.commit()
+    second.commit()
+    return read_table(spark, root, "panel")
+
+
+def per_scenario_base(spark, d):
+    """Base-year rows where every scenario has a first year of its own, told by the manifest."""
+    S = stand_in(spark, d)
+    later = F.when(F.col("scenario") == "N", 2).when(F.col("scenario") == "R", 4).otherwise(0)
+    facts = (S.panel.groupBy("scenario", "region", "sector", (F.col("yr") + later).alias("year"))
+             .agg(F.sum("qty").cast(standin.DEC).alias("value")))
+    root = scratch_folder(spark, "panelrep-base")
+    write_project({"ag_prod": facts}, root)
+    p = Project.from_parquet(spark, root, S.cfg.years, names=["ag_prod"])
+    return _raw(base_year_rows(p.table("ag_prod"), per=["Scenario"], first=p.first_years["ag_prod"])) \
+        .select("Scenario", "region", "sector", "Year", "value")
 
 
 def study_subset_q(spark, d):
@@ -246,27 +280,28 @@ def base_year_override(spark, d):
 
 def price_index(spark, d):
     S = stand_in(spark, d)
-    return prices.xprp(S.t("ag_prod"), S.t("an_prod"), S.t("ag_prices"), S.t("an_prices"), S.br, S.cfg)
+    return prices.xprp(S.t("ag_prod"), S.t("an_prod"), S.t("ag_prices"), S.t("an_prices"), S.br, S.cfg,
+                       S.project.first_years)
 
 
 def exog_yield_index(spark, d):
     S = stand_in(spark, d)
     harvested = land.harvested_area_df(S.t("harvests"), land.land_df(S.t("land_cover")))
-    return yields.yexo(harvested, S.t("ag_yield"), S.br, S.cfg)
+    return yields.yexo(harvested, S.t("ag_yield"), S.br, S.cfg, S.project.first_years)
 
 
 def price_index_safe(spark, d):
     """XPRP with the safe defaults: no null bridge keys, weights without a price dropped."""
     S = stand_in(spark, d)
     return prices.xprp(S.t("ag_prod"), S.t("an_prod"), S.t("ag_prices"), S.t("an_prices"), S.safe_br,
-                       S.cfg.with_(parity=False))
+                       S.cfg.with_(parity=False), S.project.first_years)
 
 
 def exog_yield_index_safe(spark, d):
     """YEXO with the safe defaults: no null-key fan-out, areas without a yield dropped."""
     S = stand_in(spark, d)
     harvested = land.harvested_area_df(S.t("harvests"), land.land_df(S.t("land_cover")))
-    return yields.yexo(harvested, S.t("ag_yield"), S.safe_br, S.cfg.with_(parity=False))
+    return yields.yexo(harvested, S.t("ag_yield"), S.safe_br, S.cfg.with_(parity=False), S.project.first_years)
 
 
 def per_capita_net_waste_skip(spark, d):
@@ -414,6 +449,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "split_key": split_key_q,
     "stack_scenarios": stack_scenarios_q,
     "ingest_no_clobber": ingest_no_clobber_q,
+    "ingest_two_writers": ingest_two_writers,
+    "per_scenario_base": per_scenario_base,
     "study_subset": study_subset_q,
     "strict_sum": strict_sum_q,
     "skip_sum": skip_sum,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -12,6 +13,7 @@ from ...operators.bounded import Small
 from ...operators.panel import Via, expand_and_sum
 from ...sources.bridges import Bridge
 
+FirstYears = Mapping[str, Mapping[str | None, int]]  # table -> scenario -> first reporting year
 KEYS = ["Scenario", "Region", "Item", "Year"]
 KEYS_TOT = ["Scenario", "Region", "Year"]
 

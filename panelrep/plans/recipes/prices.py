@@ -11,7 +11,7 @@ from ...functions.nullmath import contains_or_false, ieee_div, strict_sum
 from ...operators.bounded import Small
 from ...operators.panel import attach_grid, base_year_rows, densify, union_all
 from ...operators.template import conform, convert_by_category, scaled
-from .common import KEYS, Bridges, by_item, by_region, left_join_on, only, rollup
+from .common import KEYS, Bridges, FirstYears, by_item, by_region, left_join_on, only, rollup
 from .production import ag_prod_df, an_prod_df
 
 BASE_KEYS = ["Scenario", "region", "sector"]
@@ -31,14 +31,16 @@ def _base_revenue(base: DataFrame, prices: DataFrame, cfg: ReportConfig) -> Data
 
 
 def xprp(ag_prod: DataFrame, an_prod_tbl: DataFrame, ag_prices: DataFrame, an_prices: DataFrame,
-         br: Bridges, cfg: ReportConfig) -> DataFrame:
+         br: Bridges, cfg: ReportConfig, first: FirstYears | None = None) -> DataFrame:
+    """Price index; ``first`` has the first years of ``ag_prod`` and ``an_prod`` where they are known."""
+    first = first or {}
     per = ["Scenario"] if cfg.per_scenario_base else None
     crops = ag_prod_df(ag_prod, cfg)
     override = (F.col("sector") == cfg.biomass_sector) & (F.col("Year") == cfg.biomass_weight_year)
-    crop_base = base_year_rows(crops, override=override, per=per)
+    crop_base = base_year_rows(crops, override=override, per=per, first=first.get("ag_prod"))
     crop_base = crop_base.withColumn("value", convert_by_category("value", "sector", cfg.biomass_sector,
                                                                   C.CONV_BIO_EJ_TO_MT, 1))
-    animal_base = base_year_rows(an_prod_df(an_prod_tbl), per=per)
+    animal_base = base_year_rows(an_prod_df(an_prod_tbl), per=per, first=first.get("an_prod"))
     both = union_all([_base_revenue(crop_base, ag_prices, cfg), _base_revenue(animal_base, an_prices, cfg)])
     s = rollup(both, KEYS, ["revenue", "prod"],
                [by_item(only(br.item, cfg.price_items), "sector", "inner"), by_region(br)], cfg)

@@ -10,7 +10,7 @@ from ...config import ReportConfig
 from ...functions.nullmath import fill_missing, ieee_div
 from ...operators.panel import base_year_rows, baseline_shift
 from ...operators.template import conform, convert_by_category, scaled
-from .common import KEYS, Bridges, by_item, by_region, except_, left_join_on, rollup
+from .common import KEYS, Bridges, FirstYears, by_item, by_region, except_, left_join_on, rollup
 
 
 def ratio_yield(area: DataFrame, prod: DataFrame, variable: str, keys, match_nulls: bool = True) -> DataFrame:
@@ -33,13 +33,16 @@ def yirf(arrf: DataFrame, ag_prod_rf: DataFrame, match_nulls: bool = True) -> Da
     return ratio_yield(arrf, ag_prod_rf, "YIRF", KEYS, match_nulls)
 
 
-def yexo(harvested: DataFrame, ag_yield: DataFrame, br: Bridges, cfg: ReportConfig) -> DataFrame:
+def yexo(harvested: DataFrame, ag_yield: DataFrame, br: Bridges, cfg: ReportConfig,
+         first: FirstYears | None = None) -> DataFrame:
     """Σ(base-year area x yield) / Σ base-year area, x10 (kg/m2 -> t/ha).
 
     The base-year area of a technology weights its yield in every year; a
-    technology without a yield keeps a null sector, year and product.
+    technology without a yield keeps a null sector, year and product.  ``first``
+    has the first years of ``harvests`` where they are known.
     """
-    base = base_year_rows(harvested, per=["Scenario"] if cfg.per_scenario_base else None).drop("Year")
+    base = base_year_rows(harvested, per=["Scenario"] if cfg.per_scenario_base else None,
+                          first=(first or {}).get("harvests")).drop("Year")
     base = base.select("Scenario", "region", "technology", F.col("value").alias("area"))
     y = ag_yield.withColumn("value", convert_by_category("value", "sector", cfg.biomass_sector,
                                                          C.CONV_BIO_EJ_TO_MT, 1))

@@ -38,11 +38,11 @@ def build_indicators(p: Project, br: Bridges, cfg: ReportConfig, population: str
     out.update(land.areas(harvested, br, cfg))
     ag = production.ag_prod_variants(t("ag_prod"), br, cfg)
     out["PROD"] = production.prod(t("ag_prod"), t("an_prod"), br, cfg, ag_variants=ag)
-    out["XPRP"] = prices.xprp(t("ag_prod"), t("an_prod"), t("ag_prices"), t("an_prices"), br, cfg)
+    out["XPRP"] = prices.xprp(t("ag_prod"), t("an_prod"), t("ag_prices"), t("an_prices"), br, cfg, p.first_years)
     out["YILD"] = yields.yild(out["AREA"], ag["AG_PROD"], cfg.parity)
     out["YIIR"] = yields.yiir(out["ARIR"], ag["AG_PROD_IR"], cfg.parity)
     out["YIRF"] = yields.yirf(out["ARRF"], ag["AG_PROD_RF"], cfg.parity)
-    out["YEXO"] = yields.yexo(harvested, t("ag_yield"), br, cfg)
+    out["YEXO"] = yields.yexo(harvested, t("ag_yield"), br, cfg, p.first_years)
     if br.pairs is not None:
         out["YECC"] = yields.yecc(out["YEXO"], br)
     out["DEMAND"] = food.demand(t("ag_use"), t("an_use"), br, cfg)

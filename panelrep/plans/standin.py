@@ -28,7 +28,8 @@ from pyspark.sql import types as T
 
 from ..config import ReportConfig
 from ..operators.bounded import Small, prove_bound
-from ..sources.bridges import Bridge, alias_bridge, attribute_surface, bridge_from_long, bridge_from_rows
+from ..sources.bridges import (Bridge, alias_bridge, attribute_surface, bridge_from_long, bridge_from_rows,
+                               long_bridge)
 from ..session import ensure_checkpoint_dir, file_system, scratch_folder
 from ..sources.facts import Project, write_project
 from .recipes.common import Bridges
@@ -143,7 +144,9 @@ def query_tables(spark: SparkSession, sf_dir: str, p: DataFrame | None = None) -
                        .select("scenario", "region", "landleaf", y, "value"))
     t["harvests"] = (p.groupBy("scenario", "region", "technology", "yr").agg(_sum("frac"))
                      .select("scenario", "region", "technology", y, "value"))
-    t["ag_prod"] = (p.filter(~((F.col("sector") == "LARGE") & (F.col("yr") == PANEL_YEARS[0])))
+    # large parts of the first year have a sector of their own, which no bridge names: a hole in their item's years
+    early = (F.col("sector") == "LARGE") & (F.col("yr") == PANEL_YEARS[0])
+    t["ag_prod"] = (p.withColumn("sector", F.when(early, "LARGE_start").otherwise(F.col("sector")))
                     .groupBy("scenario", "region", "sector", "technology", "yr").agg(_sum("qty"))
                     .select("scenario", "region", "sector", "technology", y, "value"))
     t["an_prod"] = (p.filter(animal).groupBy("scenario", "region", "sector", "yr").agg(_sum("qty"))
@@ -185,9 +188,9 @@ def query_tables(spark: SparkSession, sf_dir: str, p: DataFrame | None = None) -
                           .select("scenario", "region", y, "value"))
     t["feed"] = (p.filter(animal).groupBy("scenario", "region", "sector", "disposition", "yr").agg(_sum("price"))
                  .select("scenario", "region", "sector", F.col("disposition").alias("input"), y, "value"))
-    t["co2_prices"] = (p.filter(F.col("scenario").isin("N", "R"))
-                       .withColumn("market", F.when(F.col("disposition") == "outside", "global_LUC")
-                                   .otherwise("global"))
+    # scenario A has land-use prices only, which the report does not take
+    luc = (F.col("disposition") == "outside") | (F.col("scenario") == "A")
+    t["co2_prices"] = (p.withColumn("market", F.when(luc, "global_LUC").otherwise("global"))
                        .groupBy("scenario", "market", "yr").agg(F.max("frac").alias("value"))
                        .select("scenario", "market", y, "value"))
     return t
@@ -203,18 +206,20 @@ def project(spark: SparkSession, sf_dir: str) -> Project:
     return Project(query_tables(spark, sf_dir), PANEL_YEARS)
 
 
-def region_bridge(spark: SparkSession, sf_dir: str) -> Bridge:
-    """nation -> 'G<key mod 7>', its region name (none for MIDDLE EAST), 'WLD'; nation 24 left out."""
+def region_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide: nation, 'G<key mod 7>', its region name (none for MIDDLE EAST), 'WLD'; nation 24 left out."""
     n = read(spark, sf_dir, "nation")
     r = read(spark, sf_dir, "region")
-    wide = (n.filter(F.col("n_nationkey") != 24).join(r, n.n_regionkey == r.r_regionkey)
+    return (n.filter(F.col("n_nationkey") != 24).join(r, n.n_regionkey == r.r_regionkey)
             .select(F.col("n_name").alias("region"),
                     F.concat(F.lit("G"), (F.col("n_nationkey") % 7).cast("string")).alias("Region1"),
                     F.when(F.col("r_name") != "MIDDLE EAST", F.col("r_name")).alias("Region2"),
                     F.lit("WLD").alias("Region3")))
-    long = (wide.unpivot(["region"], ["Region1", "Region2", "Region3"], "__slot", "report_region")
-            .filter(F.col("report_region").isNotNull()).select("region", "report_region"))
-    return bridge_from_long(long, "region", "report_region")
+
+
+def region_bridge(spark: SparkSession, sf_dir: str) -> Bridge:
+    wide = region_map(spark, sf_dir)
+    return bridge_from_long(long_bridge(wide, "region", "report_region"), "region", "report_region")
 
 
 def item_bridge(spark: SparkSession, keep_null_keys: bool = True) -> Bridge:

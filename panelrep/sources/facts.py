@@ -1,16 +1,14 @@
 """Fact tables: one long table per model query, all scenarios stacked.
 
-Layout on storage (Parquet)::
-
-    <root>/query=<name>/scenario=<scenario>/part-*.parquet
-
-so that reading one query with a scenario filter prunes partitions, and the
-reporting-year filter is pushed into the Parquet scan.
+A project is stored as :mod:`panelrep.sources.store` describes: Parquet files per
+query and scenario, named by a manifest.  A load takes the files of the wanted
+scenarios from the manifest, and the reporting-year filter is pushed into the
+Parquet scan.  Plain ``<root>/query=<name>/scenario=<s>/`` folders without a
+manifest can be read as well.
 """
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 from typing import Iterable, Mapping, Sequence
 
@@ -19,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import file_system
+from . import store
 
 # Query tables of a model project (name in the project -> short name used here).
 QUERY_TABLES = {
@@ -59,11 +58,17 @@ def stack_scenarios(frames: Iterable[DataFrame]) -> DataFrame:
 
 
 class Project:
-    """Named fact tables, each normalized on access (year filter, renames)."""
+    """Named fact tables, each normalized on access (year filter, renames).
 
-    def __init__(self, tables: Mapping[str, DataFrame], years: Sequence[int]):
+    ``first_years`` gives for a table the first reporting year of each scenario
+    where the store knows it.
+    """
+
+    def __init__(self, tables: Mapping[str, DataFrame], years: Sequence[int],
+                 first_years: Mapping[str, Mapping[str | None, int]] | None = None):
         self._tables = dict(tables)
         self.years = tuple(years)
+        self.first_years = dict(first_years or {})
         self._normalized: dict[str, DataFrame] = {}
 
     def has(self, name: str) -> bool:
@@ -84,75 +89,75 @@ class Project:
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str, years: Sequence[int],
-                     scenarios: Sequence[str] | None = None, names: Sequence[str] | None = None) -> "Project":
+                     scenarios: Sequence[str] | None = None, names: Sequence[str] | None = None,
+                     version: int | None = None) -> "Project":
         """Open every query table under ``root`` (absent optional ones are skipped).
 
-        Scenario names are partition values; they are always read as text.
+        All tables are of one version of the project, the latest or the one
+        given.  Scenario names are always read as text.
         """
-        tables = {}
-        for short in names or list(dict.fromkeys(list(QUERY_TABLES.values()) + _listed(spark, root))):
-            df = read_table(spark, root, short)
+        snap = store.snapshot(spark, root, version)
+        tables, first = {}, {}
+        for short in names or list(dict.fromkeys(list(QUERY_TABLES.values()) + listed(spark, root))):
+            if snap is None:
+                df = read_plain(spark, root, short)
+                if df is not None and scenarios is not None:
+                    df = df.filter(F.col("scenario").isin(list(scenarios)))
+            else:
+                df = store.read(spark, root, short, snap, scenarios)
+                known = snap.first_years(short, years)
+                if known is not None:
+                    first[short] = {s: y for s, y in known.items() if scenarios is None or s in scenarios}
             if df is None:
                 if short in OPTIONAL_TABLES:
                     continue
                 raise FileNotFoundError(f"{root}/query={short}")
-            if scenarios is not None:
-                df = df.filter(F.col("scenario").isin(list(scenarios)))
             tables[short] = df
-        return cls(tables, years)
+        return cls(tables, years, first)
 
 
-def read_table(spark: SparkSession, root: str, query: str, key: str = "scenario") -> DataFrame | None:
+def read_table(spark: SparkSession, root: str, query: str, key: str = "scenario",
+               version: int | None = None) -> DataFrame | None:
     """One stored query table, all scenarios stacked by column name; ``None`` when it is not stored.
 
     A column that only some scenarios have is null in the others, and scenario
     names are text whatever they look like.
     """
+    snap = store.snapshot(spark, root, version)
+    return read_plain(spark, root, query, key) if snap is None else store.read(spark, root, query, snap, key=key)
+
+
+def read_plain(spark: SparkSession, root: str, query: str, key: str = "scenario") -> DataFrame | None:
+    """:func:`read_table` for plain folders without a manifest: the columns come from the files' footers.
+
+    What an ingest has written but not committed is left out.
+    """
     path = f"{root}/query={query}"
-    fs, p = file_system(spark, path)
-    if not fs.exists(p):
+    paths = [f"{path}/{n}" for n in folders(spark, path) if n.startswith(f"{key}=")]
+    if not paths:
         return None
-    found = spark.read.option("mergeSchema", True).parquet(path).schema
+    found = spark.read.option("mergeSchema", True).option("basePath", path).parquet(*paths).schema
     fields = [T.StructField(f.name, T.StringType()) if f.name == key else f for f in found]
-    return spark.read.schema(T.StructType(fields)).parquet(path)
+    return spark.read.schema(T.StructType(fields)).option("basePath", path).parquet(*paths)
 
 
-def _folders(spark: SparkSession, path: str) -> list[str]:
+def folders(spark: SparkSession, path: str) -> list[str]:
     fs, p = file_system(spark, path)
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
 
 
-def _listed(spark: SparkSession, root: str) -> list[str]:
+def listed(spark: SparkSession, root: str) -> list[str]:
     """Query names present under ``root`` (directory names ``query=<name>``)."""
-    return [n[len("query="):] for n in _folders(spark, root) if n.startswith("query=")]
-
+    return [n[len("query="):] for n in folders(spark, root) if n.startswith("query=")]
 
-def stored_scenarios(spark: SparkSession, root: str, query: str, key: str = "scenario") -> list[str]:
-    """Names of the scenarios a query table holds, read from its folders (no file is opened)."""
-    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName  # noqa: SLF001
-    return [unescape(n[len(key) + 1:]) for n in _folders(spark, f"{root}/query={query}") if n.startswith(f"{key}=")]
-
-
-def write_project(tables: Mapping[str, DataFrame], root: str, mode: str = "overwrite", threads: int = 8) -> None:
-    """Store query tables as ``root/query=<name>/scenario=<s>/`` Parquet.
-
-    The tables are independent jobs; they are submitted from a few driver
-    threads so that small tables do not leave the cluster idle.
-    """
-    from concurrent.futures import ThreadPoolExecutor
-
-    from pyspark import inheritable_thread_target
 
+def write_project(tables: Mapping[str, DataFrame], root: str, threads: int = 8) -> dict[str, list[str]]:
+    """Store query tables in one commit, without clobbering; the added scenarios per table."""
     if not tables:
-        return
-
-    @inheritable_thread_target(next(iter(tables.values())).sparkSession)  # job group, pool, tags follow
-    def write(item):
-        name, df = item
-        df.write.mode(mode).partitionBy("scenario").parquet(f"{root}/query={name}")
-
-    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        list(pool.map(write, tables.items()))
+        return {}
+    new = store.Ingest(next(iter(tables.values())).sparkSession, root)
+    new.add_all(tables, threads)
+    return new.commit()
 
 
 def rows_to_append(incoming: DataFrame, existing: DataFrame | None, key: str = "scenario") -> DataFrame:
@@ -166,35 +171,19 @@ def ingest_no_clobber(spark: SparkSession, incoming: DataFrame, root: str, query
                       key: str = "scenario") -> list[str]:
     """Adds the scenarios of ``incoming`` that ``root/query=<query>`` lacks; the names of the added ones.
 
-    The new rows are written to a staging folder first and each scenario's
-    folder is then moved into place as a whole, so a scenario is stored either
-    completely or not at all, and a run that is repeated after a failure adds
-    what is still missing.  Stored scenarios are never touched.
+    They become visible together, with the commit at the end.  Stored scenarios
+    are never touched.
     """
-    have = stored_scenarios(spark, root, query, key)
-    incoming = incoming.withColumn(key, F.col(key).cast("string"))
-    known = spark.createDataFrame([(n,) for n in have], f"{key} string")
-    staged = f"{root}/_staged/{uuid.uuid4().hex}"
-    rows_to_append(incoming, known, key).write.partitionBy(key).parquet(staged)
-    target = f"{root}/query={query}"
-    fs, to = file_system(spark, target)
-    fs.mkdirs(to)
-    before, unescape = set(_folders(spark, target)), \
-        spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName  # noqa: SLF001
-    added = []
-    for name in _folders(spark, staged):
-        if name.startswith(f"{key}=") and name not in before:
-            if not fs.rename(file_system(spark, f"{staged}/{name}")[1], file_system(spark, f"{target}/{name}")[1]):
-                raise OSError(f"cannot move {name} into {target}")
-            added.append(unescape(name[len(key) + 1:]))
-    fs.delete(file_system(spark, staged)[1], True)
-    return added
-
-
-def ingest_project(spark: SparkSession, tables: Mapping[str, DataFrame], root: str,
-                   key: str = "scenario") -> dict[str, list[str]]:
-    """Adds the scenarios of all query tables in one call, without clobbering; the added names per table.
-
-    Stopped between two tables, the same call adds the rest.
+    return ingest_project(spark, {query: incoming}, root, key)[query]
+
+
+def ingest_project(spark: SparkSession, tables: Mapping[str, DataFrame], root: str, key: str = "scenario",
+                   threads: int = 8) -> dict[str, list[str]]:
+    """Adds the scenarios of all query tables in one commit, without clobbering; the added names per table.
+
+    Stopped before the commit, nothing of the call is visible, and the same
+    call does it all again.
     """
-    return {name: ingest_no_clobber(spark, df, root, name, key) for name, df in tables.items()}
+    new = store.Ingest(spark, root, key)
+    new.add_all(tables, threads)
+    return new.commit()

@@ -40,7 +40,7 @@ def test_share_join_is_salted(spark, sf_small):
 def test_base_year_filter_reaches_the_scan(spark, sf_small):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        plan = _plan(catalog.price_index(spark, sf_small))
+        plan = _plan(catalog.base_year_rows_q(spark, sf_small))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     pushed = [line for line in plan.splitlines() if "PushedFilters" in line and "ScalarSubquery" in line]
