@@ -626,6 +626,9 @@ BODIES: dict[str, str] = {
       JOIN (SELECT scenario, technology, yr, sum(frac) AS total FROM panel_all
             GROUP BY scenario, technology, yr) t
         ON {nsafe('g', 't', ['scenario', 'technology', 'yr'])}""",
+    "heavy_groups": """SELECT sector, disposition, count(*) AS rows FROM panel_all GROUP BY sector, disposition
+      HAVING count(*) * 40 > (SELECT count(*) FROM panel_all)""",
+    "feed_alloc_scaled": template("(SELECT * REPLACE (Value * CAST(1000 AS DOUBLE) AS Value) FROM feed_alloc)", None, "1000 t"),
     "feed_alloc_a": template("(SELECT * FROM feed_alloc WHERE Variable = 'FRUM')", "FRUM", "1000 t"),
     "feed_alloc_b": template("(SELECT * FROM feed_alloc WHERE Variable = 'FDRY')", "FDRY", "1000 t"),
     "feed_alloc_c": template("(SELECT * FROM feed_alloc WHERE Variable = 'FNRM')", "FNRM", "1000 t"),

@@ -99,6 +99,7 @@ class ReportConfig:
     ``per_scenario_base``: base year per scenario instead of over the whole
     table (oddity Q11).
     ``feed_alloc_factor``: factor on FRUM/FDRY/FNRM (oddity Q3; reference = 1).
+    ``exact_sums``: sums of doubles that do not depend on the order of rows.
     ``pre_aggregate``: sum facts at their native grain before bridge fan-out.
     ``null_policy``: ``strict`` (a null input nulls its group, the reference)
     or ``skip`` (sums ignore nulls; oddity Q13).
@@ -131,6 +132,7 @@ class ReportConfig:
     studies: dict = field(default_factory=lambda: dict(STUDIES))
     parity: bool = True
     per_scenario_base: bool = False
+    exact_sums: bool = True
     feed_alloc_factor: float = 1
     pre_aggregate: bool = True
     share_target_rows: int = 1_000_000

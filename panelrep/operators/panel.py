@@ -12,8 +12,8 @@ Scale notes
   fans the much smaller result out through the bridges.  A hot key (one
   region holding a third of all rows) is absorbed by the partial aggregation.
 * :func:`group_share` replaces a window over the group (one task per group)
-  by an aggregate and a join back on group and part, with as many parts as
-  the group's rows need.
+  by an aggregate and a join back on group and part; a sketch of frequent keys
+  tells which groups need how many parts before any join.
 * :func:`densify` gathers the cells of a nest key once and adds the missing
   ones to that list: no join, and no second scan of the facts.
 """
@@ -27,8 +27,8 @@ from typing import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.nullmath import (ROWS, fill_missing, ieee_div, row_count_part, strict_sum, strict_sum_merge,
-                                  strict_sum_parts)
+from ..functions import exactsum
+from ..functions.nullmath import (ROWS, fill_missing, ieee_div, row_count_part, strict_sum_merge, strict_sum_parts)
 from .bounded import Small
 
 
@@ -90,51 +90,96 @@ def _dedupe(cols: Iterable[str]) -> list[str]:
     return out
 
 
+def _with_limbs(df: DataFrame, values: Sequence[str], exact: bool) -> tuple[DataFrame, list[str]]:
+    """Adds the columns of order-free sums to the values that are doubles; the names of those values."""
+    types = dict(df.dtypes)
+    doubles = [v for v in values if exact and types[v] in ("double", "float")]
+    new = {f"{v}__b": exactsum.bin_of(F.col(v)) for v in doubles}
+    for v in doubles:
+        new |= dict(zip([f"{v}__{k}" for k in "012x"], exactsum.limbs(F.col(v))))
+    return df.withColumns(new) if new else df, doubles
+
+
+def _sums(values: Sequence[str], doubles: Sequence[str]) -> list[str]:
+    """Names of the columns of a state that are summed when states merge."""
+    return [c for v in values for c in ([f"{v}__{k}" for k in "012x"] if v in doubles else [f"{v}__s"]) + [f"{v}__n"]] \
+        + [ROWS]
+
+
+def _merge(state: DataFrame, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    return state.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def sum_state(df: DataFrame, keys: Sequence[str], values: Sequence[str], exact: bool = True) -> DataFrame:
+    """Strict-sum state of ``values`` by ``keys`` (see :func:`bridged_state`), without bridges."""
+    df, doubles = _with_limbs(df, values, exact)
+    parts = []
+    for v in values:
+        parts += [F.sum(f"{v}__{k}").alias(f"{v}__{k}") for k in "012x"] + [F.count(v).alias(f"{v}__n")] \
+            if v in doubles else strict_sum_parts(v, v)
+    return df.groupBy(*keys, *[f"{v}__b" for v in doubles]).agg(*parts, row_count_part())
+
+
 def bridged_state(df: DataFrame, group_by: Sequence[str], values: Sequence[str], vias: Sequence[Via], *,
-                  pre_aggregate: bool = True, match_nulls: bool = True) -> DataFrame:
+                  pre_aggregate: bool = True, match_nulls: bool = True, exact: bool = True) -> DataFrame:
     """Strict-sum *state* of ``values`` by ``group_by`` after bridge expansion.
 
     Output columns: ``group_by``, ``<v>__s`` (sum), ``<v>__n`` (non-null
-    count) per value, and ``__rows``.  Finish with :func:`finish_sum`; states
-    can be filtered and re-merged (one pass for several variants).
+    count) per value, and ``__rows``.  A double value has, unless ``exact`` is
+    off, a key ``<v>__b`` and sums ``<v>__0`` to ``<v>__2`` and ``<v>__x``
+    instead of ``<v>__s`` (:mod:`panelrep.functions.exactsum`), so that its sum
+    does not depend on the order of the rows.  Finish with :func:`finish_sum`;
+    states can be filtered and re-merged (one pass for several variants).
     """
     outs = {v.out_col for v in vias}
     native = _dedupe([c for c in group_by if c not in outs] + [v.on for v in vias])
-    parts = [p for v in values for p in strict_sum_parts(v, v)] + [row_count_part()]
-    if pre_aggregate:
-        pre = df.groupBy(*native).agg(*parts)
-        wide = expand_all(pre, vias, match_nulls=match_nulls)
-        return wide.groupBy(*group_by).agg(
-            *[F.sum(f"{v}__s").alias(f"{v}__s") for v in values],
-            *[F.sum(f"{v}__n").alias(f"{v}__n") for v in values],
-            F.sum(ROWS).alias(ROWS))
-    wide = expand_all(df, vias, match_nulls=match_nulls)
-    return wide.groupBy(*group_by).agg(*parts)
+    if not pre_aggregate:
+        return sum_state(expand_all(df, vias, match_nulls=match_nulls), group_by, values, exact)
+    pre = sum_state(df, native, values, exact)
+    doubles = [v for v in values if f"{v}__b" in pre.columns]
+    wide = expand_all(pre, vias, match_nulls=match_nulls)
+    return _merge(wide, [*group_by, *[f"{v}__b" for v in doubles]], _sums(values, doubles))
 
 
 def finish_sum(state: DataFrame, group_by: Sequence[str], values: Sequence[str], *,
-               strict: bool = True) -> DataFrame:
-    """Merge strict-sum states by ``group_by`` (coarser or equal to the state keys)."""
-    aggs = [(strict_sum_merge(v) if strict else F.sum(f"{v}__s")).alias(v) for v in values]
-    return state.groupBy(*group_by).agg(*aggs)
+               strict: bool = True, merged: bool = False) -> DataFrame:
+    """Merge strict-sum states by ``group_by`` (coarser or equal to the state keys).
+
+    ``merged``: the state is by ``group_by`` already.  Doubles take a second
+    grouping, which brings a group's few bins together.
+    """
+    doubles = [v for v in values if f"{v}__b" in state.columns]
+    if not doubles:
+        aggs = [(strict_sum_merge(v) if strict else F.sum(f"{v}__s")).alias(v) for v in values]
+        return state.groupBy(*group_by).agg(*aggs)
+    if not merged:
+        state = _merge(state, [*group_by, *[f"{v}__b" for v in doubles]], _sums(values, doubles))
+    aggs = [F.sum(f"{v}__s").alias(f"{v}__s") for v in values if v not in doubles]
+    aggs += [F.sum(f"{v}__n").alias(f"{v}__n") for v in values] + [F.sum(ROWS).alias(ROWS)]
+    for v in doubles:
+        aggs += [F.collect_list(exactsum.parts(f"{v}__b", [f"{v}__{k}" for k in "012"])).alias(f"{v}__p"),
+                 F.sum(f"{v}__x").alias(f"{v}__x")]
+    out = state.groupBy(*group_by).agg(*aggs)
+    whole = {v: exactsum.total(F.col(f"{v}__p")) + F.col(f"{v}__x") if v in doubles else F.col(f"{v}__s") for v in values}
+    return out.select(*group_by, *[
+        F.when(F.col(f"{v}__n") == F.col(ROWS) if strict else F.col(f"{v}__n") > 0, whole[v]).alias(v) for v in values])
 
 
 def expand_and_sum(df: DataFrame, group_by: Sequence[str], values: Sequence[str], vias: Sequence[Via], *,
-                   pre_aggregate: bool = True, match_nulls: bool = True, strict: bool = True) -> DataFrame:
+                   pre_aggregate: bool = True, match_nulls: bool = True, strict: bool = True,
+                   exact: bool = True) -> DataFrame:
     """Bridge expansion followed by a grouped (strict) sum of ``values``."""
-    if not pre_aggregate:
-        wide = expand_all(df, vias, match_nulls=match_nulls)
-        agg = strict_sum if strict else F.sum
-        return wide.groupBy(*group_by).agg(*[agg(v).alias(v) for v in values])
-    state = bridged_state(df, group_by, values, vias, pre_aggregate=True, match_nulls=match_nulls)
+    state = bridged_state(df, group_by, values, vias, pre_aggregate=pre_aggregate, match_nulls=match_nulls, exact=exact)
+    if any(f"{v}__b" in state.columns for v in values):
+        return finish_sum(state, group_by, values, strict=strict, merged=True)
     return state.select(*group_by, *[
         (F.when(F.col(f"{v}__n") == F.col(ROWS), F.col(f"{v}__s")) if strict else F.col(f"{v}__s")).alias(v)
         for v in values])
 
 
-def grouped_sum(df: DataFrame, group_by: Sequence[str], values: Sequence[str], *, strict: bool = True) -> DataFrame:
-    agg = strict_sum if strict else F.sum
-    return df.groupBy(*group_by).agg(*[agg(v).alias(v) for v in values])
+def grouped_sum(df: DataFrame, group_by: Sequence[str], values: Sequence[str], *, strict: bool = True,
+                exact: bool = True) -> DataFrame:
+    return expand_and_sum(df, group_by, values, [], pre_aggregate=False, strict=strict, exact=exact)
 
 
 # ---------------------------------------------------------------------------
@@ -263,33 +308,50 @@ def _first_year(first: Mapping[str | None, int], year: str, scenario: str, per:
 # ---------------------------------------------------------------------------
 # shares
 # ---------------------------------------------------------------------------
+def heavy_hitters(df: DataFrame, keys: Sequence[str], most: int = 8192, rows: str = "rows", name: str = "key_hash") \
+        -> DataFrame:
+    """Hashes of the key groups that hold more than 1 / ``most`` of the rows, with an estimate of their rows.
+
+    A sketch of frequent items: a task keeps a bounded number of counters, which
+    are merged over tasks, so no shuffle by key is needed to learn which keys
+    are hot.  At most ``most`` rows come out, hot groups all among them, the
+    estimates never too low; a proven bound, so the result can be broadcast.
+    Nulls are key values like others.  Groups that share a hash count as one.
+    """
+    tracked = 4 * most
+    top = df.select(F.xxhash64(*keys).alias("k")).agg(F.expr(f"approx_top_k(k, {most}, {tracked})").alias("top"))
+    return top.select(F.explode("top").alias("t")).select(F.col("t.item").alias(name), F.col("t.count").alias(rows))
+
+
 def group_share(df: DataFrame, group: Sequence[str], value: str, out: str = "share", *,
-                target_rows: int = 1_000_000) -> DataFrame:
+                target_rows: int = 1_000_000, exact: bool = True) -> DataFrame:
     """``value / strict_sum(value) over group`` for every row.
 
     The group totals come from an aggregate (partial aggregation absorbs hot
-    groups) and are joined back on ``group`` (null-safe).  A group is split
-    into ``ceil(rows / target_rows)`` parts, however many that gives: its rows
-    get a part by their hash and their map partition (so equal rows spread as
-    well), its total is repeated once per part.  Both sides take the number of
-    parts from the same table of totals, and the planner chooses the joins.
+    groups) and are joined back on ``group`` (null-safe).  Hot groups are found
+    by :func:`heavy_hitters` beforehand: one with more than ``target_rows`` rows
+    is split into parts of about that many, its rows get a part by their hash
+    and their map partition (so equal rows spread as well), and its total is
+    repeated once per part.  The list of hot groups is bounded and broadcast to
+    both sides, so no exchange brings a hot group to one task.  Any other group
+    has less rows than an even share of ``1 / 8192`` of them all.
     Division follows :func:`ieee_div` (0/0 = NaN).
     """
     gkeys = [f"__g_{c}" for c in group]
-    totals = df.groupBy(*group).agg(strict_sum(value).alias("__total"), F.count(F.lit(1)).alias("__n"))
-    totals = totals.select(*[F.col(c).alias(k) for c, k in zip(group, gkeys)], "__total",
-                           F.ceil(F.col("__n") / F.lit(target_rows)).cast("long").alias("__parts"))
-    hot = totals.filter("__parts > 1").select(*[F.col(k).alias(f"__h{k}") for k in gkeys],
-                                              F.col("__parts").alias("__hot_parts"))
-    is_hot = reduce(lambda a, b: a & b, [df[c].eqNullSafe(hot[f"__h__g_{c}"]) for c in group])
-    left = df.join(hot, is_hot, "left")
-    spread = F.pmod(F.xxhash64(*df.columns) + F.spark_partition_id(), F.col("__hot_parts"))
-    left = left.withColumn("__part", F.coalesce(spread, F.lit(0).cast("long"))) \
-        .drop("__hot_parts", *[f"__h{k}" for k in gkeys])
-    each = totals.withColumn("__tpart", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__parts") - 1))) \
-        .drop("__parts")
-    cond = [left[c].eqNullSafe(each[f"__g_{c}"]) for c in group] + [left["__part"] == each["__tpart"]]
-    joined = left.join(each, reduce(lambda a, b: a & b, cond), "inner")
+    hot = heavy_hitters(df, group, rows="__n", name="__hot").filter(F.col("__n") > target_rows) \
+        .select("__hot", F.ceil(F.col("__n") / F.lit(target_rows)).cast("long").alias("__parts"))
+
+    def marked(side: DataFrame) -> DataFrame:
+        return side.withColumn("__key", F.xxhash64(*group)) \
+            .join(F.broadcast(hot), F.col("__key") == F.col("__hot"), "left").drop("__key", "__hot")
+
+    totals = marked(grouped_sum(df, group, [value], exact=exact).withColumnRenamed(value, "__total")) \
+        .withColumn("__tpart", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("__parts", F.lit(1)) - 1))) \
+        .select(*[F.col(c).alias(k) for c, k in zip(group, gkeys)], "__total", "__tpart")
+    spread = F.pmod(F.xxhash64(*df.columns) + F.spark_partition_id(), F.col("__parts"))
+    left = marked(df).withColumn("__part", F.coalesce(spread, F.lit(0).cast("long"))).drop("__parts")
+    cond = [left[c].eqNullSafe(totals[k]) for c, k in zip(group, gkeys)] + [left["__part"] == totals["__tpart"]]
+    joined = left.join(totals, reduce(lambda a, b: a & b, cond), "inner")
     return (joined.withColumn(out, ieee_div(F.col(value), F.col("__total")))
             .drop("__total", "__part", "__tpart", *gkeys))
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.nullmath import strict_sum
 from ..functions.text import split_key
-from ..operators.panel import Via, base_year_rows, expand, expand_and_sum, finish_sum, group_share
+from ..operators.panel import Via, base_year_rows, expand, expand_and_sum, finish_sum, group_share, heavy_hitters
 from ..operators.template import conform, convert_by_category
 from ..session import scratch_folder
 from ..sources import store
@@ -403,6 +403,22 @@ def group_share_q(spark, d):
     return s.withColumn("value", F.col("value").cast("double"))
 
 
+def heavy_groups(spark, d):
+    """Sectors and dispositions that hold more than 1 / 40 of all rows, found by a sketch and counted."""
+    p = stand_in(spark, d).panel.select("sector", "disposition")
+    keys, most = ["sector", "disposition"], 40
+    hot = heavy_hitters(p, keys, most).select("key_hash")
+    found = p.withColumn("key_hash", F.xxhash64(*keys)).join(F.broadcast(hot), "key_hash") \
+        .groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    return found.filter(F.col("rows") * most > p.agg(F.count(F.lit(1))).scalar())
+
+
+def feed_alloc_scaled(spark, d):
+    """FRUM, FDRY and FNRM with a factor of their own (Q3)."""
+    S = stand_in(spark, d)
+    return feed.feed_alloc(S.t("feed"), S.t("ag_use"), S.br, S.cfg.with_(feed_alloc_factor=1000))
+
+
 def _feed_alloc(spark, d, variable):
     S = stand_in(spark, d)
     return feed.feed_alloc(S.t("feed"), S.t("ag_use"), S.br, S.cfg).filter(F.col("Variable") == variable)
@@ -489,6 +505,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "union_missing_cols": union_missing_cols,
     "feed_efficiency": feed_efficiency,
     "group_share": group_share_q,
+    "heavy_groups": heavy_groups,
+    "feed_alloc_scaled": feed_alloc_scaled,
     "feed_alloc_a": feed_alloc_a,
     "feed_alloc_b": feed_alloc_b,
     "feed_alloc_c": feed_alloc_c,

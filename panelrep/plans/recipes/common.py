@@ -51,7 +51,7 @@ def by_item(bridge: Bridge, on: str, how: str = "left") -> Via:
 
 def rollup(df: DataFrame, group_by, values, vias, cfg: ReportConfig) -> DataFrame:
     return expand_and_sum(df, group_by, values, vias, pre_aggregate=cfg.pre_aggregate,
-                          match_nulls=cfg.parity, strict=cfg.strict)
+                          match_nulls=cfg.parity, strict=cfg.strict, exact=cfg.exact_sums)
 
 
 def safe_join_keys(left: DataFrame, right: DataFrame, keys, prefix: str, match_nulls: bool = True):

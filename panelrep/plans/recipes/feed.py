@@ -30,7 +30,8 @@ def feef(an_prod_df: DataFrame, feed_in: DataFrame, match_nulls: bool = True) ->
 def feed_shares(ag_use: DataFrame, cfg: ReportConfig) -> DataFrame:
     """Share of each crop input in its feed class, per (Scenario, region, class, Year)."""
     use = ag_use.filter(F.col("sector").isin(list(cfg.feed_classes)))
-    s = group_share(use, ["Scenario", "region", "sector", "Year"], "value", target_rows=cfg.share_target_rows)
+    s = group_share(use, ["Scenario", "region", "sector", "Year"], "value", target_rows=cfg.share_target_rows,
+                    exact=cfg.exact_sums)
     return s.select("Scenario", "region", "sector", "input", "Year", "share")
 
 

@@ -46,7 +46,7 @@ def area_state(harvested: DataFrame, br: Bridges, cfg: ReportConfig) -> DataFram
     """One aggregation keyed additionally by IRR_RFD; AREA, ARRF, ARIR re-merge it."""
     return bridged_state(harvested, KEYS + ["IRR_RFD"], ["value"],
                          [by_item(only(br.land, cfg.area_items), "land_type", "inner"), by_region(br)],
-                         pre_aggregate=cfg.pre_aggregate, match_nulls=cfg.parity)
+                         pre_aggregate=cfg.pre_aggregate, match_nulls=cfg.parity, exact=cfg.exact_sums)
 
 
 def _area_from_state(state: DataFrame, cfg: ReportConfig, variable: str, water: str | None) -> DataFrame:

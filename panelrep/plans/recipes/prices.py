@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ... import config as C
 from ...config import ReportConfig
-from ...functions.nullmath import contains_or_false, ieee_div, strict_sum
+from ...functions.nullmath import contains_or_false, ieee_div
 from ...operators.bounded import Small
-from ...operators.panel import attach_grid, base_year_rows, densify, union_all
+from ...operators.panel import attach_grid, base_year_rows, densify, grouped_sum, union_all
 from ...operators.template import conform, convert_by_category, scaled
 from .common import KEYS, Bridges, FirstYears, by_item, by_region, left_join_on, only, rollup
 from .production import ag_prod_df, an_prod_df
@@ -24,7 +24,8 @@ def _base_revenue(base: DataFrame, prices: DataFrame, cfg: ReportConfig) -> Data
     ``Σ_t prod_t x price = price x Σ_t prod_t``, so the join sees one row per
     key instead of one per technology.
     """
-    w = base.groupBy(*BASE_KEYS).agg((strict_sum("value") if cfg.strict else F.sum("value")).alias("prod"))
+    w = grouped_sum(base, BASE_KEYS, ["value"], strict=cfg.strict, exact=cfg.exact_sums) \
+        .withColumnRenamed("value", "prod")
     p = prices.drop("Units").select(*BASE_KEYS, "Year", F.col("value").alias("price"))
     joined = left_join_on(w, p, BASE_KEYS, how=cfg.weight_join, match_nulls=cfg.parity)
     return joined.withColumn("revenue", F.col("prod") * F.col("price")).drop("price")

@@ -27,7 +27,7 @@ def ag_prod_df(ag_prod: DataFrame, cfg: ReportConfig) -> DataFrame:
 def crop_state(ag_prod: DataFrame, br: Bridges, cfg: ReportConfig) -> DataFrame:
     return bridged_state(ag_prod, KEYS + ["IRR_RFD"], ["value"],
                          [by_item(only(br.item, cfg.prod_items), "sector", "inner"), by_region(br)],
-                         pre_aggregate=cfg.pre_aggregate, match_nulls=cfg.parity)
+                         pre_aggregate=cfg.pre_aggregate, match_nulls=cfg.parity, exact=cfg.exact_sums)
 
 
 def ag_prod_variants(ag_prod: DataFrame, br: Bridges, cfg: ReportConfig) -> dict[str, DataFrame]:
@@ -60,4 +60,4 @@ def prod(ag_prod: DataFrame, an_prod_tbl: DataFrame, br: Bridges, cfg: ReportCon
     crops = (ag_variants or ag_prod_variants(ag_prod, br, cfg))["AG_PROD"]
     both = union_all([crops.select(*TEMPLATE_NEST, "Year", "Value"),
                       an_prod(an_prod_tbl, br, cfg).select(*TEMPLATE_NEST, "Year", "Value")])
-    return conform(grouped_sum(both, TEMPLATE_NEST + ["Year"], ["Value"], strict=cfg.strict))
+    return conform(grouped_sum(both, TEMPLATE_NEST + ["Year"], ["Value"], strict=cfg.strict, exact=cfg.exact_sums))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from panelrep.operators.bounded import Small
 from panelrep.operators.panel import (OBSERVED, Via, baseline_shift, base_year_rows, densify, expand_and_sum,
-                                      group_share)
+                                      group_share, heavy_hitters)
 from panelrep.sources.bridges import alias_bridge, bridge_from_rows
 
 
@@ -110,6 +110,34 @@ def test_group_share_splits_any_number_of_groups(spark):
     assert out.count() == 7200 and out.filter("abs(share - 1 / 6D) > 1e-12").count() == 0
 
 
+def test_hot_group_is_spread_over_tasks(spark):
+    """With shuffle joins only: no partition gets more than its share of a group that holds three quarters of the rows."""
+    df = spark.range(40_000).selectExpr("if(id % 4 < 3, 'hot', cast(id % 97 as string)) grp", "cast(id as double) value")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        out = group_share(df, ["grp"], "value", target_rows=500)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        rows = out.filter("grp = 'hot'").agg(F.count("*"), F.sum("share")).first()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert plan.count("BroadcastHashJoin") >= 2 and "SortMergeJoin" in plan
+    assert sum(sizes) == 40_000 and max(sizes) < 0.35 * 40_000  # 8 partitions
+    assert rows[0] == 30_000 and math.isclose(rows[1], 1.0)
+
+
+def test_heavy_hitters_are_found_and_bounded(spark):
+    df = spark.range(60_000).selectExpr("if(id % 3 = 0, 'a', if(id % 10 = 1, null, cast(id as string))) k")
+    got = {r.key_hash: r.rows for r in heavy_hitters(df, ["k"], 20).collect()}
+    want = {r.h: r.n for r in df.groupBy(F.xxhash64("k").alias("h")).agg(F.count("*").alias("n")).collect()}
+    hot = [h for h, n in want.items() if n * 20 > 60_000]
+    assert len(hot) == 2 and len(got) <= 20 and all(got[h] >= want[h] for h in hot)
+    assert heavy_hitters(df.limit(0), ["k"]).count() == 0
+
+
 def test_baseline_shift(spark):
     df = spark.createDataFrame([("CC", "r", 3.0), ("NoCC", "r", 2.0), ("CC", "q", 1.0)],
                                "Scenario string, Region string, Value double")
