@@ -583,6 +583,20 @@ BODIES: dict[str, str] = {
     "convert_by_pattern": template("emis", "EMIS", "MtCO2e", "TOT"),
     "land_cover": template("land_ind", "LAND", "1000 ha"),
     "area_rollup": template("area", "AREA", "1000 ha"),
+    "area_colocated": template("area", "AREA", "1000 ha"),
+    "exog_yield_colocated": template("yexo", "YEXO", "t/ha"),
+    "long_list": """SELECT l_returnflag, count(*) AS lines, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity
+      FROM lineitem WHERE l_orderkey % 3 = 0 AND l_orderkey < 300000 AND l_orderkey >= 0 GROUP BY l_returnflag""",
+    "unit_graph": f"""SELECT 'production' AS measure, scenario AS Scenario, CAST(year AS INTEGER) AS Year,
+        CAST(sum(CASE WHEN sector = 'unlisted' THEN NULL WHEN sector = 'LARGE' THEN value * 57100 ELSE value * 1000 END)
+             AS DOUBLE) AS value
+      FROM ag_prod GROUP BY scenario, year
+      UNION ALL SELECT 'emissions', scenario, CAST(year AS INTEGER), CAST({strict('v')} AS DOUBLE)
+      FROM (SELECT scenario, year, CASE WHEN contains(gas, 'N2O') THEN value * 298 WHEN contains(gas, 'CH4') THEN value * 28
+                                        ELSE value * {44 / 12!r} END AS v
+            FROM (SELECT scenario, ghg AS gas, year, value FROM emissions WHERE ghg IN ('CO2', 'CH4_AGR', 'N2O_AGR')
+                  UNION ALL SELECT scenario, 'CO2', year, value FROM luc_emissions) e) u
+      GROUP BY scenario, year""",
     "area_rainfed": template("arrf", "ARRF", "1000 ha"),
     "area_irrigated": template("arir", "ARIR", "1000 ha"),
     "production_union": template("prod", "PROD", "1000 t"),

@@ -9,10 +9,14 @@ AQE at runtime) chooses the join strategy.  No job runs to find a bound.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Bytes up to which a lookup side is broadcast by hint (Spark's default threshold).
 BROADCAST_BYTES = 10 << 20
@@ -41,6 +45,19 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(stats.sizeInBytes()))  # a big number's text, or a plain one
 
 
+def local_table(spark: SparkSession, rows: Iterable[Sequence], schema: str | T.StructType) -> DataFrame:
+    """Rows of the driver as a DataFrame whose size the planner knows.
+
+    Made from an Arrow table, it is a local relation; rows given as they are
+    become an RDD, of which the planner only knows that it may be large.
+    """
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    rows = list(rows)
+    kinds = to_arrow_schema(schema)
+    columns = [pa.array([r[k] for r in rows], f.type) for k, f in enumerate(kinds)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=kinds), schema)
+
+
 def prove_bound(df: DataFrame) -> Small:
     """``df`` with the size that the plan statistics give it."""
     return Small(df, plan_bytes(df))

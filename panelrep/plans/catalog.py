@@ -7,6 +7,7 @@ nothing is sampled or capped.
 
 from __future__ import annotations
 
+from decimal import Decimal
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +15,12 @@ from pyspark.sql import functions as F
 
 from ..functions.nullmath import strict_sum
 from ..functions.text import split_key
-from ..operators.panel import Via, base_year_rows, expand, expand_and_sum, finish_sum, group_share, heavy_hitters
+from ..operators.colocated import bucketed
+from ..operators.longlist import in_list
+from ..operators.panel import (Via, base_year_rows, expand, expand_and_sum, finish_sum, group_share, heavy_hitters,
+                               union_all)
 from ..operators.template import conform, convert_by_category
+from ..operators.units import converted, factor_table, label_categories
 from ..session import scratch_folder
 from ..sources import store
 from ..sources.facts import Project, ingest_no_clobber, normalize, read_table, write_project
@@ -218,6 +223,60 @@ def convert_by_pattern(spark, d):
 
 
 # ---------------------------------------------------------------- land and production
+def _bucketed(spark, S):
+    """Harvests, land cover and yields bucketed by scenario, region and leaf."""
+    root = scratch_folder(spark, "panelrep-bucketed")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return [bucketed(S.t(name), ["Scenario", "region", leaf], n, root)
+            for name, leaf in (("harvests", "technology"), ("land_cover", "landleaf"), ("ag_yield", "technology"))]
+
+
+def area_colocated(spark, d):
+    """AREA over bucketed facts: the harvest x land join shuffles nothing."""
+    S = stand_in(spark, d)
+    harvests, cover, _ = _bucketed(spark, S)
+    return land.areas(land.harvested_area_df(harvests, land.land_df(cover)), S.br, S.cfg)["AREA"]
+
+
+def exog_yield_colocated(spark, d):
+    """YEXO over bucketed facts: both fact-fact joins shuffle nothing."""
+    S = stand_in(spark, d)
+    harvests, cover, ag_yield = _bucketed(spark, S)
+    return yields.yexo(land.harvested_area_df(harvests, land.land_df(cover)), ag_yield, S.br, S.cfg,
+                       S.project.first_years)
+
+
+def long_list(spark, d):
+    """Line items of the orders in a list of 100,000 names, by a bloom filter and a semi join."""
+    names = spark.range(100_000).select(F.concat(F.lit("order "), (F.col("id") * 3).cast("string")).alias("name"))
+    li = standin.read(spark, d, "lineitem").select(
+        F.concat(F.lit("order "), F.col("l_orderkey").cast("string")).alias("order_name"), "l_returnflag", "l_quantity")
+    return in_list(li, "order_name", names, "name").groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum(F.col("l_quantity").cast(standin.DEC)).cast("double").alias("quantity"))
+
+
+#: Units of the stand-in's sectors and gases and the factors between them, as a study would keep them in a file.
+UNIT_FACTORS = [("LARGE", "EJ", "Mt", Decimal("57.1")), (None, "Mt", "kt", Decimal(1000)),
+                ("CH4", "Mt gas", "MtCO2e", Decimal(28)), ("N2O", "Mt gas", "MtCO2e", Decimal(298)),
+                ("C", "Mt gas", "MtCO2e", Decimal(repr(44 / 12)))]
+
+
+def unit_graph(spark, d):
+    """Totals of convert_by_sector and convert_by_pattern from one factor table."""
+    S = stand_in(spark, d)
+    crops = _unlisted_as_null(S.t("ag_prod")) \
+        .withColumn("unit", F.when(F.col("sector") == S.cfg.biomass_sector, "EJ").otherwise("Mt"))
+    crops = converted(crops, "value", "unit", "sector", factor_table(spark, UNIT_FACTORS, "kt"))
+    gases = S.t("emissions").filter(F.col("ghg").isin(list(S.cfg.emis_ghgs))).select("Scenario", "ghg", "Year", "value") \
+        .unionByName(S.t("luc_emissions").select("Scenario", F.lit("CO2").alias("ghg"), "Year", "value"))
+    kinds = label_categories(gases, "ghg", [("N2O", "N2O"), ("CH4", "CH4")], "C")
+    gases = gases.join(kinds, "ghg").withColumn("unit", F.lit("Mt gas"))
+    gases = converted(gases, "value", "unit", "category", factor_table(spark, UNIT_FACTORS, "MtCO2e"))
+    return union_all([df.groupBy("Scenario", "Year").agg(strict_or_skip("value").cast("double").alias("value"))
+                      .select(F.lit(name).alias("measure"), "Scenario", "Year", "value")
+                      for name, df, strict_or_skip in (("production", crops, F.sum), ("emissions", gases, strict_sum))])
+
+
 def land_cover(spark, d):
     S = stand_in(spark, d)
     return land.land(S.t("land_cover"), S.br, S.cfg)
@@ -480,6 +539,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "convert_by_pattern": convert_by_pattern,
     "land_cover": land_cover,
     "area_rollup": area_rollup,
+    "area_colocated": area_colocated,
+    "exog_yield_colocated": exog_yield_colocated,
+    "long_list": long_list,
+    "unit_graph": unit_graph,
     "area_rainfed": area_rainfed,
     "area_irrigated": area_irrigated,
     "production_union": production_union,

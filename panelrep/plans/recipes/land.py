@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ... import config as C
 from ...config import ReportConfig
 from ...functions.text import with_split_key
+from ...operators.colocated import BUCKET_KEY, colocated_join
 from ...operators.panel import bridged_state, finish_sum
 from ...operators.template import conform, scaled
 from .common import KEYS, Bridges, by_item, by_region, only, rollup
@@ -24,11 +25,18 @@ def harvested_area_df(harvests: DataFrame, land: DataFrame) -> DataFrame:
     """Harvests per year x land area of the same leaf (a fact-fact left join).
 
     The leaf parts come from the land side, so a harvest row without land
-    has null parts (and a null product).
+    has null parts (and a null product).  Of tables that are bucketed by scenario,
+    region and leaf (:mod:`panelrep.operators.colocated`) no row is shuffled.
     """
     h = harvests.drop("Units", "sector", "subsector").withColumnRenamed("value", "__h")
-    l = (land.select("Scenario", "region", "landleaf", "Year", *LEAF_PARTS, F.col("value").alias("__l"))
+    near = BUCKET_KEY in h.columns and BUCKET_KEY in land.columns
+    l = (land.select("Scenario", "region", "landleaf", "Year", *LEAF_PARTS, F.col("value").alias("__l"),
+                     *([BUCKET_KEY] if near else []))
          .withColumnsRenamed({"Scenario": "__ls", "region": "__lr", "landleaf": "__ll", "Year": "__ly"}))
+    if near:
+        out = colocated_join(h, l, [("Scenario", "__ls"), ("region", "__lr"), ("technology", "__ll"), ("Year", "__ly")]) \
+            .drop("__ls", "__lr", "__ll", "__ly")
+        return out.withColumn("value", F.col("__h") * F.col("__l")).drop("__h", "__l")
     cond = (h["Scenario"].eqNullSafe(l["__ls"]) & h["region"].eqNullSafe(l["__lr"])
             & h["technology"].eqNullSafe(l["__ll"]) & h["Year"].eqNullSafe(l["__ly"]))
     out = h.join(l, cond, "left").drop("__ls", "__lr", "__ll", "__ly")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ... import config as C
 from ...config import ReportConfig
 from ...functions.nullmath import fill_missing, ieee_div
+from ...operators.colocated import BUCKET_KEY, colocated_join
 from ...operators.panel import base_year_rows, baseline_shift
 from ...operators.template import conform, convert_by_category, scaled
 from .common import KEYS, Bridges, FirstYears, by_item, by_region, except_, left_join_on, rollup
@@ -43,12 +44,18 @@ def yexo(harvested: DataFrame, ag_yield: DataFrame, br: Bridges, cfg: ReportConf
     """
     base = base_year_rows(harvested, per=["Scenario"] if cfg.per_scenario_base else None,
                           first=(first or {}).get("harvests")).drop("Year")
-    base = base.select("Scenario", "region", "technology", F.col("value").alias("area"))
+    near = [BUCKET_KEY] if BUCKET_KEY in base.columns and BUCKET_KEY in ag_yield.columns else []
+    base = base.select("Scenario", "region", "technology", F.col("value").alias("area"), *near)
     y = ag_yield.withColumn("value", convert_by_category("value", "sector", cfg.biomass_sector,
                                                          C.CONV_BIO_EJ_TO_MT, 1))
-    y = y.select("Scenario", "region", "technology", "sector", "Year", F.col("value").alias("__yield"))
-    j = left_join_on(base, y, ["Scenario", "region", "technology"], how=cfg.weight_join,
-                     match_nulls=cfg.parity)
+    y = y.select("Scenario", "region", "technology", "sector", "Year", F.col("value").alias("__yield"), *near)
+    keys = ["Scenario", "region", "technology"]
+    if near and cfg.parity:
+        y = y.withColumnsRenamed({k: f"__y_{k}" for k in keys})
+        j = colocated_join(base, y, [(k, f"__y_{k}") for k in keys], cfg.weight_join) \
+            .drop(BUCKET_KEY, *[f"__y_{k}" for k in keys])
+    else:
+        j = left_join_on(base.drop(BUCKET_KEY), y.drop(BUCKET_KEY), keys, how=cfg.weight_join, match_nulls=cfg.parity)
     j = j.withColumn("prod", F.col("area") * F.col("__yield")).drop("__yield")
     s = rollup(j, KEYS, ["prod", "area"],
                [by_item(except_(br.item, cfg.yexo_exclude), "sector", "inner"), by_region(br)], cfg)

@@ -16,6 +16,7 @@ import uuid
 from pyspark.sql import DataFrame
 
 from ..config import TEMPLATE_COLUMNS, ReportConfig
+from ..operators.bounded import local_table
 from ..operators.panel import union_all
 from ..session import file_system
 from ..sources.facts import Project
@@ -141,5 +142,5 @@ def read_report(spark, root: str) -> DataFrame:
     schema = ", ".join(f"{c} {TEMPLATE_TYPES[c]}" for c in TEMPLATE_COLUMNS)
     fs, p = file_system(spark, root)
     if not fs.exists(p):  # a run without indicators
-        return spark.createDataFrame([], schema)
+        return local_table(spark, [], schema)
     return spark.read.schema(schema).parquet(root).select(*TEMPLATE_COLUMNS)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import ReportConfig
-from ..operators.bounded import Small, prove_bound
+from ..operators.bounded import Small, local_table, prove_bound
 from ..sources.bridges import (Bridge, alias_bridge, attribute_surface, bridge_from_long, bridge_from_rows,
                                long_bridge)
 from ..session import ensure_checkpoint_dir, file_system, scratch_folder
@@ -225,7 +225,7 @@ def region_bridge(spark: SparkSession, sf_dir: str) -> Bridge:
 def item_bridge(spark: SparkSession, keep_null_keys: bool = True) -> Bridge:
     cols = ["commodity_key", "traded_commodity", "regional_commodity", "Item1", "Item2", "Item3", "Item4"]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
-    wide = spark.createDataFrame(ITEM_BRIDGE_WIDE, schema)
+    wide = local_table(spark, ITEM_BRIDGE_WIDE, schema)
     long = alias_bridge(wide, cols[:3], cols[3:], keep_null_keys=keep_null_keys)
     return Bridge(prove_bound(long), "commodity_key", "Item")
 
@@ -234,19 +234,19 @@ def waste_surface(spark: SparkSession, sf_dir: str) -> Small:
     cls = ["AFR_w", "AMR_w", "ASA_w", "EUR_w", "EMR_w"]
     schema = T.StructType([T.StructField("commodity", T.StringType())]
                           + [T.StructField(c, T.StringType()) for c in cls])
-    fr = spark.createDataFrame(WASTE_FRACTIONS, schema)
+    fr = local_table(spark, WASTE_FRACTIONS, schema)
     fr = fr.select("commodity", *[F.col(c).cast("decimal(4,2)").alias(c) for c in cls])
-    rc = spark.createDataFrame(WASTE_REGION_CLASS, "r_name string, food_waste_region string")
+    rc = local_table(spark, WASTE_REGION_CLASS, "r_name string, food_waste_region string")
     n = read(spark, sf_dir, "nation")
     r = read(spark, sf_dir, "region")
     regions = (n.join(r, n.n_regionkey == r.r_regionkey).join(rc, "r_name")
                .select(F.col("n_name").alias("region"), "food_waste_region"))
-    commodities = spark.createDataFrame(WASTE_COMMODITY_CLASS, "commodity_key string, commodity string")
+    commodities = local_table(spark, WASTE_COMMODITY_CLASS, "commodity_key string, commodity string")
     return prove_bound(attribute_surface(fr, "commodity", regions, commodities))
 
 
 def pairs(spark: SparkSession) -> Small:
-    return prove_bound(spark.createDataFrame(BASELINE_PAIRS, "CC_Scenario string, NoCC_Scenario string"))
+    return prove_bound(local_table(spark, BASELINE_PAIRS, "CC_Scenario string, NoCC_Scenario string"))
 
 
 def bridges(spark: SparkSession, sf_dir: str, cfg: ReportConfig | None = None, *, waste: bool = True) -> Bridges:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import COMMODITY_MAP_NAME_COLUMNS, LAND_MAP_KEY_COLUMN, WASTE_MAP_COMMODITY_COLUMN
-from ..operators.bounded import Small, prove_bound
+from ..operators.bounded import Small, local_table, prove_bound
 
 
 @dataclass(frozen=True)
@@ -112,7 +112,7 @@ def bridge_from_long(df: DataFrame, key: str, value: str) -> Bridge:
 def bridge_from_rows(spark: SparkSession, rows: list[tuple], key: str, value: str) -> Bridge:
     """Bridge from local ``(key, value)`` pairs."""
     schema = T.StructType([T.StructField(key, T.StringType()), T.StructField(value, T.StringType())])
-    return Bridge(prove_bound(spark.createDataFrame(rows, schema)), key, value)
+    return Bridge(prove_bound(local_table(spark, rows, schema)), key, value)
 
 
 def region_bridge_csv(spark: SparkSession, path: str) -> Bridge:

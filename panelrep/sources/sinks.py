@@ -9,14 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.bounded import Small, prove_bound
+from ..operators.bounded import Small, local_table, prove_bound
 
 
 def study_table(spark: SparkSession, studies: Mapping[str, Sequence[str]]) -> Small:
     """``(study, scenario)`` rows from named scenario lists."""
     rows = [(s, sc) for s, scs in studies.items() for sc in scs]
     schema = T.StructType([T.StructField("study", T.StringType()), T.StructField("scenario", T.StringType())])
-    return prove_bound(spark.createDataFrame(rows, schema))
+    return prove_bound(local_table(spark, rows, schema))
 
 
 def study_subset(df: DataFrame, studies: Small, scenario: str = "Scenario") -> DataFrame:

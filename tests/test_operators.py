@@ -1,6 +1,7 @@
 """Panel operators on hand-made inputs."""
 
 import math
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
@@ -156,6 +157,13 @@ def test_base_year_global_min_and_override(spark):
     assert sorted(r.value for r in per.collect()) == [1.0, 2.0]
 
 
+def test_local_rows_have_a_known_size(spark):
+    from panelrep.operators.bounded import local_table, prove_bound
+    df = local_table(spark, [("a", 1, None), (None, 2, Decimal("1.50"))], "k string, n int, d decimal(4,2)")
+    assert prove_bound(df).bounded and [tuple(r) for r in df.collect()] == [("a", 1, None), (None, 2, Decimal("1.50"))]
+    assert local_table(spark, [], "k string").count() == 0
+
+
 def test_bound_is_the_size_of_the_plan(spark):
     from panelrep.operators.bounded import BROADCAST_BYTES, prove_bound
     small = prove_bound(spark.range(5))

@@ -7,7 +7,8 @@ import pytest
 
 import __spark_entry__ as E
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "lineitem"]
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+          "conversations").split()
 
 
 @pytest.fixture(scope="module")
