@@ -551,6 +551,27 @@ BODIES: dict[str, str] = {
     "study_subset": """SELECT s.study, t.* FROM (""" + template("popt", "POPT", "million", "TOT") + """) t
       JOIN (VALUES ('main', 'A'), ('main', 'N'), ('main', 'R'), ('alt', 'N')) AS s(study, scenario)
         ON t.Scenario = s.scenario""",
+    "map_blank": """SELECT region, r1 AS Region1, r2 AS Region2, r3 AS Region3,
+        1 + CASE WHEN r2 IS NULL THEN 0 ELSE 1 END + 1 AS regions FROM rb_wide""",
+    "map_na": "SELECT region, coalesce(r2, 'NA') AS as_text, r2 AS as_null FROM rb_wide",
+    "optional_source": """SELECT 'full' AS project, 'POPT' AS Variable, count(*) AS rows FROM popt
+      UNION ALL SELECT 'full', 'CTAX', count(*) FROM ctax UNION ALL SELECT 'without', 'POPT', count(*) FROM popt""",
+    "template_csv": f"""SELECT 1 AS line_no,
+        '"Model","Scenario","Region","Item","Variable","Year","Unit","Value"' AS line
+      UNION ALL SELECT 1 + row_number() OVER (ORDER BY place, Scenario, Region NULLS LAST, Year, line), line
+      FROM (SELECT *, '"' || Model || '","' || Scenario || '",' || coalesce('"' || Region || '"', 'NA') || ',"' || Item
+                   || '","' || Variable || '",' || Year || ',"' || Unit || '",' || coalesce(CAST(Value AS VARCHAR), 'NA') AS line
+            FROM (SELECT 1 AS place, * FROM ({template("popt", "POPT", "million", "TOT")})
+                  UNION ALL SELECT 2, * FROM (
+                    SELECT 'PANEL' AS Model, f.scenario AS Scenario, b.report_region AS Region, 'TOT' AS Item,
+                           'GDPT' AS Variable, CAST(f.year AS INTEGER) AS Year, 'bn USD 2005 MER' AS Unit,
+                           CAST({strict('f.value')} AS DOUBLE) * {d(0.001)} * {d(1.377)} AS Value
+                    FROM pop_qty f LEFT JOIN rb b ON f.region = b.region GROUP BY f.scenario, b.report_region, f.year)) t)""",
+    "study_files": """SELECT '04Mar2021' AS run_date, s.name AS study, count(*) AS lines,
+        count(DISTINCT t.Scenario) AS scenarios
+      FROM popt t JOIN (VALUES ('PANEL_MAIN_ALL', 'A'), ('PANEL_MAIN_ALL', 'N'), ('PANEL_MAIN_ALL', 'R'),
+                               ('PANEL_ALT_ALL', 'N')) AS s(name, scenario) ON t.Scenario = s.scenario
+      GROUP BY s.name""",
     "strict_sum": f"""SELECT scenario AS Scenario, region, sector,
         CAST({strict("CASE WHEN sector = 'unlisted' THEN NULL ELSE frac END")} AS DOUBLE) AS value
       FROM panel_all GROUP BY scenario, region, sector""",
@@ -706,7 +727,7 @@ FINAL_PARTS = [
     BODIES["densify_observed"], BODIES["densify_observed_2"], BODIES["feed_efficiency"],
     template("feed_alloc", None, "1000 t"), BODIES["price_grid"],
 ]
-BODIES["final_template"] = "\nUNION ALL\n".join(f"({p})" for p in FINAL_PARTS)
+BODIES["final_template"] = BODIES["report_incremental"] = "\nUNION ALL\n".join(f"({p})" for p in FINAL_PARTS)
 
 
 def oracle_sql() -> dict[str, str]:

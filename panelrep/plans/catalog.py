@@ -7,6 +7,7 @@ nothing is sampled or capped.
 
 from __future__ import annotations
 
+import datetime as dt
 from decimal import Decimal
 from typing import Callable
 
@@ -23,12 +24,14 @@ from ..operators.template import conform, convert_by_category
 from ..operators.units import converted, factor_table, label_categories
 from ..session import scratch_folder
 from ..sources import store
+from ..sources.bridges import read_map_csv, region_bridge_csv
 from ..sources.facts import Project, ingest_no_clobber, normalize, read_table, write_project
-from ..sources.sinks import study_subset, study_table
+from ..sources.sinks import joined_lines, study_subset, study_table, write_ordered_csv, write_studies
 from . import standin
 from .recipes import emissions, feed, food, land, prices, production, totals, trade, yields
 from .recipes.common import KEYS
-from .report import build_indicators, final_template, read_report, write_report
+from .incremental import read_updated, update_report
+from .report import REPORTED, build_indicators, final_template, read_report, write_report
 
 _CACHE: dict[str, standin.StandIn] = {}
 
@@ -155,6 +158,74 @@ def study_subset_q(spark, d):
     return study_subset(popt, study_table(spark, S.cfg.studies))
 
 
+def _region_file(spark, d, missing: str) -> str:
+    """The region map as a CSV file below a scratch folder, with ``missing`` where a nation has no second region."""
+    root = scratch_folder(spark, "panelrep-maps")
+    wide = standin.region_map(spark, d).withColumn("Region2", F.coalesce("Region2", F.lit(missing)))
+    wide.write.option("header", True).option("emptyValue", "").csv(f"{root}/regions")
+    return f"{root}/regions"
+
+
+def map_blank(spark, d):
+    """A map file with blank fields, which are null, and its long form."""
+    path = _region_file(spark, d, "")
+    wide, long = read_map_csv(spark, path), region_bridge_csv(spark, path)
+    slots = long.df.groupBy("region").agg(F.count(F.lit(1)).alias("regions"))
+    return wide.join(slots, "region", "left")
+
+
+def map_na(spark, d):
+    """A map file in which ``NA`` is null for one reader and text for the other."""
+    path = _region_file(spark, d, "NA")
+    text = read_map_csv(spark, path).select("region", F.col("Region2").alias("as_text"))
+    return text.join(read_map_csv(spark, path, na_text=True).select("region", F.col("Region2").alias("as_null")), "region")
+
+
+def optional_source(spark, d):
+    """Rows of POPT and CTAX of a project with the optional price table and of one without it."""
+    S = stand_in(spark, d)
+    root = scratch_folder(spark, "panelrep-optional")
+    write_project({n: S.project.raw(n) for n in ("population",)}, root)
+    out = []
+    for name, p in (("full", S.project), ("without", Project.from_parquet(
+            spark, root, S.cfg.years, names=["population", "co2_prices"]))):
+        found = {"POPT": totals.popt(p.table("population"), S.br, S.cfg),
+                 "CTAX": prices.ctax(p.table("co2_prices"), prices.report_scenarios(p.table("population")), S.br, S.cfg)}
+        out += [df.select(F.lit(name).alias("project"), "Variable") for df in found.values() if df is not None]
+    return union_all(out).groupBy("project", "Variable").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def template_csv(spark, d):
+    """The report's CSV, written in order by many tasks, as the lines of its joined parts."""
+    S = stand_in(spark, d)
+    df = union_all([totals.popt(S.t("population"), S.br, S.cfg), totals.gdpt(S.t("gdp"), S.br, S.cfg)])
+    path = f"{scratch_folder(spark, 'panelrep-csv')}/template"
+    write_ordered_csv(df, path, [F.array_position(F.lit(list(REPORTED)), F.col("Variable")), *df.columns])
+    return joined_lines(spark, path)
+
+
+def study_files(spark, d):
+    """Study subsets in folders named by run date and prefix, and the lines in each."""
+    S = stand_in(spark, d)
+    popt = totals.popt(S.t("population"), S.br, S.cfg)
+    prefixes = {s: f"{S.cfg.model}_{s.upper()}_ALL" for s in S.cfg.studies}
+    out = write_studies(popt, study_table(spark, S.cfg.studies), scratch_folder(spark, "panelrep-studies"), prefixes,
+                        run_date=dt.date(2021, 3, 4))
+    lines = spark.read.option("basePath", out.rsplit("/", 1)[0]).option("header", True).csv(out)
+    return lines.groupBy(F.col("run_date").cast("string").alias("run_date"), "study").agg(
+        F.count(F.lit(1)).alias("lines"), F.countDistinct("Scenario").alias("scenarios"))
+
+
+def report_incremental(spark, d):
+    """The whole report over two scenarios, then brought up to date with the third."""
+    S = stand_in(spark, d)
+    S.project
+    root = scratch_folder(spark, "panelrep-updated")
+    for scenarios in (("N", "R"), None):
+        update_report(spark, S.project_root, S.br, S.cfg, root, scenarios)
+    return read_updated(spark, S.project_root, S.br, S.cfg, root)
+
+
 # ---------------------------------------------------------------- sums and conversions
 def strict_sum_q(spark, d):
     p = stand_in(spark, d).panel
@@ -527,6 +598,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_two_writers": ingest_two_writers,
     "per_scenario_base": per_scenario_base,
     "study_subset": study_subset_q,
+    "map_blank": map_blank,
+    "map_na": map_na,
+    "optional_source": optional_source,
+    "template_csv": template_csv,
+    "study_files": study_files,
+    "report_incremental": report_incremental,
     "strict_sum": strict_sum_q,
     "skip_sum": skip_sum,
     "rollup_total": rollup_total,

@@ -21,21 +21,40 @@ def eco2(emissions: DataFrame, luc: DataFrame, br: Bridges, cfg: ReportConfig) -
                    Model=cfg.model, Variable="ECO2", Item="TOT", Unit="MtCO2e")
 
 
-def _gas_by_item(emissions: DataFrame, gases, factor, variable: str, br: Bridges, cfg: ReportConfig) -> DataFrame:
+def _gas_sums(emissions: DataFrame, gases, factor, br: Bridges, cfg: ReportConfig) -> DataFrame:
     g = emissions.filter(F.col("ghg").isin(list(gases)))
-    item_bridge = br.item
-    s = rollup(g, KEYS, ["value"], [by_region(br), by_item(item_bridge, "sector", "inner")], cfg)
-    s = s.withColumn("Value", scaled("value", factor))  # replaces ``value``
-    s = densify(s, ["Scenario", "Region"], {"Item": OBSERVED, "Year": cfg.years}, {"Value": 0})
+    s = rollup(g, KEYS, ["value"], [by_region(br), by_item(br.item, "sector", "inner")], cfg)
+    return s.withColumn("Value", scaled("value", factor))  # replaces ``value``
+
+
+def _gas_filled(sums: DataFrame, variable: str, cfg: ReportConfig) -> DataFrame:
+    s = densify(sums, ["Scenario", "Region"], {"Item": OBSERVED, "Year": cfg.years}, {"Value": 0})
     return conform(s, Model=cfg.model, Variable=variable, Unit="MtCO2e")
 
 
+def ech4_sums(emissions: DataFrame, br: Bridges, cfg: ReportConfig) -> DataFrame:
+    return _gas_sums(emissions, cfg.ech4_ghgs, C.CONV_CH4_TO_CO2E, br, cfg)
+
+
+def en2o_sums(emissions: DataFrame, br: Bridges, cfg: ReportConfig) -> DataFrame:
+    return _gas_sums(emissions, cfg.en2o_ghgs, C.CONV_N2O_TO_CO2E, br, cfg)
+
+
+def ech4_filled(sums: DataFrame, cfg: ReportConfig) -> DataFrame:
+    """ECH4 from its sums, which may come from several runs: items observed in any scenario, every year."""
+    return _gas_filled(sums, "ECH4", cfg)
+
+
+def en2o_filled(sums: DataFrame, cfg: ReportConfig) -> DataFrame:
+    return _gas_filled(sums, "EN2O", cfg)
+
+
 def ech4(emissions: DataFrame, br: Bridges, cfg: ReportConfig) -> DataFrame:
-    return _gas_by_item(emissions, cfg.ech4_ghgs, C.CONV_CH4_TO_CO2E, "ECH4", br, cfg)
+    return ech4_filled(ech4_sums(emissions, br, cfg), cfg)
 
 
 def en2o(emissions: DataFrame, br: Bridges, cfg: ReportConfig) -> DataFrame:
-    return _gas_by_item(emissions, cfg.en2o_ghgs, C.CONV_N2O_TO_CO2E, "EN2O", br, cfg)
+    return en2o_filled(en2o_sums(emissions, br, cfg), cfg)
 
 
 def emis(emissions: DataFrame, luc: DataFrame, br: Bridges, cfg: ReportConfig) -> DataFrame:

@@ -55,10 +55,16 @@ def ctax(co2_prices: DataFrame | None, scenarios: Small, br: Bridges, cfg: Repor
     ``scenarios`` are the scenarios to report (those of POPT); absent price
     table gives ``None`` (the indicator is skipped).
     """
-    if co2_prices is None:
-        return None
-    prices = (co2_prices.filter(~contains_or_false("market", C.LUC_MARKER))
-              .select("Scenario", "Year", "value").distinct())
+    return None if co2_prices is None else ctax_grid(observed_prices(co2_prices), scenarios, br, cfg)
+
+
+def observed_prices(co2_prices: DataFrame) -> DataFrame:
+    return (co2_prices.filter(~contains_or_false("market", C.LUC_MARKER))
+            .select("Scenario", "Year", "value").distinct())
+
+
+def ctax_grid(prices: DataFrame, scenarios: Small, br: Bridges, cfg: ReportConfig) -> DataFrame:
+    """CTAX from the prices that were observed, which may come from several runs."""
     grid = densify(prices, ["Year"], {"Scenario": scenarios}, {"value": 0})
     regions = br.region.values().map_df(lambda d: d.select(F.col(br.region.value).alias("Region")))
     out = attach_grid(grid, regions)
