@@ -17,6 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -24,10 +25,13 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_folder
 from .common import blocks
-from .wordcache import WordCache
 
 #: A shard is closed by the document that brings it to so many ids.
 SHARD_IDS = 1 << 20
+#: Words whose ids a process remembers; beyond it all are forgotten, which costs time only.
+KNOWN_WORDS = 1_500_000
+#: Bytes of text that are encoded at a time.
+TEXT_BYTES = 8 << 20
 MAGIC = b"WMX1"
 _BLOCK = 512  # bits per entry of the rank directory
 
@@ -191,7 +195,8 @@ class ByteBpe:
         # a token's string has one character per byte (an added token's, for ASCII, too)
         size = {i: len(t) for t, i in self.lib.get_vocab(with_added_tokens=True).items()}
         self.token_bytes = np.array([size.get(i, 0) for i in range(max(size) + 1)], np.int64)
-        self.cache = WordCache(self._words, 1_500_000)
+        self.known = pa.array([], pa.large_string())  # words that begin with a space, without it
+        self.pool, self.start = np.zeros(0, "<u4"), np.zeros(1, np.int64)  # their ids, and where each word's begin
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
@@ -216,11 +221,57 @@ class ByteBpe:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of whole texts as little-endian 32-bit integers; null and empty texts have none."""
-        split = [t.replace(" ", "\x00 ").split("\x00") if t and self.by_word and "  " not in t and "\x00" not in t
-                 else None for t in texts]
-        known = self.cache.add({w for s in split if s for w in s})
-        return [b"".join(map(known.__getitem__, s)) if s else self._encode([t])[0].tobytes() if t else b""
-                for s, t in zip(split, texts)]
+        ids, n = self.encode_column(pa.array(texts, pa.large_string()))
+        return [part.tobytes() for part in np.split(ids, np.cumsum(n)[:-1])] if len(n) else []
+
+
+    def _learn(self, words: pa.Array) -> np.ndarray:
+        """Numbers of distinct words, each meant with a space before it, in the tables; unknown ones are added."""
+        if len(self.known) + len(words) > KNOWN_WORDS:
+            self.known, self.pool, self.start = words.slice(0, 0), self.pool[:0], self.start[:1]
+        at = pc.index_in(words, value_set=self.known)
+        new = words.filter(at.is_null())
+        at = at.to_numpy(zero_copy_only=False)
+        if len(new):
+            found = self._words([f" {w}" for w in new.to_pylist()])
+            missing = np.isnan(at)
+            at = np.where(missing, len(self.known) - 1 + np.cumsum(missing), at)
+            self.known = pa.concat_arrays([self.known, new])
+            self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(found), "<u4")])
+            size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(size)])
+        return at.astype(np.int64)
+
+    def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, number of ids of each); null and empty texts have none.
+
+        Arrow splits the texts, numbers their words and finds them among those
+        that are known, so Python sees the new words only, and the first of each text.
+        """
+        texts = pc.fill_null(column.cast(pa.large_string()), "")
+        odd = pc.or_(pc.match_substring(texts, "  "), pc.match_substring(texts, "\x00")) if self.by_word \
+            else pc.not_equal(texts, "")
+        pieces = pc.split_pattern(pc.if_else(odd, "", texts), " ")
+        at = pieces.offsets.to_numpy().astype(np.int64)
+        words = pieces.values.slice(at[0], at[-1] - at[0]).dictionary_encode()
+        at -= at[0]
+        number = self._learn(words.dictionary)[words.indices.to_numpy()]
+        # a text's first word has no space before it
+        heads = self._encode([w if w else "" for w in words.take(pa.array(at[:-1])).to_pylist()])
+        pool = np.concatenate([self.pool, *heads])
+        start = np.concatenate([self.start, self.start[-1] + np.cumsum([len(h) for h in heads])]).astype(np.int64)
+        number[at[:-1]] = len(self.start) - 1 + np.arange(len(at) - 1)
+        n = start[number + 1] - start[number]
+        before = np.append(0, np.cumsum(n))
+        ids = pool[np.repeat(start[number] - before[:-1], n) + np.arange(before[-1])]
+        lengths = before[at[1:]] - before[at[:-1]]
+        whole = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        if len(whole):
+            parts, ends = np.split(ids, np.cumsum(lengths)[:-1]), self._encode([texts[i].as_py() for i in whole.tolist()])
+            for i, e in zip(whole.tolist(), ends):
+                parts[i], lengths[i] = e, len(e)
+            ids = np.concatenate(parts)
+        return ids, lengths
 
 
 @lru_cache(maxsize=2)
@@ -241,23 +292,28 @@ def write(docs: DataFrame, target: str, path: str, end_id: int = 2, shard_ids: i
     """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, part = tokenizer(path), TaskContext.get().partitionId()
-        end = np.array([end_id], "<u4").tobytes()
         docs_, lengths, parts, held, before, shard = [], [], [], 0, 0, 0
 
         def close() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(parts), "<u4")
+            ids = np.concatenate(parts)
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([before], pa.int64()),
                  pa.array([held], pa.int64()), pa.array([pack(docs_, lengths, ids)], pa.binary())],
                 ["part", "shard", "before", "n_ids", "payload"])
 
-        for rows, _, _ in blocks(batches, "text", 4 << 20):
-            encoded = bpe.encode(rows.column("text").to_pylist())
-            for d, e in zip(rows.column("doc_id").to_pylist(), encoded):
-                docs_.append(d)
-                lengths.append(len(e) // 4 + 1)
-                parts += [e, end]
-                held += lengths[-1]
+        for rows, _, _ in blocks(batches, "text", TEXT_BYTES):
+            ids, n = bpe.encode_column(rows.column("text"))
+            ids, n = np.insert(ids, np.cumsum(n), end_id), n + 1
+            ends, names, lo = np.cumsum(n), rows.column("doc_id").to_pylist(), 0
+            while lo < len(n):
+                start = int(ends[lo] - n[lo])
+                # up to the document that fills the shard
+                hi = min(len(n), int(np.searchsorted(ends, start + shard_ids - held, "left")) + 1)
+                docs_ += names[lo:hi]
+                lengths += n[lo:hi].tolist()
+                parts.append(ids[start:ends[hi - 1]])
+                held += int(ends[hi - 1]) - start
+                lo = hi
                 if held >= shard_ids:
                     yield close()
                     before, shard, held = before + held, shard + 1, 0
