@@ -29,9 +29,9 @@ from .common import blocks
 #: A shard is closed by the document that brings it to so many ids.
 SHARD_IDS = 1 << 20
 #: Words whose ids a process remembers; beyond it all are forgotten, which costs time only.
-KNOWN_WORDS = 1_500_000
+KNOWN_WORDS = 600_000
 #: Bytes of text that are encoded at a time.
-TEXT_BYTES = 8 << 20
+TEXT_BYTES = 3 << 20
 MAGIC = b"WMX1"
 _BLOCK = 512  # bits per entry of the rank directory
 
@@ -206,14 +206,16 @@ class ByteBpe:
         spaced = [i for i, w in enumerate(words) if w[:1] == " "]
         out: list[bytes | None] = [None] * len(words)
         groups = [spaced[i:i + together] for i in range(0, len(spaced), together)]
-        for group, ids in zip(groups, self._encode(["".join(words[i] for i in g) for g in groups])):
-            ends = np.cumsum([len(words[i].encode()) for i in group])
-            have = np.cumsum(self.token_bytes[ids])
-            at = np.searchsorted(have, ends)
-            if len(have) and have[-1] == ends[-1] and (have[at] == ends).all():
-                raw, last = ids.tobytes(), 0
-                for i, e in zip(group, (4 * (at + 1)).tolist()):
-                    out[i], last = raw[last:e], e
+        for lo in range(0, len(groups), 32):  # the library's results are many times the size of the words
+            some = groups[lo:lo + 32]
+            for group, ids in zip(some, self._encode(["".join(words[i] for i in g) for g in some])):
+                ends = np.cumsum([len(words[i].encode()) for i in group])
+                have = np.cumsum(self.token_bytes[ids])
+                at = np.searchsorted(have, ends)
+                if len(have) and have[-1] == ends[-1] and (have[at] == ends).all():
+                    raw, last = ids.tobytes(), 0
+                    for i, e in zip(group, (4 * (at + 1)).tolist()):
+                        out[i], last = raw[last:e], e
         rest = [i for i, x in enumerate(out) if x is None]
         for i, ids in zip(rest, self._encode([words[i] for i in rest])):
             out[i] = ids.tobytes()
@@ -318,6 +320,7 @@ def write(docs: DataFrame, target: str, path: str, end_id: int = 2, shard_ids: i
                     yield close()
                     before, shard, held = before + held, shard + 1, 0
                     docs_, lengths, parts = [], [], []
+            pa.default_memory_pool().release_unused()
         if docs_:
             yield close()
 
