@@ -28,21 +28,25 @@ from .common import blocks
 
 #: A shard is closed by the document that brings it to so many ids.
 SHARD_IDS = 1 << 20
-#: Words whose ids a process remembers; beyond it all are forgotten, which costs time only.
-KNOWN_WORDS = 600_000
+#: Words whose ids a process remembers; beyond it those met once are forgotten, which costs time only.
+KNOWN_WORDS = 750_000
 #: Bytes of text that are encoded at a time.
-TEXT_BYTES = 3 << 20
-MAGIC = b"WMX1"
+TEXT_BYTES = 4 << 20
+MAGIC = b"WMX2"
 _BLOCK = 512  # bits per entry of the rank directory
 
 
 class WaveletMatrix:
-    """Bit-planes of a sequence, highest bit first; zeros of a plane go left, ones right, both in order."""
+    """Bit-planes of a sequence, highest bit first; zeros of a plane go left, ones right, both in order.
 
-    def __init__(self, n: int, zeros: list[int], planes: list[np.ndarray]) -> None:
-        self.n, self.zeros, self.planes = n, zeros, planes  # planes: packed bytes, low bit first
+    A plane has a rank directory, the ones before every block of ``_BLOCK``
+    bits, which is stored with it.  Planes of a file are opened when first used,
+    each for itself.
+    """
+
+    def __init__(self, n: int, zeros: list[int], planes: list) -> None:
+        self.n, self.zeros, self.planes = n, zeros, planes  # (packed bytes, directory), or as in the file
         self.bits = len(planes)
-        self._ranks: list[np.ndarray | None] = [None] * self.bits
 
     @classmethod
     def build(cls, ids: np.ndarray) -> WaveletMatrix:
@@ -51,27 +55,35 @@ class WaveletMatrix:
         zeros, planes = [], []
         for k in reversed(range(max(1, top.bit_length()))):
             one = (now & now.dtype.type(1 << k)) != 0
-            planes.append(np.packbits(one, bitorder="little"))
+            bits = np.zeros(-(-len(now) // _BLOCK) * (_BLOCK // 8), np.uint8)
+            bits[:-(-len(now) // 8)] = np.packbits(one, bitorder="little")
+            ones = np.bitwise_count(bits.view(np.uint64)).reshape(-1, _BLOCK // 64).sum(axis=1, dtype=np.uint32)
+            planes.append((bits, np.append(np.uint32(0), np.cumsum(ones, dtype=np.uint32))))
             low = np.flatnonzero(~one)  # places are faster than masks here
             zeros.append(len(low))
             now = np.concatenate([now.take(low), now.take(np.flatnonzero(one))])
         return cls(len(ids), zeros, planes)
 
+    def plane(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Plane k, from the top, as packed bytes (low bit first, whole blocks), and its rank directory."""
+        if not isinstance(self.planes[k], tuple):
+            raw = zstandard.ZstdDecompressor().decompress(self.planes[k])
+            size = -(-self.n // _BLOCK) * (_BLOCK // 8)
+            self.planes[k] = (np.frombuffer(raw, np.uint8, size), np.frombuffer(raw, "<u4", -1, size))
+        return self.planes[k]
+
+    def opened(self) -> list[int]:
+        """The planes that have been opened."""
+        return [k for k in range(self.bits) if isinstance(self.planes[k], tuple)]
+
     def _rank1(self, k: int, at: np.ndarray) -> np.ndarray:
-        """Ones before positions ``at`` of plane k."""
-        if self._ranks[k] is None:
-            words = np.zeros(-(-self.n // _BLOCK) * (_BLOCK // 8) + 8, np.uint8)
-            words[:len(self.planes[k])] = self.planes[k]
-            ones = np.bitwise_count(words[:-8].view(np.uint64)).astype(np.int64)
-            inner = ones.reshape(-1, _BLOCK // 64).cumsum(axis=1)
-            before = np.append(0, inner[:, -1].cumsum()) if len(inner) else np.zeros(1, np.int64)
-            within = np.zeros_like(inner)
-            within[:, 1:] = inner[:, :-1]
-            self._ranks[k] = np.append((within + before[:-1, None]).ravel(), before[-1])
-            self.planes[k] = words
-        word, bit = at >> 6, (at & 63).astype(np.uint64)
-        part = self.planes[k].view(np.uint64)[word] & ((np.uint64(1) << bit) - np.uint64(1))
-        return self._ranks[k][np.minimum(word, len(self._ranks[k]) - 1)] + np.bitwise_count(part)
+        """Ones before positions ``at`` of plane k: the directory's count, and the block's words up to there."""
+        bits, directory = self.plane(k)
+        words = np.append(bits.view(np.uint64).reshape(-1, _BLOCK // 64), np.zeros((1, _BLOCK // 64), np.uint64), axis=0) \
+            if (at >= len(bits) * 8).any() else bits.view(np.uint64).reshape(-1, _BLOCK // 64)
+        block, rest = at // _BLOCK, (at % _BLOCK)[:, None] - 64 * np.arange(_BLOCK // 64)[None, :]
+        mask = np.where(rest >= 64, ~np.uint64(0), (np.uint64(1) << np.clip(rest, 0, 63).astype(np.uint64)) - np.uint64(1))
+        return directory[block].astype(np.int64) + np.bitwise_count(words[block] & mask).sum(axis=1, dtype=np.int64)
 
     def access(self, at: np.ndarray) -> np.ndarray:
         """Values at positions."""
@@ -126,7 +138,7 @@ class WaveletMatrix:
         """The whole sequence: the planes' orders undone from the lowest plane up."""
         now = np.zeros(self.n, np.uint16 if self.bits <= 16 else np.uint32)
         for k in reversed(range(self.bits)):
-            one = np.unpackbits(self.planes[k], count=self.n, bitorder="little").view(bool)
+            one = np.unpackbits(self.plane(k)[0], count=self.n, bitorder="little").view(bool)
             out = np.empty_like(now)
             out[np.flatnonzero(one)] = now[self.zeros[k]:] | now.dtype.type(1 << (self.bits - 1 - k))
             out[np.flatnonzero(~one)] = now[:self.zeros[k]]
@@ -135,23 +147,22 @@ class WaveletMatrix:
 
     def to_bytes(self) -> bytes:
         press = zstandard.ZstdCompressor(level=1).compress
-        size = -(-self.n // 8)
-        parts = [press(p[:size].tobytes()) for p in self.planes]
+        parts = [press(b"".join(x.tobytes() for x in self.plane(k))) for k in range(self.bits)]
         head = struct.pack("<4sQB", MAGIC, self.n, self.bits)
         return b"".join([head, *(struct.pack("<QI", z, len(p)) for z, p in zip(self.zeros, parts)), *parts])
 
     @classmethod
     def from_bytes(cls, raw: bytes) -> tuple[WaveletMatrix, int]:
-        """The matrix and the bytes it took."""
+        """The matrix, its planes still closed, and the bytes it took."""
         magic, n, bits = struct.unpack_from("<4sQB", raw)
         if magic != MAGIC:
             raise ValueError("not a wavelet-matrix file")
-        at, press = struct.calcsize("<4sQB"), zstandard.ZstdDecompressor().decompress
+        at = struct.calcsize("<4sQB")
         marks = [struct.unpack_from("<QI", raw, at + 12 * k) for k in range(bits)]
         at += 12 * bits
         planes = []
         for _, size in marks:
-            planes.append(np.frombuffer(press(raw[at:at + size]), np.uint8))
+            planes.append(raw[at:at + size])
             at += size
         return cls(n, [z for z, _ in marks], planes), at
 
@@ -197,53 +208,67 @@ class ByteBpe:
         self.token_bytes = np.array([size.get(i, 0) for i in range(max(size) + 1)], np.int64)
         self.known = pa.array([], pa.large_string())  # words that begin with a space, without it
         self.pool, self.start = np.zeros(0, "<u4"), np.zeros(1, np.int64)  # their ids, and where each word's begin
+        self.met = np.zeros(0, bool)  # whether a later block had the word again
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _words(self, words: list[str], together: int = 500) -> list[bytes]:
-        """Words that begin with a space are encoded many at a time and told apart by their tokens' bytes."""
-        spaced = [i for i, w in enumerate(words) if w[:1] == " "]
-        out: list[bytes | None] = [None] * len(words)
-        groups = [spaced[i:i + together] for i in range(0, len(spaced), together)]
-        for lo in range(0, len(groups), 32):  # the library's results are many times the size of the words
-            some = groups[lo:lo + 32]
-            for group, ids in zip(some, self._encode(["".join(words[i] for i in g) for g in some])):
-                ends = np.cumsum([len(words[i].encode()) for i in group])
-                have = np.cumsum(self.token_bytes[ids])
-                at = np.searchsorted(have, ends)
-                if len(have) and have[-1] == ends[-1] and (have[at] == ends).all():
-                    raw, last = ids.tobytes(), 0
-                    for i, e in zip(group, (4 * (at + 1)).tolist()):
-                        out[i], last = raw[last:e], e
-        rest = [i for i, x in enumerate(out) if x is None]
-        for i, ids in zip(rest, self._encode([words[i] for i in rest])):
-            out[i] = ids.tobytes()
-        return out
+    def _words(self, words: pa.Array, together: int = 500) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, where each word's end) of words that begin with a space, given without it.
+
+        Many words are encoded at a time and told apart by their tokens' bytes;
+        where that does not work out, the words of that text one by one.
+        """
+        size = pc.binary_length(words).to_numpy().astype(np.int64) + 1
+        names, pool, ends, done = words.to_pylist(), [], [], 0
+        for lo in range(0, len(names), 32 * together):  # the library's results are many times the size of the words
+            some = range(lo, min(len(names), lo + 32 * together), together)
+            for k, ids in zip(some, self._encode([" " + " ".join(names[k:k + together]) for k in some])):
+                want, have = np.cumsum(size[k:k + together]), np.cumsum(self.token_bytes[ids])
+                at = np.searchsorted(have, want)
+                if len(have) and have[-1] == want[-1] and (have[at] == want).all():
+                    at += 1
+                else:
+                    each = self._encode([f" {w}" for w in names[k:k + together]])
+                    ids, at = np.concatenate(each), np.cumsum([len(e) for e in each])
+                pool.append(ids)
+                ends.append(at + done)
+                done += len(ids)
+        return np.concatenate(pool), np.concatenate(ends)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of whole texts as little-endian 32-bit integers; null and empty texts have none."""
         ids, n = self.encode_column(pa.array(texts, pa.large_string()))
         return [part.tobytes() for part in np.split(ids, np.cumsum(n)[:-1])] if len(n) else []
 
-
     def _learn(self, words: pa.Array) -> np.ndarray:
         """Numbers of distinct words, each meant with a space before it, in the tables; unknown ones are added."""
         if len(self.known) + len(words) > KNOWN_WORDS:
-            self.known, self.pool, self.start = words.slice(0, 0), self.pool[:0], self.start[:1]
+            self._forget()
         at = pc.index_in(words, value_set=self.known)
         new = words.filter(at.is_null())
         at = at.to_numpy(zero_copy_only=False)
+        missing = np.isnan(at)
+        self.met[at[~missing].astype(np.int64)] = True
         if len(new):
-            found = self._words([f" {w}" for w in new.to_pylist()])
-            missing = np.isnan(at)
+            ids, ends = self._words(new)
+            self.met = np.concatenate([self.met, np.zeros(len(new), bool)])
             at = np.where(missing, len(self.known) - 1 + np.cumsum(missing), at)
             self.known = pa.concat_arrays([self.known, new])
-            self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(found), "<u4")])
-            size = np.fromiter(map(len, found), np.int64, len(found)) // 4
-            self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(size)])
+            self.pool = np.concatenate([self.pool, ids])
+            self.start = np.concatenate([self.start, self.start[-1] + ends])
         return at.astype(np.int64)
 
+    def _forget(self) -> None:
+        """Drops the words that no later block has had again; all, where the others are many."""
+        keep = np.flatnonzero(self.met)
+        keep = keep if len(keep) <= KNOWN_WORDS // 2 else keep[:0]
+        size = self.start[keep + 1] - self.start[keep]
+        ends = np.cumsum(size)
+        self.pool = self.pool[np.repeat(self.start[keep] - (ends - size), size) + np.arange(size.sum())]
+        self.known, self.start = self.known.take(pa.array(keep)), np.append(0, ends)
+        self.met = np.zeros(len(keep), bool)
+
     def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, number of ids of each); null and empty texts have none.
 
@@ -259,10 +284,12 @@ class ByteBpe:
         at -= at[0]
         number = self._learn(words.dictionary)[words.indices.to_numpy()]
         # a text's first word has no space before it
-        heads = self._encode([w if w else "" for w in words.take(pa.array(at[:-1])).to_pylist()])
+        first = words.indices.take(pa.array(at[:-1])).to_numpy()
+        names, which = np.unique(first, return_inverse=True)
+        heads = self._encode(words.dictionary.take(pa.array(names)).to_pylist())
         pool = np.concatenate([self.pool, *heads])
         start = np.concatenate([self.start, self.start[-1] + np.cumsum([len(h) for h in heads])]).astype(np.int64)
-        number[at[:-1]] = len(self.start) - 1 + np.arange(len(at) - 1)
+        number[at[:-1]] = len(self.start) - 1 + which
         n = start[number + 1] - start[number]
         before = np.append(0, np.cumsum(n))
         ids = pool[np.repeat(start[number] - before[:-1], n) + np.arange(before[-1])]

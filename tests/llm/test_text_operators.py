@@ -190,6 +190,28 @@ def test_rank_select_access():
             assert m.select(v, int((ids == v).sum())) == -1
 
 
+def test_planes_open_one_by_one():
+    ids = np.random.default_rng(3).integers(0, 40_000, 5000).astype(np.uint32)
+    m = wavelet.WaveletMatrix.from_bytes(wavelet.WaveletMatrix.build(ids).to_bytes())[0]
+    assert m.opened() == []
+    top = ids >> 15 & 1
+    assert m._rank1(0, np.arange(5001)).tolist() == np.append(0, np.cumsum(top)).tolist()
+    assert m.opened() == [0]
+    assert m.count(1 << 16) == 0 and m.opened() == [0]
+    assert m.access([4999]).tolist() == [ids[4999]] and m.opened() == list(range(16))
+
+
+def test_words_are_forgotten_and_learned_again(tokenizers_at, monkeypatch):
+    monkeypatch.setattr(wavelet, "KNOWN_WORDS", 400)
+    bpe = wavelet.ByteBpe(tokenizers_at("byte_bpe_50k.json"))
+    g = random.Random(4)
+    for _ in range(12):
+        texts = [" ".join(f"w{min(g.randrange(900), g.randrange(900))}" for _ in range(g.randrange(60))) for _ in range(8)]
+        for t, e in zip(texts, bpe.encode(texts)):
+            assert np.frombuffer(e, "<u4").tolist() == bpe.lib.encode(t, add_special_tokens=False).ids
+    assert len(bpe.known) < 900 and len(bpe.known) == len(bpe.start) - 1 == len(bpe.met)
+
+
 def test_words_equal_whole_texts(tokenizers_at):
     bpe = wavelet.ByteBpe(tokenizers_at("byte_bpe_50k.json"))
     texts = odd_texts(6, 1500)
