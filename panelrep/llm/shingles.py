@@ -2,26 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_LETTER = np.random.default_rng(20).integers(0, 1 << 63, 256, np.uint64) * _U(2) + _U(1)
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _LOWER = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256)).astype(np.uint8)
-_powers: dict[int, np.ndarray] = {}
-
-
-def _power(base: int, size: int) -> np.ndarray:
-    """base ** 0 .. base ** (size - 1) modulo 2 ** 64."""
-    have = _powers.get(base)
-    if have is None or len(have) < size:
-        n, out = 1 << max(size - 1, 1).bit_length(), np.ones(1, np.uint64)
-        while len(out) < n:
-            out = np.concatenate([out, out * _U(pow(base, len(out), 1 << 64))])
-        have = _powers[base] = out
-    return have[:size]
+#: Words up to so many bytes are hashed together, eight bytes of all of them at a time.
+SHORT = 64
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -31,6 +20,31 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(33))
 
 
+def word_hashes(low: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte runs from ``first`` to ``end``, which are not empty.
+
+    Eight bytes at a time go through a bijection, from one that the length
+    picks, so words that differ in one such step only never share a hash.  Long
+    ones, which are few, are hashed by a cryptographic function.
+    """
+    size = end - first
+    h = mix(size.astype(np.uint64) + _U(0x9E3779B97F4A7C15))
+    padded = np.concatenate([low, np.zeros(8, np.uint8)])
+    at = np.flatnonzero(size <= SHORT)
+    step = 0
+    while len(at):
+        left = size[at] - 8 * step
+        part = padded[(first[at] + 8 * step)[:, None] + np.arange(8)]
+        part[np.arange(8)[None, :] >= left[:, None]] = 0
+        h[at] = mix((h[at] ^ part.view(np.uint64)[:, 0]) * _U(0x9FB21C651E98DF25) + _U(2 * step + 1))
+        step += 1
+        at = at[left > 8]
+    for i in np.flatnonzero(size > SHORT).tolist():
+        digest = hashlib.blake2b(low[first[i]:end[i]].tobytes(), digest_size=8).digest()
+        h[i] = np.frombuffer(digest, np.uint64)[0]
+    return h
+
+
 def words(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words (runs of non-space bytes, A-Z as a-z) and each text's offsets in them."""
     solid = ~_SPACE[raw]
@@ -40,9 +54,7 @@ def words(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     first = np.flatnonzero(solid & (~before | edge[:-1]))
     after = np.append(solid[1:], False) if len(raw) else solid
     end = np.flatnonzero(solid & (~after | edge[1:])) + 1
-    sums = np.append(_U(0), np.cumsum(_LETTER[_LOWER[raw]] * _power(_BASE, len(raw)), dtype=np.uint64))
-    h = (sums[end] - sums[first]) * _power(_INVERSE, len(raw) + 1)[first]
-    return mix(h + (end - first).astype(np.uint64)), np.searchsorted(first, at)
+    return word_hashes(_LOWER[raw], first, end), np.searchsorted(first, at)
 
 
 def shingle_sets(raw: np.ndarray, at: np.ndarray, width: int) -> list[np.ndarray]:

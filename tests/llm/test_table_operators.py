@@ -14,7 +14,7 @@ from panelrep.llm import histshard, lattice, minhash
 from panelrep.llm.common import components
 from panelrep.llm.lattice import near_points, near_vectors
 from panelrep.llm.queries import QUERIES
-from panelrep.llm.shingles import shingle_sets
+from panelrep.llm.shingles import shingle_sets, words
 
 
 def union_find(n, links):
@@ -308,3 +308,30 @@ def test_blocks_find_what_pairs_find(spark, monkeypatch):
         monkeypatch.setattr(m, "PAIRWISE", pairwise)
         got = {r.doc_id: r.component_id for r in m.near_duplicates(docs).collect()}
         assert [got[i] for i in range(70)] == want
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") & 1] for i in range(n))
+
+
+def test_words_that_polynomial_hashes_confuse(spark):
+    """The Thue-Morse word and its complement agree under any polynomial hash modulo 2^64."""
+    one = thue_morse(1024)
+    two = one.translate(str.maketrans("ab", "ba"))
+    short = [thue_morse(64), thue_morse(64).translate(str.maketrans("ab", "ba"))]
+    rows = [(1, one), (2, two), (3, one + " x"), (4, two + " x"), (5, short[0]), (6, short[1]), (7, one)]
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 6, 7: 1}
+
+
+def test_word_hashes_depend_on_every_byte():
+    g = random.Random(8)
+    texts = ["".join(g.choices("abc", k=n)) for n in range(1, 150) for _ in range(4)]
+    texts += [t + c for t in texts for c in "ab"] + [c + t for t in texts for c in "ab"] + ["a" * n for n in range(1, 200)]
+    texts = sorted(set(texts))
+    raw = np.frombuffer(" ".join(texts).encode(), np.uint8)
+    h, at = words(raw, np.array([0, len(raw)]))
+    assert len(h) == len(texts) == len(set(h.tolist())) and at.tolist() == [0, len(texts)]
+    upper, _ = words(np.frombuffer(" ".join(texts).upper().encode(), np.uint8), np.array([0, len(raw)]))
+    assert (h == upper).all()
