@@ -1,6 +1,7 @@
 """Operators over single texts against the libraries, re, and brute force."""
 
 import hashlib
+import math
 import random
 import re
 import struct
@@ -412,3 +413,65 @@ def test_toxicity(spark, odd_docs, no_docs):
     assert toxicity.score(odd_docs, model).count() == odd_docs.count()
     assert toxicity.score(no_docs, model).count() == 0
     assert {r.score for r in toxicity.toxicity_table(odd_docs, labels.limit(0)).collect()} == {0.0}
+
+
+def toxic_corpus(n, seed=3):
+    """Invented prose, and the same with a foul word among every thirty: (texts, labels)."""
+    g = random.Random(seed)
+    stems = [a + b for a in ("ka", "lo", "mi", "ru", "te", "so", "pra", "ne") for b in ("n", "ra", "sil", "ver", "t", "mon")]
+    foul = ["vilescum", "brutemoron", "filthidiot", "trashclown"]
+    texts, labels = [], []
+    for i in range(n):
+        bad = i % 4 == 0
+        w = ["".join(g.choices(stems, k=g.choice([1, 2, 2, 3]))) for _ in range(g.randrange(60, 400))]
+        if bad:
+            w = [g.choice(foul) if k % 30 == 7 else x for k, x in enumerate(w)]
+        texts.append(" ".join(w).encode())
+        labels.append(int(bad))
+    return texts, labels
+
+
+def test_toxic_passage_counts_in_a_long_text():
+    texts, labels = toxic_corpus(1200)
+    kinds = [[t for t, y in zip(texts[:900], labels) if y == want] for want in (1, 0)]
+    model = toxicity.fit(*kinds)
+    held = list(zip(texts[900:], labels[900:]))
+    bad, good = [t for t, y in held if y], [t for t, y in held if not y]
+    g = random.Random(5)
+
+    def joined(texts, more):
+        out = []
+        for t in texts:
+            parts = g.choices(good, k=more)
+            parts.insert(g.randrange(more + 1), t)
+            out.append(model.score(b" ".join(parts)) >= 0.3)
+        return np.mean(out)
+
+    assert joined(bad, 0) > 0.9 and joined(good, 0) < 0.05
+    assert joined(bad, 20) > 0.8 and joined(good, 20) < 0.1
+    assert joined(bad, 80) > 0.7 and joined(good, 80) < 0.15
+
+
+def test_toxicity_equals_a_plain_loop_over_windows():
+    texts, labels = toxic_corpus(300, 8)
+    model = toxicity.fit(*[[t for t, y in zip(texts, labels) if y == want] for want in (1, 0)])
+    plain, both = toxicity._compressors(model)
+
+    def odds(part):
+        strong = sorted(part)[-3:]
+        return sum(w * x for w, x in zip(model.passage, (sum(part) / 10, sum(strong), math.log1p(len(part)), 1.0)))
+
+    for text in [*texts[:40], b" ".join(texts[:30]), b" ".join(texts[30:120]), b"", b"x", b"y" * 3000]:
+        r = []
+        for w in toxicity.windows(text, model.settings.window):
+            d = len(plain(w)) - len(both(w))
+            r.append(model.ratio[max(-toxicity.REACH, min(toxicity.REACH, d)) + toxicity.REACH])
+        n, best, size = len(r), odds(r), toxicity.PASSAGE
+        while size < n:
+            starts = {lo + k * size for lo in (0, size // 2, n % size) for k in range(n) if lo + (k + 1) * size <= n}
+            best = max([best, *(odds(r[s:s + size]) for s in starts)])
+            size *= 2
+        many = math.log1p(n)
+        long = sum(w * x for w, x in zip(model.weights, (best, many, many * many / 10, 1.0)))
+        short = min(1.0, max(0.0, math.log(toxicity.LONG / max(1, n)) / math.log(toxicity.LONG / toxicity.SHORT)))
+        assert math.isclose(model.score(text), 1 / (1 + math.exp(-(short * odds(r) + (1 - short) * long))), rel_tol=1e-6)
