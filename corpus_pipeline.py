@@ -6,6 +6,8 @@ and read again as the next one's documents.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,8 +35,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.train(docs.filter(rest != 1).select("doc_id", "text", "lang"))
     if not model.names:
         return langid.lettered(docs)
-    called = langid.identify(docs, model, ("__called", "__score"))
-    return called.filter("__score > 0").withColumn("lang", F.coalesce("lang", "__called")).select(docs.columns)
+    names = tuple(f"__{c}_{uuid.uuid4().hex}" for c in ("called", "score"))  # no column can have these names
+    called = langid.identify(docs, model, names)
+    return called.filter(F.col(names[1]) > 0).withColumn("lang", F.coalesce("lang", names[0])).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
