@@ -253,6 +253,13 @@ def test_pipeline(spark, sf_small, tokenizers_at):
     assert BASE
 
 
+def test_language_stage_with_columns_of_its_own_names(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").withColumns(
+        {c: F.lit(7) for c in ("__score", "__called", "score", "lang_pred")})
+    out = corpus_pipeline.language_id(spark, docs, sf_small)
+    assert out.columns == docs.columns and out.filter("__score = 7 and __called = 7").count() == out.count() > 0
+
+
 def test_pipeline_stages_on_odd_tables(spark, odd_docs, no_docs, sf_small):
     for docs in (odd_docs, no_docs):
         for name, stage in corpus_pipeline.STAGES:
