@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -18,6 +19,9 @@ from .wordcache import WordCache
 SPACE = "▁"  # the tokenizer's mark for a space
 _NONE = np.iinfo(np.int32).max
 BLOCK = 2 << 20
+#: Characters from which a word is cut where no piece reaches, and symbols from which what is left of it goes one merge
+#: at a time from a heap: a round of all words would take only one of its places.
+LONG_WORD, LONG_PART = 48, 384
 
 
 class PieceModel:
@@ -61,6 +65,7 @@ class PieceModel:
         self.safe = (first[:n] > self.rank) & (count[self.rank] == 1)
         # spaces only at the start of pieces: words can be encoded one by one
         self.by_word = not any(SPACE in p.lstrip(SPACE) for p in ident)
+        self.inside = np.unique(np.array([ord(a) * 0x110000 + ord(b) for p in ident for a, b in zip(p, p[1:])], np.int64))
         self.byte_id = np.array([next((i for i in range(n) if lib.is_byte(i) and pieces[i] == f"<0x{b:02X}>"), -1)
                                  for b in range(256)], np.int32)
         out = [b"" if lib.is_control(i) else bytes([int(pieces[i][1:-1], 16)]) if lib.is_byte(i)
@@ -68,6 +73,7 @@ class PieceModel:
         self.out_len = np.array([len(x) for x in out], np.int64)
         self.out_at = np.cumsum(self.out_len) - self.out_len
         self.out = np.frombuffer(b"".join(out), np.uint8)
+        self.pairs: dict[tuple[int, int], tuple[int, int]] | None = None
         self.cache = WordCache(self.encode_words, 350_000)
 
     def _hash(self, u: np.ndarray, v: np.ndarray, to: np.ndarray) -> None:
@@ -112,7 +118,69 @@ class PieceModel:
         unknown = sym < 0
         sym[unknown] = self.others + text[unknown]
         word = np.repeat(np.arange(len(words)), size)
+        if len(size) and size.max() > LONG_WORD:
+            part = self._parts(text, word, size)
+            length = np.bincount(part)
+            owner = word[np.cumsum(length) - length]
+            long = np.flatnonzero(length > LONG_PART)
+        else:
+            part, owner, long = word, np.arange(len(words)), ()
         done: list[tuple[np.ndarray, np.ndarray]] = []
+        if len(long):
+            at, live = np.append(0, np.cumsum(length)), np.ones(len(sym), bool)
+            for p in long.tolist():
+                found = self._one_by_one(sym[at[p]:at[p + 1]].tolist())
+                done.append((np.full(len(found), p), np.array(found, np.int64)))
+                live[at[p]:at[p + 1]] = False
+            sym, part = sym[live], part[live]
+        flat, order_part = self._rounds(sym, part, done)
+        flat, order_word = self._fallback(flat, owner[order_part])
+        raw = flat.astype("<u4").tobytes()
+        ends = np.cumsum(np.bincount(order_word, minlength=len(words))) * 4
+        return [raw[a:b] for a, b in zip(np.append(0, ends[:-1]).tolist(), ends.tolist())]
+
+    def _parts(self, text: np.ndarray, word: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The part that every character belongs to: long words are cut between characters that no piece has together.
+
+        No merge crosses such a cut, so the parts' merges are those of the word.
+        """
+        cut = np.append(False, word[1:] != word[:-1]) if len(word) else np.zeros(0, bool)
+        able = np.flatnonzero((size[word[1:]] > LONG_WORD) & ~cut[1:]) + 1
+        key = text[able - 1] * 0x110000 + text[able]
+        at = np.minimum(np.searchsorted(self.inside, key), len(self.inside) - 1)
+        cut[able[self.inside[at] != key]] = True
+        return np.cumsum(cut)
+
+    def _one_by_one(self, sym: list[int]) -> list[int]:
+        """The merges of a long part in their order, lowest rank first and then leftmost, from a heap of its pairs."""
+        if self.pairs is None:
+            self.pairs = {(int(k) // self.others, int(k) % self.others): (int(self.rank[v]), int(v))
+                          for _, keys, values in self.tables for k, v in zip(keys[keys >= 0], values[keys >= 0])}
+        n, pairs = len(sym), self.pairs
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(*found, i, sym[i], sym[i + 1]) for i in range(n - 1)
+                if (found := pairs.get((sym[i], sym[i + 1]))) is not None]
+        heap = [(r, i, u, v, to) for r, to, i, u, v in heap]
+        heapq.heapify(heap)
+        while heap:
+            _, i, u, v, to = heapq.heappop(heap)
+            j = after[i]
+            if sym[i] != u or j >= n or sym[j] != v:
+                continue  # one of the two is part of another piece by now
+            sym[i], sym[j] = to, -1
+            k, p = after[j], before[i]
+            after[i] = k
+            if k < n:
+                before[k] = i
+                if (found := pairs.get((to, sym[k]))) is not None:
+                    heapq.heappush(heap, (found[0], i, to, sym[k], found[1]))
+            if p >= 0 and (found := pairs.get((sym[p], to))) is not None:
+                heapq.heappush(heap, (found[0], p, sym[p], to, found[1]))
+        return [s for s in sym if s >= 0]
+
+    def _rounds(self, sym: np.ndarray, word: np.ndarray, done: list[tuple[np.ndarray, np.ndarray]]) \
+            -> tuple[np.ndarray, np.ndarray]:
+        """(symbols, their words) after all merges, in the words' order, with those that are done already."""
         to = self._pairs(sym, word)
         while len(sym):
             rank = np.where(to >= 0, self.rank[to], _NONE)
@@ -147,11 +215,7 @@ class PieceModel:
         order_word = np.concatenate([d[0] for d in done]) if done else np.zeros(0, np.int64)
         flat = np.concatenate([d[1] for d in done]) if done else np.zeros(0, np.int64)
         order = np.argsort(order_word, kind="stable")
-        flat, order_word = flat[order], order_word[order]
-        flat, order_word = self._fallback(flat, order_word)
-        raw = flat.astype("<u4").tobytes()
-        ends = np.cumsum(np.bincount(order_word, minlength=len(words))) * 4
-        return [raw[a:b] for a, b in zip(np.append(0, ends[:-1]).tolist(), ends.tolist())]
+        return flat[order], order_word[order]
 
     def _pairs(self, sym: np.ndarray, word: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
         """What the symbols (at ``at``, or all) make with the next one of their word."""

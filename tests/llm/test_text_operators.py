@@ -176,6 +176,23 @@ def test_count_table(odd_docs, no_docs, odd_rows, piece_path):
     assert tokencount.count_tokens(no_docs, piece_path).count() == 0
 
 
+def test_long_words_equal_the_library(tokenizers_at):
+    """Long words without spaces: cut where no piece reaches, their long parts one merge at a time."""
+    import string
+
+    import sentencepiece
+
+    path = tokenizers_at("piece_bpe_32k.model")
+    lib, m, g = sentencepiece.SentencePieceProcessor(model_file=path), piece.PieceModel(path), random.Random(1)
+    few = ["the", "quick", "brown", "fox", "jumps", "over", "lazy", "dogs", "without", "spaces"]
+    texts = ["".join(g.choices(string.ascii_lowercase, k=100_000)), "".join(g.choices(string.printable, k=100_000)),
+             "".join(g.choices(few, k=40_000)), "ab" * 20_000, "漢字仮名" * 3000, "año🙂ñ" * 3000]
+    texts += ["".join(g.choices("abcdeth in", [3, 1, 1, 1, 3, 3, 3, 2, 2, 1], k=g.randrange(40, 900))) for _ in range(60)]
+    ids, at = m.encode(texts)
+    for t, x, y in zip(texts, at[:-1], at[1:]):
+        assert ids[x:y].tolist() == lib.encode(t, add_bos=True, add_eos=True)
+
+
 # wavelet matrix
 
 def test_rank_select_access():
