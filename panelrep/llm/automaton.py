@@ -16,6 +16,8 @@ from dataclasses import dataclass
 import numpy as np
 
 _sre = re._parser  # the standard library's own parser
+#: Rounds in which lanes run again one after another, before all their entries are found together.
+ROUNDS = 6
 
 
 @dataclass(frozen=True)
@@ -177,7 +179,9 @@ class Automaton:
 
         The bytes are cut into lanes that step together, each from the start
         state; lanes whose predecessor ends in another state run again from
-        that one until they meet the states found before.
+        that one until they meet the states found before.  Where that goes on
+        from lane to lane, as in a very long match, :meth:`_entries` tells all
+        lanes' entries at once.
         """
         n = len(at) - 1
         size = len(raw) + n
@@ -194,9 +198,13 @@ class Automaton:
             now = self.step.take(now + by_step[t])
             found[t] = now
         entry = np.zeros(lanes, np.int32)
-        todo = np.flatnonzero(found[-1][:-1] != 0) + 1
+        todo, rounds = np.flatnonzero(found[-1][:-1] != 0) + 1, 0
         while len(todo):
-            entry[todo] = found[-1][todo - 1]
+            if rounds == ROUNDS:
+                todo = self._entries(by_step, found[-1], entry, int(todo[0]))
+            else:
+                entry[todo] = found[-1][todo - 1]
+            rounds += 1
             lane, now = todo, entry[todo]
             for t in range(width):
                 now = self.step.take(now + by_step[t][lane])
@@ -209,6 +217,29 @@ class Automaton:
         bits = self.accept[found.T.ravel()[:size] // self.classes]
         return bits, np.append(0, ends + 1)
 
+    def _entries(self, by_step: np.ndarray, ends: np.ndarray, entry: np.ndarray, first: int) -> np.ndarray:
+        """Sets the entry states of the lanes from ``first`` on; the lanes whose entry has changed.
+
+        Lanes are maps of states: where one is met in a state that it has not
+        been run from, it and all after it are run from that state together.
+        There are no more such runs than states; a long match keeps to a few.
+        """
+        known: dict[int, np.ndarray] = {}
+        was, ends_, state = entry.tolist(), ends.tolist(), int(ends[first - 1])
+        for lane in range(first, len(entry)):
+            entry[lane] = state
+            if state == was[lane]:
+                state = ends_[lane]
+                continue
+            run = known.get(state)
+            if run is None:
+                now = np.full(len(entry) - lane, state, np.int32)
+                for t in range(len(by_step)):
+                    now = self.step.take(now + by_step[t][lane:])
+                run = known[state] = np.concatenate([np.zeros(lane, np.int32), now])
+            state = int(run[lane])
+        return np.flatnonzero(entry != np.array(was, np.int32))
+
     def spans(self, raw: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int]]:
         """Matches in all texts: (text, rule, first byte, byte after the last), offsets within the text."""
         bits, placed = self.states(raw, at)

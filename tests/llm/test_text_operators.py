@@ -5,6 +5,7 @@ import math
 import random
 import re
 import struct
+import time
 import zlib
 
 import numpy as np
@@ -193,6 +194,26 @@ def test_long_words_equal_the_library(tokenizers_at):
         assert ids[x:y].tolist() == lib.encode(t, add_bos=True, add_eos=True)
 
 
+@pytest.mark.parametrize("size", [3_000, 200_000, 2_000_000])
+def test_secrets_with_very_long_matches(size):
+    """A match, or a gap before one, over thousands of lanes costs no round for each."""
+    g = random.Random(size)
+    blob = "".join(g.choices("abcDEF0123456789+/=", k=size))
+    texts = [f"token={blob}", f"password: {' ' * size}s3cretvalue1 end", f"x {blob.lower()[:size]} token = abcdefgh",
+             "ab" * (size // 2) + " AKIA" + "Z9" * (size // 2), "token=" + "a" * size + " token=" + "b" * size, "plain " * 50]
+    flat = [t.encode() for t in texts]
+    raw, at = np.frombuffer(b"".join(flat), np.uint8), np.append(0, np.cumsum([len(t) for t in flat]))
+    began = time.monotonic()
+    found = secretscan.automaton().spans(raw, at)
+    took = time.monotonic() - began
+    want = []
+    for k, rule in enumerate(secretscan.RULES):
+        tail = rule.tail if rule.tail.startswith("[") else f"[{rule.tail}]"
+        pattern = re.compile(f"(?:{rule.head})({tail}+)", re.A | (re.I if rule.any_case else 0))
+        want += [(i, k, *m.span()) for i, t in enumerate(texts) for m in pattern.finditer(t) if len(m[1]) >= rule.least]
+    assert sorted(found) == sorted(want) and took < 20
+
+
 # wavelet matrix
 
 def test_rank_select_access():
