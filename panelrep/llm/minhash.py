@@ -28,7 +28,7 @@ from .shingles import common, mix, shingle_sets
 UNIVERSE_BITS = 21
 BANDS, ROWS = 40, 8
 #: Members of a block, and of a bucket up to which its left-over members are compared pair by pair.
-BLOCK, PAIRWISE = 256, 16
+BLOCK, PAIRWISE = 512, 16
 #: Ids of the documents in shared buckets are broadcast up to this size and joined by a shuffle beyond it.
 BROADCAST_BYTES = 16 << 20
 
@@ -120,12 +120,45 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return meet(pairs, sets).mapInArrow(work, "a long, b long")
 
 
+class RareShingles:
+    """Sets by their rarest members: which of them may have 100 * intersection >= percent * union with another.
+
+    In an order of all shingles, a set of n has its first n - ceil(percent * n / 100) + 1 as prefix.  Two sets that
+    are similar enough share one of these, as neither can lack more than the rest.
+    """
+
+    def __init__(self, sets: list[np.ndarray], percent: int) -> None:
+        self.percent, self.size = percent, np.array([len(x) for x in sets], np.int64)
+        self.known, self.often = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_counts=True)
+        first = [self.prefix(x) for x in sets]
+        flat = np.concatenate([np.zeros(0, np.uint64), *first])
+        order = np.argsort(flat, kind="stable")
+        self.values = flat[order]
+        self.owners = np.repeat(np.arange(len(sets)), [len(x) for x in first])[order]
+
+    def prefix(self, x: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.known, x), len(self.known) - 1)
+        often = np.where(self.known[at] == x, self.often[at], 0) if len(self.known) else np.zeros(len(x), np.int64)
+        return x[np.lexsort((x, often))[:len(x) - -(-self.percent * len(x) // 100) + 1]]
+
+    def candidates(self, x: np.ndarray) -> np.ndarray:
+        mine = self.prefix(x)
+        lo, hi = np.searchsorted(self.values, mine, "left"), np.searchsorted(self.values, mine, "right")
+        count = hi - lo
+        at = np.repeat(lo - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+        found = np.unique(self.owners[at])
+        least, most = np.minimum(self.size[found], len(x)), np.maximum(self.size[found], len(x))
+        return found[100 * least >= self.percent * most]
+
+
 def verify_blocks(sides: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between the sides 1 and 0 of each group g that join all that the groups' similar pairs join.
 
     ``sides`` has (g, a, role).  Side 0 is dealt into blocks of about ``BLOCK``
-    members, side 1 is compared with every block by an index of its hashes, so
-    what is shuffled is side 1 once per block, never a row per pair.
+    members, side 1 is compared with every block, so what is shuffled is side 1
+    once per block, never a row per pair.  In a block only members that share
+    one of their rarest shingles are compared: of two similar sets, each in the
+    order of the shingles' frequency in the block, the first ones overlap.
     """
     blocks_ = sides.filter("role = 0").groupBy("g").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     own = sides.filter("role = 0").join(blocks_, "g") \
@@ -153,21 +186,15 @@ def verify_blocks(sides: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     held.append((member, mine.copy()))
                     continue
                 if index is None:
-                    size = np.array([len(x) for _, x in held], np.int64)
-                    flat = np.concatenate([x for _, x in held]) if held else mine[:0]
-                    order = np.argsort(flat, kind="stable")
-                    index = (flat[order], np.repeat(np.arange(len(held)), size)[order], size)
-                values, owners, size = index
-                lo, hi = np.searchsorted(values, mine, "left"), np.searchsorted(values, mine, "right")
-                count = hi - lo
-                at = np.repeat(lo - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-                both = np.bincount(owners[at], minlength=len(held))
-                for i in np.flatnonzero(100 * both >= percent * (len(mine) + size - both)).tolist():
-                    other_ = held[i][0]
+                    index = RareShingles([x for _, x in held], percent)
+                for i in index.candidates(mine).tolist():
+                    other_, own = held[i]
                     if root(member) != root(other_):
-                        top[root(member)] = root(other_)
-                        a.append(max(member, other_))
-                        b.append(min(member, other_))
+                        both = common(mine, own)
+                        if 100 * both >= percent * (len(mine) + len(own) - both):
+                            top[root(member)] = root(other_)
+                            a.append(max(member, other_))
+                            b.append(min(member, other_))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return rows.repartition("g", "block").sortWithinPartitions("g", "block", "role").mapInArrow(work, "a long, b long")

@@ -342,3 +342,34 @@ def test_word_hashes_depend_on_every_byte():
     assert len(h) == len(texts) == len(set(h.tolist())) and at.tolist() == [0, len(texts)]
     upper, _ = words(np.frombuffer(" ".join(texts).upper().encode(), np.uint8), np.array([0, len(raw)]))
     assert (h == upper).all()
+
+
+def test_rare_shingles_miss_no_similar_set():
+    g = np.random.default_rng(6)
+    base = g.choice(5000, 120, replace=False).astype(np.uint64)
+    sets = []
+    for _ in range(150):
+        keep = base[g.random(120) < g.uniform(0.6, 1)]
+        sets.append(np.unique(np.append(keep, g.integers(0, 5000, g.integers(0, 40)).astype(np.uint64))))
+    sets += [np.array([7], np.uint64), np.array([7], np.uint64), base[:2]]
+    index = minhash.RareShingles(sets[:100], 80)
+    tried = 0
+    for x in sets[100:] + sets[:10]:
+        near = {i for i, y in enumerate(sets[:100])
+                if 100 * len(np.intersect1d(x, y)) >= 80 * len(np.union1d(x, y))}
+        found = set(index.candidates(x).tolist())
+        assert near <= found
+        tried += len(found)
+    assert tried < 0.8 * 63 * 100
+    assert minhash.RareShingles([], 80).candidates(base).tolist() == []
+
+
+def test_form_letters_below_the_threshold(spark):
+    """Letters that share two thirds of their shingles meet in buckets and link with none; copies of them link."""
+    g = random.Random(12)
+    form = [f"form{i}" for i in range(120)]
+    rows = [(k, " ".join(form + [f"own{g.randrange(10**9)}" for _ in range(30)])) for k in range(400)]
+    rows += [(1000 + k, rows[k][1] + " ps") for k in range(0, 400, 40)]
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {d: d - 1000 if d >= 1000 else d for d, _ in rows}
