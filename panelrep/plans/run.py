@@ -4,10 +4,10 @@
         [--studies mitigdecomp,main,diet] [--run-date 2020-01-02] [--safe]
 
 The maps folder holds the wide lookup CSVs under their usual names
-(:data:`panelrep.config.MAP_FILES`); the project is the
-``query=<name>/scenario=<s>/`` Parquet layout.  Every indicator is
-written as its own job to ``<out>/report/indicator=<code>/``; the study
-subsets are written in one pass to ``<out>/studies/run_date=<ddMonYYYY>/``.
+(:data:`panelrep.config.MAP_FILES`); the project is stored as
+:mod:`panelrep.sources.store` describes.  Every group of indicators is written
+as its own job to ``<out>/report/run=<id>/group=<codes>/indicator=<code>/``; the
+study subsets are written to ``<out>/studies/run_date=<ddMonYYYY>/study=<name>/``.
 """
 
 from __future__ import annotations
