@@ -43,6 +43,7 @@ def _stored(spark, d):
     ("convert_by_pattern", {"emissions", "luc_emissions"}),
     ("exog_yield_colocated", {"harvests", "land_cover", "ag_yield"}),
     ("skip_sum", set()),
+    ("ingest_no_clobber", set()),
 ])
 def test_query_stores_the_tables_it_reads(spark, own_rows, query, read):
     assert catalog.QUERIES[query](spark, own_rows).count() and _stored(spark, own_rows) == read
