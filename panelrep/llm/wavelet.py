@@ -9,7 +9,9 @@ again and gives every document's ids back.
 
 from __future__ import annotations
 
+import codecs
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -34,6 +36,10 @@ KNOWN_WORDS = 750_000
 TEXT_BYTES = 4 << 20
 MAGIC = b"WMX2"
 _BLOCK = 512  # bits per entry of the rank directory
+#: Marks that are a piece of their own where they end a word after a letter.
+MARKS = ".,;:!?"
+#: Latin letters, as a regular expression has them between brackets.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 
 
 class WaveletMatrix:
@@ -184,11 +190,25 @@ def unpack(raw: bytes) -> tuple[WaveletMatrix, list[int | None], np.ndarray]:
     return matrix, found, np.frombuffer(docs, "<i8", n, 8 * n)
 
 
+def _spelling() -> str:
+    """The letter that byte-level models have for each byte, but a space for byte 0, which parts words here."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return " " + "".join(chr(b if b in seen else next(rest)) for b in range(256))[1:]
+
+
+_SPELLING = _spelling()
+
+
 class ByteBpe:
     """The tokenizers library, asked once for each word that it has not met lately.
 
     Its pre-tokenizer begins a new piece at every single space, so a text's
     ids are those of its words; a text with two spaces in a row is encoded whole.
+    A mark at a word's end after a letter is a piece of its own as well, so a
+    word is met with and without it once.  Words of Latin letters are one piece
+    each and go to the library's model without its pre-tokenizer, spelled in the
+    model's letters, one for each byte.
     """
 
     def __init__(self, path: str) -> None:
@@ -196,6 +216,7 @@ class ByteBpe:
         import json
 
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
 
         self.lib = Tokenizer.from_file(path)
         spec = json.loads(self.lib.to_str())
@@ -203,6 +224,13 @@ class ByteBpe:
         self.by_word = spec.get("normalizer") is None and before.get("type") == "ByteLevel" and \
             not before.get("add_prefix_space") and before.get("use_regex", True) and \
             not any(" " in t["content"] or t["lstrip"] or t["rstrip"] for t in spec.get("added_tokens", []))
+        added = [t["content"] for t in spec.get("added_tokens", [])]
+        self.by_mark = self.by_word and not any(re.search(f"[{LETTERS}][{MARKS}]", t) for t in added)
+        self.by_letters = self.by_word and not any(re.fullmatch(f"[{LETTERS}]+", t) for t in added)
+        self.plain = Tokenizer(self.lib.model)
+        self.plain.pre_tokenizer = CharDelimiterSplit(" ")
+        self.marks = np.concatenate(self._encode(list(MARKS))).astype(np.int64)
+        self.by_mark = self.by_mark and len(self.marks) == len(MARKS)
         # a token's string has one character per byte (an added token's, for ASCII, too)
         size = {i: len(t) for t, i in self.lib.get_vocab(with_added_tokens=True).items()}
         self.token_bytes = np.array([size.get(i, 0) for i in range(max(size) + 1)], np.int64)
@@ -210,26 +238,33 @@ class ByteBpe:
         self.pool, self.start = np.zeros(0, "<u4"), np.zeros(1, np.int64)  # their ids, and where each word's begin
         self.met = np.zeros(0, bool)  # whether a later block had the word again
 
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4") for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encode(self, texts: list[str], plain: bool = False) -> list[np.ndarray]:
+        lib = self.plain if plain else self.lib
+        if plain:
+            texts = [codecs.charmap_decode(t.encode(), "strict", _SPELLING)[0] for t in texts]
+        return [np.array(e.ids, "<u4") for e in lib.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _words(self, words: pa.Array, together: int = 500) -> tuple[np.ndarray, np.ndarray]:
+    def _words(self, words: pa.Array, plain: bool, together: int = 500) -> tuple[np.ndarray, np.ndarray]:
         """(ids, where each word's end) of words that begin with a space, given without it.
 
         Many words are encoded at a time and told apart by their tokens' bytes;
         where that does not work out, the words of that text one by one.
+        ``plain`` words are of Latin letters only.
         """
+        if not len(words):
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        head, between = " ", "\0 " if plain else " "
         size = pc.binary_length(words).to_numpy().astype(np.int64) + 1
         names, pool, ends, done = words.to_pylist(), [], [], 0
         for lo in range(0, len(names), 32 * together):  # the library's results are many times the size of the words
             some = range(lo, min(len(names), lo + 32 * together), together)
-            for k, ids in zip(some, self._encode([" " + " ".join(names[k:k + together]) for k in some])):
+            for k, ids in zip(some, self._encode([head + between.join(names[k:k + together]) for k in some], plain)):
                 want, have = np.cumsum(size[k:k + together]), np.cumsum(self.token_bytes[ids])
                 at = np.searchsorted(have, want)
                 if len(have) and have[-1] == want[-1] and (have[at] == want).all():
                     at += 1
                 else:
-                    each = self._encode([f" {w}" for w in names[k:k + together]])
+                    each = self._encode([head + w for w in names[k:k + together]], plain)
                     ids, at = np.concatenate(each), np.cumsum([len(e) for e in each])
                 pool.append(ids)
                 ends.append(at + done)
@@ -247,16 +282,19 @@ class ByteBpe:
             self._forget()
         at = pc.index_in(words, value_set=self.known)
         new = words.filter(at.is_null())
-        at = at.to_numpy(zero_copy_only=False)
+        at = at.to_numpy(zero_copy_only=False).astype(np.float64)
         missing = np.isnan(at)
         self.met[at[~missing].astype(np.int64)] = True
         if len(new):
-            ids, ends = self._words(new)
+            plain = pc.match_substring_regex(new, f"^[{LETTERS}]+$").to_numpy(zero_copy_only=False) & self.by_letters
+            at[missing] = len(self.known) + np.where(plain, np.cumsum(plain), plain.sum() + np.cumsum(~plain)) - 1
+            for kind in (True, False):
+                some = new.filter(pa.array(plain == kind))
+                ids, ends = self._words(some, kind)
+                self.known = pa.concat_arrays([self.known, some])
+                self.pool = np.concatenate([self.pool, ids])
+                self.start = np.concatenate([self.start, self.start[-1] + ends])
             self.met = np.concatenate([self.met, np.zeros(len(new), bool)])
-            at = np.where(missing, len(self.known) - 1 + np.cumsum(missing), at)
-            self.known = pa.concat_arrays([self.known, new])
-            self.pool = np.concatenate([self.pool, ids])
-            self.start = np.concatenate([self.start, self.start[-1] + ends])
         return at.astype(np.int64)
 
     def _forget(self) -> None:
@@ -269,6 +307,17 @@ class ByteBpe:
         self.known, self.start = self.known.take(pa.array(keep)), np.append(0, ends)
         self.met = np.zeros(len(keep), bool)
 
+    def _cores(self, words: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """Words without the mark that ends them after a letter, and the id of that mark, -1 where there is none."""
+        marks = np.full(len(words), -1, np.int64)
+        if self.by_mark:
+            ended = pc.match_substring_regex(words, f"[{LETTERS}][{MARKS}]$")
+            last = pc.utf8_slice_codeunits(words.filter(ended), -1)
+            which = pc.index_in(last, value_set=pa.array(list(MARKS), last.type)).to_numpy(zero_copy_only=False)
+            marks[ended.to_numpy(zero_copy_only=False)] = self.marks[which.astype(np.int64)]
+            words = pc.if_else(ended, pc.utf8_slice_codeunits(words, 0, -1), words)
+        return words.dictionary_encode(), marks
+
     def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, number of ids of each); null and empty texts have none.
 
@@ -282,19 +331,30 @@ class ByteBpe:
         at = pieces.offsets.to_numpy().astype(np.int64)
         words = pieces.values.slice(at[0], at[-1] - at[0]).dictionary_encode()
         at -= at[0]
-        number = self._learn(words.dictionary)[words.indices.to_numpy()]
+        cores, marks = self._cores(words.dictionary)
+        number = self._learn(cores.dictionary)[cores.indices.to_numpy()][words.indices.to_numpy()]
         # a text's first word has no space before it
         first = words.indices.take(pa.array(at[:-1])).to_numpy()
         names, which = np.unique(first, return_inverse=True)
         heads = self._encode(words.dictionary.take(pa.array(names)).to_pylist())
-        pool = np.concatenate([self.pool, *heads])
+        pool = np.concatenate([self.pool, *heads, np.zeros(1, "<u4")])  # the last is no word's
         start = np.concatenate([self.start, self.start[-1] + np.cumsum([len(h) for h in heads])]).astype(np.int64)
         number[at[:-1]] = len(self.start) - 1 + which
+        mark = marks[words.indices.to_numpy()]
+        mark[at[:-1]] = -1
+        marked = np.flatnonzero(mark >= 0)
         n = start[number + 1] - start[number]
+        n[marked] += 1
         before = np.append(0, np.cumsum(n))
         ids = pool[np.repeat(start[number] - before[:-1], n) + np.arange(before[-1])]
+        ids[before[marked + 1] - 1] = mark[marked]
         lengths = before[at[1:]] - before[at[:-1]]
-        whole = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        odd = odd.to_numpy(zero_copy_only=False)
+        # other white space between two spaces is one piece with them
+        blank = pc.match_substring_regex(words.dictionary, r"^[\s\pZ\x0b\x1c-\x1f\x{85}]+$").to_numpy(zero_copy_only=False)
+        if blank.any():
+            odd = odd | np.logical_or.reduceat(blank[words.indices.to_numpy()], at[:-1])
+        whole = np.flatnonzero(odd)
         if len(whole):
             parts, ends = np.split(ids, np.cumsum(lengths)[:-1]), self._encode([texts[i].as_py() for i in whole.tolist()])
             for i, e in zip(whole.tolist(), ends):

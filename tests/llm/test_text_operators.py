@@ -251,6 +251,20 @@ def test_words_are_forgotten_and_learned_again(tokenizers_at, monkeypatch):
     assert len(bpe.known) < 900 and len(bpe.known) == len(bpe.start) - 1 == len(bpe.met)
 
 
+def test_marks_letters_and_blanks_between_words(tokenizers_at):
+    bpe = wavelet.ByteBpe(tokenizers_at("byte_bpe_50k.json"))
+    assert bpe.by_mark and bpe.by_letters
+    g, pieces = random.Random(5), ["ouré", "ciññ,", "end.", "end", "ÿÖ!", "×?", "ªº", "ɐ.", "İ,", "漢。", "don't;", "a.b.", "...", "1,",
+                                   "\n", "\u00a0", " ", "x\ny:", "<|endoftext|>", "\t"]
+    texts = ["".join(g.choice(pieces) + g.choice(["", " "]) for _ in range(g.randrange(20))) for _ in range(800)]
+    texts += ["? \u00a0 \u00a0", "a \n \n b"]  # one run of white space, parted by spaces
+    for t, e in zip(texts, bpe.encode(texts)):
+        assert np.frombuffer(e, "<u4").tolist() == bpe.lib.encode(t, add_special_tokens=False).ids
+    fresh = wavelet.ByteBpe(tokenizers_at("byte_bpe_50k.json"))
+    fresh.encode(["x end end. end, end! ouré ouré."])
+    assert sorted(fresh.known.to_pylist()) == ["end", "ouré", "x"]  # met once with and without marks
+
+
 def test_words_equal_whole_texts(tokenizers_at):
     bpe = wavelet.ByteBpe(tokenizers_at("byte_bpe_50k.json"))
     texts = odd_texts(6, 1500)
