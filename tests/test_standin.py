@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 
+from panelrep.operators.bounded import plan_bytes
 from panelrep.plans import catalog, standin
 from panelrep.sources import store
 
@@ -59,3 +60,41 @@ def test_tables_stored_one_by_one_are_whole(spark, own_rows):
     assert S.opened("gdp").first_years["gdp"] == S.project.first_years["gdp"]
     assert _stored(spark, own_rows) == set(standin.QUERY_NAMES)
     assert _rows(S.project.raw("ag_prod")) == _rows(S.opened("ag_prod").raw("ag_prod"))
+
+
+def test_panel_shuffles_no_line_to_a_small_lookup(spark, own_rows):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    sizes = {n: plan_bytes(standin.read(spark, own_rows, n)) for n in ("lineitem", "supplier", "nation", "part")}
+    most = max(sizes[n] for n in ("supplier", "nation", "part"))
+    assert most < sizes["lineitem"] / 2 < sizes["supplier"] * sizes["nation"] / 100
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(most))  # the least that each lookup alone is below
+    try:
+        plan = standin.panel(spark, own_rows)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "Exchange hashpartitioning" not in plan and plan.count("BroadcastHashJoin") == 3
+
+
+@pytest.mark.parametrize("limit", ["10MB", "-1"])
+def test_panel_rows_with_repeated_and_null_keys(spark, tmp_path, limit):
+    lines = TABLES["lineitem"][1] + [(None, 1, 1, 5.0, 1.0, 0.0, "A", "O", dt.datetime(1995, 1, 1)),
+                                     (1, None, 1, 6.0, 1.0, 0.0, "A", "O", dt.datetime(1995, 1, 1)),
+                                     (1, 9, 1, 7.0, 1.0, 0.0, None, "O", None)]
+    rows = {**{n: r for n, (_, r) in TABLES.items()}, "lineitem": lines}
+    rows["supplier"] = rows["supplier"] + [(2, 0), (2, 1), (None, 1), (3, None), (9, 7)]
+    rows["nation"] = rows["nation"] + [(1, "FRANCE", 0), (None, "NOWHERE", 0)]
+    rows["part"] = rows["part"] + [(2, "Brand#13", "LARGE", 20), (None, "Brand#13", "SMALL", 1)]
+    for name, (schema, _) in TABLES.items():
+        spark.createDataFrame(rows[name], schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    want = sorted(str((f, n[1], "unlisted" if p[1] == "Brand#25" else p[2], None if d is None else d.year, q))
+                  for lp, ls, _, q, _, _, f, _, d in lines
+                  for p in rows["part"] if lp is not None and p[0] == lp
+                  for s in rows["supplier"] if ls is not None and s[0] == ls
+                  for n in rows["nation"] if s[1] is not None and n[0] == s[1])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        got = standin.panel(spark, str(tmp_path)).select("scenario", "region", "sector", "yr", "qty").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(str((r.scenario, r.region, r.sector, r.yr, float(r.qty))) for r in got) == want
