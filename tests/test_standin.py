@@ -50,6 +50,19 @@ def test_query_stores_the_tables_it_reads(spark, own_rows, query, read):
     assert catalog.QUERIES[query](spark, own_rows).count() and _stored(spark, own_rows) == read
 
 
+def _read_without_panel(spark, d, query):
+    first = _rows(catalog.QUERIES[query](spark, d))
+    assert first and not [of for of in standin._ROOTS if of[0] == d]  # nothing was written for it
+    assert catalog.stand_in(spark, d).panel.count() == catalog.stand_in(spark, d).rows.count()
+    assert [of for of in standin._ROOTS if of[0] == d] and "panel" in catalog.stand_in(spark, d).rows.inputFiles()[0]
+    assert _rows(catalog.QUERIES[query](spark, d)) == first
+
+
+@pytest.mark.parametrize("query", ["skip_sum", "strict_sum"])
+def test_sums_of_the_panel_do_not_write_it(spark, own_rows, query):
+    _read_without_panel(spark, own_rows, query)
+
+
 def test_tables_stored_one_by_one_are_whole(spark, own_rows):
     S = catalog.stand_in(spark, own_rows)
     want = standin.query_tables(spark, own_rows)
