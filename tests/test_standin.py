@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 
+from panelrep.operators import bounded
 from panelrep.operators.bounded import plan_bytes
 from panelrep.plans import catalog, standin
 from panelrep.sources import store
@@ -63,6 +64,19 @@ def test_sums_of_the_panel_do_not_write_it(spark, own_rows, query):
     _read_without_panel(spark, own_rows, query)
 
 
+@pytest.mark.parametrize("query", ["ingest_no_clobber", "ingest_two_writers", "stack_scenarios"])
+def test_ingests_of_the_panel_do_not_write_it(spark, own_rows, query):
+    _read_without_panel(spark, own_rows, query)
+
+
+def test_large_part_is_not_broadcast_for_a_reader_of_few_columns(spark, own_rows, monkeypatch):
+    part = standin.read(spark, own_rows, "part")
+    keys, whole = (plan_bytes(part.select(*c)) for c in (["p_partkey"], ["p_partkey", "p_brand", "p_type", "p_size"]))
+    monkeypatch.setattr(bounded, "BROADCAST_BYTES", (keys + whole) // 2)  # the keys alone are below the limit
+    plan = standin.panel(spark, own_rows).select("scenario", "qty")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 2
+
+
 def test_tables_stored_one_by_one_are_whole(spark, own_rows):
     S = catalog.stand_in(spark, own_rows)
     want = standin.query_tables(spark, own_rows)
